@@ -69,13 +69,13 @@ def header_detail_trailer(detail: DataFrame, members: DataFrame, stamp: str, col
     """
     first, second, third, *rest = columns
     blanks = [F.lit("").alias(c) for c in rest]
-    total = detail.agg(F.count(F.lit(1)).alias("_n"))
+    # Details and the presence of any member are counted together, down to one row.
+    marks = detail.select(F.lit(1).alias("_d")).unionByName(members.limit(1).select(F.lit(0).alias("_d")))
+    total = marks.agg(F.sum("_d").alias("_n"), F.count(F.when(F.col("_d") == 0, 1)).alias("_any"))
     header = total.where("_n > 0").select(
         F.lit(1).alias("record_order"), F.lit("HR").alias(first), F.lit(stamp).alias(second), F.lit("").alias(third), *blanks)
     body = detail.select(F.lit(2).alias("record_order"), *[F.col(c).cast("string") for c in columns])
-    # Both inputs of this product are single rows.
-    any_member = members.select(F.lit(1).alias("_any")).limit(1)
-    trailer = any_member.crossJoin(total).select(
+    trailer = total.where("_any > 0").select(
         F.lit(3).alias("record_order"), F.lit("TR").alias(first), F.lit(stamp).alias(second),
         F.col("_n").cast("string").alias(third), *blanks)
     return header.unionByName(body).unionByName(trailer)

@@ -1,9 +1,10 @@
 """As-of and nearest-in-time matching without pairing every probe with every event.
 
-Both sides are cut into (key, calendar span) pieces.  Equal instants are collapsed before the
-exchange, so the rows of one piece are bounded by the distinct instants of one span, also for a key
-or an instant that holds a third of all rows.  What an earlier span hands on is one row per
-(key, span), found by a small window over spans.
+Keys are first counted (combined before the exchange).  A light key is one window over its events and
+probes together: one exchange, no pairs.  A heavy key is cut into calendar spans after equal instants are
+collapsed, so the rows of one piece are bounded by the distinct instants of one span even when a single key
+or a single instant holds a third of all rows; what an earlier span hands on is one row per (key, span).
+Where no key is heavy, adaptive execution drops that branch once it has seen the empty key list.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import boundary_diff
+from .picks import HEAVY_ROWS
 
 
 def _span(time: Column, span: str) -> Column:
@@ -25,10 +27,111 @@ def _span(time: Column, span: str) -> Column:
     raise ValueError(f"unknown span {span!r}")
 
 
+class _Pick:
+    """One direction of time: how to sort, and which of equal instants wins."""
+
+    def __init__(self, back: bool, tie_max: bool, prefix: str):
+        self.back, self.tie_max, self.prefix = back, tie_max, prefix
+
+    def by_time(self, c) -> Column:
+        return F.col(c).asc() if self.back else F.col(c).desc()
+
+    def by_tie(self, c) -> Column:
+        # The last row of a running window wins.
+        return F.col(c).asc_nulls_first() if self.tie_max else F.col(c).desc_nulls_last()
+
+    def tie_agg(self, value, order):
+        return (F.max_by if self.tie_max else F.min_by)(value, order)
+
+    def time_agg(self, value, order):
+        return (F.max_by if self.back else F.min_by)(value, order)
+
+
+def _running(cols: list[str], window, prefix: str = "") -> list[Column]:
+    return [F.last(c, ignorenulls=True).over(window).alias(prefix + c) for c in cols]
+
+
+def _one_window(probes: DataFrame, events: DataFrame, outs: dict, picks: list[_Pick], rank: int) -> DataFrame:
+    """Light keys: events and whole left rows in time order."""
+    cols = list(outs.values())
+    rows = events.select(
+        "_k", "_t", "_tie", F.lit(0).alias("_rank"),
+        *[(F.col("_row") if v is None else F.when(F.col("_cat") == v, F.col("_row"))).alias(c) for v, c in outs.items()])
+    line = rows.unionByName(probes.withColumn("_rank", F.lit(rank)), allowMissingColumns=True)
+    found = []
+    for p in picks:
+        w = Window.partitionBy("_k").orderBy(p.by_time("_t"), "_rank", p.by_tie("_tie")).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        found += _running(cols, w, p.prefix)
+    return line.select("_left", "_rank", *found).where(F.col("_rank") == rank).drop("_rank")
+
+
+def _by_span(probes: DataFrame, events: DataFrame, outs: dict, p: _Pick, rank: int, span: str) -> DataFrame:
+    """Heavy keys: distinct instants, cut into spans, with the pick handed on from earlier spans."""
+    cols = list(outs.values())
+    instants = (
+        events.groupBy("_k", "_t")
+        .agg(*[p.tie_agg(F.col("_row"), F.col("_tie") if v is None else F.when(F.col("_cat") == v, F.col("_tie"))).alias(c)
+               for v, c in outs.items()])
+        .withColumn("_s", _span(F.col("_t"), span))
+    )
+    asked = probes.select("_k", "_t").distinct().withColumn("_s", _span(F.col("_t"), span))
+
+    ends = instants.groupBy("_k", "_s").agg(
+        *[p.time_agg(F.col(c), F.when(F.col(c).isNotNull(), F.col("_t"))).alias(c) for c in cols]
+    ).withColumn("_asked", F.lit(0))
+    wanted = asked.select("_k", "_s").distinct().withColumn("_asked", F.lit(1))
+    before = Window.partitionBy("_k").orderBy(p.by_time("_s"), F.col("_asked").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    carried = (
+        ends.unionByName(wanted, allowMissingColumns=True)
+        .select("_k", "_s", "_asked", *_running(cols, before))
+        .where("_asked = 1")
+        .select("_k", "_s", F.lit(0).alias("_first"), F.lit(0).alias("_rank"), *cols)
+    )
+    line = (
+        instants.withColumns({"_first": F.lit(1), "_rank": F.lit(0)})
+        .unionByName(asked.withColumns({"_first": F.lit(1), "_rank": F.lit(rank)}), allowMissingColumns=True)
+        .unionByName(carried, allowMissingColumns=True)
+    )
+    so_far = Window.partitionBy("_k", "_s").orderBy("_first", p.by_time("_t"), "_rank").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    found = line.select("_k", "_t", "_rank", *_running(cols, so_far, p.prefix)).where(F.col("_rank") == rank).drop("_rank")
+    return probes.join(found, ["_k", "_t"], "left")
+
+
+def _match(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: list[str],
+           tiebreak: list[str], outs: dict, category: str | None, picks: list[_Pick], inclusive: bool, span: str,
+           heavy_rows: int) -> DataFrame:
+    keep = F.col(key).isNotNull() & F.col(right_time).isNotNull()
+    if category:
+        keep &= F.col(category).isin(list(outs))
+    events = right.where(keep).select(
+        F.col(key).alias("_k"), F.col(right_time).alias("_t"), F.struct(*tiebreak).alias("_tie"),
+        (F.col(category) if category else F.lit(None).cast("string")).alias("_cat"),
+        F.struct(F.col(right_time).alias("time"), *[F.col(v) for v in values]).alias("_row"))
+    usable = F.col(key).isNotNull() & F.col(left_time).isNotNull()
+    probes = left.where(usable).select(
+        F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.struct(*[F.col(c) for c in left.columns]).alias("_left"))
+    unusable = left.where(~usable).select(F.struct(*[F.col(c) for c in left.columns]).alias("_left"))
+
+    sizes = events.select("_k").union(probes.select("_k")).groupBy("_k").count()
+    # At most rows / heavy_rows keys.
+    heavy = F.broadcast(sizes.where(F.col("count") > heavy_rows).select("_k"))
+    rank = 1 if inclusive else -1
+    light = _one_window(probes.join(heavy, "_k", "left_anti"), events.join(heavy, "_k", "left_anti"), outs, picks, rank)
+    hot = probes.join(heavy, "_k", "left_semi")
+    hot_events = events.join(heavy, "_k", "left_semi")
+    for p in picks:
+        hot = _by_span(hot, hot_events, outs, p, rank, span)
+    out = light.unionByName(hot.drop("_k", "_t")).unionByName(unusable, allowMissingColumns=True)
+    return out.select("_left.*", *[c for c in out.columns if c != "_left"])
+
+
 def asof(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_time: str,
          values: list[str], tiebreak: list[str], direction: str = "backward", inclusive: bool = True,
          category: str | None = None, categories: dict[str, str] | None = None,
-         span: str = "year", name: str = "pick") -> DataFrame:
+         span: str = "year", name: str = "pick", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Add to every left row the right row nearest in one direction of time, per category.
 
     ``direction='backward'`` takes the latest right row at or before the left time,
@@ -40,79 +143,21 @@ def asof(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_t
     if direction not in ("backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
     back = direction == "backward"
-    pick_tie = F.max_by if back else F.min_by
     outs = categories if categories else {None: name}
-    cols = list(outs.values())
-
-    def ordered(c):
-        return F.col(c).asc() if back else F.col(c).desc()
-
-    row = F.struct(F.col(right_time).alias("time"), *[F.col(v) for v in values])
-    tie = F.struct(*tiebreak)
-    source = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull())
-    if categories:
-        source = source.where(F.col(category).isin(list(categories)))
-    events = (
-        source.groupBy(F.col(key).alias("_k"), F.col(right_time).alias("_t"))
-        .agg(*[
-            pick_tie(row, tie if v is None else F.when(F.col(category) == v, tie)).alias(c)
-            for v, c in outs.items()
-        ])
-        .withColumn("_s", _span(F.col("_t"), span))
-    )
-    probes = (
-        left.select(F.col(key).alias("_k"), F.col(left_time).alias("_t"))
-        .where("_k is not null and _t is not null")
-        .distinct()
-        .withColumn("_s", _span(F.col("_t"), span))
-    )
-
-    # One row per (key, span): the pick an earlier span hands on.
-    ends = events.groupBy("_k", "_s").agg(*[
-        (F.max_by if back else F.min_by)(F.col(c), F.when(F.col(c).isNotNull(), F.col("_t"))).alias(c) for c in cols
-    ]).withColumn("_probe", F.lit(0))
-    wanted = probes.select("_k", "_s").distinct().withColumn("_probe", F.lit(1))
-    before = Window.partitionBy("_k").orderBy(ordered("_s"), F.col("_probe").desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    carried = (
-        ends.unionByName(wanted, allowMissingColumns=True)
-        .select("_k", "_s", "_probe", *[F.last(c, ignorenulls=True).over(before).alias(c) for c in cols])
-        .where("_probe = 1")
-        .select("_k", "_s", F.lit(0).alias("_first"), *cols)
-    )
-
-    # Inside one (key, span): events and probes in time order behind the carried row.
-    probe_rank = 1 if inclusive else -1
-    line = (
-        events.withColumn("_first", F.lit(1)).withColumn("_rank", F.lit(0))
-        .unionByName(probes.withColumn("_first", F.lit(1)).withColumn("_rank", F.lit(probe_rank)),
-                     allowMissingColumns=True)
-        .unionByName(carried.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
-    )
-    so_far = Window.partitionBy("_k", "_s").orderBy("_first", ordered("_t"), "_rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    found = (
-        line.select("_k", "_t", "_rank", *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in cols])
-        .where(F.col("_rank") == probe_rank)
-        .drop("_rank")
-    )
-    joined = left.join(found, (left[key] == found["_k"]) & (left[left_time] == found["_t"]), "left")
-    return joined.drop("_k", "_t")
+    return _match(left, right, key, left_time, right_time, values, tiebreak, outs, category if categories else None,
+                  [_Pick(back, back, "")], inclusive, span, heavy_rows)
 
 
 def nearest(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_time: str,
-            values: list[str], tiebreak: list[str], span: str = "year", name: str = "near") -> DataFrame:
+            values: list[str], tiebreak: list[str], span: str = "year", name: str = "near",
+            heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Right row with the smallest time distance; on equal distance the earlier one, then ``tiebreak``.
 
     ``key`` may stand for (encounter, day) to search inside one day only.
     """
-    common = dict(key=key, left_time=left_time, right_time=right_time, values=values, span=span)
-    # Both directions settle equal times by the smallest tiebreak: flip the order for the backward side.
-    both = asof(left, right, tiebreak=tiebreak, direction="forward", name="_f", **common)
-    flipped = right.withColumn("_flip", F.struct(*[(-F.col(c)).alias(c) for c in tiebreak]))
-    both = asof(both, flipped, tiebreak=["_flip"], direction="backward", name="_b", **common)
-    gap_back = F.col(left_time) - F.col("_b.time")
-    gap_fwd = F.col("_f.time") - F.col(left_time)
-    take_back = F.col("_f").isNull() | (gap_back <= gap_fwd)
-    picked = F.when(F.col("_b").isNotNull() & take_back, F.col("_b")).otherwise(F.col("_f"))
-    return both.withColumn(name, picked).drop("_b", "_f")
+    both = _match(left, right, key, left_time, right_time, values, tiebreak, {None: "pick"}, None,
+                  [_Pick(True, False, "_b_"), _Pick(False, False, "_f_")], True, span, heavy_rows)
+    before, after = F.col("_b_pick"), F.col("_f_pick")
+    closer = (F.col(left_time) - before["time"]) <= (after["time"] - F.col(left_time))
+    picked = F.when(before.isNotNull() & (after.isNull() | closer), before).otherwise(after)
+    return both.withColumn(name, picked).drop("_b_pick", "_f_pick")

@@ -22,8 +22,12 @@ def pattern_table(spark: SparkSession, flags: list[str], patterns: list[tuple[st
     for flag, kind, text in patterns:
         at = (text, kind == "exact")
         masks[at] = masks.get(at, 0) | bit[flag]
-    rows = [(text, exact, len(text), mask) for (text, exact), mask in sorted(masks.items())]
-    return spark.createDataFrame(rows, "pattern string, exact boolean, size int, mask long")
+    rows = [
+        F.struct(F.lit(text).alias("pattern"), F.lit(exact).alias("exact"), F.lit(len(text)).alias("size"),
+                 F.lit(mask).cast("long").alias("mask"))
+        for (text, exact), mask in sorted(masks.items())
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def code_masks(codes: DataFrame, code: str, patterns: DataFrame, sizes: list[int],

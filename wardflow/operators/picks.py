@@ -39,11 +39,11 @@ def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str,
              heavy_rows: int = HEAVY_ROWS, chunk: int = 1 << 20) -> DataFrame:
     """LEAD(value, 1) per key in ascending ``order``; ``values`` maps new column -> source column.
 
-    ``order`` is (time, integer tiebreak) and must be a total order within a key.  Light keys use
+    ``order`` is (time, integer tiebreak, ...) and must be a total order within a key.  Light keys use
     one window.  A heavy key is cut at its times and, inside one time, at ranges of the tiebreak;
     the last row of a cut takes the first row of the next one.
     """
-    time, tie = order
+    time, tie = order[:2]
     heavy = F.broadcast(heavy_keys(df, keys, heavy_rows))  # size bound: see HEAVY_ROWS
     cut = F.when(F.col("_heavy"), F.struct(F.col(time).alias("a"), F.floor(F.col(tie) / chunk).alias("b")))
     marked = df.join(heavy, keys, "left").withColumn("_cut", cut)

@@ -228,16 +228,16 @@ def billing_roster(tables: dict[str, DataFrame], run_date: dt.date, version: int
         .join(pcp, F.col("primary_care_key") == F.col("pcp_key"), "left")
         .join(cov, "plan_key", "left")
     )
-    # Episode key and visit date settle equal dates, which the original leaves open.
-    rows = rows.withColumn("_tie", F.xxhash64("episode_key", "visit_date", "plan_key"))
+    # Keys settle equal dates, which the original leaves open.
+    ties = ["episode_key", "plan_key", "visit_date"]
     by_enrollment = next_row(
-        rows.withColumn("_time", F.struct("enrollment_date", "status_instant")), ["mrn"], ["_time", "_tie"],
+        rows.withColumn("_time", F.struct("enrollment_date", "status_instant")), ["mrn"], ["_time", *ties],
         {"reinstated": "enrollment_date", "next_status": "overall_status"})
     by_end = next_row(
-        by_enrollment.withColumn("_time", F.struct("end_date", "status_instant")), ["mrn"], ["_time", "_tie"],
+        by_enrollment.withColumn("_time", F.struct("end_date", "status_instant")), ["mrn"], ["_time", *ties],
         {"end_date_2": "end_date"})
     first = first_per(by_end, ["mrn"], [
-        F.col("enrollment_date").asc_nulls_first(), F.col("status_instant").asc_nulls_first(), F.col("_tie").asc()])
+        F.col(c).asc_nulls_first() for c in ("enrollment_date", "status_instant", *ties)])
     end = F.col("window_end")
     again = ((F.col("end_date") <= end) & (F.col("reinstated") >= F.col("end_date")) & (F.col("reinstated") <= end)
              & ((F.col("end_date_2") > end) | F.col("end_date_2").isNull()))

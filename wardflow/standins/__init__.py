@@ -49,4 +49,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import basics, matching  # noqa: F401
+    from . import basics, exports, matching, revenue  # noqa: F401

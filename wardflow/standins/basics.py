@@ -64,16 +64,16 @@ def sentinel_filter(t: Tables):
 
 
 @query("scd2_current", """
-WITH dim AS (SELECT c_custkey AS durable_key, c_name AS name, CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE 1 END AS is_current,
-  CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 1 END AS is_valid, CASE WHEN c_custkey % 13 = 0 THEN 'Deceased' ELSE 'Alive' END AS status FROM customer)
+WITH dim AS (SELECT c_custkey AS durable_key, c_name AS name, CASE WHEN c_acctbal < 500 THEN 0 ELSE 1 END AS is_current,
+  CASE WHEN c_nationkey = 7 THEN 0 ELSE 1 END AS is_valid, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Deceased' ELSE 'Alive' END AS status FROM customer)
 SELECT o.o_orderkey, d.name FROM orders o
 LEFT JOIN dim d ON d.durable_key = o.o_custkey AND d.is_current = 1 AND d.is_valid = 1 AND d.status <> 'Deceased'""")
 def scd2_current(t: Tables):
-    k = F.col("c_custkey")
     dim = t.customer.select(
-        k.alias("durable_key"), F.col("c_name").alias("name"), F.when(k % 7 == 0, 0).otherwise(1).alias("is_current"),
-        F.when(k % 11 == 0, 0).otherwise(1).alias("is_valid"),
-        F.when(k % 13 == 0, "Deceased").otherwise("Alive").alias("status"))
+        F.col("c_custkey").alias("durable_key"), F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") < 500, 0).otherwise(1).alias("is_current"),
+        F.when(F.col("c_nationkey") == 7, 0).otherwise(1).alias("is_valid"),
+        F.when(F.col("c_mktsegment") == "FURNITURE", "Deceased").otherwise("Alive").alias("status"))
     live = keys.current_rows(dim, valid="is_valid", status="status")
     return t.orders.join(live, F.col("o_custkey") == F.col("durable_key"), "left").select("o_orderkey", "name")
 
