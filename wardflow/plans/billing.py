@@ -11,8 +11,8 @@ from ..functions.dates import NO_WINDOW, col, month_grid, month_start
 from ..functions.keys import current_rows, real_key
 from ..functions.text import concat_tsql, like_any, not_like_all
 from ..operators.aggregates import eav_pivot
-from ..operators.joins import join_first_key
 from ..operators.picks import first_per, next_row
+from ..session import materialise
 
 # Grouper type -> plan attribute.
 GROUPERS = {
@@ -196,6 +196,9 @@ def billing_roster(tables: dict[str, DataFrame], run_date: dt.date, version: int
     else:
         windows = windows.withColumnRenamed("plan_name", "billed_plan").drop("payor_name")
         billed = people.join(windows, "billed_plan")
+    # Staged once, as the visits and the episodes both need it.
+    spark = billed.sparkSession
+    billed = materialise(spark, billed, "billed-members")
 
     visit = tables["visit"]
     done = visit.where(F.col("status").isin(VISIT_DONE if version == 2 else VISIT_DONE_V1))
@@ -228,6 +231,8 @@ def billing_roster(tables: dict[str, DataFrame], run_date: dt.date, version: int
         .join(pcp, F.col("primary_care_key") == F.col("pcp_key"), "left")
         .join(cov, "plan_key", "left")
     )
+    # The windows below read these rows several times.
+    rows = materialise(spark, rows, "billing-rows")
     # Keys settle equal dates, which the original leaves open.
     ties = ["episode_key", "plan_key", "visit_date"]
     by_enrollment = next_row(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import active_on, current_rows
 from ..functions.text import drop_first, like_any, tsql_isnumeric, tsql_len
 from ..operators.aggregates import header_detail_trailer
+from ..session import materialise
 from .billing import PROGRAM
 
 # Plans of the daily roster.
@@ -68,6 +69,8 @@ def billable_group(group: str):
 def daily_roster(tables: dict[str, DataFrame], run_date: dt.date, active_since: dt.date, ignore_case: bool = True) -> DataFrame:
     """Header, detail and trailer records.  The trailer follows any matched member, the header needs detail rows."""
     members = roster_members(tables, active_since, ignore_case)
+    # Header, detail and trailer read the members several times: stage them once.
+    members = materialise(members.sparkSession, members, "roster-members")
     detail = members.where(billable_group("group_id")).select(*ROSTER_COLUMNS)
     return header_detail_trailer(detail, members, run_date.strftime("%Y%m%d"), ROSTER_COLUMNS)
 

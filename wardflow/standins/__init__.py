@@ -20,13 +20,15 @@ ORACLE: dict[str, str] = {}
 
 
 class Tables:
-    """Lazily read parquet tables of one folder: ``t.orders``."""
+    """Lazily read parquet tables of one folder, each opened once: ``t.orders``."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -49,4 +51,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import basics, exports, matching, revenue  # noqa: F401
+    from . import basics, clinical, exports, matching, revenue  # noqa: F401

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from . import Tables
 from .basics import COVERAGE_SLOTS_SQL, coverage_slots
 
@@ -71,7 +72,7 @@ def patient(t: Tables):
         F.concat(F.lit("CITY "), choice(F.col("c_nationkey"), ["A", "B", None])).alias("city"),
         F.concat(F.lit("COUNTY "), F.col("c_nationkey").cast("string")).alias("county"),
         F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"),
-        F.lpad((k % 99999).cast("string"), 5, "0").alias("postal_code"), (k % 97).alias("primary_care_key"),
+        F.lpad((k % 99999).cast("string"), 5, "0").alias("postal_code"), (k % 97).alias("primary_care_key"), (k % 90).alias("age_in_years"),
         choice(k, ["Former", "Never", "Every Day", None]).alias("smoking_status"))
 
 
@@ -80,7 +81,11 @@ def provider(t: Tables):
 
 
 def _slots(t: Tables):
-    return coverage_slots(t).join(t.customer, F.col("patient_key") == F.col("c_custkey"))
+    """Coverage slots with their customer, staged once per run because three sources come from it."""
+    if "staged_slots" not in t.__dict__:
+        joined = coverage_slots(t).join(t.customer, F.col("patient_key") == F.col("c_custkey"))
+        t.staged_slots = materialise(t.spark, joined, "slots")
+    return t.staged_slots
 
 
 def member_attribute(t: Tables):
@@ -153,7 +158,7 @@ patient AS (SELECT c_custkey AS patient_key, CASE WHEN c_acctbal < 300 THEN 0 EL
   CASE WHEN c_acctbal BETWEEN 600 AND 900 THEN DATE '1998-02-10' END AS death_date, {sql_choice('c_custkey', ['Female', 'Male', 'Unknown'])} AS sex,
   {sql_choice('c_custkey', ['White', 'Black', 'Asian', None])} AS race, {sql_choice('c_custkey', ['Not Hispanic', 'Hispanic'])} AS ethnicity,
   'CITY ' || {sql_choice('c_nationkey', ['A', 'B', None])} AS city, 'COUNTY ' || CAST(c_nationkey AS VARCHAR) AS county,
-  'S' || CAST(c_nationkey AS VARCHAR) AS state, lpad(CAST(c_custkey % 99999 AS VARCHAR), 5, '0') AS postal_code, c_custkey % 97 AS primary_care_key,
+  'S' || CAST(c_nationkey AS VARCHAR) AS state, lpad(CAST(c_custkey % 99999 AS VARCHAR), 5, '0') AS postal_code, c_custkey % 97 AS primary_care_key, c_custkey % 90 AS age_in_years,
   {sql_choice('c_custkey', ['Former', 'Never', 'Every Day', None])} AS smoking_status FROM customer),
 provider AS (SELECT s_suppkey AS provider_key, s_name AS name FROM supplier),
 slots AS (SELECT * FROM coverage_slots JOIN customer ON c_custkey = patient_key),
