@@ -4,134 +4,123 @@ Keys are first counted (combined before the exchange).  A light key is one windo
 probes together: one exchange, no pairs.  A heavy key is cut into calendar spans after equal instants are
 collapsed, so the rows of one piece are bounded by the distinct instants of one span even when a single key
 or a single instant holds a third of all rows; what an earlier span hands on is one row per (key, span).
-Where no key is heavy, adaptive execution drops that branch once it has seen the empty key list.
+Without heavy keys that branch is not planned at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import boundary_diff
-from .picks import HEAVY_ROWS
+from .picks import HEAVY_ROWS, heavy_list
 
-
-def _span(time: Column, span: str) -> Column:
-    """Calendar span number; never decreases with time."""
-    if span == "year":
-        return F.year(time)
-    if span == "month":
-        return F.year(time) * 12 + F.month(time)
-    if span == "day":
-        return boundary_diff("day", F.lit("1970-01-01").cast("date"), time)
-    raise ValueError(f"unknown span {span!r}")
+# Calendar span of a time as SQL; never decreases with time.
+SPANS = {
+    "year": "year(_t)",
+    "month": "year(_t) * 12 + month(_t)",
+    "day": "datediff(_t, DATE'1970-01-01')",
+}
 
 
 class _Pick:
     """One direction of time: how to sort, and which of equal instants wins."""
 
     def __init__(self, back: bool, tie_max: bool, prefix: str):
-        self.back, self.tie_max, self.prefix = back, tie_max, prefix
-
-    def by_time(self, c) -> Column:
-        return F.col(c).asc() if self.back else F.col(c).desc()
-
-    def by_tie(self, c) -> Column:
+        self.prefix = prefix
+        self.way = "ASC" if back else "DESC"
         # The last row of a running window wins.
-        return F.col(c).asc_nulls_first() if self.tie_max else F.col(c).desc_nulls_last()
+        self.tie = "_tie ASC NULLS FIRST" if tie_max else "_tie DESC NULLS LAST"
+        self.tie_agg = "max_by" if tie_max else "min_by"
+        self.time_agg = "max_by" if back else "min_by"
 
-    def tie_agg(self, value, order):
-        return (F.max_by if self.tie_max else F.min_by)(value, order)
+    def running(self, cols: list[str], by: str, order: str, end: str = "CURRENT ROW", prefix: str | None = None) -> list[str]:
+        p = self.prefix if prefix is None else prefix
+        frame = f"PARTITION BY {by} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {end}"
+        return [f"last(`{c}`, true) OVER ({frame}) AS `{p}{c}`" for c in cols]
 
-    def time_agg(self, value, order):
-        return (F.max_by if self.back else F.min_by)(value, order)
 
-
-def _running(cols: list[str], window, prefix: str = "") -> list[Column]:
-    return [F.last(c, ignorenulls=True).over(window).alias(prefix + c) for c in cols]
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _one_window(probes: DataFrame, events: DataFrame, outs: dict, picks: list[_Pick], rank: int) -> DataFrame:
     """Light keys: events and whole left rows in time order."""
     cols = list(outs.values())
-    rows = events.select(
-        "_k", "_t", "_tie", F.lit(0).alias("_rank"),
-        *[(F.col("_row") if v is None else F.when(F.col("_cat") == v, F.col("_row"))).alias(c) for v, c in outs.items()])
-    line = rows.unionByName(probes.withColumn("_rank", F.lit(rank)), allowMissingColumns=True)
-    found = []
-    for p in picks:
-        w = Window.partitionBy("_k").orderBy(p.by_time("_t"), "_rank", p.by_tie("_tie")).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        found += _running(cols, w, p.prefix)
-    return line.select("_left", "_rank", *found).where(F.col("_rank") == rank).drop("_rank")
+    rows = events.selectExpr("_k", "_t", "_tie", "0 AS _rank", *[
+        f"_row AS `{c}`" if v is None else f"CASE WHEN _cat = {_quoted(v)} THEN _row END AS `{c}`" for v, c in outs.items()])
+    line = rows.unionByName(probes.selectExpr("*", f"{rank} AS _rank"), allowMissingColumns=True)
+    found = [e for p in picks for e in p.running(cols, "_k", f"_t {p.way}, _rank, {p.tie}")]
+    return line.selectExpr("_left", "_rank", *found).where(f"_rank = {rank}").drop("_rank")
 
 
 def _by_span(probes: DataFrame, events: DataFrame, outs: dict, p: _Pick, rank: int, span: str) -> DataFrame:
     """Heavy keys: distinct instants, cut into spans, with the pick handed on from earlier spans."""
     cols = list(outs.values())
-    instants = (
-        events.groupBy("_k", "_t")
-        .agg(*[p.tie_agg(F.col("_row"), F.col("_tie") if v is None else F.when(F.col("_cat") == v, F.col("_tie"))).alias(c)
-               for v, c in outs.items()])
-        .withColumn("_s", _span(F.col("_t"), span))
-    )
-    asked = probes.select("_k", "_t").distinct().withColumn("_s", _span(F.col("_t"), span))
-
-    ends = instants.groupBy("_k", "_s").agg(
-        *[p.time_agg(F.col(c), F.when(F.col(c).isNotNull(), F.col("_t"))).alias(c) for c in cols]
-    ).withColumn("_asked", F.lit(0))
-    wanted = asked.select("_k", "_s").distinct().withColumn("_asked", F.lit(1))
-    before = Window.partitionBy("_k").orderBy(p.by_time("_s"), F.col("_asked").desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
+    cut = f"{SPANS[span]} AS _s"
+    instants = events.groupBy("_k", "_t").agg(*[
+        F.expr(f"{p.tie_agg}(_row, {'_tie' if v is None else f'CASE WHEN _cat = {_quoted(v)} THEN _tie END'})").alias(c)
+        for v, c in outs.items()]).selectExpr("*", cut)
+    asked = probes.select("_k", "_t").distinct().selectExpr("*", cut)
+
+    ends = instants.groupBy("_k", "_s").agg(*[
+        F.expr(f"{p.time_agg}(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN _t END)").alias(c) for c in cols])
+    wanted = asked.select("_k", "_s").distinct()
     carried = (
-        ends.unionByName(wanted, allowMissingColumns=True)
-        .select("_k", "_s", "_asked", *_running(cols, before))
-        .where("_asked = 1")
-        .select("_k", "_s", F.lit(0).alias("_first"), F.lit(0).alias("_rank"), *cols)
+        ends.selectExpr("*", "0 AS _asked")
+        .unionByName(wanted.selectExpr("*", "1 AS _asked"), allowMissingColumns=True)
+        .selectExpr("_k", "_s", "_asked", *p.running(cols, "_k", f"_s {p.way}, _asked DESC", "1 PRECEDING", ""))
+        .where("_asked = 1").drop("_asked")
     )
     line = (
-        instants.withColumns({"_first": F.lit(1), "_rank": F.lit(0)})
-        .unionByName(asked.withColumns({"_first": F.lit(1), "_rank": F.lit(rank)}), allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
+        instants.selectExpr("*", "1 AS _first", "0 AS _rank")
+        .unionByName(asked.selectExpr("*", "1 AS _first", f"{rank} AS _rank"), allowMissingColumns=True)
+        .unionByName(carried.selectExpr("*", "0 AS _first", "0 AS _rank"), allowMissingColumns=True)
     )
-    so_far = Window.partitionBy("_k", "_s").orderBy("_first", p.by_time("_t"), "_rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    found = line.select("_k", "_t", "_rank", *_running(cols, so_far, p.prefix)).where(F.col("_rank") == rank).drop("_rank")
+    found = line.selectExpr("_k", "_t", "_rank", *p.running(cols, "_k, _s", f"_first, _t {p.way}, _rank")).where(
+        f"_rank = {rank}").drop("_rank")
     return probes.join(found, ["_k", "_t"], "left")
 
 
 def _match(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: list[str],
            tiebreak: list[str], outs: dict, category: str | None, picks: list[_Pick], inclusive: bool, span: str,
-           heavy_rows: int) -> DataFrame:
-    keep = F.col(key).isNotNull() & F.col(right_time).isNotNull()
+           heavy_rows: int, heavy: DataFrame | None | str) -> DataFrame:
+    def struct(names):
+        return f"struct({', '.join(f'`{n}`' for n in names)})"
+
+    keep = f"`{key}` IS NOT NULL AND `{right_time}` IS NOT NULL"
     if category:
-        keep &= F.col(category).isin(list(outs))
-    events = right.where(keep).select(
-        F.col(key).alias("_k"), F.col(right_time).alias("_t"), F.struct(*tiebreak).alias("_tie"),
-        (F.col(category) if category else F.lit(None).cast("string")).alias("_cat"),
-        F.struct(F.col(right_time).alias("time"), *[F.col(v) for v in values]).alias("_row"))
-    usable = F.col(key).isNotNull() & F.col(left_time).isNotNull()
-    probes = left.where(usable).select(
-        F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.struct(*[F.col(c) for c in left.columns]).alias("_left"))
-    unusable = left.where(~usable).select(F.struct(*[F.col(c) for c in left.columns]).alias("_left"))
-
-    sizes = events.select("_k").union(probes.select("_k")).groupBy("_k").count()
-    # At most rows / heavy_rows keys.
-    heavy = F.broadcast(sizes.where(F.col("count") > heavy_rows).select("_k"))
+        keep += f" AND `{category}` IN ({', '.join(_quoted(v) for v in outs)})"
+    row = ", ".join([f"`{right_time}` AS time", *[f"`{v}`" for v in values]])
+    events = right.where(keep).selectExpr(
+        f"`{key}` AS _k", f"`{right_time}` AS _t", f"{struct(tiebreak)} AS _tie", f"struct({row}) AS _row",
+        f"{f'`{category}`' if category else 'CAST(NULL AS STRING)'} AS _cat")
+    usable = f"`{key}` IS NOT NULL AND `{left_time}` IS NOT NULL"
+    probes = left.where(usable).selectExpr(f"`{key}` AS _k", f"`{left_time}` AS _t", f"{struct(left.columns)} AS _left")
+    unusable = left.where(f"NOT ({usable})").selectExpr(f"{struct(left.columns)} AS _left")
+
+    if heavy == "auto":
+        heavy = heavy_list([(events, "_k"), (probes, "_k")], heavy_rows)
+    elif heavy is not None:
+        heavy = heavy.select(F.col(heavy.columns[0]).alias("_k"))
     rank = 1 if inclusive else -1
-    light = _one_window(probes.join(heavy, "_k", "left_anti"), events.join(heavy, "_k", "left_anti"), outs, picks, rank)
-    hot = probes.join(heavy, "_k", "left_semi")
-    hot_events = events.join(heavy, "_k", "left_semi")
-    for p in picks:
-        hot = _by_span(hot, hot_events, outs, p, rank, span)
-    out = light.unionByName(hot.drop("_k", "_t")).unionByName(unusable, allowMissingColumns=True)
+    if heavy is None:
+        out = _one_window(probes, events, outs, picks, rank)
+    else:
+        few = F.broadcast(heavy)        # counted: see heavy_list
+        out = _one_window(probes.join(few, "_k", "left_anti"), events.join(few, "_k", "left_anti"), outs, picks, rank)
+        hot, hot_events = probes.join(few, "_k", "left_semi"), events.join(few, "_k", "left_semi")
+        for p in picks:
+            hot = _by_span(hot, hot_events, outs, p, rank, span)
+        out = out.unionByName(hot.drop("_k", "_t"))
+    out = out.unionByName(unusable, allowMissingColumns=True)
     return out.select("_left.*", *[c for c in out.columns if c != "_left"])
 
 
 def asof(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_time: str,
          values: list[str], tiebreak: list[str], direction: str = "backward", inclusive: bool = True,
          category: str | None = None, categories: dict[str, str] | None = None,
-         span: str = "year", name: str = "pick", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+         span: str = "year", name: str = "pick", heavy_rows: int = HEAVY_ROWS,
+         heavy: DataFrame | None | str = "auto") -> DataFrame:
     """Add to every left row the right row nearest in one direction of time, per category.
 
     ``direction='backward'`` takes the latest right row at or before the left time,
@@ -139,13 +128,14 @@ def asof(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_t
     With ``categories`` (value -> output column) each category gives one struct column
     ``{time, *values}``, NULL where there is no match; without, the one column is ``name``.
     Equal right times are settled by ``tiebreak`` (largest for backward, smallest for forward).
+    ``heavy`` takes a list of heavy keys already known for both sides (None: there are none).
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
     back = direction == "backward"
     outs = categories if categories else {None: name}
     return _match(left, right, key, left_time, right_time, values, tiebreak, outs, category if categories else None,
-                  [_Pick(back, back, "")], inclusive, span, heavy_rows)
+                  [_Pick(back, back, "")], inclusive, span, heavy_rows, heavy)
 
 
 def nearest(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_time: str,
@@ -156,7 +146,7 @@ def nearest(left: DataFrame, right: DataFrame, *, key: str, left_time: str, righ
     ``key`` may stand for (encounter, day) to search inside one day only.
     """
     both = _match(left, right, key, left_time, right_time, values, tiebreak, {None: "pick"}, None,
-                  [_Pick(True, False, "_b_"), _Pick(False, False, "_f_")], True, span, heavy_rows)
+                  [_Pick(True, False, "_b_"), _Pick(False, False, "_f_")], True, span, heavy_rows, "auto")
     before, after = F.col("_b_pick"), F.col("_f_pick")
     closer = (F.col(left_time) - before["time"]) <= (after["time"] - F.col(left_time))
     picked = F.when(before.isNotNull() & (after.isNull() | closer), before).otherwise(after)

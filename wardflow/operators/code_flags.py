@@ -17,17 +17,16 @@ def pattern_table(spark: SparkSession, flags: list[str], patterns: list[tuple[st
     """(pattern, exact, size, mask); kind is 'prefix' or 'exact'.  One row per distinct pattern."""
     if len(flags) > MAX_FLAGS:
         raise ValueError(f"at most {MAX_FLAGS} flags fit one mask")
+    if any("'" in text or "\\" in text for _, _, text in patterns):
+        raise ValueError("patterns must not hold quotes or backslashes")
     bit = {f: 1 << i for i, f in enumerate(flags)}
     masks: dict[tuple[str, bool], int] = {}
     for flag, kind, text in patterns:
         at = (text, kind == "exact")
         masks[at] = masks.get(at, 0) | bit[flag]
-    rows = [
-        F.struct(F.lit(text).alias("pattern"), F.lit(exact).alias("exact"), F.lit(len(text)).alias("size"),
-                 F.lit(mask).cast("long").alias("mask"))
-        for (text, exact), mask in sorted(masks.items())
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    # An inline table of a few hundred rows: a local relation, read without a job.
+    rows = ", ".join(f"('{text}', {str(exact).lower()}, {len(text)}, {mask}L)" for (text, exact), mask in sorted(masks.items()))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(pattern, exact, size, mask)")
 
 
 def code_masks(codes: DataFrame, code: str, patterns: DataFrame, sizes: list[int],

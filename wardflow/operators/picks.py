@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 # A key with more rows than this is split further.  At N rows in all there are at most
 # N / HEAVY_ROWS such keys, which is the size bound of the broadcast lists below.
 HEAVY_ROWS = 2_000_000
@@ -30,9 +32,19 @@ def earliest_per(df: DataFrame, keys: list[str], time: str, tiebreak: list[str])
     return first_per(df, keys, [F.col(time).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak])
 
 
-def heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows; at most rows / heavy_rows of them."""
-    return df.groupBy(*keys).count().where(F.col("count") > heavy_rows).select(*keys, F.lit(True).alias("_heavy"))
+def heavy_list(frames: list[tuple[DataFrame, str]], heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
+    """Keys with more than ``heavy_rows`` rows in all frames together; None when there are none.
+
+    One job counts rows per key (combined before the exchange); the list, of at most rows / heavy_rows
+    keys, is written to the shared folder.
+    """
+    keys = None
+    for df, key in frames:
+        one = df.select(F.col(key).alias("_k"))
+        keys = one if keys is None else keys.unionAll(one)
+    heavy = keys.groupBy("_k").count().where(F.col("count") > heavy_rows).select("_k")
+    listed = materialise(heavy.sparkSession, heavy, "heavy-keys")
+    return None if listed.isEmpty() else listed
 
 
 def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
@@ -44,23 +56,29 @@ def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str,
     the last row of a cut takes the first row of the next one.
     """
     time, tie = order[:2]
-    heavy = F.broadcast(heavy_keys(df, keys, heavy_rows))  # size bound: see HEAVY_ROWS
-    cut = F.when(F.col("_heavy"), F.struct(F.col(time).alias("a"), F.floor(F.col(tie) / chunk).alias("b")))
-    marked = df.join(heavy, keys, "left").withColumn("_cut", cut)
-    payload = F.struct(*[F.col(src).alias(name) for name, src in values.items()])
     by_order = [F.col(c).asc_nulls_first() for c in order]
-    inside = Window.partitionBy(*keys, "_cut").orderBy(*by_order)
+    payload = F.struct(*[F.col(src).alias(name) for name, src in values.items()])
+    out_cols = [*df.columns, *[F.col(f"_next.{name}").alias(name) for name in values]]
+    keyed = df.withColumn("_key", F.struct(*keys))
+    heavy = heavy_list([(keyed, "_key")], heavy_rows)
+    if heavy is None:
+        whole = Window.partitionBy(*keys).orderBy(*by_order)
+        return df.withColumn("_next", F.lead(payload, 1).over(whole)).select(*out_cols)
+
+    few = F.broadcast(heavy.select(F.col("_k").alias("_key"), F.lit(True).alias("_heavy")))    # counted: see heavy_list
+    cut = F.when(F.col("_heavy"), F.struct(F.col(time).alias("a"), F.floor(F.col(tie) / chunk).alias("b")))
+    marked = keyed.join(few, "_key", "left").withColumn("_cut", cut)
+    inside = Window.partitionBy("_key", "_cut").orderBy(*by_order)
     led = marked.withColumn("_next", F.lead(payload, 1).over(inside))
-
     heads = (
         marked.where("_heavy")
-        .groupBy(*keys, "_cut")
+        .groupBy("_key", "_cut")
         .agg(F.min_by(payload, F.struct(*order)).alias("_head"))
-        .withColumn("_after", F.lead("_head", 1).over(Window.partitionBy(*keys).orderBy("_cut")))
-        .select(*keys, "_cut", "_after")
+        .withColumn("_after", F.lead("_head", 1).over(Window.partitionBy("_key").orderBy("_cut")))
+        .select("_key", "_cut", "_after")
     )
-    out = led.join(heads, keys + ["_cut"], "left").withColumn("_next", F.coalesce("_next", "_after"))
-    return out.select(*df.columns, *[F.col(f"_next.{name}").alias(name) for name in values])
+    out = led.join(heads, ["_key", "_cut"], "left").withColumn("_next", F.coalesce("_next", "_after"))
+    return out.select(*out_cols)
 
 
 def count_per(df: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,7 +179,7 @@ def patient_plans(member: DataFrame, mapping: DataFrame, external: DataFrame, co
     return joined.withColumns({"plan_key": F.coalesce(*order_key), "billed_plan": F.coalesce(*order_name)})
 
 
-def billing_roster(tables: dict[str, DataFrame], run_date: dt.date, version: int = 2, strict_contract: bool = False,
+def billing_roster(tables: Mapping[str, DataFrame], run_date: dt.date, version: int = 2, strict_contract: bool = False,
                    visits_per_patient: bool = True) -> DataFrame:
     """Members to bill for the period of ``run_date``.
 

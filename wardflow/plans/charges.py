@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ INSURANCE = {
 }
 
 
-def insurance_slots(tables: dict[str, DataFrame]) -> DataFrame:
+def insurance_slots(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Primary, secondary and tertiary insurance of an account: the coverage list is joined once for all
     lines and then turned into columns."""
     accounts = tables["account"].select("account_id", F.col("patient_id").alias("_patient"))
@@ -41,7 +42,7 @@ def two_lines(addresses: DataFrame, key: str, prefix: str) -> DataFrame:
     return slot_pivot(addresses, [key], "line", ["address"], {"address": "address"}, {1: f"{prefix}1", 2: f"{prefix}2"})
 
 
-def charge_extract(tables: dict[str, DataFrame], run_date: dt.date, filed_days_ago: int | None = 3,
+def charge_extract(tables: Mapping[str, DataFrame], run_date: dt.date, filed_days_ago: int | None = 3,
                    destinations: list[int] | None = None, sources: list[int] | None = None,
                    flags: list[int] | None = None, legacy_name_split: bool = False) -> DataFrame:
     """One row per charge.  ``filed_days_ago=None`` takes charges of every filing day."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ def condition_masks(spark: SparkSession, codes: DataFrame, code_format: str = "a
     return code_masks(codes, "value", patterns, sorted({len(t) for _, _, t in rows}), [sleep])
 
 
-def condition_flags(tables: dict[str, DataFrame], patients: DataFrame, code_format: str = "as_written") -> DataFrame:
+def condition_flags(tables: Mapping[str, DataFrame], patients: DataFrame, code_format: str = "as_written") -> DataFrame:
     """46 flags per patient from ICD-10 encounter diagnoses."""
     codes = tables["diagnosis_code"].where("type = 'ICD-10-CM'").select("diagnosis_key", "value", "display")
     coded = condition_masks(patients.sparkSession, codes, code_format).where("mask <> 0").groupBy("diagnosis_key").agg(
@@ -69,7 +70,7 @@ def condition_flags(tables: dict[str, DataFrame], patients: DataFrame, code_form
     return masks_per(joined, ["patient_key"])
 
 
-def case_procedures(tables: dict[str, DataFrame], base: DataFrame) -> DataFrame:
+def case_procedures(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
     """All procedure names and codes of a case; the primary code is the smallest."""
     codes = base.select("case_key", "case_id").join(tables["case_code"], "case_id").join(tables["procedure_code"], "procedure_id")
     lists = list_distinct(codes, ["case_key"], {"procedure_names": "procedure_name", "cpt_codes": "cpt"})
@@ -77,7 +78,7 @@ def case_procedures(tables: dict[str, DataFrame], base: DataFrame) -> DataFrame:
     return lists.join(first, "case_key")
 
 
-def post_op_medications(tables: dict[str, DataFrame], base: DataFrame) -> DataFrame:
+def post_op_medications(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
     """Steroids and NSAIDs started on days 0 to 10 after surgery."""
     drugs = tables["medication"].select(
         "medication_key", F.coalesce("name", "generic_name").alias("med_name"),
@@ -92,7 +93,7 @@ def post_op_medications(tables: dict[str, DataFrame], base: DataFrame) -> DataFr
     return base.select("case_key", "patient_key", "surgery_date").join(lists, ["patient_key", "surgery_date"]).drop("patient_key", "surgery_date")
 
 
-def first_ed_visit(tables: dict[str, DataFrame], base: DataFrame) -> DataFrame:
+def first_ed_visit(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
     """First emergency visit 0 to 30 days after surgery."""
     visits = tables["ed_visit"].groupBy("patient_key", "arrival_date").agg(
         F.min(F.coalesce("reason", F.lit("Not documented"))).alias("reason"))
@@ -103,7 +104,7 @@ def first_ed_visit(tables: dict[str, DataFrame], base: DataFrame) -> DataFrame:
     return base.select("case_key", "patient_key", "surgery_date").join(first, ["patient_key", "surgery_date"]).drop("patient_key", "surgery_date")
 
 
-def pre_op_imaging(tables: dict[str, DataFrame], base: DataFrame, patients: DataFrame) -> DataFrame:
+def pre_op_imaging(tables: Mapping[str, DataFrame], base: DataFrame, patients: DataFrame) -> DataFrame:
     wanted = tables["procedure"].select("procedure_key", clinical.first_match("name", clinical.MODALITIES).alias("modality")).where(
         "modality is not null")
     exams = tables["imaging"].join(wanted, "procedure_key").join(patients, "patient_key", "left_semi")
@@ -114,7 +115,7 @@ def pre_op_imaging(tables: dict[str, DataFrame], base: DataFrame, patients: Data
     return found.select("case_key", *[F.to_date(f"{c}.time").alias(f"pre_op_{m}_date") for m, c in outs.items()])
 
 
-def comorbidity_cohort(tables: dict[str, DataFrame], run_date: dt.date, cpt_codes: list[str], surgeon_like: str = "%",
+def comorbidity_cohort(tables: Mapping[str, DataFrame], run_date: dt.date, cpt_codes: list[str], surgeon_like: str = "%",
                        years: int = 5, code_format: str = "as_written") -> DataFrame:
     """One row per case of the last ``years`` years with one of the procedure codes.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +18,14 @@ from .registry import base_population, history_flags
 STAGING = ["stage_description", "histologic_grade", "tumor_size_mm", "residual_tumor", "lymph_vascular_invasion", "lymphatic_invasion"]
 
 
-def current_medication(tables: dict[str, DataFrame]) -> DataFrame:
+def current_medication(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Classes of medication started and not ended, one entry per order, in class order."""
     open_orders = tables["medication_event"].where(real_key("start_date_key", 1) & no_end_key("end_date_key"))
     classed = open_orders.join(tables["medication"].select("medication_key", "pharmaceutical_class"), "medication_key", "left")
     return list_ordered(classed, ["patient_key"], "pharmaceutical_class", ["pharmaceutical_class"], "current_medication", sep=", ")
 
 
-def readmission_columns(tables: dict[str, DataFrame], base: DataFrame, earlier_dx: bool) -> tuple[DataFrame, DataFrame]:
+def readmission_columns(tables: Mapping[str, DataFrame], base: DataFrame, earlier_dx: bool) -> tuple[DataFrame, DataFrame]:
     """(per patient: dates and diagnoses, per case: status of the later admissions).
 
     ``earlier_dx=True`` lists diagnoses of admissions before the case, as the original comparison reads;
@@ -45,7 +47,7 @@ def readmission_columns(tables: dict[str, DataFrame], base: DataFrame, earlier_d
     return dates.join(reasons, "patient_key", "left"), status
 
 
-def imaging_columns(tables: dict[str, DataFrame], base: DataFrame) -> tuple[DataFrame, DataFrame]:
+def imaging_columns(tables: Mapping[str, DataFrame], base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per patient: the last image on an admission day before surgery, and the last one after surgery until discharge."""
     exams = tables["imaging"].where(F.col("exam_start").isNotNull()).join(base.select("patient_key").distinct(), "patient_key", "left_semi")
     exam_day = exams.select("patient_key", F.to_date("exam_start").alias("admission_date"), "exam_start", "narrative", "imaging_key")
@@ -63,14 +65,14 @@ def imaging_columns(tables: dict[str, DataFrame], base: DataFrame) -> tuple[Data
     return pre, post
 
 
-def follow_up_imaging(tables: dict[str, DataFrame], base: DataFrame) -> DataFrame:
+def follow_up_imaging(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
     """Distinct images on or after the first discharge of a patient, long form."""
     first = base.groupBy("patient_key").agg(F.min("discharge_date").alias("_from"))
     return tables["imaging"].join(first, "patient_key").where(F.to_date("exam_start") >= F.col("_from")).select(
         "patient_key", F.to_date("exam_start").alias("follow_up_imaging_date"), F.col("narrative").alias("follow_up_imaging_result")).distinct()
 
 
-def surgical_datamart(tables: dict[str, DataFrame], surgeon_like: str, earlier_dx: bool = False,
+def surgical_datamart(tables: Mapping[str, DataFrame], surgeon_like: str, earlier_dx: bool = False,
                       expand_follow_up: bool = False) -> DataFrame:
     """Case rows; ``expand_follow_up=True`` gives one row per case and follow-up image, as the original does,
     otherwise their number and first date (``follow_up_imaging`` has the rows)."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,14 @@ from ..operators.code_flags import code_masks, flag_columns, masks_per, pattern_
 from ..operators.followup import BUCKETS, followup_buckets
 from ..operators.intervals import later_days
 from ..operators.joins import all_of
-from ..operators.picks import latest_per
+from ..operators.picks import heavy_list, latest_per
 from ..session import materialise
 
 # Diagnosis prefixes of the two history flags.
 HISTORY = {"hyperlipidemia": "E78.", "coronary_artery_disease": "I25."}
 
 
-def history_flags(tables: dict[str, DataFrame], patients: DataFrame) -> DataFrame:
+def history_flags(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame:
     """0/1 per patient: any ICD-10 code with the prefix."""
     spark, flags = patients.sparkSession, list(HISTORY)
     patterns = pattern_table(spark, flags, [(f, "prefix", p) for f, p in HISTORY.items()])
@@ -32,7 +34,7 @@ def history_flags(tables: dict[str, DataFrame], patients: DataFrame) -> DataFram
     return masks_per(events, ["patient_key"]).select("patient_key", *flag_columns(flags))
 
 
-def base_population(tables: dict[str, DataFrame], surgeon_like: str, performed_only: bool = True) -> DataFrame:
+def base_population(tables: Mapping[str, DataFrame], surgeon_like: str, performed_only: bool = True) -> DataFrame:
     """Cases of the matching surgeons with patient, social history, vitals and length of stay."""
     case = tables["surgical_case"].where(
         real_key("case_key") & real_key("surgery_date_key", 1) & (F.col("canceled") == 0)
@@ -62,7 +64,7 @@ def base_population(tables: dict[str, DataFrame], surgeon_like: str, performed_o
     })
 
 
-def case_labs(tables: dict[str, DataFrame], patients: DataFrame) -> DataFrame:
+def case_labs(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame:
     """Results of the cohort in one of the report's families, one row per (result, family, category).
 
     Names are classified in the component list, so the result table meets a short list of wanted keys.
@@ -96,16 +98,16 @@ def case_labs(tables: dict[str, DataFrame], patients: DataFrame) -> DataFrame:
 
 
 def _picks(index: DataFrame, labs: DataFrame, families: dict[str, list[str]], time: str, direction: str,
-           value: str = "shown") -> DataFrame:
+           heavy: DataFrame | None) -> DataFrame:
     """One column per (family, category) with the picked struct, keyed by case."""
     events = labs.where(F.col("family").isin(list(families))).withColumn("_fc", F.concat_ws(":", "family", "category"))
     outs = {f"{f}:{c}": f"{f}_{c}" for f, cs in families.items() for c in cs}
     return asof(index.select("case_key", "patient_key", time), events, key="patient_key", left_time=time, right_time="collected",
-                values=[value, "order_id"], tiebreak=["result_key"], direction=direction, category="_fc", categories=outs
-                ).drop("patient_key", time)
+                values=["shown", "order_id"], tiebreak=["result_key"], direction=direction, category="_fc", categories=outs,
+                heavy=heavy).drop("patient_key", time)
 
 
-def readmissions(tables: dict[str, DataFrame], index: DataFrame, fmt: str) -> DataFrame:
+def readmissions(tables: Mapping[str, DataFrame], index: DataFrame, fmt: str) -> DataFrame:
     """Dates, diagnoses and last status of admissions after the discharge of a case.
 
     The newest admission of a diagnosis after a discharge is the patient's newest one with that diagnosis, so
@@ -129,7 +131,7 @@ def readmissions(tables: dict[str, DataFrame], index: DataFrame, fmt: str) -> Da
         F.when(F.col("_last") > F.col("discharge_date"), F.col("confirmation_status")).alias("readmission_status"))
 
 
-def op_notes(tables: dict[str, DataFrame], index: DataFrame, service: str) -> DataFrame:
+def op_notes(tables: Mapping[str, DataFrame], index: DataFrame, service: str) -> DataFrame:
     note = tables["clinical_note"].where(
         (F.lower("type") == "op note") & (F.col("status") == "Signed") & (F.col("service") == service))
     last = latest_per(note, ["patient_key", "service_date"], "last_edited", ["text"]).select(
@@ -151,23 +153,25 @@ def synoptic_text(labs: DataFrame, index: DataFrame, finals: DataFrame) -> DataF
                         "synoptic_report", descending=True)
 
 
-def imaging_picks(tables: dict[str, DataFrame], index: DataFrame, patients: DataFrame) -> tuple[DataFrame, DataFrame]:
+def imaging_picks(tables: Mapping[str, DataFrame], index: DataFrame, patients: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Last CT and MR at or before the start, first ones at or after the end."""
     wanted = tables["procedure"].select("procedure_key", clinical.first_match("name", clinical.CT_OR_MR).alias("modality")).where(
         "modality is not null")
     exams = tables["imaging"].join(wanted, "procedure_key").join(patients, "patient_key", "left_semi")
+    exams = materialise(patients.sparkSession, exams, "registry-images")
+    heavy = heavy_list([(exams, "patient_key"), (index, "patient_key")])
     out = []
     for time, direction, tag in (("procedure_start", "backward", "pre_op"), ("procedure_complete", "forward", "post_op")):
         cols = {m: f"_{m}" for m in clinical.CT_OR_MR}
         found = asof(index.select("case_key", "patient_key", time), exams, key="patient_key", left_time=time, right_time="exam_start",
-                     values=["narrative", "impression"], tiebreak=["imaging_key"], direction=direction, category="modality", categories=cols)
+                     values=["narrative", "impression"], tiebreak=["imaging_key"], direction=direction, category="modality", categories=cols, heavy=heavy)
         out.append(found.select("case_key", *[
             F.col(f"{c}.{f}").alias(f"{tag}_{m}_{n}") for m, c in cols.items()
             for f, n in (("time", "date"), ("narrative", "result"), ("impression", "impression"))]))
     return out[0], out[1]
 
 
-def surgical_registry(tables: dict[str, DataFrame], surgeon_like: str, service: str = "Urology",
+def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, service: str = "Urology",
                       date_format: str = "MM/dd/yyyy") -> DataFrame:
     """One row per case.
 
@@ -183,14 +187,16 @@ def surgical_registry(tables: dict[str, DataFrame], surgeon_like: str, service:
     patients = base.select("patient_key").distinct()
     labs = materialise(spark, case_labs(tables, patients), "registry-labs")
 
+    heavy = heavy_list([(labs, "patient_key"), (index, "patient_key")])
+
     before = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE), "culture": ["culture"]},
-                    "procedure_start", "backward")
-    after = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE)}, "procedure_complete", "forward")
-    path = materialise(spark, _picks(index, labs, {"pathology": list(clinical.PATHOLOGY.values())}, "start_day", "forward"), "registry-path")
-    stone = _picks(index, labs, {"stone": list(clinical.STONE)}, "procedure_start", "forward")
+                    "procedure_start", "backward", heavy)
+    after = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE)}, "procedure_complete", "forward", heavy)
+    path = materialise(spark, _picks(index, labs, {"pathology": list(clinical.PATHOLOGY.values())}, "start_day", "forward", heavy), "registry-path")
+    stone = _picks(index, labs, {"stone": list(clinical.STONE)}, "procedure_start", "forward", heavy)
 
     def named(df, pairs):
-        return df.select("case_key", *[F.col(f"{src}.shown").alias(out) for src, out in pairs])
+        return df.selectExpr("case_key", *[f"`{src}`.shown AS `{out}`" for src, out in pairs])
 
     lab, urine = list(clinical.LABS), list(clinical.URINE)
     follow = followup_buckets(

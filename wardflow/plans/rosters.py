@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ EXCLUDED_GROUPS = ["KYPDPWP0", "CF030000", "NYSUPWP0", "MOPDPWP0", "H510KYH00001
 ROSTER_COLUMNS = ["subscriber_id", "first_name", "last_name", "status", "group_id", "program_enrolled"]
 
 
-def roster_members(tables: dict[str, DataFrame], active_since: dt.date, ignore_case: bool = True) -> DataFrame:
+def roster_members(tables: Mapping[str, DataFrame], active_since: dt.date, ignore_case: bool = True) -> DataFrame:
     """Distinct members enrolled in the program under one of the listed plans."""
     patient = current_rows(tables["patient"], test="test", status="status").select(
         "patient_key", "mrn", "first_name", "last_name")
@@ -66,7 +67,7 @@ def billable_group(group: str):
             & (tsql_len(g) > 0))
 
 
-def daily_roster(tables: dict[str, DataFrame], run_date: dt.date, active_since: dt.date, ignore_case: bool = True) -> DataFrame:
+def daily_roster(tables: Mapping[str, DataFrame], run_date: dt.date, active_since: dt.date, ignore_case: bool = True) -> DataFrame:
     """Header, detail and trailer records.  The trailer follows any matched member, the header needs detail rows."""
     members = roster_members(tables, active_since, ignore_case)
     # Header, detail and trailer read the members several times: stage them once.
@@ -79,7 +80,7 @@ def plan_parents(coverage: DataFrame) -> DataFrame:
     return coverage.where(F.col("parent_company") != "*Not Applicable").select("plan_name", "parent_company").distinct()
 
 
-def parent_company(tables: dict[str, DataFrame], run_date: dt.date, patients: DataFrame | None = None) -> DataFrame:
+def parent_company(tables: Mapping[str, DataFrame], run_date: dt.date, patients: DataFrame | None = None) -> DataFrame:
     """Plan and parent company of a patient from eligibility, real-time and external coverage.
 
     Each source is reduced to its distinct plans per patient before they meet.  ``patients`` (patient_key)

@@ -7,7 +7,7 @@ suppliers for plans, events for visits and flowsheets.  Each entry reads whole t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,24 @@ class Tables:
         return df
 
 
+class LazyTables(Mapping):
+    """Frames by name, each built when first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self):
+        return len(self._makers)
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Dates as ISO text, so that two engines print them alike."""
     dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import clinical as cat
 from ..functions.conditions import COMORBIDITY, OSA_TEXT, PATIENT, pattern_rows
 from ..plans import cohort, datamart, registry
-from . import Tables, query
+from . import LazyTables, Tables, query
 from .warehouse import REVENUE_SQL, choice, patient, provider, sql_choice
 
 COHORT_DATE = dt.date(2001, 8, 2)
@@ -57,7 +57,7 @@ def patient_lines(t: Tables):
         "line_key": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")})
 
 
-def clinical_tables(t: Tables) -> dict:
+def clinical_tables(t: Tables) -> LazyTables:
     pk, ck = F.col("p_partkey"), F.col("c_custkey")
     lines = patient_lines(t)
     labs, images = lines.where("l_linestatus = 'O'"), lines.where("l_linestatus = 'F'")
@@ -65,76 +65,76 @@ def clinical_tables(t: Tables) -> dict:
     name = choice(pk, COMPONENTS)
     then = F.col("ts") - F.expr("INTERVAL 24 YEARS")
     key = F.date_format("l_shipdate", "yyyyMMdd").cast("int")
-    return {
-        "surgical_case": surgical_case(t), "provider": provider(t), "patient": patient(t),
-        "procedure": t.supplier.select(F.col("s_suppkey").alias("procedure_key"), choice(F.col("s_suppkey"), PROCEDURES).alias("name")),
-        "location": t.nation.select(F.col("n_nationkey").cast("long").alias("location_key"), F.col("n_name").alias("name")),
-        "vitals": t.events.select(F.col("user_id").alias("patient_key"), then.alias("recorded"), F.col("value").alias("bmi"),
+    return LazyTables({
+        "surgical_case": lambda: surgical_case(t), "provider": lambda: provider(t), "patient": lambda: patient(t),
+        "procedure": lambda: t.supplier.select(F.col("s_suppkey").alias("procedure_key"), choice(F.col("s_suppkey"), PROCEDURES).alias("name")),
+        "location": lambda: t.nation.select(F.col("n_nationkey").cast("long").alias("location_key"), F.col("n_name").alias("name")),
+        "vitals": lambda: t.events.select(F.col("user_id").alias("patient_key"), then.alias("recorded"), F.col("value").alias("bmi"),
                                   (F.col("event_id") % 50 + 150).alias("height"), (F.col("event_id") % 70 + 50).alias("weight")),
-        "diagnosis_list": t.customer.select(
+        "diagnosis_list": lambda: t.customer.select(
             ck.alias("patient_key"), F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(0).alias("type_1_diabetes"),
             F.when(F.col("c_mktsegment") == "FURNITURE", 1).otherwise(0).alias("type_2_diabetes"),
             F.when(F.col("c_nationkey") < 9, 1).otherwise(0).alias("hypertension")),
-        "social_history": t.orders.select(
+        "social_history": lambda: t.orders.select(
             F.concat(F.lit("E"), F.col("o_custkey").cast("string")).alias("patient_id"), F.col("o_orderdate").alias("contact_date"),
             choice(F.col("o_orderkey"), ["Never", "Former", "Every Day"]).alias("smoking"), F.col("o_orderpriority").alias("smokeless")),
-        "diagnosis_event": lines.select(
+        "diagnosis_event": lambda: lines.select(
             "patient_key", F.col("l_partkey").alias("diagnosis_key"), F.lit(1).alias("count"),
             F.when(F.col("l_returnflag") == "R", "Billing").otherwise("Encounter Diagnosis").alias("type")),
-        "diagnosis_code": t.part.select(
+        "diagnosis_code": lambda: t.part.select(
             pk.alias("diagnosis_key"), F.when(F.col("p_size") > 10, "ICD-10-CM").otherwise("ICD-9-CM").alias("type"),
             choice(pk, CODES).alias("value"), choice(pk, DISPLAYS).alias("display")),
-        "diagnosis": t.part.select(pk.alias("diagnosis_key"), F.col("p_name").alias("name")),
-        "admission": t.orders.select(
+        "diagnosis": lambda: t.part.select(pk.alias("diagnosis_key"), F.col("p_name").alias("name")),
+        "admission": lambda: t.orders.select(
             F.col("o_orderkey").alias("admission_key"), F.col("o_custkey").alias("patient_key"), day.alias("admission_date"),
             F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey") % 200).alias("principal_problem_key"),
             F.when(F.col("o_orderstatus") == "F", "Confirmed").when(F.col("o_orderstatus") == "O", "Pending").otherwise("Canceled").alias("confirmation_status")),
-        "clinical_note": t.orders.select(
+        "clinical_note": lambda: t.orders.select(
             F.col("o_custkey").alias("patient_key"), day.alias("service_date"),
             F.when(F.col("o_orderpriority") == "5-LOW", "Progress").otherwise("Op Note").alias("type"),
             F.when(F.col("o_orderstatus") == "F", "Draft").otherwise("Signed").alias("status"), F.lit("Urology").alias("service"),
             hours("o_orderdate", (F.col("o_orderkey") % 24).cast("int")).alias("last_edited"),
             F.concat(F.lit("note "), F.col("o_orderkey").cast("string")).alias("text")),
-        "lab_result": labs.select(
+        "lab_result": lambda: labs.select(
             "patient_key", F.col("l_partkey").alias("component_key"), F.col("line_key").alias("result_key"), F.col("l_suppkey").alias("procedure_key"),
             F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("order_id"), F.col("l_quantity").cast("int").cast("string").alias("value"),
             F.col("at").alias("collected"), hours("at", 24).alias("resulted")),
-        "lab_component": t.part.select(
+        "lab_component": lambda: t.part.select(
             pk.alias("component_key"), name.alias("name"), F.when(name.isin(PATH_NAMES), "Surgical Pathology").otherwise("Chemistry").alias("type"),
             F.when(name.isin("Tumor Site", "Margins"), "Synoptic Checklist Question").alias("subtype")),
-        "lab_text": labs.select(
+        "lab_text": lambda: labs.select(
             F.col("line_key").alias("result_key"), F.when(F.col("l_returnflag") != "A", F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("value"),
             F.when(F.col("l_returnflag") == "N", "").otherwise(F.concat(F.lit("C"), F.col("l_suppkey").cast("string"))).alias("comment")),
-        "imaging": images.select(
+        "imaging": lambda: images.select(
             "patient_key", F.col("line_key").alias("imaging_key"), F.col("l_suppkey").alias("procedure_key"), F.col("at").alias("exam_start"),
             F.concat(F.lit("N"), F.col("l_partkey").cast("string")).alias("narrative"),
             F.when(F.col("l_returnflag") != "R", F.concat(F.lit("I"), F.col("l_partkey").cast("string"))).alias("impression")),
-        "cancer_staging": t.customer.select(
+        "cancer_staging": lambda: t.customer.select(
             ck.alias("patient_key"), choice(ck, ["Stage I", "Stage II", None]).alias("stage_description"), choice(ck, ["G1", "G2"]).alias("histologic_grade"),
             (ck % 60).alias("tumor_size_mm"), choice(ck, ["R0", "R1"]).alias("residual_tumor"), choice(ck, ["Absent", "Present"]).alias("lymph_vascular_invasion"),
             choice(ck, ["L0", "L1", None]).alias("lymphatic_invasion")),
-        "medication": t.part.select(pk.alias("medication_key"), choice(pk, MED_NAMES).alias("name"), choice(pk, GENERICS).alias("generic_name"),
+        "medication": lambda: t.part.select(pk.alias("medication_key"), choice(pk, MED_NAMES).alias("name"), choice(pk, GENERICS).alias("generic_name"),
                                     F.col("p_type").alias("pharmaceutical_class")),
-        "medication_event": lines.select(
+        "medication_event": lambda: lines.select(
             "patient_key", F.col("l_partkey").alias("medication_key"), F.to_date("l_shipdate").alias("start_date"), key.alias("start_date_key"),
             F.when(F.col("l_returnflag") == "A", 0).otherwise(key + 1).alias("end_date_key")),
-        "case_code": t.lineitem.select(F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("case_id"), F.col("l_partkey").alias("procedure_id")),
-        "procedure_code": t.part.select(pk.alias("procedure_id"), choice(pk, CPTS).alias("cpt"), F.col("p_name").alias("procedure_name")),
-        "billing_account": t.orders.select(
+        "case_code": lambda: t.lineitem.select(F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("case_id"), F.col("l_partkey").alias("procedure_id")),
+        "procedure_code": lambda: t.part.select(pk.alias("procedure_id"), choice(pk, CPTS).alias("cpt"), F.col("p_name").alias("procedure_name")),
+        "billing_account": lambda: t.orders.select(
             F.col("o_orderkey").alias("account_key"), F.col("o_orderkey").alias("encounter_key"), F.col("o_orderpriority").alias("financial_class"),
             day.alias("admission_date"), F.date_add(day, 5).alias("discharge_date"), F.lit(5).alias("los_days")),
-        "encounter": t.orders.select(F.col("o_orderkey").alias("encounter_key"), (F.col("o_orderkey") % 200).alias("primary_diagnosis_key")),
-        "social_determinant": t.lineitem.select(
+        "encounter": lambda: t.orders.select(F.col("o_orderkey").alias("encounter_key"), (F.col("o_orderkey") % 200).alias("primary_diagnosis_key")),
+        "social_determinant": lambda: t.lineitem.select(
             F.col("l_orderkey").alias("encounter_key"), choice(F.col("l_linenumber"), ["Food", "Housing", "Transport"]).alias("domain"),
             F.col("l_returnflag").alias("concern"), F.col("l_linestatus").alias("interpretation")),
-        "risk": t.customer.select(ck.alias("patient_key"), (ck % 9).alias("charlson"), choice(ck, ["Independent", "Assisted", None]).alias("functional_status"),
+        "risk": lambda: t.customer.select(ck.alias("patient_key"), (ck % 9).alias("charlson"), choice(ck, ["Independent", "Assisted", None]).alias("functional_status"),
                                   (F.col("c_nationkey") * 10).alias("days_since_admission")),
-        "supply_use": t.lineitem.select(F.col("l_orderkey").alias("case_key"), F.col("l_suppkey").alias("supply_key"),
+        "supply_use": lambda: t.lineitem.select(F.col("l_orderkey").alias("case_key"), F.col("l_suppkey").alias("supply_key"),
                                         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("count")),
-        "supply": t.supplier.select(F.col("s_suppkey").alias("supply_key"), F.lit(1).alias("is_current"),
+        "supply": lambda: t.supplier.select(F.col("s_suppkey").alias("supply_key"), F.lit(1).alias("is_current"),
                                     choice(F.col("s_suppkey"), ["Bone Implant", "Drape", "IMPLANT screw"]).alias("type"), F.col("s_name").alias("name")),
-        "ed_visit": t.events.select(F.col("user_id").alias("patient_key"), F.to_date(then).alias("arrival_date"), F.col("event_type").alias("reason")),
-    }
+        "ed_visit": lambda: t.events.select(F.col("user_id").alias("patient_key"), F.to_date(then).alias("arrival_date"), F.col("event_type").alias("reason")),
+    })
 
 
 # ---------------------------------------------------------------- oracle SQL

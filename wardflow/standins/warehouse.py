@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import Tables
+from . import LazyTables, Tables
 from .basics import COVERAGE_SLOTS_SQL, coverage_slots
 
 
@@ -134,9 +135,9 @@ def episode(t: Tables):
         F.date_add(day, 1).alias("status_instant"))
 
 
-def revenue_tables(t: Tables) -> dict:
-    return {f.__name__: f(t) for f in (coverage, coverage_set, patient, provider, member_attribute, coverage_mapping,
-                                       external_coverage, eligibility, visit, episode)}
+def revenue_tables(t: Tables) -> LazyTables:
+    return LazyTables({f.__name__: partial(f, t) for f in (coverage, coverage_set, patient, provider, member_attribute, coverage_mapping,
+                                       external_coverage, eligibility, visit, episode)})
 
 
 _SET_ROWS = " UNION ALL ".join(
