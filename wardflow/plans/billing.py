@@ -210,6 +210,8 @@ def billing_roster(tables: Mapping[str, DataFrame], run_date: dt.date, version:
         in_plan = billed.where(not_like_all("own_plan", EXCLUDED_PLANS))
     spans = in_plan.select("patient_key", "lookback_start", "window_end").distinct()
     days = done.select("patient_key", F.to_date("appointment_date").alias("visit_date"))
+    if visits_per_patient:
+        days = days.distinct()
     in_range = days.join(spans, "patient_key").where(F.col("visit_date").between(F.col("lookback_start"), F.col("window_end")))
     if visits_per_patient:
         visits = in_range.groupBy("patient_key").agg(F.max("visit_date").alias("visit_date"))

@@ -35,13 +35,32 @@ def header_line(columns: list[str], sep: str = ",", quote_all: bool = False) ->
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", flags: str | None = None,
-                    encoding: str = "UTF-8", mode: str = "overwrite") -> None:
-    """Write delimited files; characters the code page lacks become ``?``."""
+                    encoding: str = "UTF-8", mode: str = "overwrite") -> int:
+    """Write delimited files, a header in each, and return the number of rows.
+
+    UTF-8 lines are written as rendered, so line breaks inside a field stay as they are, and no rows give
+    a file with the header only.  Other code pages go through the CSV writer: characters the page lacks
+    become ``?`` and a line break inside a field takes the form of the line end.
+    """
     header, quote_all = parse_file_flags(flags)
-    (df.write.mode(mode).option("sep", sep).option("header", header).option("quoteAll", quote_all)
-       .option("escape", '"').option("nullValue", "").option("emptyValue", '""' if quote_all else "")
-       .option("lineSep", "\r\n").option("encoding", encoding)
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        text = line(df.columns, sep, quote_all)
+        first = header_line(df.columns, sep, quote_all)
+        if header:
+            # The lower bits of this id count the rows of a partition, that is of a file.
+            opens = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+            text = F.when(opens, F.concat(F.lit(first + "\r\n"), text)).otherwise(text)
+        write_lines(counted, text, path, mode=mode)
+        if header and seen.get["rows"] == 0:
+            write_lines(df.sparkSession.range(1), F.lit(first), path, mode="append")
+    else:
+        (counted.write.mode(mode).option("sep", sep).option("header", header).option("quoteAll", quote_all)
+         .option("escape", '"').option("nullValue", "").option("emptyValue", '""' if quote_all else "")
+         .option("lineSep", "\r\n").option("encoding", encoding)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return seen.get["rows"]
 
 
 def write_counted(df: DataFrame, write, step: str) -> int:
@@ -86,8 +105,8 @@ def fixed_width(columns: dict[str, int], ragged_right: bool = False) -> Column:
     return F.concat(*cells)
 
 
-def write_lines(df: DataFrame, text: Column, path: str, line_sep: str = "\r\n") -> None:
-    df.select(text.alias("value")).write.mode("overwrite").option("lineSep", line_sep).text(path)
+def write_lines(df: DataFrame, text: Column, path: str, line_sep: str = "\r\n", mode: str = "overwrite") -> None:
+    df.select(text.alias("value")).write.mode(mode).option("lineSep", line_sep).text(path)
 
 
 def write_table(df: DataFrame, table: str, truncate: bool) -> None:
