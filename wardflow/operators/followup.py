@@ -30,11 +30,11 @@ def followup_buckets(cases: DataFrame, results: DataFrame, *, key: str, index_ti
     """
     seen = results.where(F.col(time).isNotNull()).withColumns({
         "_y": F.year(time), "_m": F.trunc(time, "MM"), "_w": F.trunc(time, "week")})
-    row = F.struct(F.col(time).alias("time"), *[F.col(v) for v in values])
-    order = F.struct(F.col(time), *tiebreak)
-    cells = seen.groupBy(key, component, "_y", "_m", "_w").agg(
-        F.max_by(row, order).alias("_row"), F.max(order).alias("_ord"))
-    last = cells.groupBy(key, component).agg(F.max_by("_row", "_ord").alias("_row"), F.max("_ord").alias("_ord"))
+    # The largest (time, tiebreak, values) of a cell is its latest row.
+    fields = list(dict.fromkeys([*tiebreak, *values]))
+    row = F.struct(F.col(time).alias("time"), *[F.col(c) for c in fields])
+    cells = seen.groupBy(key, component, "_y", "_m", "_w").agg(F.max(row).alias("_row"))
+    last = cells.groupBy(key, component).agg(F.max("_row").alias("_row"))
 
     index = cases.select(key, index_time).where(F.col(index_time).isNotNull()).distinct()
     near = index.withColumn("_y", F.explode(F.array(F.year(index_time), F.year(index_time) + 1))).join(
@@ -42,7 +42,7 @@ def followup_buckets(cases: DataFrame, results: DataFrame, *, key: str, index_ti
     near = near.withColumn("bucket", bucket_of(index_time, "_row.time")).where(
         F.col("bucket").isNotNull() & (F.col("bucket") != "ygt1"))
     far = index.join(last, key).where(F.year("_row.time") - F.year(index_time) >= 2).withColumn("bucket", F.lit("ygt1"))
-    keep = [key, index_time, component, "bucket", "_row", "_ord"]
-    picked = near.select(*keep).groupBy(key, index_time, component, "bucket").agg(F.max_by("_row", "_ord").alias("_row"))
-    both = picked.unionByName(far.select(*keep).drop("_ord"))
-    return both.select(key, index_time, component, "bucket", "_row.*")
+    keep = [key, index_time, component, "bucket", "_row"]
+    picked = near.select(*keep).groupBy(*keep[:-1]).agg(F.max("_row").alias("_row"))
+    out = picked.unionByName(far.select(*keep))
+    return out.select(*keep[:-1], "_row.time", *[f"_row.{v}" for v in values])

@@ -35,16 +35,15 @@ def earliest_per(df: DataFrame, keys: list[str], time: str, tiebreak: list[str])
 def heavy_list(frames: list[tuple[DataFrame, str]], heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
     """Keys with more than ``heavy_rows`` rows in all frames together; None when there are none.
 
-    One job counts rows per key (combined before the exchange); the list, of at most rows / heavy_rows
-    keys, is written to the shared folder.
+    A job counts rows per key (combined before the exchange).  A list that is not empty has at most
+    rows / heavy_rows keys and is written to the shared folder.
     """
     keys = None
     for df, key in frames:
         one = df.select(F.col(key).alias("_k"))
         keys = one if keys is None else keys.unionAll(one)
     heavy = keys.groupBy("_k").count().where(F.col("count") > heavy_rows).select("_k")
-    listed = materialise(heavy.sparkSession, heavy, "heavy-keys")
-    return None if listed.isEmpty() else listed
+    return None if heavy.isEmpty() else materialise(heavy.sparkSession, heavy, "heavy-keys")
 
 
 def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
