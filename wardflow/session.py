@@ -44,12 +44,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset (tests on
-    one machine) a temporary folder is made, once per session.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and Spark runs on
+    one machine (tests) a temporary folder is made, once per session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not spark.conf.get("wardflow.shared.dir", None):
         spark.conf.set("wardflow.shared.dir", tempfile.mkdtemp(prefix="wardflow-"))
     return spark.conf.get("wardflow.shared.dir")
@@ -68,4 +70,4 @@ def materialise(spark: SparkSession, df, label: str):
     """
     path = work_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
