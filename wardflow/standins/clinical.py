@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import clinical as cat
 from ..functions.conditions import COMORBIDITY, OSA_TEXT, PATIENT, pattern_rows
 from ..plans import cohort, datamart, registry
+from ..session import materialise
 from . import LazyTables, Tables, query
 from .warehouse import REVENUE_SQL, choice, patient, provider, sql_choice
 
@@ -57,6 +58,12 @@ def patient_lines(t: Tables):
         "line_key": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")})
 
 
+def dimension(t: Tables, name: str, df):
+    """A dimension as a table of its own.  Left as an expression of its key, filters on its names would be
+    inferred for the key of the facts and worked out for every fact row."""
+    return materialise(t.spark, df, name)
+
+
 def clinical_tables(t: Tables) -> LazyTables:
     pk, ck = F.col("p_partkey"), F.col("c_custkey")
     lines = patient_lines(t)
@@ -67,7 +74,7 @@ def clinical_tables(t: Tables) -> LazyTables:
     key = F.date_format("l_shipdate", "yyyyMMdd").cast("int")
     return LazyTables({
         "surgical_case": lambda: surgical_case(t), "provider": lambda: provider(t), "patient": lambda: patient(t),
-        "procedure": lambda: t.supplier.select(F.col("s_suppkey").alias("procedure_key"), choice(F.col("s_suppkey"), PROCEDURES).alias("name")),
+        "procedure": lambda: dimension(t, "procedure", t.supplier.select(F.col("s_suppkey").alias("procedure_key"), choice(F.col("s_suppkey"), PROCEDURES).alias("name"))),
         "location": lambda: t.nation.select(F.col("n_nationkey").cast("long").alias("location_key"), F.col("n_name").alias("name")),
         "vitals": lambda: t.events.select(F.col("user_id").alias("patient_key"), then.alias("recorded"), F.col("value").alias("bmi"),
                                   (F.col("event_id") % 50 + 150).alias("height"), (F.col("event_id") % 70 + 50).alias("weight")),
@@ -81,9 +88,9 @@ def clinical_tables(t: Tables) -> LazyTables:
         "diagnosis_event": lambda: lines.select(
             "patient_key", F.col("l_partkey").alias("diagnosis_key"), F.lit(1).alias("count"),
             F.when(F.col("l_returnflag") == "R", "Billing").otherwise("Encounter Diagnosis").alias("type")),
-        "diagnosis_code": lambda: t.part.select(
+        "diagnosis_code": lambda: dimension(t, "diagnosis_code", t.part.select(
             pk.alias("diagnosis_key"), F.when(F.col("p_size") > 10, "ICD-10-CM").otherwise("ICD-9-CM").alias("type"),
-            choice(pk, CODES).alias("value"), choice(pk, DISPLAYS).alias("display")),
+            choice(pk, CODES).alias("value"), choice(pk, DISPLAYS).alias("display"))),
         "diagnosis": lambda: t.part.select(pk.alias("diagnosis_key"), F.col("p_name").alias("name")),
         "admission": lambda: t.orders.select(
             F.col("o_orderkey").alias("admission_key"), F.col("o_custkey").alias("patient_key"), day.alias("admission_date"),
@@ -99,9 +106,9 @@ def clinical_tables(t: Tables) -> LazyTables:
             "patient_key", F.col("l_partkey").alias("component_key"), F.col("line_key").alias("result_key"), F.col("l_suppkey").alias("procedure_key"),
             F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("order_id"), F.col("l_quantity").cast("int").cast("string").alias("value"),
             F.col("at").alias("collected"), hours("at", 24).alias("resulted")),
-        "lab_component": lambda: t.part.select(
+        "lab_component": lambda: dimension(t, "lab_component", t.part.select(
             pk.alias("component_key"), name.alias("name"), F.when(name.isin(PATH_NAMES), "Surgical Pathology").otherwise("Chemistry").alias("type"),
-            F.when(name.isin("Tumor Site", "Margins"), "Synoptic Checklist Question").alias("subtype")),
+            F.when(name.isin("Tumor Site", "Margins"), "Synoptic Checklist Question").alias("subtype"))),
         "lab_text": lambda: labs.select(
             F.col("line_key").alias("result_key"), F.when(F.col("l_returnflag") != "A", F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("value"),
             F.when(F.col("l_returnflag") == "N", "").otherwise(F.concat(F.lit("C"), F.col("l_suppkey").cast("string"))).alias("comment")),
@@ -113,13 +120,13 @@ def clinical_tables(t: Tables) -> LazyTables:
             ck.alias("patient_key"), choice(ck, ["Stage I", "Stage II", None]).alias("stage_description"), choice(ck, ["G1", "G2"]).alias("histologic_grade"),
             (ck % 60).alias("tumor_size_mm"), choice(ck, ["R0", "R1"]).alias("residual_tumor"), choice(ck, ["Absent", "Present"]).alias("lymph_vascular_invasion"),
             choice(ck, ["L0", "L1", None]).alias("lymphatic_invasion")),
-        "medication": lambda: t.part.select(pk.alias("medication_key"), choice(pk, MED_NAMES).alias("name"), choice(pk, GENERICS).alias("generic_name"),
-                                    F.col("p_type").alias("pharmaceutical_class")),
+        "medication": lambda: dimension(t, "medication", t.part.select(pk.alias("medication_key"), choice(pk, MED_NAMES).alias("name"), choice(pk, GENERICS).alias("generic_name"),
+                                    F.col("p_type").alias("pharmaceutical_class"))),
         "medication_event": lambda: lines.select(
             "patient_key", F.col("l_partkey").alias("medication_key"), F.to_date("l_shipdate").alias("start_date"), key.alias("start_date_key"),
             F.when(F.col("l_returnflag") == "A", 0).otherwise(key + 1).alias("end_date_key")),
         "case_code": lambda: t.lineitem.select(F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("case_id"), F.col("l_partkey").alias("procedure_id")),
-        "procedure_code": lambda: t.part.select(pk.alias("procedure_id"), choice(pk, CPTS).alias("cpt"), F.col("p_name").alias("procedure_name")),
+        "procedure_code": lambda: dimension(t, "procedure_code", t.part.select(pk.alias("procedure_id"), choice(pk, CPTS).alias("cpt"), F.col("p_name").alias("procedure_name"))),
         "billing_account": lambda: t.orders.select(
             F.col("o_orderkey").alias("account_key"), F.col("o_orderkey").alias("encounter_key"), F.col("o_orderpriority").alias("financial_class"),
             day.alias("admission_date"), F.date_add(day, 5).alias("discharge_date"), F.lit(5).alias("los_days")),
