@@ -234,7 +234,10 @@ def test_survey_stream_loads_each_answer_once(spark, tmp_path):
     survey.load_stream(spark, str(folder), target, state, "*.csv")
     got = sorted((r.surveyid, r.question_id, r.answer_txt) for r in spark.read.parquet(target).collect())
     assert got == [(1, "23", "x"), (2, "1", "y"), (12, "3", "new")]
-    # The batch form finds nothing left to load.
+    # A stream with a new checkpoint reads the files again and adds nothing; so does the batch form.
+    survey.load_stream(spark, str(folder), target, str(tmp_path / "state2"), "*.csv")
+    again = spark.read.parquet(target)
+    assert again.count() == 3 and again.select("stream").distinct().count() == 1
     assert survey.new_answers(spark, str(folder), spark.read.parquet(target), "*.csv").count() == 0
 
 

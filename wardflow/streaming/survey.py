@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.joins import anti_append, anti_append_legacy
 from ..session import tune
-from ..sources.files import SURVEY_COLUMNS, read_delimited, stamped, survey_schema, to_int_or_fail
+from ..sources.files import SURVEY_COLUMNS, any_match, read_delimited, stamped, survey_schema, to_int_or_fail
 
 KEYS = ["surveyid", "question_id"]
 
@@ -26,8 +27,9 @@ def new_answers(spark: SparkSession, folder: str, target: DataFrame, file_spec:
 def load_stream(spark: SparkSession, folder: str, target_path: str, checkpoint: str, file_spec: str = "*") -> None:
     """Load the files not seen before and stop.
 
-    Each batch is compared with the table and appended under its batch number, so a batch that is run
-    again after a failure replaces what it wrote before instead of adding to it.
+    Each batch is compared with the table and appended under its stream and batch number, so a batch that
+    is run again after a failure replaces what it wrote before instead of adding to it, and a stream with a new
+    checkpoint never touches what an earlier one wrote.
     """
     schema = stage(spark.createDataFrame([], survey_schema())).schema
     files = (tune(spark).readStream.schema(survey_schema()).option("sep", "|").option("quote", '"').option("escape", '"')
@@ -35,17 +37,15 @@ def load_stream(spark: SparkSession, folder: str, target_path: str, checkpoint:
 
     def append(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        try:
-            known = s.read.schema(schema).option("basePath", target_path).parquet(target_path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        stream = s.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if any_match(s, target_path, "stream=*"):
+            # What an earlier try of this batch wrote does not count as known.
+            known = s.read.schema(StructType([*schema.fields, StructField("stream", StringType()), StructField("batch", LongType())])).parquet(target_path).where(
+                (F.col("stream") != stream) | (F.col("batch") != batch_id))
+        else:
             known = s.createDataFrame([], schema)
-        # What an earlier try of this batch wrote does not count as known.
-        if "batch" in known.columns:
-            known = known.where(F.col("batch") != batch_id)
         fresh = anti_append(stage(batch), known, KEYS)
-        fresh.write.mode("overwrite").parquet(f"{target_path}/batch={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{target_path}/stream={stream}/batch={batch_id}")
 
     (files.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start().awaitTermination())
