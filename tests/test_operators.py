@@ -82,6 +82,18 @@ def test_next_row_is_lead(spark, heavy_rows):
     assert got == {r.id: (r.nt, r.ns) for r in want.collect()}
 
 
+def test_heavy_list_is_counted_before_it_is_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(1,)] * 5 + [(2,)], "k int")
+    assert picks.heavy_list([(df, "k")], 10) is None
+    short = picks.heavy_list([(df, "k"), (df, "k")], 8)
+    assert [r._k for r in short.collect()] == [1]
+    def hinted(d):
+        return "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(short)
+    monkeypatch.setattr(picks, "BROADCAST_KEYS", 0)
+    assert not hinted(picks.heavy_list([(df, "k")], 4))
+
+
 def test_count_per_keeps_null_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (2,)], "k int")
     assert sorted((str(r.k), r.n) for r in picks.count_per(df, ["k"], "n").collect()) == [("1", 2), ("1", 2), ("2", 1), ("None", 1)]

@@ -106,9 +106,8 @@ def _match(left: DataFrame, right: DataFrame, key: str, left_time: str, right_ti
     if heavy is None:
         out = _one_window(probes, events, outs, picks, rank)
     else:
-        few = F.broadcast(heavy)        # counted: see heavy_list
-        out = _one_window(probes.join(few, "_k", "left_anti"), events.join(few, "_k", "left_anti"), outs, picks, rank)
-        hot, hot_events = probes.join(few, "_k", "left_semi"), events.join(few, "_k", "left_semi")
+        out = _one_window(probes.join(heavy, "_k", "left_anti"), events.join(heavy, "_k", "left_anti"), outs, picks, rank)
+        hot, hot_events = probes.join(heavy, "_k", "left_semi"), events.join(heavy, "_k", "left_semi")
         for p in picks:
             hot = _by_span(hot, hot_events, outs, p, rank, span)
         out = out.unionByName(hot.drop("_k", "_t"))

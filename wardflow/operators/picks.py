@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-# A key with more rows than this is split further.  At N rows in all there are at most
-# N / HEAVY_ROWS such keys, which is the size bound of the broadcast lists below.
+# A key with more rows than this is split further.  At N rows in all there are at most N / HEAVY_ROWS such keys.
 HEAVY_ROWS = 2_000_000
+# A list of heavy keys up to this length is broadcast; a longer one is joined by shuffle.
+BROADCAST_KEYS = 500_000
 
 
 def first_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -36,14 +37,17 @@ def heavy_list(frames: list[tuple[DataFrame, str]], heavy_rows: int = HEAVY_ROWS
     """Keys with more than ``heavy_rows`` rows in all frames together; None when there are none.
 
     A job counts rows per key (combined before the exchange).  A list that is not empty has at most
-    rows / heavy_rows keys and is written to the shared folder.
+    rows / heavy_rows keys; it is written to the shared folder, counted, and broadcast if it is short.
     """
     keys = None
     for df, key in frames:
         one = df.select(F.col(key).alias("_k"))
         keys = one if keys is None else keys.unionAll(one)
     heavy = keys.groupBy("_k").count().where(F.col("count") > heavy_rows).select("_k")
-    return None if heavy.isEmpty() else materialise(heavy.sparkSession, heavy, "heavy-keys")
+    if heavy.isEmpty():
+        return None
+    listed = materialise(heavy.sparkSession, heavy, "heavy-keys")
+    return F.broadcast(listed) if listed.count() <= BROADCAST_KEYS else listed
 
 
 def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
@@ -64,7 +68,7 @@ def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str,
         whole = Window.partitionBy(*keys).orderBy(*by_order)
         return df.withColumn("_next", F.lead(payload, 1).over(whole)).select(*out_cols)
 
-    few = F.broadcast(heavy.select(F.col("_k").alias("_key"), F.lit(True).alias("_heavy")))    # counted: see heavy_list
+    few = heavy.select(F.col("_k").alias("_key"), F.lit(True).alias("_heavy"))
     cut = F.when(F.col("_heavy"), F.struct(F.col(time).alias("a"), F.floor(F.col(tie) / chunk).alias("b")))
     marked = keyed.join(few, "_key", "left").withColumn("_cut", cut)
     inside = Window.partitionBy("_key", "_cut").orderBy(*by_order)
