@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules
+from . import line_rules, pseudonyms, transducer_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,17 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of every document; the host is its source."""
     return line_rules.line_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "line_chars", "lost_chars")
+
+
+@query("op1_bpe_round_trip")
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Digests of the token ids of every text and of the text decoded from them."""
+    import public_tokenizers
+
+    return transducer_bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_pseudonyms")
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal numbers and dates permuted within their formats."""
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
