@@ -97,3 +97,51 @@ def _odd(k: int) -> int:
 def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+class Bloom:
+    """Bloom filter over 64-bit hashes, built by Spark and broadcast.
+
+    The bit count is fixed, so what is broadcast has a fixed size; a fuller filter lets more rows through and never
+    loses one.  Two bits per key, taken from the low and the high half of the hash.
+    """
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.bits, self.words = bits, words
+
+    @staticmethod
+    def columns(key: Column, bits: int) -> Column:
+        """Array of (word, mask) pairs of a key."""
+        places = (key, F.shiftrightunsigned(key, 32))
+        at = [p.bitwiseAND(F.lit(bits - 1)) for p in places]
+        return F.array(*[F.struct(F.shiftright(a, 6).cast("int").alias("word"),
+                                  F.expr("shiftleft(1L, 0)").alias("one"), a.bitwiseAND(F.lit(63)).cast("int").alias("bit")) for a in at])
+
+    @classmethod
+    def build(cls, keys: DataFrame, key: str, bits: int, **where: Column) -> dict[str, Bloom]:
+        """One filter for each named condition over the rows of ``keys``; the result has at most bits / 64 rows."""
+        rows = keys.select(F.explode(cls.columns(F.col(key), bits)).alias("b"), *[c.alias(n) for n, c in where.items()])
+        mask = F.call_function("shiftleft", F.col("b.one"), F.col("b.bit"))
+        found = rows.groupBy("b.word").agg(*[F.bit_or(F.when(F.col(n), mask).otherwise(F.lit(0).cast("long"))).alias(n) for n in where]).toArrow()
+        at, out = found.column("word").to_numpy(), {}
+        for n in where:
+            words = np.zeros(bits // 64, np.uint64)
+            words[at] = found.column(n).to_numpy().view(np.uint64)
+            out[n] = cls(bits, words)
+        return out
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each hash may be in the set."""
+        out = np.ones(len(keys), bool)
+        for place in (keys, keys >> np.uint64(32)):
+            place = place & np.uint64(self.bits - 1)
+            out &= (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        return out
+
+
+def doc_numbers(batch: pa.RecordBatch, column: str = "doc_id") -> np.ndarray:
+    """Document ids as integers; null counts as the smallest."""
+    return np.asarray(pc.fill_null(batch.column(column), NULL_DOC).to_numpy(zero_copy_only=False), np.int64)
+
+
+NULL_DOC = -(1 << 63)

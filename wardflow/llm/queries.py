@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, pseudonyms, transducer_bpe
+from . import line_rules, pseudonyms, repeats, transducer_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,9 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None =
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers and dates permuted within their formats."""
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+
+
+@query("op2_repeats")
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document when passages of 20 words that occur earlier are removed."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
