@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, pseudonyms, repeats, transducer_bpe
+from . import line_rules, ngram_join, pseudonyms, repeats, transducer_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,9 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document when passages of 20 words that occur earlier are removed."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles overlap by 80 % or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
