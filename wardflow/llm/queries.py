@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, ngram_join, pseudonyms, repeats, transducer_bpe
+from . import line_rules, ngram_join, pseudonyms, repeats, toxicity, transducer_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +57,10 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles overlap by 80 % or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document and its worst sentence."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
