@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, ngram_join, pseudonyms, repeats, toxicity, transducer_bpe
+from . import line_rules, multi_index, ngram_join, pseudonyms, repeats, toxicity, transducer_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document and its worst sentence."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op6_multi_index")
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest vectors of every twentieth vector."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"))
