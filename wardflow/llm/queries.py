@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_rules, multi_index, ngram_join, pseudonyms, repeats, toxicity, transducer_bpe
+from . import line_rules, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, toxicity, transducer_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +71,22 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty nearest vectors of every twentieth vector."""
     return multi_index.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and sampling rate of every document."""
+    return mixing.document_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row_hash")
+
+
+@query("op5_perspectives", perspectives.ORACLE)
+def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the view of each participant."""
+    spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
+    return perspectives.rotate(table(spark, sf_dir, "conversations")).withColumn("mask", spans).drop("messages")
+
+
+@query("op10_site_quality")
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality posterior of every document from its text, host and path."""
+    return site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
