@@ -24,6 +24,16 @@ def words_col(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The whole row as one column ``row``, so that no column of the input can clash with a name used here."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns of the packed row, those in ``new`` replaced or added."""
+    return df.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in columns], *[v.alias(c) for c, v in new.items() if c not in columns])
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes of text each (one row at least), so memory does not follow row counts."""
     if not batch.num_rows:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, words_col
+from .common import BLANKS, packed, unpacked, words_col
 
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS, SHARE, MAX_LOST = 20, 0.05, 0.5
@@ -105,15 +105,16 @@ def line_verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHAR
 
 def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, max_lost: float = MAX_LOST) -> DataFrame:
     """The kept rows in the shape of the input, without the removed lines; ``n_chars`` follows the text."""
-    verdicts = line_verdicts(docs, min_docs, share, max_lost).where("kept").select(F.col("doc_id").alias("_id"), "lost_chars").distinct()
-    gone = _marked(docs, min_docs, share).where("gone").groupBy(F.col("doc_id").alias("_gid")).agg(F.collect_set("h").alias("_gone"))
-    # A row of a document that shares its doc_id with a failing text has its own base verdict, so both are matched.
-    kept = (docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-            .join(gone, F.col("doc_id").eqNullSafe(F.col("_gid")), "left"))
-    rest = F.array_join(F.filter(F.split("text", "\n"), lambda s: ~F.array_contains("_gone", line_hash(s)) | (bare(s) == "")), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
-    cols = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return kept.withColumns(cols).select(*docs.columns)
+    verdicts = line_verdicts(docs, min_docs, share, max_lost).where("kept").select("doc_id").distinct()
+    gone = _marked(docs, min_docs, share).where("gone").groupBy("doc_id").agg(F.collect_set("h").alias("gone"))
+    here = F.col("row.doc_id")
+    kept = (packed(docs).join(verdicts, here.eqNullSafe(F.col("doc_id")), "left_semi")
+            .join(gone, here.eqNullSafe(F.col("doc_id")), "left"))
+    text = F.col("row.text")
+    rest = F.array_join(F.filter(F.split(text, "\n"), lambda s: ~F.array_contains("gone", line_hash(s)) | (bare(s) == "")), "\n")
+    text = F.when(F.col("gone").isNull(), text).otherwise(rest)
+    size = {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(kept, docs.columns, text=text, **size)
 
 
 ORACLE = r"""

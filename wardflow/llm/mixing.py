@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import map_texts
+from .common import map_texts, packed, unpacked
 from .text_model import Softmax, labelled_sample
 
 #: Domains: good, good but toxic, poor, poor and toxic.
@@ -91,6 +91,7 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataF
 
 def mix(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
     """``docs`` with every row as often as its copies say."""
-    copies = document_rates(docs, labels, targets).groupBy(F.col("row_hash").alias("_h")).agg(F.max("copies").alias("_n"))
-    rows = docs.withColumn("_k", F.xxhash64(F.col("doc_id").cast("long"), "text")).join(copies, F.col("_k") == F.col("_h"))
-    return rows.where("_n > 0").withColumn("_i", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select(*docs.columns)
+    copies = document_rates(docs, labels, targets).groupBy("row_hash").agg(F.max("copies").alias("n"))
+    key = F.xxhash64(F.col("row.doc_id").cast("long"), F.col("row.text"))
+    rows = packed(docs).withColumn("k", key).join(copies, F.col("k") == F.col("row_hash")).where("n > 0")
+    return unpacked(rows.withColumn("i", F.explode(F.array_repeat(F.lit(1), F.col("n")))), docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import NULL_DOC, Bloom, doc_numbers, lists, map_texts, mix, window_hashes, word_hashes
+from .common import NULL_DOC, Bloom, doc_numbers, lists, map_texts, mix, packed, unpacked, window_hashes, word_hashes
 
 WORDS, PERCENT = 5, 80
 CLASSES = 128
@@ -288,5 +288,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 def first_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents that show their components (smallest doc_id), in the shape of the input."""
-    found = near_duplicates(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    found = near_duplicates(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    rows = packed(docs).join(found, F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")), "left_semi")
+    return unpacked(rows, docs.columns)

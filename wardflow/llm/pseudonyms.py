@@ -13,7 +13,7 @@ Feistel network within its own format, so equal values stay equal across documen
   and both parts are shifted in turn, so every result is a real date of that span and no date is met twice.
 * IPv4: the two 16-bit halves take turns.
 
-Null text stays null.  A number that is part of a longer run of letters, digits or underscores is left alone.  Nothing
+``n_replaced`` is added (an own column of that name is replaced).  Null text stays null.  A number that is part of a longer run of letters, digits or underscores is left alone.  Nothing
 else in a text changes; repeated rows and extra columns pass through; ``n_chars`` follows the text where it exists.
 """
 
@@ -24,29 +24,34 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 KEY = "wardflow"
 ROUNDS = 6
 FIRST_DAY, A, B = "1700-01-01", 189, 773
 # Fixed formats, in the order in which they are tried at a place.
 FORMATS = {
-    "mail": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "mail": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"[0-9a-f]{32,64}|[0-9A-F]{32,64}",
     "bank": r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?",
-    "word": r"[A-Za-z_]+[0-9][0-9A-Za-z_]*|[0-9]+[A-Za-z_][0-9A-Za-z_]*",
     "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}",
-    "long": r"[0-9]{20,}",
-    "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
+    "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.[0-9])",
     "iso": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
     "euro": r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "card": r"[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,4}|[0-9]{13,19}",
-    "digits": r"[0-9]+",
 }
-ANY = "|".join(FORMATS.values())
+# Only at the edges of a run of letters, digits and underscores; this also keeps the search linear.
+ANY = "(?<![0-9A-Za-z_])(?:" + "|".join(FORMATS.values()) + ")(?![0-9A-Za-z_])"
 
 
 def _hash(key: str, label: str, *parts: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(f"{key}|{label}"), *parts), 256)
+    return F.sha2(F.concat_ws("|", F.lit(f"{key}|{label}"), *parts), 512)
+
+
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.transform(F.array(value), fn)[0]
 
 
 def _amount(digest: Column, place, digits: int = 6) -> Column:
@@ -68,15 +73,15 @@ def _shifted(char: Column, amount: Column, hexa: bool) -> Column:
 def permute_text(value: Column, key: str, label: str, hexa: bool = False) -> Column:
     """Characters of a value moved within their classes; value, separators and length keep their form."""
     def half(text: Column, other: Column, n: int) -> Column:
-        digest = F.concat(*[_hash(key, f"{label}{n}{k}", other) for k in "abcd"])  # 256 places
-        return F.array_join(F.transform(F.split(text, ""), lambda c, i: _shifted(c, _amount(digest, (i * 4) % 252 + 1, 4), hexa)), "")
+        return _let(_hash(key, f"{label}{n}", other), lambda d: F.array_join(F.transform(
+            F.split(text, ""), lambda c, i: _shifted(c, _amount(d, (i * 4) % 124 + 1, 4), hexa)), ""))
 
     cut = F.floor(F.length(value) / 2).cast("int")
     pair = F.struct(F.substring(value, F.lit(1), cut).alias("l"), F.substring(value, cut + 1, F.length(value)).alias("r"))
 
     def turn(p: Column, n: Column) -> Column:
         left = half(p["l"], F.concat_ws("|", n.cast("string"), p["r"]), 0)
-        return F.struct(left.alias("l"), half(p["r"], F.concat_ws("|", n.cast("string"), left), 1).alias("r"))
+        return _let(left, lambda x: F.struct(x.alias("l"), half(p["r"], F.concat_ws("|", n.cast("string"), x), 1).alias("r")))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: F.concat(p["l"], p["r"]))
 
@@ -88,9 +93,9 @@ def _plain(value: Column) -> Column:
 def _laid(value: Column, fresh: Column) -> Column:
     """Characters of ``fresh`` in the places of the letters and digits of ``value``; separators stay."""
     start = F.struct(F.lit(1).alias("i"), F.lit("").alias("s"))
-    return F.aggregate(F.split(value, ""), start, lambda a, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(
+    return _let(fresh, lambda fresh: F.aggregate(F.split(value, ""), start, lambda a, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(
         (a["i"] + 1).alias("i"), F.concat(a["s"], F.substring(fresh, a["i"], F.lit(1))).alias("s"))).otherwise(
-        F.struct(a["i"].alias("i"), F.concat(a["s"], c).alias("s"))), lambda a: a["s"])
+        F.struct(a["i"].alias("i"), F.concat(a["s"], c).alias("s"))), lambda a: a["s"]))
 
 
 def _luhn(payload: Column) -> Column:
@@ -103,8 +108,8 @@ def permute_card(value: Column, key: str) -> Column:
     """Digits before the last are permuted; the last keeps its distance to the check digit; groups stay."""
     digits = _plain(value)
     body, last = F.substring(digits, F.lit(1), F.length(digits) - 1), F.substring(digits, -1, 1).cast("long")
-    fresh = permute_text(body, key, "card")
-    return _laid(value, F.concat(fresh, ((last - _luhn(body) + _luhn(fresh) + 10) % 10).cast("string")))
+    return _laid(value, _let(permute_text(body, key, "card"), lambda fresh: F.concat(
+        fresh, ((last - _luhn(body) + _luhn(fresh) + 10) % 10).cast("string"))))
 
 
 def permute_day(day: Column, key: str) -> Column:
@@ -114,7 +119,7 @@ def permute_day(day: Column, key: str) -> Column:
 
     def turn(p: Column, n: Column) -> Column:
         a = (p["a"] + _amount(_hash(key, "day-a", n.cast("string"), p["b"].cast("string")), F.lit(1), 12)) % A
-        return F.struct(a.alias("a"), ((p["b"] + _amount(_hash(key, "day-b", n.cast("string"), a.cast("string")), F.lit(1), 12)) % B).alias("b"))
+        return _let(a, lambda a: F.struct(a.alias("a"), ((p["b"] + _amount(_hash(key, "day-b", n.cast("string"), a.cast("string")), F.lit(1), 12)) % B).alias("b")))
 
     moved = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: p["a"] * B + p["b"])
     return F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int"))
@@ -137,7 +142,7 @@ def permute_ip(value: Column, key: str) -> Column:
 
     def turn(p: Column, n: Column) -> Column:
         a = (p["l"] + _amount(_hash(key, "ip-l", n.cast("string"), p["r"].cast("string")), F.lit(1), 8)) % 65536
-        return F.struct(a.alias("l"), ((p["r"] + _amount(_hash(key, "ip-r", n.cast("string"), a.cast("string")), F.lit(1), 8)) % 65536).alias("r"))
+        return _let(a, lambda a: F.struct(a.alias("l"), ((p["r"] + _amount(_hash(key, "ip-r", n.cast("string"), a.cast("string")), F.lit(1), 8)) % 65536).alias("r")))
 
     out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: F.array(
         F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256))
@@ -170,14 +175,12 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     The text is cut at the matches and joined with their pseudonyms again, so every occurrence is replaced.
     """
-    text = F.col("text")
-    hit = text.rlike(r"[0-9@]")
-    df = docs.drop("n_replaced").withColumn("_found", F.when(hit, F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))))
-    df = df.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key)))
-    joined = F.array_join(F.flatten(F.zip_with(F.split("text", f"(?:{ANY})", -1), "_new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    new = F.when(F.size("_found") > 0, joined).otherwise(text)
-    df = df.withColumn("_text", new).withColumn("n_replaced", F.coalesce(
-        F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)), F.lit(0)).cast("long"))
-    df = df.withColumn("n_replaced", F.when(F.col("n_replaced") < 0, 0).otherwise(F.col("n_replaced")))
-    cols = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return df.withColumns(cols).drop("_found", "_new", "_text")
+    text = F.col("row.text")
+    found = F.when(text.rlike(r"[0-9@]"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
+    df = packed(docs).withColumn("found", found)
+    df = df.withColumn("new", F.transform("found", lambda v: pseudonym(v, key)))
+    pieces = F.zip_with(F.split(text, f"(?:{ANY})", -1), "new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))
+    df = df.withColumn("text", F.when(F.size("found") > 0, F.array_join(F.flatten(pieces), "")).otherwise(text))
+    changed = F.filter(F.zip_with("found", "new", lambda a, b: a != b), lambda x: x)
+    size = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(df, docs.columns, text=F.col("text"), **size, n_replaced=F.when(F.size("found") > 0, F.size(changed)).otherwise(0).cast("long"))
