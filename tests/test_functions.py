@@ -162,11 +162,10 @@ def test_date_dim_and_keys(spark):
     assert dates.run_date_or_today(dt.date(1900, 1, 1)) == dt.date.today()
 
 
-def test_pattern_expansion():
-    assert conditions.expand("K72-K74.* I10 F33.40-F33.42*") == [
-        ("prefix", "K72."), ("prefix", "K73."), ("prefix", "K74."), ("exact", "I10"),
-        ("prefix", "F33.40"), ("prefix", "F33.41"), ("prefix", "F33.42")]
-    assert conditions.expand("042-044*") == [("prefix", "042"), ("prefix", "043"), ("prefix", "044")]
+def test_pattern_rows():
+    rows = conditions.pattern_rows(conditions.COMORBIDITY)
+    assert {("liver", "prefix", "K73"), ("liver", "prefix", "K74."), ("htn", "exact", "I10"), ("aids", "prefix", "043")} <= set(rows)
+    assert len(rows) == len(set(rows)) and len(conditions.flags(conditions.COMORBIDITY)) == 40
     undotted = conditions.pattern_rows(conditions.COMORBIDITY, code_format="undotted")
     assert ("chf", "exact", "I0981") in undotted and not any("." in t for _, _, t in undotted)
     assert ("functional_disability_flag", "exact", "R53.2") in conditions.pattern_rows(conditions.PATIENT, code_format="dotted")

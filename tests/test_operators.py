@@ -38,12 +38,11 @@ def brute(events, probe, cat, back, inclusive):
     return (best[1], best[4], best[3])
 
 
-@pytest.mark.parametrize("heavy_rows", [10**9, 50, 0])
 @pytest.mark.parametrize("direction,inclusive", [("backward", True), ("backward", False), ("forward", True), ("forward", False)])
-def test_asof_against_brute_force(matched, heavy_rows, direction, inclusive):
+def test_asof_against_brute_force(matched, small_blocks, direction, inclusive):
     events, probes, e, p = matched
     got = asof.asof(p, e, key="k", left_time="t", right_time="t", values=["v", "id"], tiebreak=["id"], direction=direction,
-                    inclusive=inclusive, category="c", categories={"x": "cx", "y": "cy"}, heavy_rows=heavy_rows, span="month")
+                    inclusive=inclusive, category="c", categories={"x": "cx", "y": "cy"})
     rows = {r.pid: r for r in got.collect()}
     assert len(rows) == len(probes) == got.count()
     for probe in probes:
@@ -53,10 +52,9 @@ def test_asof_against_brute_force(matched, heavy_rows, direction, inclusive):
             assert (None if have is None else tuple(have)) == want, (probe, cat)
 
 
-@pytest.mark.parametrize("heavy_rows", [10**9, 0])
-def test_nearest_against_brute_force(matched, heavy_rows):
+def test_nearest_against_brute_force(matched, small_blocks):
     events, probes, e, p = matched
-    got = asof.nearest(p, e, key="k", left_time="t", right_time="t", values=["id"], tiebreak=["id"], heavy_rows=heavy_rows)
+    got = asof.nearest(p, e, key="k", left_time="t", right_time="t", values=["id"], tiebreak=["id"])
     for r in got.collect():
         ok = [x for x in events if r.k is not None and r.t is not None and x[0] == r.k and x[1] is not None]
         want = min(ok, key=lambda x: (abs(x[1] - r.t), x[1], x[3]))[3] if ok else None
@@ -71,27 +69,34 @@ def test_nearest_example(spark):
     assert got.near.line == 82
 
 
-@pytest.mark.parametrize("heavy_rows", [10**9, 20, 0])
-def test_next_row_is_lead(spark, heavy_rows):
+def test_next_row_is_lead(spark, small_blocks):
     rng = random.Random(2)
     rows = [(rng.choice([1, 1, 1, 2, None]), rng.choice([None, BASE, BASE + dt.timedelta(days=rng.randrange(5))]), i, f"s{i}") for i in range(200)]
     df = spark.createDataFrame(rows, "k int, t timestamp_ntz, id int, s string")
-    got = {r.id: (r.nt, r.ns) for r in picks.next_row(df, ["k"], ["t", "id"], {"nt": "t", "ns": "s"}, heavy_rows, chunk=16).collect()}
+    got = {r.id: (r.nt, r.ns) for r in picks.next_row(df, ["k"], ["t", "id"], {"nt": "t", "ns": "s"}).collect()}
     df.createOrReplaceTempView("lead_rows")
     want = spark.sql("select id, lead(t) over w nt, lead(s) over w ns from lead_rows window w as (partition by k order by t nulls first, id)")
     assert got == {r.id: (r.nt, r.ns) for r in want.collect()}
 
 
-def test_heavy_list_is_counted_before_it_is_broadcast(spark, monkeypatch):
-    df = spark.createDataFrame([(1,)] * 5 + [(2,)], "k int")
-    assert picks.heavy_list([(df, "k")], 10) is None
-    short = picks.heavy_list([(df, "k"), (df, "k")], 8)
-    assert [r._k for r in short.collect()] == [1]
-    def hinted(d):
-        return "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
-    assert hinted(short)
-    monkeypatch.setattr(picks, "BROADCAST_KEYS", 0)
-    assert not hinted(picks.heavy_list([(df, "k")], 4))
+@pytest.fixture
+def small_blocks(spark):
+    """Small tables are one block unless Spark keeps its partitions apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_hot_key_is_cut_into_even_blocks(spark, small_blocks):
+    # One key, all times inside one day and all distinct.
+    df = spark.range(8_000).selectExpr("1 AS k", "id", "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS t")
+    sizes = [r["count"] for r in picks.placed(df, ["k", "t"], "t-blocks").groupBy("_block").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 8_000 / 3
+    got = picks.next_row(df, ["k"], ["t", "id"], {"after": "id"})
+    assert got.where("after = id + 1").count() == 7_999 and got.where("after IS NULL").count() == 1
+    probes = df.where("id % 1000 = 500").selectExpr("k", "id AS pid", "t")
+    back = asof.asof(probes, df.where("id % 4000 = 0"), key="k", left_time="t", right_time="t", values=["id"], tiebreak=["id"])
+    assert {r.pid: r.pick.id for r in back.collect()} == {i: i // 4000 * 4000 for i in range(500, 8000, 1000)}
 
 
 def test_count_per_keeps_null_keys(spark):

@@ -140,16 +140,11 @@ SIZE_UNITS = {"KB": 1024, "MB": 1024**2, "GB": 1024**3}
 
 def parse_split_setting(setting: str) -> tuple[str, float, str, bool]:
     """``_part{index}|300.5KB|ZIPFILES`` -> (index format, size, unit, zip flag)."""
-    try:
-        index_format, size, archive = setting.split("|")
-    except ValueError:
-        raise ValueError("expected 'index format|size|ZIPFILES or NOZIP'") from None
-    if archive.upper() not in ("ZIPFILES", "NOZIP"):
-        raise ValueError("the third part must be ZIPFILES or NOZIP")
-    amount = re.match(r"(\d+(?:\.\d+)?)(KB|MB|GB)", size.upper())
-    if amount is None:
-        raise ValueError("the second part must be a size such as 500MB or 300.5KB")
-    return index_format, float(amount[1]), amount[2], archive.upper() == "ZIPFILES"
+    found = re.fullmatch(r"([^|]*)\|(?i:(\d+(?:\.\d+)?)(KB|MB|GB))\|(?i:(ZIPFILES|NOZIP))", setting)
+    if found is None:
+        raise ValueError("expected 'index format|size such as 500MB or 300.5KB|ZIPFILES or NOZIP'")
+    index_format, amount, unit, archive = found.groups()
+    return index_format, float(amount), unit.upper(), archive.upper() == "ZIPFILES"
 
 
 def split_limit_bytes(setting: str) -> int:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .picks import first_per
+
 
 def eav_pivot(df: DataFrame, keys: list[str], name: str, value: str, columns: dict[str, str]) -> DataFrame:
     """Key/value rows to one wide row per key; ``columns`` maps name -> output column.
@@ -18,16 +20,13 @@ def slot_pivot(df: DataFrame, keys: list[str], line: str, tiebreak: list[str],
                values: dict[str, str], slots: dict[int, str]) -> DataFrame:
     """Line-numbered child rows to one row per key with ``<slot>_<value>`` columns.
 
-    One pass over the children instead of one join per slot.
+    One pass over the children instead of one join per slot; ranks are limited per slot before the exchange.
     """
-    payload = F.struct(*[F.col(src).alias(v) for v, src in values.items()])
-    tie = F.struct(*tiebreak)
-    picked = (
-        df.where(F.col(line).isin(list(slots)))
-        .groupBy(*keys)
-        .agg(*[F.min_by(payload, F.when(F.col(line) == n, tie)).alias(s) for n, s in slots.items()])
-    )
-    return picked.select(*keys, *[F.col(f"{s}.{v}").alias(f"{s}_{v}") for s in slots.values() for v in values])
+    rows = first_per(df.where(F.col(line).isin(list(slots))), [*keys, line], [F.col(c).asc_nulls_first() for c in tiebreak])
+    item = F.struct(F.col(line).alias("line"), *[F.col(src).alias(v) for v, src in values.items()])
+    picked = rows.groupBy(*keys).agg(F.collect_list(item).alias("_rows"))  # at most one for each slot
+    cell = lambda n: F.get(F.filter("_rows", lambda r: r["line"] == n), F.lit(0))
+    return picked.select(*keys, *[cell(n)[v].alias(f"{s}_{v}") for n, s in slots.items() for v in values])
 
 
 def list_ordered(df: DataFrame, keys: list[str], value: str, order: list[str], out: str,

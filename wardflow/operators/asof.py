@@ -1,10 +1,9 @@
 """As-of and nearest-in-time matching without pairing every probe with every event.
 
-Keys are first counted (combined before the exchange).  A light key is one window over its events and
-probes together: one exchange, no pairs.  A heavy key is cut into calendar spans after equal instants are
-collapsed, so the rows of one piece are bounded by the distinct instants of one span even when a single key
-or a single instant holds a third of all rows; what an earlier span hands on is one row per (key, span).
-Without heavy keys that branch is not planned at all.
+Equal instants are first reduced to one event per category and one probe, limited before the exchange.  Events and
+probes together are range-partitioned by (key, time) into blocks of even size, whatever the keys; a running window picks
+inside each (key, block), and one row per (key, block) hands the pick on to the key's later blocks.  So no task holds a
+hot key, and nothing is counted or cut by the calendar.
 """
 
 from __future__ import annotations
@@ -12,78 +11,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .picks import HEAVY_ROWS, heavy_list
-
-# Calendar span of a time as SQL; never decreases with time.
-SPANS = {
-    "year": "year(_t)",
-    "month": "year(_t) * 12 + month(_t)",
-    "day": "datediff(_t, DATE'1970-01-01')",
-}
+from .picks import first_per, placed
 
 
 class _Pick:
-    """One direction of time: how to sort, and which of equal instants wins."""
-
-    def __init__(self, back: bool, tie_max: bool, prefix: str):
-        self.prefix = prefix
-        self.way = "ASC" if back else "DESC"
-        # The last row of a running window wins.
-        self.tie = "_tie ASC NULLS FIRST" if tie_max else "_tie DESC NULLS LAST"
-        self.tie_agg = "max_by" if tie_max else "min_by"
-        self.time_agg = "max_by" if back else "min_by"
-
-    def running(self, cols: list[str], by: str, order: str, end: str = "CURRENT ROW", prefix: str | None = None) -> list[str]:
-        p = self.prefix if prefix is None else prefix
+    """One direction of time; a prefix names its columns."""
+
+    def __init__(self, back: bool, prefix: str = ""):
+        self.back, self.prefix = back, prefix
+
+    def running(self, cols: list[str], by: str, order: str, end: str = "CURRENT ROW") -> list[str]:
         frame = f"PARTITION BY {by} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {end}"
-        return [f"last(`{c}`, true) OVER ({frame}) AS `{p}{c}`" for c in cols]
+        return [f"last(`{c}`, true) OVER ({frame}) AS `{self.prefix}{c}`" for c in cols]
 
 
 def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _one_window(probes: DataFrame, events: DataFrame, outs: dict, picks: list[_Pick], rank: int) -> DataFrame:
-    """Light keys: events and whole left rows in time order."""
-    cols = list(outs.values())
-    rows = events.selectExpr("_k", "_t", "_tie", "0 AS _rank", *[
-        f"_row AS `{c}`" if v is None else f"CASE WHEN _cat = {_quoted(v)} THEN _row END AS `{c}`" for v, c in outs.items()])
-    line = rows.unionByName(probes.selectExpr("*", f"{rank} AS _rank"), allowMissingColumns=True)
-    found = [e for p in picks for e in p.running(cols, "_k", f"_t {p.way}, _rank, {p.tie}")]
-    return line.selectExpr("_left", "_rank", *found).where(f"_rank = {rank}").drop("_rank")
-
-
-def _by_span(probes: DataFrame, events: DataFrame, outs: dict, p: _Pick, rank: int, span: str) -> DataFrame:
-    """Heavy keys: distinct instants, cut into spans, with the pick handed on from earlier spans."""
-    cols = list(outs.values())
-    cut = f"{SPANS[span]} AS _s"
-    instants = events.groupBy("_k", "_t").agg(*[
-        F.expr(f"{p.tie_agg}(_row, {'_tie' if v is None else f'CASE WHEN _cat = {_quoted(v)} THEN _tie END'})").alias(c)
-        for v, c in outs.items()]).selectExpr("*", cut)
-    asked = probes.select("_k", "_t").distinct().selectExpr("*", cut)
-
-    ends = instants.groupBy("_k", "_s").agg(*[
-        F.expr(f"{p.time_agg}(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN _t END)").alias(c) for c in cols])
-    wanted = asked.select("_k", "_s").distinct()
-    carried = (
-        ends.selectExpr("*", "0 AS _asked")
-        .unionByName(wanted.selectExpr("*", "1 AS _asked"), allowMissingColumns=True)
-        .selectExpr("_k", "_s", "_asked", *p.running(cols, "_k", f"_s {p.way}, _asked DESC", "1 PRECEDING", ""))
-        .where("_asked = 1").drop("_asked")
-    )
-    line = (
-        instants.selectExpr("*", "1 AS _first", "0 AS _rank")
-        .unionByName(asked.selectExpr("*", "1 AS _first", f"{rank} AS _rank"), allowMissingColumns=True)
-        .unionByName(carried.selectExpr("*", "0 AS _first", "0 AS _rank"), allowMissingColumns=True)
-    )
-    found = line.selectExpr("_k", "_t", "_rank", *p.running(cols, "_k, _s", f"_first, _t {p.way}, _rank")).where(
-        f"_rank = {rank}").drop("_rank")
-    return probes.join(found, ["_k", "_t"], "left")
+def _picked(line: DataFrame, cols: list[str], p: _Pick, rank: int) -> DataFrame:
+    """The pick at every probe instant: inside the block, else handed on from the key's blocks before."""
+    way = "ASC" if p.back else "DESC"
+    mine = [f"{p.prefix}{c}" for c in cols]
+    inside = line.selectExpr("_k", "_t", "_rank", "_cat", "_block", *p.running(cols, "_k, _block", f"_t {way}, _rank, _cat"))
+    time = F.col("_t").desc() if p.back else F.col("_t").asc()
+    ends = first_per(inside, ["_k", "_block"], [time, F.col("_rank").desc(), F.col("_cat").desc_nulls_last()])
+    order = "_block " + way
+    handed = ends.selectExpr("_k", "_block", *[
+        f"last(`{c}`, true) OVER (PARTITION BY _k ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS `_h_{c}`" for c in mine])
+    asked = inside.where(f"_rank = {rank}").join(handed, ["_k", "_block"], "left")
+    return asked.select("_k", "_t", *[F.coalesce(c, f"_h_{c}").alias(c) for c in mine])
 
 
 def _match(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: list[str],
-           tiebreak: list[str], outs: dict, category: str | None, picks: list[_Pick], inclusive: bool, span: str,
-           heavy_rows: int, heavy: DataFrame | None | str) -> DataFrame:
+           tiebreak: list[str], outs: dict, category: str | None, picks: list[_Pick], inclusive: bool, tie_max: bool) -> DataFrame:
     def struct(names):
         return f"struct({', '.join(f'`{n}`' for n in names)})"
 
@@ -94,32 +55,24 @@ def _match(left: DataFrame, right: DataFrame, key: str, left_time: str, right_ti
     events = right.where(keep).selectExpr(
         f"`{key}` AS _k", f"`{right_time}` AS _t", f"{struct(tiebreak)} AS _tie", f"struct({row}) AS _row",
         f"{f'`{category}`' if category else 'CAST(NULL AS STRING)'} AS _cat")
+    tie = F.col("_tie").desc_nulls_last() if tie_max else F.col("_tie").asc_nulls_first()
+    cols, rank = list(outs.values()), 1 if inclusive else -1
+    events = first_per(events, ["_k", "_t", "_cat"], [tie]).selectExpr("_k", "_t", "_cat", "0 AS _rank", *[
+        f"_row AS `{c}`" if v is None else f"CASE WHEN _cat = {_quoted(v)} THEN _row END AS `{c}`" for v, c in outs.items()])
     usable = f"`{key}` IS NOT NULL AND `{left_time}` IS NOT NULL"
-    probes = left.where(usable).selectExpr(f"`{key}` AS _k", f"`{left_time}` AS _t", f"{struct(left.columns)} AS _left")
-    unusable = left.where(f"NOT ({usable})").selectExpr(f"{struct(left.columns)} AS _left")
-
-    if heavy == "auto":
-        heavy = heavy_list([(events, "_k"), (probes, "_k")], heavy_rows)
-    elif heavy is not None:
-        heavy = heavy.select(F.col(heavy.columns[0]).alias("_k"))
-    rank = 1 if inclusive else -1
-    if heavy is None:
-        out = _one_window(probes, events, outs, picks, rank)
-    else:
-        out = _one_window(probes.join(heavy, "_k", "left_anti"), events.join(heavy, "_k", "left_anti"), outs, picks, rank)
-        hot, hot_events = probes.join(heavy, "_k", "left_semi"), events.join(heavy, "_k", "left_semi")
-        for p in picks:
-            hot = _by_span(hot, hot_events, outs, p, rank, span)
-        out = out.unionByName(hot.drop("_k", "_t"))
-    out = out.unionByName(unusable, allowMissingColumns=True)
-    return out.select("_left.*", *[c for c in out.columns if c != "_left"])
+    probes = left.selectExpr(f"CASE WHEN {usable} THEN `{key}` END AS _k", f"`{left_time}` AS _t", f"{struct(left.columns)} AS _left")
+    asked = probes.where("_k IS NOT NULL").select("_k", "_t").distinct().selectExpr("*", f"{rank} AS _rank")
+    line = placed(events.unionByName(asked, allowMissingColumns=True), ["_k", "_t"], "asof")
+    out = probes
+    for p in picks:
+        out = out.join(_picked(line, cols, p, rank), ["_k", "_t"], "left")
+    return out.select("_left.*", *[f"{p.prefix}{c}" for p in picks for c in cols])
 
 
 def asof(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_time: str,
          values: list[str], tiebreak: list[str], direction: str = "backward", inclusive: bool = True,
          category: str | None = None, categories: dict[str, str] | None = None,
-         span: str = "year", name: str = "pick", heavy_rows: int = HEAVY_ROWS,
-         heavy: DataFrame | None | str = "auto") -> DataFrame:
+         name: str = "pick") -> DataFrame:
     """Add to every left row the right row nearest in one direction of time, per category.
 
     ``direction='backward'`` takes the latest right row at or before the left time,
@@ -127,25 +80,23 @@ def asof(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_t
     With ``categories`` (value -> output column) each category gives one struct column
     ``{time, *values}``, NULL where there is no match; without, the one column is ``name``.
     Equal right times are settled by ``tiebreak`` (largest for backward, smallest for forward).
-    ``heavy`` takes a list of heavy keys already known for both sides (None: there are none).
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
     back = direction == "backward"
     outs = categories if categories else {None: name}
     return _match(left, right, key, left_time, right_time, values, tiebreak, outs, category if categories else None,
-                  [_Pick(back, back, "")], inclusive, span, heavy_rows, heavy)
+                  [_Pick(back)], inclusive, back)
 
 
 def nearest(left: DataFrame, right: DataFrame, *, key: str, left_time: str, right_time: str,
-            values: list[str], tiebreak: list[str], span: str = "year", name: str = "near",
-            heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+            values: list[str], tiebreak: list[str], name: str = "near") -> DataFrame:
     """Right row with the smallest time distance; on equal distance the earlier one, then ``tiebreak``.
 
     ``key`` may stand for (encounter, day) to search inside one day only.
     """
     both = _match(left, right, key, left_time, right_time, values, tiebreak, {None: "pick"}, None,
-                  [_Pick(True, False, "_b_"), _Pick(False, False, "_f_")], True, span, heavy_rows, "auto")
+                  [_Pick(True, "_b_"), _Pick(False, "_f_")], True, False)
     before, after = F.col("_b_pick"), F.col("_f_pick")
     closer = (F.col(left_time) - before["time"]) <= (after["time"] - F.col(left_time))
     picked = F.when(before.isNotNull() & (after.isNull() | closer), before).otherwise(after)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import boundary_diff
+from .picks import first_per
 
 # Bucket names in order of precedence.
 BUCKETS = ["w1", "m1", "m3", "m6", "y1", "ygt1"]
@@ -30,11 +31,12 @@ def followup_buckets(cases: DataFrame, results: DataFrame, *, key: str, index_ti
     """
     seen = results.where(F.col(time).isNotNull()).withColumns({
         "_y": F.year(time), "_m": F.trunc(time, "MM"), "_w": F.trunc(time, "week")})
-    # The largest (time, tiebreak, values) of a cell is its latest row.
     fields = list(dict.fromkeys([*tiebreak, *values]))
     row = F.struct(F.col(time).alias("time"), *[F.col(c) for c in fields])
-    cells = seen.groupBy(key, component, "_y", "_m", "_w").agg(F.max(row).alias("_row"))
-    last = cells.groupBy(key, component).agg(F.max("_row").alias("_row"))
+    # Ranks are limited per group before the exchange and need no buffer of whole rows.
+    newest = [F.col(f"_row.{c}").desc_nulls_last() for c in ("time", *fields)]
+    cells = first_per(seen.select(key, component, "_y", "_m", "_w", row.alias("_row")), [key, component, "_y", "_m", "_w"], newest)
+    last = first_per(cells.select(key, component, "_row"), [key, component], newest)
 
     index = cases.select(key, index_time).where(F.col(index_time).isNotNull()).distinct()
     near = index.withColumn("_y", F.explode(F.array(F.year(index_time), F.year(index_time) + 1))).join(
@@ -43,6 +45,6 @@ def followup_buckets(cases: DataFrame, results: DataFrame, *, key: str, index_ti
         F.col("bucket").isNotNull() & (F.col("bucket") != "ygt1"))
     far = index.join(last, key).where(F.year("_row.time") - F.year(index_time) >= 2).withColumn("bucket", F.lit("ygt1"))
     keep = [key, index_time, component, "bucket", "_row"]
-    picked = near.select(*keep).groupBy(*keep[:-1]).agg(F.max("_row").alias("_row"))
+    picked = first_per(near.select(*keep), keep[:-1], newest)
     out = picked.unionByName(far.select(*keep))
     return out.select(*keep[:-1], "_row.time", *[f"_row.{v}" for v in values])

@@ -24,8 +24,12 @@ def join_first_key(left: DataFrame, right: DataFrame, left_keys: list[str], righ
 
 
 def exists_flag(left: DataFrame, right: DataFrame, key: str, flags: dict[str, Column]) -> DataFrame:
-    """0/1 columns: does any right row of the key meet the condition.  One pass for all flags."""
-    seen = right.groupBy(F.col(key).alias("_k")).agg(
+    """0/1 columns: does any right row of the key meet the condition.  One pass for all flags.
+
+    Rows that meet none are filtered out first, so the conditions reach the scan.
+    """
+    any_of = reduce(lambda a, b: a | b, flags.values())
+    seen = right.where(any_of).groupBy(F.col(key).alias("_k")).agg(
         *[F.max(F.when(c, 1).otherwise(0)).alias(f) for f, c in flags.items()])
     joined = left.join(seen, left[key] == seen["_k"], "left").drop("_k")
     return joined.withColumns({f: F.coalesce(f, F.lit(0)) for f in flags})
@@ -41,9 +45,9 @@ def lookups(fact: DataFrame, chain: list[tuple[DataFrame, str, str, dict[str, st
 
 
 def anti_append(stage: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Stage rows whose key is not loaded yet, compared column by column; one row per new key value.
+    """Stage rows whose key is not loaded yet, compared column by column.
 
-    A NULL key in the target does not block the load, as a NOT IN would.
+    Repeats inside the stage are all kept.  A NULL key in the target does not block the load, as a NOT IN would.
     """
     return stage.join(target.select(*keys).distinct(), keys, "left_anti")
 

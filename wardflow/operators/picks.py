@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-# A key with more rows than this is split further.  At N rows in all there are at most N / HEAVY_ROWS such keys.
-HEAVY_ROWS = 2_000_000
-# A list of heavy keys up to this length is broadcast; a longer one is joined by shuffle.
-BROADCAST_KEYS = 500_000
-
 
 def first_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row of every key in ``order`` (state nulls_first/nulls_last in each column).
@@ -33,55 +28,30 @@ def earliest_per(df: DataFrame, keys: list[str], time: str, tiebreak: list[str])
     return first_per(df, keys, [F.col(time).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak])
 
 
-def heavy_list(frames: list[tuple[DataFrame, str]], heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
-    """Keys with more than ``heavy_rows`` rows in all frames together; None when there are none.
+def placed(df: DataFrame, order: list[str], label: str) -> DataFrame:
+    """``df`` range-partitioned by ``order`` and written once, with the number of its block.
 
-    A job counts rows per key (combined before the exchange).  A list that is not empty has at most
-    rows / heavy_rows keys; it is written to the shared folder, counted, and broadcast if it is short.
+    Blocks follow the measured distribution of the whole order, so a key with any share of the rows is many
+    blocks of even size; block numbers never decrease along the order.
     """
-    keys = None
-    for df, key in frames:
-        one = df.select(F.col(key).alias("_k"))
-        keys = one if keys is None else keys.unionAll(one)
-    heavy = keys.groupBy("_k").count().where(F.col("count") > heavy_rows).select("_k")
-    if heavy.isEmpty():
-        return None
-    listed = materialise(heavy.sparkSession, heavy, "heavy-keys")
-    return F.broadcast(listed) if listed.count() <= BROADCAST_KEYS else listed
-
-
-def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
-             heavy_rows: int = HEAVY_ROWS, chunk: int = 1 << 20) -> DataFrame:
+    rows = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order])
+    return materialise(df.sparkSession, rows.withColumn("_block", F.spark_partition_id()), label)
+
+
+def next_row(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
     """LEAD(value, 1) per key in ascending ``order``; ``values`` maps new column -> source column.
 
-    ``order`` is (time, integer tiebreak, ...) and must be a total order within a key.  Light keys use
-    one window.  A heavy key is cut at its times and, inside one time, at ranges of the tiebreak;
-    the last row of a cut takes the first row of the next one.
+    ``order`` must be a total order within a key.  A window runs inside each (key, block); the last row of a block
+    takes the first row of the key's next block, of which there is one for each block.
     """
-    time, tie = order[:2]
     by_order = [F.col(c).asc_nulls_first() for c in order]
     payload = F.struct(*[F.col(src).alias(name) for name, src in values.items()])
-    out_cols = [*df.columns, *[F.col(f"_next.{name}").alias(name) for name in values]]
-    keyed = df.withColumn("_key", F.struct(*keys))
-    heavy = heavy_list([(keyed, "_key")], heavy_rows)
-    if heavy is None:
-        whole = Window.partitionBy(*keys).orderBy(*by_order)
-        return df.withColumn("_next", F.lead(payload, 1).over(whole)).select(*out_cols)
-
-    few = heavy.select(F.col("_k").alias("_key"), F.lit(True).alias("_heavy"))
-    cut = F.when(F.col("_heavy"), F.struct(F.col(time).alias("a"), F.floor(F.col(tie) / chunk).alias("b")))
-    marked = keyed.join(few, "_key", "left").withColumn("_cut", cut)
-    inside = Window.partitionBy("_key", "_cut").orderBy(*by_order)
-    led = marked.withColumn("_next", F.lead(payload, 1).over(inside))
-    heads = (
-        marked.where("_heavy")
-        .groupBy("_key", "_cut")
-        .agg(F.min_by(payload, F.struct(*order)).alias("_head"))
-        .withColumn("_after", F.lead("_head", 1).over(Window.partitionBy("_key").orderBy("_cut")))
-        .select("_key", "_cut", "_after")
-    )
-    out = led.join(heads, ["_key", "_cut"], "left").withColumn("_next", F.coalesce("_next", "_after"))
-    return out.select(*out_cols)
+    rows = placed(df.withColumn("_key", F.struct(*keys)), ["_key", *order], "next-row")
+    led = rows.withColumn("_next", F.lead(payload, 1).over(Window.partitionBy("_key", "_block").orderBy(*by_order)))
+    heads = first_per(rows, ["_key", "_block"], by_order).select("_key", "_block", payload.alias("_head"))
+    after = heads.withColumn("_after", F.lead("_head", 1).over(Window.partitionBy("_key").orderBy("_block"))).drop("_head")
+    out = led.join(after, ["_key", "_block"], "left").withColumn("_next", F.coalesce("_next", "_after"))
+    return out.select(*df.columns, *[F.col(f"_next.{name}").alias(name) for name in values])
 
 
 def count_per(df: DataFrame, keys: list[str], name: str) -> DataFrame:

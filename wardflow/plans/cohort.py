@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clinical
-from ..functions.conditions import COMORBIDITY, OSA_TEXT, PATIENT, pattern_rows
+from ..functions.conditions import COMORBIDITY, OSA_TEXT, PATIENT, flags, pattern_rows
 from ..functions.dates import age_at, within_last_years
 from ..functions.keys import current_rows
 from ..operators.aggregates import list_distinct
@@ -26,7 +26,7 @@ MEDICATION_DAYS = 10
 # Procedure codes of the shoulder cohort.
 SHOULDER_CODES = ["29806", "23455", "29828", "23430", "23440", "23020", "29825", "23450", "29822", "23470", "23616", "23120",
                   "29824", "17999", "29827"]
-FLAGS = list(COMORBIDITY) + list(PATIENT)
+FLAGS = flags(COMORBIDITY, PATIENT)
 
 
 def readmission_lists(index: DataFrame, admissions: DataFrame, key: str) -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators.code_flags import code_masks, flag_columns, masks_per, pattern_
 from ..operators.followup import BUCKETS, followup_buckets
 from ..operators.intervals import later_days
 from ..operators.joins import all_of
-from ..operators.picks import heavy_list, latest_per
+from ..operators.picks import latest_per
 from ..session import materialise
 
 # Diagnosis prefixes of the two history flags.
@@ -97,14 +97,12 @@ def case_labs(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame
     return out.select("patient_key", "family", "category", shown.alias("shown"), "order_id", "collected", "resulted", "result_key")
 
 
-def _picks(index: DataFrame, labs: DataFrame, families: dict[str, list[str]], time: str, direction: str,
-           heavy: DataFrame | None) -> DataFrame:
+def _picks(index: DataFrame, labs: DataFrame, families: dict[str, list[str]], time: str, direction: str) -> DataFrame:
     """One column per (family, category) with the picked struct, keyed by case."""
     events = labs.where(F.col("family").isin(list(families))).withColumn("_fc", F.concat_ws(":", "family", "category"))
     outs = {f"{f}:{c}": f"{f}_{c}" for f, cs in families.items() for c in cs}
     return asof(index.select("case_key", "patient_key", time), events, key="patient_key", left_time=time, right_time="collected",
-                values=["shown", "order_id"], tiebreak=["result_key"], direction=direction, category="_fc", categories=outs,
-                heavy=heavy).drop("patient_key", time)
+                values=["shown", "order_id"], tiebreak=["result_key"], direction=direction, category="_fc", categories=outs).drop("patient_key", time)
 
 
 def readmissions(tables: Mapping[str, DataFrame], index: DataFrame, fmt: str) -> DataFrame:
@@ -159,12 +157,11 @@ def imaging_picks(tables: Mapping[str, DataFrame], index: DataFrame, patients: D
         "modality is not null")
     exams = tables["imaging"].join(wanted, "procedure_key").join(patients, "patient_key", "left_semi")
     exams = materialise(patients.sparkSession, exams, "registry-images")
-    heavy = heavy_list([(exams, "patient_key"), (index, "patient_key")])
     out = []
     for time, direction, tag in (("procedure_start", "backward", "pre_op"), ("procedure_complete", "forward", "post_op")):
         cols = {m: f"_{m}" for m in clinical.CT_OR_MR}
         found = asof(index.select("case_key", "patient_key", time), exams, key="patient_key", left_time=time, right_time="exam_start",
-                     values=["narrative", "impression"], tiebreak=["imaging_key"], direction=direction, category="modality", categories=cols, heavy=heavy)
+                     values=["narrative", "impression"], tiebreak=["imaging_key"], direction=direction, category="modality", categories=cols)
         out.append(found.select("case_key", *[
             F.col(f"{c}.{f}").alias(f"{tag}_{m}_{n}") for m, c in cols.items()
             for f, n in (("time", "date"), ("narrative", "result"), ("impression", "impression"))]))
@@ -187,13 +184,11 @@ def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, servic
     patients = base.select("patient_key").distinct()
     labs = materialise(spark, case_labs(tables, patients), "registry-labs")
 
-    heavy = heavy_list([(labs, "patient_key"), (index, "patient_key")])
-
     before = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE), "culture": ["culture"]},
-                    "procedure_start", "backward", heavy)
-    after = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE)}, "procedure_complete", "forward", heavy)
-    path = materialise(spark, _picks(index, labs, {"pathology": list(clinical.PATHOLOGY.values())}, "start_day", "forward", heavy), "registry-path")
-    stone = _picks(index, labs, {"stone": list(clinical.STONE)}, "procedure_start", "forward", heavy)
+                    "procedure_start", "backward")
+    after = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE)}, "procedure_complete", "forward")
+    path = materialise(spark, _picks(index, labs, {"pathology": list(clinical.PATHOLOGY.values())}, "start_day", "forward"), "registry-path")
+    stone = _picks(index, labs, {"stone": list(clinical.STONE)}, "procedure_start", "forward")
 
     def named(df, pairs):
         return df.selectExpr("case_key", *[f"`{src}`.shown AS `{out}`" for src, out in pairs])

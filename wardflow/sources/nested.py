@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ISO_START = r"^\d{4}-\d{2}-\d{2}T"
-SAMPLE = 5          # non-NULL values of a column that decide whether it holds timestamps
 
 # Column type -> type in the loaded table (anything else is text).
 LOAD_TYPES = {
@@ -20,7 +21,8 @@ LOAD_TYPES = {
 def json_schema(df: DataFrame, column: str) -> str:
     """Schema of a JSON text column, merged over all rows by one aggregation."""
     merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
-    return merged.replace("OBJECT<", "STRUCT<")
+    # Names with other characters than letters and digits are quoted; only type names are changed.
+    return re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), merged)
 
 
 def parse_json(df: DataFrame, column: str, schema: str | None = None) -> DataFrame:
@@ -44,23 +46,22 @@ def flatten(df: DataFrame, sep: str = "__") -> DataFrame:
 
 
 def timestamp_columns(df: DataFrame, null_columns_too: bool = False) -> list[str]:
-    """Text columns whose first few non-NULL values all look like ISO timestamps.
+    """Text columns of which every non-NULL value is an ISO timestamp; a mixed column stays text.
 
-    One small read per text column stops after a few rows.  The original rule also accepts columns
+    One aggregation over all rows and all text columns.  The original rule also accepts columns
     without any value; ``null_columns_too=True`` repeats that.
     """
-    found = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            sample = df.select(f.name).where(F.col(f.name).isNotNull()).limit(SAMPLE)
-            hit = sample.agg(F.bool_and(F.col(f.name).rlike(ISO_START)).alias("all")).first()["all"]
-            if hit or (hit is None and null_columns_too):
-                found.append(f.name)
-    return found
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return []
+    cols = [F.col(f"`{n}`") for n in names]
+    hits = df.agg(*[F.bool_and(F.when(c.isNotNull(), c.rlike(ISO_START) & F.try_to_timestamp(c).isNotNull())).alias(f"c{i}")
+                    for i, c in enumerate(cols)]).first()
+    return [n for n, hit in zip(names, hits) if hit or (hit is None and null_columns_too)]
 
 
 def load_types(df: DataFrame, timestamps: list[str]) -> DataFrame:
-    """Apply the load type map; values of a timestamp column that do not parse become NULL."""
+    """Apply the load type map."""
     cols = []
     for f in df.schema.fields:
         if f.name in timestamps:

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions import clinical as cat
-from ..functions.conditions import COMORBIDITY, OSA_TEXT, PATIENT, pattern_rows
 from ..plans import cohort, datamart, registry
 from ..session import materialise
+from .condition_sql import CONDITIONS
 from . import LazyTables, Tables, query
 from .warehouse import REVENUE_SQL, choice, patient, provider, sql_choice
 
@@ -258,8 +258,8 @@ def registry_wide(t: Tables):
 
 
 _FLAG_SQL = ", ".join(
-    f"max(CASE WHEN {' OR '.join(('c.value LIKE ' + chr(39) + p + '%' + chr(39)) if k == 'prefix' else ('c.value = ' + chr(39) + p + chr(39)) for f2, k, p in pattern_rows(COMORBIDITY, PATIENT) if f2 == f)}"
-    f"{' OR c.display ILIKE ' + chr(39) + OSA_TEXT + chr(39) if f == 'osa_flag' else ''} THEN 1 ELSE 0 END) AS {f}" for f in cohort.FLAGS)
+    f"max(CASE WHEN {sql}{' OR c.display ILIKE ' + chr(39) + '%sleep apnea%' + chr(39) if f == 'osa_flag' else ''} THEN 1 ELSE 0 END) AS {f}"
+    for f, sql in CONDITIONS.items())
 
 
 @query("condition_flags", f"""WITH {_CLINICAL_SQL},

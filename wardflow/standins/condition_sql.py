@@ -1,0 +1,252 @@
+"""SQL conditions of the diagnosis flags, written out for the oracle so that it does not share the library's list."""
+
+# Fixed values.
+CONDITIONS = {
+    "chf": (
+        "c.value LIKE 'I50%' OR c.value = 'I09.81' OR c.value LIKE '428.%' OR c.value = '398.91'"
+    ),
+    "aids": (
+        "c.value = 'B20' OR c.value LIKE '042%' OR c.value LIKE '043%' OR c.value LIKE '044%'"
+    ),
+    "alcohol": (
+        "c.value LIKE 'F10%' OR c.value LIKE '291.%' OR c.value LIKE '303.%' OR c.value LIKE '305.0%'"
+    ),
+    "anemdef": (
+        "c.value LIKE 'D50%' OR c.value LIKE 'D51%' OR c.value LIKE 'D52%' OR c.value LIKE 'D53%' OR "
+        "c.value LIKE 'D63%' OR c.value LIKE 'D64%' OR c.value LIKE '280%' OR c.value LIKE '281%' OR "
+        "c.value LIKE '285.2%' OR c.value LIKE '285.9%'"
+    ),
+    "arth": (
+        "c.value LIKE 'M05%' OR c.value LIKE 'M06%' OR c.value LIKE 'M08%' OR c.value LIKE 'M12%' OR "
+        "c.value LIKE 'M32%' OR c.value LIKE 'M33%' OR c.value LIKE 'M34%' OR c.value LIKE 'M35%' OR "
+        "c.value LIKE 'M45%' OR c.value LIKE 'M46%' OR c.value LIKE 'L40%'"
+    ),
+    "bldloss": (
+        "c.value = 'D50.0' OR c.value = 'O90.81' OR c.value LIKE 'O99.01%' OR c.value = 'O99.02' OR "
+        "c.value = 'O99.03' OR c.value = '280.0' OR c.value LIKE '648.2%'"
+    ),
+    "chrnlung": (
+        "c.value LIKE 'J40%' OR c.value LIKE 'J41%' OR c.value LIKE 'J42%' OR c.value LIKE 'J43%' OR "
+        "c.value LIKE 'J44%' OR c.value LIKE 'J45%' OR c.value LIKE 'J47%' OR c.value LIKE 'J60%' OR "
+        "c.value LIKE 'J61%' OR c.value LIKE 'J62%' OR c.value LIKE 'J63%' OR c.value LIKE 'J64%' OR "
+        "c.value LIKE 'J66%' OR c.value LIKE 'J67%' OR c.value = 'J68.4' OR c.value LIKE '490%' OR "
+        "c.value LIKE '491%' OR c.value LIKE '492%' OR c.value LIKE '493.%' OR c.value LIKE '494%' OR "
+        "c.value LIKE '495.%' OR c.value LIKE '496%' OR c.value LIKE '497%' OR c.value LIKE '498%' OR "
+        "c.value LIKE '499%' OR c.value LIKE '500%' OR c.value LIKE '501%' OR c.value LIKE '502%' OR "
+        "c.value LIKE '503%' OR c.value LIKE '504%' OR c.value LIKE '505%' OR c.value = '506.4'"
+    ),
+    "coag": (
+        "c.value LIKE 'D65%' OR c.value LIKE 'D66%' OR c.value LIKE 'D67%' OR c.value LIKE 'D68%' OR "
+        "c.value LIKE 'D69%' OR c.value LIKE '286.%' OR c.value LIKE '287.%' OR c.value = '289.84'"
+    ),
+    "depress": (
+        "c.value LIKE 'F32%' OR c.value LIKE 'F33%' OR c.value = 'F34.1' OR c.value = 'F43.21' OR "
+        "c.value = '300.4' OR c.value = '301.12' OR c.value = '309.0' OR c.value = '309.1' OR c.value = '311'"
+    ),
+    "dm": (
+        "c.value LIKE 'E08%' OR c.value LIKE 'E09%' OR c.value LIKE 'E10%' OR c.value LIKE 'E11%' OR "
+        "c.value LIKE 'E13%' OR c.value LIKE '249.%' OR c.value LIKE '250.%'"
+    ),
+    "dmcx": (
+        "c.value LIKE 'E08.21%' OR c.value LIKE 'E08.22%' OR c.value LIKE 'E08.29%' OR c.value LIKE 'E08.31%' OR "
+        "c.value LIKE 'E08.32%' OR c.value LIKE 'E08.33%' OR c.value LIKE 'E08.34%' OR c.value LIKE 'E08.35%' OR "
+        "c.value LIKE 'E08.36%' OR c.value LIKE 'E08.37%' OR c.value LIKE 'E08.39%' OR c.value LIKE 'E08.4%' OR "
+        "c.value LIKE 'E08.5%' OR c.value LIKE 'E08.6%' OR c.value LIKE 'E08.8%' OR c.value LIKE 'E09.21%' OR "
+        "c.value LIKE 'E09.22%' OR c.value LIKE 'E09.29%' OR c.value LIKE 'E09.31%' OR c.value LIKE 'E09.32%' OR "
+        "c.value LIKE 'E09.33%' OR c.value LIKE 'E09.34%' OR c.value LIKE 'E09.35%' OR c.value LIKE 'E09.36%' OR "
+        "c.value LIKE 'E09.37%' OR c.value LIKE 'E09.39%' OR c.value LIKE 'E09.4%' OR c.value LIKE 'E09.5%' OR "
+        "c.value LIKE 'E09.6%' OR c.value LIKE 'E09.8%' OR c.value LIKE 'E10.21%' OR c.value LIKE 'E10.22%' OR "
+        "c.value LIKE 'E10.29%' OR c.value LIKE 'E10.31%' OR c.value LIKE 'E10.32%' OR c.value LIKE 'E10.33%' OR "
+        "c.value LIKE 'E10.34%' OR c.value LIKE 'E10.35%' OR c.value LIKE 'E10.36%' OR c.value LIKE 'E10.37%' OR "
+        "c.value LIKE 'E10.39%' OR c.value LIKE 'E10.4%' OR c.value LIKE 'E10.5%' OR c.value LIKE 'E10.6%' OR "
+        "c.value LIKE 'E10.8%' OR c.value LIKE 'E11.21%' OR c.value LIKE 'E11.22%' OR c.value LIKE 'E11.29%' OR "
+        "c.value LIKE 'E11.31%' OR c.value LIKE 'E11.32%' OR c.value LIKE 'E11.33%' OR c.value LIKE 'E11.34%' OR "
+        "c.value LIKE 'E11.35%' OR c.value LIKE 'E11.36%' OR c.value LIKE 'E11.37%' OR c.value LIKE 'E11.39%' OR "
+        "c.value LIKE 'E11.4%' OR c.value LIKE 'E11.5%' OR c.value LIKE 'E11.6%' OR c.value LIKE 'E11.8%' OR "
+        "c.value LIKE 'E13.21%' OR c.value LIKE 'E13.22%' OR c.value LIKE 'E13.29%' OR c.value LIKE 'E13.31%' OR "
+        "c.value LIKE 'E13.32%' OR c.value LIKE 'E13.33%' OR c.value LIKE 'E13.34%' OR c.value LIKE 'E13.35%' OR "
+        "c.value LIKE 'E13.36%' OR c.value LIKE 'E13.37%' OR c.value LIKE 'E13.39%' OR c.value LIKE 'E13.4%' OR "
+        "c.value LIKE 'E13.5%' OR c.value LIKE 'E13.6%' OR c.value LIKE 'E13.8%'"
+    ),
+    "drug": (
+        "c.value LIKE 'F11%' OR c.value LIKE 'F12%' OR c.value LIKE 'F13%' OR c.value LIKE 'F14%' OR "
+        "c.value LIKE 'F15%' OR c.value LIKE 'F16%' OR c.value LIKE 'F18%' OR c.value LIKE 'F19%' OR "
+        "c.value LIKE '292.%' OR c.value LIKE '304.%' OR c.value LIKE '305.2%' OR c.value LIKE '305.3%' OR "
+        "c.value LIKE '305.4%' OR c.value LIKE '305.5%' OR c.value LIKE '305.6%' OR c.value LIKE '305.7%' OR "
+        "c.value LIKE '305.8%' OR c.value LIKE '305.9%'"
+    ),
+    "hhrwchf": (
+        "c.value = 'I13.0' OR c.value = '404.01' OR c.value = '404.11' OR c.value = '404.91'"
+    ),
+    "hhrwhrf": (
+        "c.value = 'I13.2' OR c.value = '404.03' OR c.value = '404.13' OR c.value = '404.93'"
+    ),
+    "hhrwohrf": (
+        "c.value = 'I13.10' OR c.value = '404.00' OR c.value = '404.10' OR c.value = '404.90'"
+    ),
+    "hhrwrf": (
+        "c.value = 'I13.11' OR c.value = '404.02' OR c.value = '404.12' OR c.value = '404.92'"
+    ),
+    "hrenworf": (
+        "c.value = 'I12.9' OR c.value = 'I15.0' OR c.value = 'I15.1' OR c.value = '403.00' OR "
+        "c.value = '403.10' OR c.value = '403.90' OR c.value = '405.01' OR c.value = '405.11' OR "
+        "c.value = '405.91' OR c.value LIKE '642.1%'"
+    ),
+    "hrenwrf": (
+        "c.value = 'I12.0' OR c.value = '403.01' OR c.value = '403.11' OR c.value = '403.91'"
+    ),
+    "htn": (
+        "c.value = 'I10' OR c.value LIKE '401.1%' OR c.value LIKE '401.9%' OR c.value LIKE '642.0%'"
+    ),
+    "htncx": (
+        "c.value = 'I16.0' OR c.value = 'I16.1' OR c.value = 'I16.9' OR c.value = 'I67.4' OR c.value = '401.0' OR "
+        "c.value = '437.2'"
+    ),
+    "htnpreg": (
+        "c.value LIKE 'O10.111%' OR c.value LIKE 'O10.112%' OR c.value LIKE 'O10.113%' OR "
+        "c.value LIKE 'O10.119%' OR c.value LIKE 'O10.12%' OR c.value LIKE 'O10.13%' OR "
+        "c.value LIKE 'O10.211%' OR c.value LIKE 'O10.212%' OR c.value LIKE 'O10.213%' OR "
+        "c.value LIKE 'O10.219%' OR c.value LIKE 'O10.22%' OR c.value LIKE 'O10.23%' OR "
+        "c.value LIKE 'O10.311%' OR c.value LIKE 'O10.312%' OR c.value LIKE 'O10.313%' OR "
+        "c.value LIKE 'O10.319%' OR c.value LIKE 'O10.32%' OR c.value LIKE 'O10.33%' OR "
+        "c.value LIKE 'O10.411%' OR c.value LIKE 'O10.412%' OR c.value LIKE 'O10.413%' OR "
+        "c.value LIKE 'O10.419%' OR c.value LIKE 'O10.42%' OR c.value LIKE 'O10.43%' OR c.value LIKE 'O11.1%' OR "
+        "c.value LIKE 'O11.2%' OR c.value LIKE 'O11.3%' OR c.value LIKE 'O11.4%' OR c.value LIKE 'O11.5%' OR "
+        "c.value LIKE 'O11.9%'"
+    ),
+    "htnwchf": (
+        "c.value = 'I11.0' OR c.value = '402.01' OR c.value = '402.11' OR c.value = '402.91'"
+    ),
+    "htnwochf": (
+        "c.value = 'I11.9' OR c.value = 'I15.2' OR c.value = 'I15.8' OR c.value = 'I15.9' OR "
+        "c.value = '402.00' OR c.value = '402.10' OR c.value = '402.90' OR c.value = '405.09' OR "
+        "c.value = '405.19' OR c.value = '405.99'"
+    ),
+    "hypothy": (
+        "c.value = 'E00.0' OR c.value = 'E00.1' OR c.value = 'E00.2' OR c.value = 'E00.9' OR c.value = 'E01.8' OR "
+        "c.value = 'E02' OR c.value = 'E03.0' OR c.value = 'E03.1' OR c.value = 'E03.2' OR c.value = 'E03.3' OR "
+        "c.value = 'E03.8' OR c.value = 'E03.9' OR c.value = 'E89.0' OR c.value LIKE '243%' OR c.value LIKE '244%'"
+    ),
+    "liver": (
+        "c.value LIKE 'B18.0%' OR c.value LIKE 'B18.1%' OR c.value LIKE 'B18.2%' OR c.value LIKE 'I85.0%' OR "
+        "c.value LIKE 'I85.1%' OR c.value LIKE 'K70.%' OR c.value LIKE 'K72.%' OR c.value LIKE 'K73.%' OR "
+        "c.value LIKE 'K74.%' OR c.value = 'K75.4' OR c.value = 'K75.81' OR c.value LIKE 'K76.%' OR "
+        "c.value = 'Z94.4' OR c.value = '070.22' OR c.value = '070.23' OR c.value = '070.32' OR "
+        "c.value = '070.33' OR c.value = '070.44' OR c.value = '070.54' OR c.value LIKE '456.%' OR "
+        "c.value LIKE '571.%' OR c.value = '572.3' OR c.value = '572.8'"
+    ),
+    "lymph": (
+        "c.value LIKE 'C81%' OR c.value LIKE 'C82%' OR c.value LIKE 'C83%' OR c.value LIKE 'C84%' OR "
+        "c.value LIKE 'C85%' OR c.value LIKE 'C86%' OR c.value LIKE 'C88%' OR c.value LIKE 'C90%' OR "
+        "c.value LIKE 'C96%'"
+    ),
+    "lytes": (
+        "c.value = 'E86.0' OR c.value = 'E86.1' OR c.value = 'E86.9' OR c.value = 'E87.0' OR c.value = 'E87.1' OR "
+        "c.value = 'E87.2' OR c.value = 'E87.3' OR c.value = 'E87.4' OR c.value = 'E87.5' OR c.value = 'E87.6' OR "
+        "c.value = 'E87.70' OR c.value = 'E87.71' OR c.value = 'E87.79' OR c.value = 'E87.8' OR "
+        "c.value LIKE '276.%'"
+    ),
+    "mets": (
+        "c.value LIKE 'C77.%' OR c.value LIKE 'C78.%' OR c.value LIKE 'C79.%' OR c.value LIKE 'C80.%' OR "
+        "c.value LIKE 'C7B.%' OR c.value LIKE '196.%' OR c.value LIKE '197%' OR c.value LIKE '198%' OR "
+        "c.value LIKE '199%' OR c.value LIKE '209.7%' OR c.value = '789.51'"
+    ),
+    "neuro": (
+        "c.value LIKE 'E75.%' OR c.value = 'F84.2' OR c.value = 'G10' OR c.value LIKE 'G11.%' OR "
+        "c.value LIKE 'G12.%' OR c.value LIKE 'G13.%' OR c.value = 'G20' OR c.value = 'G21.4' OR "
+        "c.value LIKE 'G24.%' OR c.value LIKE 'G25.%' OR c.value LIKE 'G30.%' OR c.value LIKE 'G31.%' OR "
+        "c.value = 'G32.81' OR c.value = 'G35' OR c.value LIKE 'G36.%' OR c.value LIKE 'G37.%' OR "
+        "c.value LIKE 'G40.%' OR c.value = 'G47.411' OR c.value = 'G47.419' OR c.value = 'G47.421' OR "
+        "c.value = 'G47.429' OR c.value = 'G80.3' OR c.value = 'G89.0' OR c.value LIKE 'G91.%' OR "
+        "c.value LIKE 'G93.%' OR c.value = 'G94' OR c.value LIKE 'O99.350%' OR c.value LIKE 'O99.351%' OR "
+        "c.value LIKE 'O99.352%' OR c.value LIKE 'O99.353%' OR c.value LIKE 'O99.354%' OR c.value LIKE 'O99.355%'"
+    ),
+    "obese": (
+        "c.value LIKE 'E66.%' OR c.value LIKE 'O99.21%' OR c.value = 'R93.9' OR c.value LIKE 'Z68.3%' OR "
+        "c.value LIKE 'Z68.4%' OR c.value = 'Z68.54'"
+    ),
+    "ohtnpreg": (
+        "c.value LIKE 'O16.%' OR c.value LIKE '642.7%' OR c.value LIKE '642.9%'"
+    ),
+    "para": (
+        "c.value = 'G04.1' OR c.value LIKE 'G80.%' OR c.value LIKE 'G81.%' OR c.value LIKE 'G82.%' OR "
+        "c.value LIKE 'G83.%' OR c.value LIKE 'I69.%' OR c.value = 'R53.2'"
+    ),
+    "perivasc": (
+        "c.value LIKE 'I70.%' OR c.value LIKE 'I71.%' OR c.value LIKE 'I72.%' OR c.value LIKE 'I73.%' OR "
+        "c.value LIKE 'I74.%' OR c.value = 'I76' OR c.value LIKE 'I77.%' OR c.value LIKE 'I79.%' OR "
+        "c.value LIKE 'K55.%' OR c.value = 'Z95.820' OR c.value = 'Z95.828'"
+    ),
+    "psych": (
+        "c.value LIKE 'F20%' OR c.value LIKE 'F22%' OR c.value LIKE 'F23%' OR c.value LIKE 'F24%' OR "
+        "c.value LIKE 'F25%' OR c.value LIKE 'F28%' OR c.value LIKE 'F29%' OR c.value LIKE 'F30%' OR "
+        "c.value LIKE 'F31%' OR c.value = 'F32.4' OR c.value = 'F32.5' OR c.value LIKE 'F33.40%' OR "
+        "c.value LIKE 'F33.41%' OR c.value LIKE 'F33.42%' OR c.value LIKE 'F34.8%' OR c.value = 'F39' OR "
+        "c.value = 'F44.89' OR c.value = 'F84.3'"
+    ),
+    "pulmcirc": (
+        "c.value LIKE 'I26.%' OR c.value LIKE 'I27.%' OR c.value = 'I28.9' OR c.value = 'T80.0XXA' OR "
+        "c.value = 'T82.817A' OR c.value = 'T82.818A' OR c.value LIKE '415.1%' OR c.value LIKE '416.%' OR "
+        "c.value = '417.9'"
+    ),
+    "renlfail": (
+        "c.value LIKE 'N18.3%' OR c.value LIKE 'N18.4%' OR c.value LIKE 'N18.5%' OR c.value LIKE 'N18.6%' OR "
+        "c.value LIKE 'N18.9%' OR c.value = 'N19' OR c.value LIKE 'Z49.%' OR c.value = 'Z91.15' OR "
+        "c.value = 'Z94.0' OR c.value = 'Z99.2' OR c.value LIKE '585.3%' OR c.value LIKE '585.4%' OR "
+        "c.value LIKE '585.5%' OR c.value LIKE '585.6%' OR c.value LIKE '585.9%' OR c.value = '586' OR "
+        "c.value = 'V42.0' OR c.value = 'V45.1' OR c.value LIKE 'V56%'"
+    ),
+    "tumor": (
+        "c.value LIKE 'C00.%' OR c.value LIKE 'C01%' OR c.value LIKE 'C02.%' OR c.value LIKE 'C03.%' OR "
+        "c.value LIKE 'C04.%' OR c.value LIKE 'C05.%' OR c.value LIKE 'C06.%' OR c.value = 'C07' OR "
+        "c.value LIKE 'C08.%' OR c.value LIKE 'C09.%' OR c.value LIKE 'C10.%' OR c.value LIKE 'C11.%' OR "
+        "c.value = 'C12' OR c.value LIKE 'C13.%' OR c.value LIKE 'C14.%' OR c.value LIKE 'C15.%' OR "
+        "c.value LIKE 'C16.%' OR c.value LIKE 'C17.%' OR c.value LIKE 'C18.%' OR c.value = 'C19' OR "
+        "c.value = 'C20' OR c.value LIKE 'C21.%' OR c.value LIKE 'C22.%' OR c.value = 'C23' OR "
+        "c.value LIKE 'C24.%' OR c.value LIKE 'C25.%' OR c.value LIKE 'C26.%' OR c.value LIKE 'C30.%' OR "
+        "c.value LIKE 'C31.%' OR c.value LIKE 'C32.%' OR c.value = 'C33' OR c.value LIKE 'C34.%' OR "
+        "c.value = 'C37' OR c.value LIKE 'C38.%' OR c.value LIKE 'C39.%' OR c.value LIKE 'C40.%' OR "
+        "c.value LIKE 'C41.%' OR c.value LIKE 'C43.%' OR c.value LIKE 'C45.%' OR c.value LIKE 'C47.%' OR "
+        "c.value LIKE 'C48.%' OR c.value LIKE 'C49.%' OR c.value LIKE 'C4A.%' OR c.value LIKE 'C50.%' OR "
+        "c.value LIKE 'C51.%' OR c.value = 'C52' OR c.value LIKE 'C53.%' OR c.value LIKE 'C54.%' OR "
+        "c.value = 'C55' OR c.value LIKE 'C56.%' OR c.value LIKE 'C57.%' OR c.value = 'C58' OR "
+        "c.value LIKE 'C60.%' OR c.value = 'C61' OR c.value LIKE 'C62.%' OR c.value LIKE 'C63.%' OR "
+        "c.value LIKE 'C64.%' OR c.value LIKE 'C65.%' OR c.value LIKE 'C66.%' OR c.value LIKE 'C67.%' OR "
+        "c.value LIKE 'C68.%' OR c.value LIKE 'C69.%' OR c.value LIKE 'C70.%' OR c.value LIKE 'C71.%' OR "
+        "c.value LIKE 'C72.%' OR c.value = 'C73' OR c.value LIKE 'C74.%' OR c.value LIKE 'C75.%' OR "
+        "c.value LIKE 'C76.%' OR c.value LIKE 'C7A.%' OR c.value LIKE 'C7B.%' OR c.value LIKE 'D03.%'"
+    ),
+    "ulcer": (
+        "c.value LIKE 'K25.%' OR c.value LIKE 'K26.%' OR c.value LIKE 'K27.%' OR c.value LIKE 'K28.%' OR "
+        "c.value LIKE '531.%' OR c.value LIKE '532.%' OR c.value LIKE '533.%' OR c.value LIKE '534.%'"
+    ),
+    "valve": (
+        "c.value = 'A52.03' OR c.value LIKE 'I05.%' OR c.value LIKE 'I06.%' OR c.value LIKE 'I07.%' OR "
+        "c.value LIKE 'I08.%' OR c.value = 'I09.1' OR c.value = 'I09.89' OR c.value LIKE 'I34.%' OR "
+        "c.value LIKE 'I35.%' OR c.value LIKE 'I36.%' OR c.value LIKE 'I37.%' OR c.value = 'I38' OR "
+        "c.value = 'I39' OR c.value LIKE 'Q23.%' OR c.value = 'Z95.2' OR c.value = 'Z95.3' OR c.value = 'Z95.4'"
+    ),
+    "wghtloss": (
+        "c.value LIKE 'E40%' OR c.value LIKE 'E41%' OR c.value LIKE 'E42%' OR c.value LIKE 'E43%' OR "
+        "c.value LIKE 'E44.%' OR c.value = 'E45' OR c.value = 'E46' OR c.value = 'E64.0' OR c.value = 'R63.4' OR "
+        "c.value = 'R63.6'"
+    ),
+    "osa_flag": (
+        "c.value = 'G4733'"
+    ),
+    "cad_mi_flag": (
+        "c.value LIKE 'I21%' OR c.value LIKE 'I22%' OR c.value LIKE 'I25%'"
+    ),
+    "arrhythmia_flag": (
+        "c.value LIKE 'I47%' OR c.value LIKE 'I48%' OR c.value LIKE 'I49%'"
+    ),
+    "anxiety_flag": (
+        "c.value LIKE 'F41%'"
+    ),
+    "dementia_flag": (
+        "c.value LIKE 'F03%' OR c.value LIKE 'G30%'"
+    ),
+    "functional_disability_flag": (
+        "c.value LIKE 'G81%' OR c.value LIKE 'G82%' OR c.value = 'R532' OR c.value LIKE 'Z74%'"
+    ),
+}

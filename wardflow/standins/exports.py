@@ -60,12 +60,12 @@ def extract_split_by_size(t: Tables):
 
 @query("extract_param_fanout", """
 WITH p AS (SELECT DISTINCT c_mktsegment, c_mktsegment AS file_name_part FROM customer WHERE coalesce(c_mktsegment, '') <> '')
-SELECT 'PB_CBO_Outcome_' || file_name_part || '_19980401.csv' AS file_name,
+SELECT 'SEGMENT_' || file_name_part || '_19980401.csv' AS file_name,
   concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, c.c_mktsegment) AS line FROM customer c JOIN p USING (c_mktsegment)""")
 def extract_param_fanout(t: Tables):
     params = t.customer.where("coalesce(c_mktsegment, '') <> ''").select("c_mktsegment").distinct().withColumn(
         "file_name_part", F.col("c_mktsegment"))
-    named = delimited.name_by_parameter(t.customer, params, ["c_mktsegment"], "PB_CBO_Outcome_<FILENAMEPART>_YYYYMMDD.csv",
+    named = delimited.name_by_parameter(t.customer, params, ["c_mktsegment"], "SEGMENT_<FILENAMEPART>_YYYYMMDD.csv",
                                         F.lit(RUN_DATE))
     return named.select("file_name", delimited.line(["c_custkey", "c_name", "c_mktsegment"]).alias("line"))
 
@@ -81,7 +81,7 @@ def fixed_width_export(t: Tables):
 
 @query("report_name", """
 SELECT o_orderkey, 'VISITS_' || o_orderpriority || '_' || strftime(o_orderdate, '%Y%m%d') || '_part' || lpad(CAST(o_orderkey % 7 AS VARCHAR), 3, '0') || '.txt' AS visits_name,
-  'PFA_NH_' || strftime(o_orderdate, '%m%d%Y') || '.txt' AS pfa_name, 'X_' || strftime(o_orderdate, '%Y%m%d%H%M') || '.txt' AS minute_name,
+  'PLAN_' || strftime(o_orderdate, '%m%d%Y') || '.txt' AS pfa_name, 'X_' || strftime(o_orderdate, '%Y%m%d%H%M') || '.txt' AS minute_name,
   'Visits_' || strftime(o_orderdate, '%Y.%m') || '.csv' AS month_name, 'Epic_Provider.txt' AS plain_name FROM orders""")
 def report_name(t: Tables):
     rows = t.orders.withColumns({
@@ -91,7 +91,7 @@ def report_name(t: Tables):
     return rows.select(
         "o_orderkey",
         text.report_name("VISITS_<FILENAMEPART>_YYYYMMDD{SPLITINDEX}.txt", at, "o_orderpriority", None, "index").alias("visits_name"),
-        text.report_name("PFA_NH_mmddyyyy.txt", at).alias("pfa_name"), text.report_name("X_%Y%m%d%H%M.txt", at).alias("minute_name"),
+        text.report_name("PLAN_mmddyyyy.txt", at).alias("pfa_name"), text.report_name("X_%Y%m%d%H%M.txt", at).alias("minute_name"),
         text.report_name("Visits_<DATEPART>.csv", at, None, "month").alias("month_name"),
         text.report_name("Epic_Provider.txt", at).alias("plain_name"))
 
@@ -106,6 +106,16 @@ def json_flatten(t: Tables):
     return nested.call_records(records)
 
 
+@query("json_flatten_mixed", """
+SELECT event_id AS id, CASE WHEN event_type = 'view' OR event_id >= 40 AND event_id % 3 = 0 THEN event_type ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS meta__seen, ts AS meta__at FROM events""")
+def json_flatten_mixed(t: Tables):
+    """A text column of which part is no time keeps all its values as text."""
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    seen = F.when((F.col("event_type") == "view") | ((F.col("event_id") >= 40) & (F.col("event_id") % 3 == 0)), F.col("event_type")).otherwise(iso)
+    return nested.call_records(t.events.select(F.col("event_id").alias("id"), F.struct(
+        seen.alias("seen"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at")).alias("meta")))
+
+
 # ---------------------------------------------------------------- survey load
 
 @query("survey_load", """

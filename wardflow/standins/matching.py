@@ -80,7 +80,7 @@ def nearest_flowsheet(t: Tables):
     flow = side(["click", "view"]).select("event_id", "stay", "ts")
     device = side(["signup", "purchase"]).select("stay", F.col("ts").alias("at"), F.col("event_id").alias("line"), "value")
     near = asof.nearest(flow, device, key="stay", left_time="ts", right_time="at", values=["line", "value"],
-                        tiebreak=["line"], span="day")
+                        tiebreak=["line"])
     return near.select("event_id", F.col("near.line").alias("device_id"), F.col("near.time").alias("device_ts"),
                        F.col("near.value").alias("device_value"))
 
