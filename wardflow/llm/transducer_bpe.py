@@ -21,6 +21,7 @@ import struct
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -31,7 +32,7 @@ from ..session import work_path
 from .common import slices
 
 LEXICON_WORDS = 32_768
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
 # The word pattern of the tokenizer file and the characters with the White_Space property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -64,19 +65,19 @@ class Vocabulary:
         if not parts:
             return []
         parts[-1] += self.end
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: self.ranks.get(p, 1 << 30))
-            if best not in self.ranks:
+        none, get = 1 << 30, self.ranks.get
+        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+            i = ranks.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
         return [self.ids[p] for p in parts]
 
     def decode(self, ids) -> str:
@@ -162,44 +163,99 @@ class Lexicon:
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         self.root, n_first, n_arcs, n_starts, n_ids, self.empty = struct.unpack_from("<6I", self.map)
-        at, view = 24, memoryview(self.map)
-        parts = []
+        at, parts = 24, []
         for n in (n_first, n_arcs, n_arcs, n_starts, n_ids):
-            parts.append(view[at : at + 4 * n].cast("I"))
+            parts.append(np.frombuffer(self.map, np.uint32, n, at))
             at += 4 * n
         self.first, self.targets, self.before, self.starts, self.flat = parts
-        self.labels_at = at
+        labels = np.frombuffer(self.map, np.uint8, n_arcs, at)
+        # (state, label) of each transition; sorted, as both are stored in order.
+        self.keys = np.repeat(np.arange(n_first - 1), np.diff(self.first.astype(np.int64))) << 8 | labels
+
+    def ranks(self, data: list[bytes]) -> np.ndarray:
+        """Place of each word in the table of id lists, -1 for words that the automaton does not accept.
+
+        All words take their next transition together.
+        """
+        size = np.array([len(d) for d in data], np.int64)
+        start, text = np.cumsum(size) - size, np.frombuffer(b"".join(data), np.uint8)
+        rank = np.zeros(len(data), np.int64)
+        out = np.full(len(data), -1)
+        if self.empty:
+            out[size == 0] = 0
+        live = np.flatnonzero(size > 0)
+        state = np.full(len(live), self.root, np.int64)
+        step = 0
+        while len(live):
+            keys = state << 8 | text[start[live] + step]
+            at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+            found = self.keys[at] == keys if len(self.keys) else np.zeros(len(live), bool)
+            live, at = live[found], at[found]
+            rank[live] += self.before[at]
+            target = self.targets[at].astype(np.int64)
+            step += 1
+            last = size[live] == step
+            ended = live[last & (target & 1 == 1)]
+            out[ended] = rank[ended]
+            live, state = live[~last], target[~last] >> 1
+        return out
 
     def ids(self, word: str) -> list[int] | None:
         """Ids of a word, None if the automaton does not accept it."""
-        state, end, rank, find, base = self.root, self.empty, 0, self.map.find, self.labels_at
-        data = word.encode()
-        for i in range(len(data)):
-            arc = find(data[i : i + 1], base + self.first[state], base + self.first[state + 1]) - base
-            if arc < 0:
-                return None
-            rank += self.before[arc]
-            state, end = divmod(self.targets[arc], 2)
-        return list(self.flat[self.starts[rank] : self.starts[rank + 1]]) if end else None
+        rank = int(self.ranks([word.encode()])[0])
+        return None if rank < 0 else self.flat[self.starts[rank] : self.starts[rank + 1]].tolist()
 
 
 class Encoder:
-    """Ids of whole texts; ``cache`` holds a bounded number of parts already seen by this worker."""
+    """Ids of whole texts; words and parts already met by this worker are kept up to a fixed number."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.special = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
-        self.cache: dict[str, tuple[int, str, str]] = {}
-
-    def word(self, word: str) -> list[int]:
-        found = self.lexicon.ids(word) if self.lexicon else None
-        return self.vocabulary.merge(word) if found is None else found
-
-    def ids(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for part, special in self.parts(text or ""):
-            out += [self.vocabulary.special[part]] if special else [i for c in chunks(part) for w in words(c) for i in self.word(w)]
-        return out
+        self.words: dict[str, tuple[int, str, str]] = {}
+        self.chunks: dict[str, tuple[int, str, str]] = {}
+        self.names = {i: str(i) for i in vocabulary.tokens}
+
+    def entry(self, ids: list[int]) -> tuple[int, str, str]:
+        """Number of ids, the ids as text, and their decoded text."""
+        return len(ids), " ".join([self.names[i] for i in ids]), self.vocabulary.decode(ids)
+
+    def learn_words(self, new: list[str]) -> None:
+        """Look new words up in the automaton, all at once; merge those that it does not hold."""
+        ranks = self.lexicon.ranks([w.encode() for w in new]).tolist() if self.lexicon else [-1] * len(new)
+        for w, r in zip(new, ranks):
+            ids = self.vocabulary.merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist()
+            self.words[w] = self.entry(ids)
+
+    def learn(self, parts: set[str]) -> None:
+        """Entries of all parts of some texts."""
+        if len(self.chunks) > CACHE_WORDS:
+            self.chunks.clear()
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        split = {c: words(c) for c in parts if c not in self.chunks}
+        self.learn_words(list({w for ws in split.values() for w in ws if w not in self.words}))
+        for c, ws in split.items():
+            if len(ws) == 1:
+                self.chunks[c] = self.words[ws[0]]
+            else:
+                got = [self.words[w] for w in ws]
+                self.chunks[c] = (sum(g[0] for g in got), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
+
+    def pieces(self, texts: list[str | None]) -> list[list[tuple[int, str, str]]]:
+        """Entries of the parts of every text in order."""
+        cut = []
+        for text in texts:
+            row: list = []
+            for part, special in self.parts(text or ""):
+                row += [(part,)] if special else chunks(part)
+            cut.append(row)
+        self.learn({c for row in cut for c in row if c.__class__ is str})
+        known, special = self.chunks, self.vocabulary.special
+        return [[known[c] if c.__class__ is str else self.entry([special[c[0]]]) for c in row] for row in cut]
+
+    def ids(self, texts: list[str | None]) -> list[list[int]]:
+        return [[int(i) for p in row for i in p[1].split()] for row in self.pieces(texts)]
 
     def parts(self, text: str):
         at = 0
@@ -209,25 +265,10 @@ class Encoder:
             at = m.end()
         yield text[at:], False
 
-    def chunk(self, chunk: str) -> tuple[int, str, str]:
-        """Number of ids of a part, the ids as text, and their decoded text."""
-        got = [i for w in words(chunk) for i in self.word(w)]
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        self.cache[chunk] = out = (len(got), " ".join(map(str, got)), self.vocabulary.decode(got))
-        return out
-
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Number of ids, and the digests of the ids and of the text decoded from them."""
-        pieces, cache = [], self.cache
-        for part, special in self.parts(text or ""):
-            if special:
-                i = self.vocabulary.special[part]
-                pieces.append((1, str(i), self.vocabulary.decode([i])))
-            else:
-                pieces += [cache.get(c) or self.chunk(c) for c in chunks(part)]
-        sha = lambda k: hashlib.sha256(" ".join([p[k] for p in pieces if p[0]]).encode()).hexdigest()
-        return sum(p[0] for p in pieces), sha(1), sha(2)
+    def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
+        """Number of ids, and the digests of the ids and of the text decoded from them, of every text."""
+        sha = lambda row, k: hashlib.sha256(" ".join([p[k] for p in row if p[0]]).encode()).hexdigest()
+        return [(sum([p[0] for p in row]), sha(row, 1), sha(row, 2)) for row in self.pieces(texts)]
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS) -> DataFrame:
@@ -295,7 +336,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS)
         coder = _encoder(name, shared)
         for batch in batches:
             for part in slices(batch):
-                ids = pa.array([coder.ids(t) for t in part.column("text").to_pylist()], pa.list_(pa.int32()))
+                ids = pa.array(coder.ids(part.column("text").to_pylist()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
 
     return docs.mapInArrow(run, docs.schema.add("ids", "array<int>"))
@@ -324,7 +365,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORD
         coder = _encoder(name, shared)
         for batch in batches:
             for part in slices(batch):
-                n, ids, decoded = zip(*map(coder.digest, part.column("text").to_pylist()))
+                n, ids, decoded = zip(*coder.digests(part.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
