@@ -33,10 +33,11 @@ def repeats(rows, size=20):
 
 def components(rows, n=5, percent=80):
     """[(doc_id, n_shingles, component_id)] of (doc_id, text) rows."""
+    last = lambda i: (1 << 63) - 1 if i is None else i
     sets = []
     for i, text in rows:
         w = words((text or "").translate(LOWER))
-        sets.append((order(i), frozenset(tuple(w[k : k + n]) for k in range(max(len(w) - n + 1, 1))) if w else frozenset()))
+        sets.append((last(i), frozenset(tuple(w[k : k + n]) for k in range(max(len(w) - n + 1, 1))) if w else frozenset()))
     nodes = list(dict.fromkeys(sets))
     up = {x: x for x in nodes}
 
@@ -52,5 +53,5 @@ def components(rows, n=5, percent=80):
     low = collections.defaultdict(list)
     for x in nodes:
         low[top(x)].append(x[0])
-    back = lambda i: None if i == order(None) else i
+    back = lambda i: None if i == last(None) else i
     return sorted(((back(i), len(s), back(min(low[top((i, s))]))) for i, s in sets), key=str)

@@ -149,9 +149,6 @@ class Bloom:
         return out
 
 
-def doc_numbers(batch: pa.RecordBatch, column: str = "doc_id") -> np.ndarray:
-    """Document ids as integers; null counts as the smallest."""
-    return np.asarray(pc.fill_null(batch.column(column), NULL_DOC).to_numpy(zero_copy_only=False), np.int64)
-
-
-NULL_DOC = -(1 << 63)
+def doc_numbers(batch: pa.RecordBatch, null: int) -> np.ndarray:
+    """Document ids as integers, null as the given number."""
+    return np.asarray(pc.fill_null(batch.column("doc_id"), null).to_numpy(zero_copy_only=False), np.int64)

@@ -12,10 +12,11 @@
    formed, so a large group of copies costs its star and no more; no link between components is lost.
 5. Components come from large-star and small-star rounds, each written to the shared folder.
 
-The sketch counts shingles in ``CLASSES`` residue classes: an overlap is at most the sum of the smaller counts.
+The sketch counts shingles in residue classes (about four to a class, at least ``CLASSES`` classes): an overlap is at most
+the sum of the smaller counts.
 
-Null, empty and blank texts have no shingles and link with nothing; a null doc_id counts as the smallest and is given
-back as null.  Rows that share a doc_id are told apart by their sets but share one component.
+Null, empty and blank texts have no shingles and link with nothing; a null doc_id counts as the largest, so it
+shows a component only if no other document is in it.  Rows that share a doc_id are told apart by their sets but share one component.
 """
 
 from __future__ import annotations
@@ -27,12 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import NULL_DOC, Bloom, doc_numbers, lists, map_texts, mix, packed, unpacked, window_hashes, word_hashes
+from .common import Bloom, doc_numbers, lists, map_texts, mix, packed, unpacked, window_hashes, word_hashes
 
 WORDS, PERCENT = 5, 80
 CLASSES = 128
 SMALL, BLOCK = 32, 1_024
+FULL = 1 << 24
 BITS = 1 << 26
+NULL_DOC = (1 << 63) - 1
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
@@ -54,14 +57,28 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def sketch(values: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((values % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES), 65535).astype(np.uint16).tobytes()
+    """Counts of shingles in residue classes, about four shingles a class (a power of two, CLASSES at least)."""
+    classes = max(CLASSES, 1 << (max(len(values) // 4, 1) - 1).bit_length())
+    return np.minimum(np.bincount((values % np.uint64(classes)).astype(np.int64), minlength=classes), 255).astype(np.uint8).tobytes()
 
 
-def may_reach(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the overlap bound of sketches (rows of counts) allows the threshold; full counters bound nothing."""
-    low = np.minimum(a, b)
-    bound = low.sum(axis=-1, dtype=np.int64)
-    return ((100 + percent) * bound >= percent * (na + nb)) | (low == 65535).any(axis=-1)
+def folded(counts: bytes, classes: int = CLASSES) -> np.ndarray:
+    """A sketch with fewer classes; a class that holds a full counter stays out of every bound (it counts as infinite)."""
+    fine = np.frombuffer(counts, np.uint8)
+    out = fine.reshape(-1, classes).sum(0, dtype=np.int32)
+    if (fine == 255).any():
+        out[(fine.reshape(-1, classes) == 255).any(0)] = FULL
+    return out
+
+
+def may_reach(a: np.ndarray, b: np.ndarray, na, nb, percent: int):
+    """Whether the overlap bound of folded sketches (in the last axis) allows the threshold."""
+    return (100 + percent) * np.minimum(a, b).sum(axis=-1, dtype=np.int64) >= percent * (na + nb)
+
+
+def pair_may_reach(a: bytes, b: bytes, na: int, nb: int, percent: int) -> bool:
+    classes = min(len(a), len(b))
+    return bool(may_reach(folded(a, classes), folded(b, classes), na, nb, percent))
 
 
 def sized(na: Column, nb: Column, percent: int) -> Column:
@@ -78,7 +95,7 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
         group = np.array([xxhash.xxh3_64_intdigest(p.tobytes(), seed=len(s)) for p, s in zip(prefixes, sets)], np.uint64)
         signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
         return pa.RecordBatch.from_arrays([
-            pa.array(doc_numbers(part)), pa.array(sizes), signed([x >> 64 for x in sig]), signed([x & ((1 << 64) - 1) for x in sig]), signed(group),
+            pa.array(doc_numbers(part, NULL_DOC)), pa.array(sizes), signed([x >> 64 for x in sig]), signed([x & ((1 << 64) - 1) for x in sig]), signed(group),
             lists(np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64), [len(p) for p in prefixes], pa.int64()),
             pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], ["doc", "n", "s1", "s2", "gid", "prefix", "sketch"])
     return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run,
@@ -127,6 +144,9 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                if not len(x) or not len(y):  # another text of the same doc_id
+                    keep.append(False)
+                    continue
                 at = np.searchsorted(x, y)
                 both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -142,10 +162,8 @@ def _sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(-1, CLASSES) for k in ("s1", "s2"))
-                na, nb = (np.asarray(b.column(k)).astype(np.int64) for k in ("n1", "n2"))
-                yield b.select(["a", "b"]).filter(pa.array(may_reach(x, y, na, nb, percent)))
+            keep = [pair_may_reach(x, y, m, n, percent) for x, y, m, n in zip(*(b.column(k).to_pylist() for k in ("s1", "s2", "n1", "n2")))]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return rows.select("a", "b", "n1", "n2", "s1", "s2").mapInArrow(run, "a long, b long")
 
@@ -221,9 +239,10 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
             if not held:
                 return
             k, n, pos, c, comp = (np.array(v, np.int64) for v in list(zip(*held))[:5])
-            s = np.frombuffer(b"".join(h[5] for h in held), np.uint16).reshape(-1, CLASSES)
+            fine = np.array([h[5] for h in held], object)
+            s = np.stack([folded(f) for f in fine])
             order = np.argsort(n, kind="stable")
-            k, n, pos, c, comp, s = k[order], n[order], pos[order], c[order], comp[order], s[order]
+            k, n, pos, c, comp, s, fine = (v[order] for v in (k, n, pos, c, comp, s, fine))
             crossing = cell[1] != cell[2]
             for i in range(len(n)):
                 end = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))
@@ -232,6 +251,7 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
                 j = j[need & (k[j] != k[i]) if crossing else need]
                 if len(j):
                     j = j[may_reach(s[j], s[i], n[j], n[i], percent)]
+                    j = j[[pair_may_reach(fine[x], fine[i], int(n[x]), int(n[i]), percent) for x in j]] if len(j) else j
                     if len(j):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[j], c[i])), pa.array(np.maximum(c[j], c[i]))], ["a", "b"])
             held.clear()

@@ -28,11 +28,12 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_DOC, Bloom, doc_numbers, map_texts, mix, window_hashes, word_hashes
+from .common import Bloom, doc_numbers, map_texts, mix, window_hashes, word_hashes
 
 SIZE, GRAM = 20, 6
 GROUP, SALTS = 2_000, 64
 BITS = 1 << 26
+NULL_DOC = -(1 << 63)
 
 
 def anchored_runs(words: np.ndarray, offsets: np.ndarray, size: int):
@@ -67,7 +68,7 @@ def suffix_runs(docs: DataFrame, repeated, wide, size: int) -> DataFrame:
     names = ["key", "salt", "doc", "start", "n", "words"]
 
     def run(part):
-        texts, ids = part.column("text"), doc_numbers(part)
+        texts, ids = part.column("text"), doc_numbers(part, NULL_DOC)
         key, text, start, n = anchored_runs(*word_hashes(texts), size)
         hit = np.flatnonzero(repeated.value.has(key)) if len(key) else np.zeros(0, np.int64)
         key, text, start, n = key[hit], text[hit], start[hit], n[hit]
