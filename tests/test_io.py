@@ -97,17 +97,13 @@ def test_split_packs_exactly_whatever_the_partitions(spark, shuffle):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", shuffle)
     try:
-        got = split.split_by_size(df, F.col("v"), ["id"], 100, 10, cell_parts=10**6).orderBy("id").collect()
-        cells = split.split_by_size(df, F.col("v"), ["id"], 100, 10, cell_parts=3).groupBy("part").agg(
-            F.sum("line_bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+        got = split.split_by_size(df, F.col("v"), ["id"], 100, 10).orderBy("id").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     sizes = [len(v.encode()) + 2 for _, v in rows]
     want = packed(sizes, 90)
     assert [r.id for r in got] == list(range(600))
     assert [r.part for r in got] == [i + 1 for i, p in enumerate(want) for _ in p]
-    assert sum(c.n for c in cells) == 600 and all(c.b <= 90 or c.n == 1 for c in cells)
-    assert sorted(c.part for c in cells) == list(range(1, len(cells) + 1))
 
 
 def test_split_parts_join_back_to_the_input(spark):

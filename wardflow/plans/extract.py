@@ -35,10 +35,12 @@ def run_task(spark: SparkSession, task_name: str, config: DataFrame, processes:
     sep, flags = task["delimiter"] or ",", task["file_flags"]
     header, quote_all = delimited.parse_file_flags(flags)
 
+    at = F.lit(run_at).cast("timestamp_ntz")
     if params is not None:
-        named = delimited.name_by_parameter(df, params, param_keys, task["file_format"], F.lit(run_at).cast("timestamp_ntz"))
-        rows = delimited.write_counted(
-            named.select("file_name", *df.columns), lambda d: delimited.write_by_name(d, out_dir, sep, flags), task_name)
+        named = delimited.name_by_parameter(df, params, param_keys, task["file_format"], at).select("file_name", *df.columns)
+        staged = materialise(spark, named, "extract")
+        names = delimited.named_parameters(params, task["file_format"], at)
+        rows = delimited.write_by_name(staged, out_dir, sep, flags, names)
         target = task["file_format"]
     elif task["split_setting"]:
         staged = materialise(spark, df, "extract")
@@ -49,13 +51,15 @@ def run_task(spark: SparkSession, task_name: str, config: DataFrame, processes:
                                     len(top.encode()) + split.LINE_END if top else 0, index_format)
         target = _resolved(spark, task["file_format"], run_at)
         rows = delimited.write_counted(parts, lambda d: split.write_parts(d, text, top, f"{out_dir}/{target}"), task_name)
-        delimited.reconcile(staged.count(), rows, task_name)
     else:
+        staged = materialise(spark, df, "extract")
         target = _resolved(spark, task["file_format"], run_at)
-        rows = delimited.write_delimited(df, f"{out_dir}/{target}", sep, flags, task["file_encoding"] or "UTF-8")
+        rows = delimited.write_delimited(staged, f"{out_dir}/{target}", sep, flags, task["file_encoding"] or "UTF-8")
+    read = staged.count()
+    delimited.reconcile(read, rows, task_name)
 
     result = {"process_id": process_id, "task_group": task["task_group"], "task_name": task_name, "status": "SUCCESSFUL",
-              "source_count": rows, "target_count": rows, "target_name": target, "notes": "" if rows else "no rows",
+              "source_count": read, "target_count": rows, "target_name": target, "notes": "" if rows else "no rows",
               "last_incremental": new_mark or mark}
     spark.createDataFrame([result], "process_id long, task_group string, task_name string, status string, source_count long, "
                                     "target_count long, target_name string, notes string, last_incremental timestamp_ntz"

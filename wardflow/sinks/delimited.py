@@ -81,17 +81,41 @@ def name_by_parameter(df: DataFrame, params: DataFrame, on: list[str], template:
 
     Parameter columns named like ``file_name_part`` / ``date_part`` fill the name; the others bind by ``on``.
     """
+    return df.join(params, on).withColumn("file_name", _parameter_name(params, template, at))
+
+
+def _parameter_name(params: DataFrame, template: str, at) -> Column:
     def like(word):
         return next((c for c in params.columns if word in c.lower()), None)
-    joined = df.join(params, on)
-    return joined.withColumn("file_name", report_name(template, at, like("file_name_part"), like("date_part")))
+    return report_name(template, at, like("file_name_part"), like("date_part"))
+
+
+def named_parameters(params: DataFrame, template: str, at) -> DataFrame:
+    """Output name of every parameter row, with or without rows of its own."""
+    return params.select(_parameter_name(params, template, at).alias("file_name"))
 
 
-def write_by_name(df: DataFrame, path: str, sep: str = ",", flags: str | None = None) -> None:
-    """One folder per ``file_name`` in a single job; a name with many rows is written by many tasks."""
+def write_by_name(df: DataFrame, path: str, sep: str = ",", flags: str | None = None, names: DataFrame | None = None) -> int:
+    """One folder per ``file_name`` in a single job, lines rendered as everywhere else.
+
+    Rows are range-partitioned by name, so a name with many rows is several files; in the order of their names they
+    make one output whose first line is the header.  ``names`` lists outputs that must exist without rows too.
+    Returns the number of rows written, without headers.
+    """
     header, quote_all = parse_file_flags(flags)
-    (df.write.mode("overwrite").partitionBy("file_name").option("sep", sep).option("header", header)
-       .option("quoteAll", quote_all).option("escape", '"').option("emptyValue", "").csv(path))
+    columns = [c for c in df.columns if c != "file_name"]
+    lines = df.select("file_name", F.lit(1).alias("_at"), line(columns, sep, quote_all).alias("value"))
+    if header:
+        listed = df.select("file_name").distinct() if names is None else names.select("file_name").distinct()
+        lines = lines.unionByName(listed.select("file_name", F.lit(0).alias("_at"), F.lit(header_line(columns, sep, quote_all)).alias("value")))
+    spread = F.xxhash64("value")
+    seen = Observation()
+    # Counted behind the exchange: what stands before it is read a second time to find the ranges.
+    (lines.withColumn("_spread", F.when(F.col("_at") == 0, F.lit(-(1 << 63)).cast("long")).otherwise(spread))
+        .repartitionByRange("file_name", "_at", "_spread").sortWithinPartitions("file_name", "_at")
+        .observe(seen, F.count(F.when(F.col("_at") == 1, 1)).alias("rows")).drop("_at", "_spread")
+        .write.mode("overwrite").partitionBy("file_name").option("lineSep", "\r\n").text(path))
+    return seen.get["rows"]
 
 
 def fixed_width(columns: dict[str, int], ragged_right: bool = False) -> Column:

@@ -38,14 +38,13 @@ SPLIT_SETTING = "_part{index:03}|16KB|NOZIP"
 WITH RECURSIVE lines AS (SELECT event_id, strlen(concat_ws(',', CAST(event_id AS VARCHAR), strftime(ts, '%Y-%m-%d %H:%M:%S'), CAST(user_id AS VARCHAR),
     event_type, CAST(value AS VARCHAR))) + 2 AS b FROM events),
 placed AS (SELECT event_id, b, CAST(sum(b) OVER (ORDER BY event_id) AS BIGINT) - b AS start FROM lines),
-celled AS (SELECT *, start // (16 * (16384 - 38)) AS cell FROM placed),
 opened AS (
-  SELECT cell, min(start) AS open_at FROM celled GROUP BY cell
-  UNION ALL SELECT o.cell, n.start FROM opened o, LATERAL (SELECT min(c.start) AS start FROM celled c
-     WHERE c.cell = o.cell AND c.start > o.open_at AND c.start + c.b > o.open_at + 16384 - 38) n WHERE n.start IS NOT NULL),
-parts AS (SELECT cell, open_at, row_number() OVER (ORDER BY open_at) AS part, lead(open_at) OVER (ORDER BY open_at) AS close_at FROM opened)
+  SELECT CAST(0 AS BIGINT) AS open_at
+  UNION ALL SELECT n.start FROM opened o, LATERAL (SELECT min(p.start) AS start FROM placed p
+     WHERE p.start > o.open_at AND p.start + p.b > o.open_at + 16384 - 38) n WHERE n.start IS NOT NULL),
+parts AS (SELECT open_at, row_number() OVER (ORDER BY open_at) AS part, lead(open_at) OVER (ORDER BY open_at) AS close_at FROM opened)
 SELECT CAST(p.part AS INTEGER) AS part, '_part' || lpad(CAST(p.part AS VARCHAR), 3, '0') AS part_index, count(*) AS n_rows, CAST(sum(c.b) AS BIGINT) AS n_bytes,
-  min(c.event_id) AS first_id, max(c.event_id) AS last_id FROM celled c JOIN parts p ON c.start >= p.open_at AND (p.close_at IS NULL OR c.start < p.close_at)
+  min(c.event_id) AS first_id, max(c.event_id) AS last_id FROM placed c JOIN parts p ON c.start >= p.open_at AND (p.close_at IS NULL OR c.start < p.close_at)
 GROUP BY p.part""")
 def extract_split_by_size(t: Tables):
     rows = event_rows(t)
@@ -61,13 +60,15 @@ def extract_split_by_size(t: Tables):
 @query("extract_param_fanout", """
 WITH p AS (SELECT DISTINCT c_mktsegment, c_mktsegment AS file_name_part FROM customer WHERE coalesce(c_mktsegment, '') <> '')
 SELECT 'SEGMENT_' || file_name_part || '_19980401.csv' AS file_name,
-  concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, c.c_mktsegment) AS line FROM customer c JOIN p USING (c_mktsegment)""")
+  concat_ws(',', CAST(c_custkey AS VARCHAR), '  ' || c_name || ' ', c.c_mktsegment) AS line FROM customer c JOIN p USING (c_mktsegment)""")
 def extract_param_fanout(t: Tables):
     params = t.customer.where("coalesce(c_mktsegment, '') <> ''").select("c_mktsegment").distinct().withColumn(
         "file_name_part", F.col("c_mktsegment"))
     named = delimited.name_by_parameter(t.customer, params, ["c_mktsegment"], "SEGMENT_<FILENAMEPART>_YYYYMMDD.csv",
-                                        F.lit(RUN_DATE))
-    return named.select("file_name", delimited.line(["c_custkey", "c_name", "c_mktsegment"]).alias("line"))
+                                        F.lit(RUN_DATE)).select("file_name", "c_custkey", F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("c_name"), "c_mktsegment")
+    folder = work_path(t.spark, "fanout")
+    delimited.write_by_name(named, folder, flags="NO_HEADER")
+    return t.spark.read.schema("value string, file_name string").option("lineSep", "\r\n").text(folder).select("file_name", F.col("value").alias("line"))
 
 
 @query("fixed_width_export", """
@@ -189,6 +190,16 @@ def audit_runs(t: Tables):
     return out
 
 
+@query("audit_steps", f"""
+WITH {_PROCESS_SQL},
+last AS (SELECT max(process_id) AS process_id FROM process WHERE status = 'FAILED')
+SELECT s.process_id, s.task_name, s.source_count, s.target_count FROM step s JOIN last USING (process_id)""")
+def audit_steps(t: Tables):
+    """Steps of the last failed run."""
+    last = processes(t).where("status = 'FAILED'").agg(F.max("process_id")).first()[0]
+    return incremental.run_steps(steps(t), last).select("process_id", "task_name", "source_count", "target_count")
+
+
 @query("audit_counts", f"""
 WITH {_PROCESS_SQL} SELECT p.task_group, s.task_name, count(*) AS n_steps, CAST(sum(s.source_count) AS BIGINT) AS read_rows,
   CAST(sum(s.target_count) AS BIGINT) AS written_rows, count(CASE WHEN s.source_count <> s.target_count THEN 1 END) AS mismatches
