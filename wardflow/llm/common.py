@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed by the task: the six ASCII blanks that part words.
@@ -24,6 +25,14 @@ def words_col(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where it lies; a cluster gets it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def packed(df: DataFrame) -> DataFrame:
     """The whole row as one column ``row``, so that no column of the input can clash with a name used here."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import line_rules, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, toxicity, transducer_bpe
+from .common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
