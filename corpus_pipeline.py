@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.llm import line_rules, mixing, ngram_join, pseudonyms, transducer_bpe
+from wardflow.llm.common import importable
 from wardflow.session import materialise
 
 
@@ -51,6 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each result but the last is written to the shared folder and read again."""
+    importable(spark)
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         df = materialise(spark, stage(spark, df, sf_dir), name)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,10 +19,11 @@ _RUNTIME = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "wardflow") -> SparkSession:
-    """Single-machine session for tests and the bench."""
+def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "wardflow", work_dir: str | None = None) -> SparkSession:
+    """Single-machine session for tests and the bench; staged tables go to ``work_dir``."""
+    builder = SparkSession.builder.config("spark.checkpoint.dir", work_dir) if work_dir else SparkSession.builder
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
@@ -45,16 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and Spark runs on
-    one machine (tests) a temporary folder is made, once per session.
+    one machine (tests) a folder below the warehouse is used.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not spark.conf.get("wardflow.shared.dir", None):
-        spark.conf.set("wardflow.shared.dir", tempfile.mkdtemp(prefix="wardflow-"))
-    return spark.conf.get("wardflow.shared.dir")
+    return spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:").rstrip("/") + "/_stage"
 
 
 def work_path(spark: SparkSession, label: str) -> str:
