@@ -80,8 +80,10 @@ def frequent_lines(docs: DataFrame, lines: DataFrame, min_docs: int, share: floa
     """Lines above the limit of their host, with the first document that holds them."""
     hosts = (docs.select("doc_id", F.col("source").alias("host")).distinct()
              .groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("host_docs")))
+    # A line has a word, so its sum is never zero; reading it here lets Spark use one exchange of the lines twice.
     counts = lines.groupBy(F.col("host").alias("f_host"), F.col("h").alias("f_h")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc")).where(F.col("n_docs") > min_docs)
+        F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"), F.sum("chars").alias("all_chars")).where(
+        (F.col("n_docs") > min_docs) & (F.col("all_chars") > 0)).drop("all_chars")
     return (counts.join(hosts, F.col("f_host").eqNullSafe(F.col("_host")))
             .where(F.col("n_docs") > F.lit(share) * F.col("host_docs")).drop("_host", "host_docs"))
 
