@@ -32,7 +32,7 @@ from ..session import work_path
 from .common import slices
 
 LEXICON_WORDS = 32_768
-CACHE_WORDS = 200_000
+CACHE_PARTS, CACHE_WORDS = 250_000, 500_000
 # The word pattern of the tokenizer file and the characters with the White_Space property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -229,7 +229,7 @@ class Encoder:
 
     def learn(self, parts: set[str]) -> None:
         """Entries of all parts of some texts."""
-        if len(self.chunks) > CACHE_WORDS:
+        if len(self.chunks) > CACHE_PARTS:
             self.chunks.clear()
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
