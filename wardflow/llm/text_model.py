@@ -6,6 +6,8 @@ memory; scoring runs over every row on the executors with a weight table of fixe
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import split_words
 
 DIM = 1 << 18
-SAMPLE = 6_000
+SAMPLE = 4_000
 MARKS = ".,;:!?*#%&$|\"'<>()[]{}-_"
 SHAPE = 7
 
@@ -73,30 +75,37 @@ class Words:
         return shape_features(sums(self.spread(per), self.offsets), np.diff(self.offsets).astype(float))
 
 
-def useful_ids(words: Words, of_text: np.ndarray, y: np.ndarray, least: int, lift: float | None = None):
-    """(distinct word, place) pairs whose place is met in ``least`` texts or more, and the kept places.
+def useful_ids(words: Words, of_text: np.ndarray, y: np.ndarray, k: int, least: int, lift: float, above_only: bool = False):
+    """(distinct word, place) pairs of the places that tell classes apart, and these places.
 
-    ``of_text`` gives the text of each word, ``y`` the label (0 or 1) of each text.  With ``lift``, only places whose
-    share of texts labelled 1 is that many standard errors above the share of all texts.
+    ``of_text`` gives the text of each word (ascending), ``y`` the class (below ``k``) of each text.  A place is kept if
+    ``least`` texts or more hold it and some class has ``lift`` standard errors more or fewer of them than its
+    share of all texts (``above_only``: class 1 has more).  Texts are counted in small groups, to bound memory.
     """
-    pairs = [(i, p) for i, w in enumerate(words.values) for p in word_ids(w)]
-    owner, place = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+    flat, sizes = array("q"), array("q")
+    for w in words.values:
+        ids = word_ids(w)
+        flat.extend(ids)
+        sizes.append(len(ids))
+    place, owner = np.array(flat, np.int64), np.repeat(np.arange(len(words.values)), np.array(sizes, np.int64))
     if not len(place):
         return owner, place, place
-    k = len(words.values)
-    met = np.unique(of_text * np.int64(k) + words.index)
-    order = np.argsort(owner, kind="stable")
-    owner, place = owner[order], place[order]
-    first = np.searchsorted(owner, np.arange(k + 1))
-    of, text = met % k, met // k
-    counts = (first[1:] - first[:-1])[of]
-    at = np.repeat(first[of], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    both = np.unique(np.repeat(text, counts) * np.int64(DIM) + place[at])  # places of each text, once
-    held = np.bincount(both % DIM, minlength=DIM)
-    good = held >= least
-    if lift is not None:
-        hits, share = np.bincount(both % DIM, weights=(y == 1)[both // DIM].astype(float), minlength=DIM), float((y == 1).mean())
-        good &= hits - held * share > lift * np.sqrt(np.maximum(held * share * (1 - share), 1e-9))
+    first = np.searchsorted(owner, np.arange(len(words.values) + 1))
+    held, hits = np.zeros(DIM), np.zeros((k, DIM))
+    for start in range(0, len(y), 200):
+        a, b = np.searchsorted(of_text, [start, start + 200])
+        met = np.unique((of_text[a:b] - start) * np.int64(len(words.values)) + words.index[a:b])
+        of, text = met % len(words.values), met // len(words.values)
+        n = first[of + 1] - first[of]
+        at = np.repeat(first[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.unique(np.repeat(text, n) * np.int64(DIM) + place[at])  # places of each text, once
+        here, label = both % DIM, y[start + both // DIM]
+        held += np.bincount(here, minlength=DIM)
+        for c in range(k):
+            hits[c] += np.bincount(here[label == c], minlength=DIM)
+    share = np.bincount(y, minlength=k)[:, None] / len(y)
+    z = (hits - held * share) / np.sqrt(np.maximum(held * share * (1 - share), 1e-9))
+    good = (held >= least) & (z[1] > lift if above_only else (np.abs(z) > lift).any(0))
     keep = good[place]
     return owner[keep], place[keep], np.flatnonzero(good)
 
@@ -119,12 +128,12 @@ class Softmax:
         self.k, self.w, self.b = k, np.zeros((DIM, k), np.float32), np.zeros(k)
         self.v, self.mean, self.std = np.zeros((SHAPE, k)), np.zeros(SHAPE), np.ones(SHAPE)
 
-    def fit(self, texts: pa.Array, y: np.ndarray, epochs: int = 120, l2: float = 2e-4, least: int = 5) -> Softmax:
+    def fit(self, texts: pa.Array, y: np.ndarray, epochs: int = 120, l2: float = 2e-4, least: int = 5, lift: float = 4.0) -> Softmax:
         if not len(y):
             return self
         words = Words(texts)
         text = np.repeat(np.arange(len(y)), np.diff(words.offsets))
-        owner, place, used = useful_ids(words, text, y, least)
+        owner, place, used = useful_ids(words, text, y, self.k, least, lift)
         to = np.zeros(DIM, np.int64)
         to[used] = np.arange(len(used))
         place = to[place]
@@ -132,16 +141,22 @@ class Softmax:
         self.mean, self.std = x.mean(0), x.std(0) + 1e-6
         x = (x - self.mean) / self.std
         root = np.sqrt(np.maximum(np.diff(words.offsets), 1))[:, None]
+        known = len(words.values)
+        told = np.flatnonzero(np.bincount(owner, minlength=known)[words.index] > 0) if known else np.zeros(0, np.int64)
+        word, text = words.index[told], text[told]  # words without a kept place weigh nothing
         share = np.bincount(y, minlength=self.k) + 1.0
         self.b = np.log(share / share.sum())
         w, goal = np.zeros((len(used), self.k)), np.eye(self.k)[y]
         up = [Adagrad(w.shape, 0.3), Adagrad(self.v.shape, 0.3), Adagrad(self.b.shape, 0.1)]
+        evidence = np.zeros((len(y), self.k))
         for _ in range(epochs):
-            per = np.stack([np.bincount(owner, w[place, c], len(words.values)) for c in range(self.k)], 1)
-            err = (self.posterior(sums(words.spread(per), words.offsets) / root, x) - goal) / len(y)
-            back = (err / root)[text]
-            by_word = np.stack([np.bincount(words.index, back[:, c], len(words.values)) for c in range(self.k)], 1)
-            grad = np.stack([np.bincount(place, by_word[owner, c], len(used)) for c in range(self.k)], 1) + l2 * w
+            for c in range(self.k):
+                evidence[:, c] = np.bincount(text, np.bincount(owner, w[place, c], known)[word], len(y))
+            err = (self.posterior(evidence / root, x) - goal) / len(y)
+            back = err / root
+            grad = l2 * w
+            for c in range(self.k):
+                grad[:, c] += np.bincount(place, np.bincount(word, back[text, c], known)[owner], len(used))
             w += up[0].step(grad)
             self.v += up[1].step(x.T @ err + 1e-4 * self.v)
             self.b += up[2].step(err.sum(0))

@@ -62,19 +62,22 @@ class NoisyOr:
         words, cut, of_text = sentences(texts)
         in_sentence = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
         in_text = np.repeat(np.arange(len(y)), np.diff(of_text))
-        owner, place, used = useful_ids(words, in_text[in_sentence], y, least, lift)
+        owner, place, used = useful_ids(words, in_text[in_sentence], y, 2, least, lift, above_only=True)
         to = np.zeros(DIM, np.int64)
         to[used] = np.arange(len(used))
         place = to[place]
+        known = len(words.values)
+        told = np.flatnonzero(np.bincount(owner, minlength=known)[words.index] > 0) if known else np.zeros(0, np.int64)
+        word, sentence = words.index[told], in_sentence[told]  # words without a kept place weigh nothing
+        del in_sentence
         w, b = np.zeros(len(used)), -6.0
         up, up_b = Adagrad(w.shape, 1.0), Adagrad((), 0.2)
         for _ in range(epochs):
-            per = np.bincount(owner, w[place], len(words.values))
-            p = self._sentence(b + sums(words.spread(per), cut))
+            p = self._sentence(b + np.bincount(sentence, np.bincount(owner, w[place], known)[word], len(cut) - 1))
             clean = (1 - LEAK) * np.exp(sums(np.log1p(-np.minimum(p, 1 - 1e-9)), of_text))
             pull = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) / len(y)  # d loss / d log(1 - p), turned
             back = pull[in_text] * p
-            grad = np.bincount(place, np.bincount(words.index, back[in_sentence], len(words.values))[owner], len(used)) + l2 * w / 10
+            grad = np.bincount(place, np.bincount(word, back[sentence], known)[owner], len(used)) + l2 * w
             w += up.step(grad)
             b = float(np.clip(b + up_b.step(np.array(back.sum())), -12, -4))
         self.w[used], self.b = w, b
