@@ -43,6 +43,11 @@ def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     return df.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in columns], *[v.alias(c) for c, v in new.items() if c not in columns])
 
 
+def let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it and wherever the optimizer moves it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes of text each (one row at least), so memory does not follow row counts."""
     if not batch.num_rows:

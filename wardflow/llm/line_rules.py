@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, packed, unpacked, words_col
+from ..session import materialise
+from .common import BLANKS, let, packed, unpacked, words_col
 
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS, SHARE, MAX_LOST = 20, 0.05, 0.5
@@ -44,29 +45,25 @@ def with_base_stats(docs: DataFrame) -> DataFrame:
     document, no shuffle, nothing quadratic in the length of a text.
     """
     text = F.coalesce("text", F.lit(""))
+
+    def repeated(w: Column) -> Column:
+        three = F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)))
+        return let(three, lambda t: F.when(F.size(t) > F.size(F.array_distinct(t)), let(F.array_sort(F.transform(
+            t, lambda x, i: F.concat(x, F.lit(" "), F.lpad(i.cast("string"), 9, "0")))), covered)).otherwise(0))
+
+    def covered(keys: Column) -> Column:
+        window = lambda s: F.substring(s, F.lit(1), F.length(s) - 10)
+        twice = F.filter(F.transform(keys, lambda s, i: F.when(
+            (window(s) == window(F.get(keys, i - 1))) | (window(s) == window(F.get(keys, i + 1))), F.substring(s, -9, 9).cast("int"))), lambda p: p.isNotNull())
+        return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda p: F.array(p, p + 1, p + 2)))))
+
+    counts = let(words_col(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), repeated(w).alias("r")))
     df = docs.select(
         "doc_id", F.col("source").alias("host"), F.length(bare(text)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        full_lines(F.col("text")).alias("_lines"), words_col(F.col("text")).alias("_w"),
-    )
-    n = F.size("_w")
-    df = df.select(
-        "doc_id", "host", n.cast("long").alias("n_words"), "word_chars", "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(n >= 3, F.transform(F.slice("_w", F.lit(1), F.greatest(n - 2, F.lit(0))), lambda x, i: F.concat_ws(
-            " ", x, F.get(F.col("_w"), i + 1), F.get(F.col("_w"), i + 2)))).otherwise(F.array().cast("array<string>")).alias("_tri"),
-    )
-    df = df.withColumn("_keys", F.when(
-        F.size("_tri") > F.size(F.array_distinct("_tri")),
-        F.array_sort(F.transform("_tri", lambda t, i: F.concat(t, F.lit(" "), F.lpad(i.cast("string"), 9, "0"))))))
-    k = F.col("_keys")
-    window = lambda s: F.substring(s, F.lit(1), F.length(s) - 10)
-    twice = F.filter(F.transform(k, lambda s, i: F.when(
-        (window(s) == window(F.get(k, i - 1))) | (window(s) == window(F.get(k, i + 1))), F.substring(s, -9, 9).cast("int"))), lambda p: p.isNotNull())
-    df = df.withColumn("n_repeat_words", F.coalesce(
-        F.size(F.array_distinct(F.flatten(F.transform(twice, lambda p: F.array(p, p + 1, p + 2))))), F.lit(0)).cast("long"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_tri", "_keys")
+        let(full_lines(F.col("text")), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), counts.alias("c"))
+    df = df.select("*", F.col("c.n").cast("long").alias("n_words"), F.col("c.r").cast("long").alias("n_repeat_words")).drop("c")
+    return df.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
@@ -107,7 +104,8 @@ def line_verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHAR
 
 def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, max_lost: float = MAX_LOST) -> DataFrame:
     """The kept rows in the shape of the input, without the removed lines; ``n_chars`` follows the text."""
-    verdicts = line_verdicts(docs, min_docs, share, max_lost).where("kept").select("doc_id").distinct()
+    verdicts = materialise(docs.sparkSession, line_verdicts(docs, min_docs, share, max_lost).select("doc_id", "kept"), "verdicts")
+    verdicts = verdicts.where("kept").select("doc_id").distinct()
     gone = _marked(docs, min_docs, share).where("gone").groupBy("doc_id").agg(F.collect_set("h").alias("gone"))
     here = F.col("row.doc_id")
     kept = (packed(docs).join(verdicts, here.eqNullSafe(F.col("doc_id")), "left_semi")

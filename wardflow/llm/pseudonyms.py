@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, unpacked
+from .common import let, packed, unpacked
 
 KEY = "wardflow"
 ROUNDS = 6
@@ -49,11 +49,6 @@ def _hash(key: str, label: str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(f"{key}|{label}"), *parts), 512)
 
 
-def _let(value: Column, fn) -> Column:
-    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
-    return F.transform(F.array(value), fn)[0]
-
-
 def _amount(digest: Column, place, digits: int = 6) -> Column:
     """A number of ``digits`` hexadecimal digits of a keyed hash."""
     return F.conv(F.substring(digest, place, F.lit(digits)), 16, 10).cast("long")
@@ -73,7 +68,7 @@ def _shifted(char: Column, amount: Column, hexa: bool) -> Column:
 def permute_text(value: Column, key: str, label: str, hexa: bool = False) -> Column:
     """Characters of a value moved within their classes; value, separators and length keep their form."""
     def half(text: Column, other: Column, n: int) -> Column:
-        return _let(_hash(key, f"{label}{n}", other), lambda d: F.array_join(F.transform(
+        return let(_hash(key, f"{label}{n}", other), lambda d: F.array_join(F.transform(
             F.split(text, ""), lambda c, i: _shifted(c, _amount(d, (i * 4) % 124 + 1, 4), hexa)), ""))
 
     cut = F.floor(F.length(value) / 2).cast("int")
@@ -81,7 +76,7 @@ def permute_text(value: Column, key: str, label: str, hexa: bool = False) -> Col
 
     def turn(p: Column, n: Column) -> Column:
         left = half(p["l"], F.concat_ws("|", n.cast("string"), p["r"]), 0)
-        return _let(left, lambda x: F.struct(x.alias("l"), half(p["r"], F.concat_ws("|", n.cast("string"), x), 1).alias("r")))
+        return let(left, lambda x: F.struct(x.alias("l"), half(p["r"], F.concat_ws("|", n.cast("string"), x), 1).alias("r")))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: F.concat(p["l"], p["r"]))
 
@@ -93,7 +88,7 @@ def _plain(value: Column) -> Column:
 def _laid(value: Column, fresh: Column) -> Column:
     """Characters of ``fresh`` in the places of the letters and digits of ``value``; separators stay."""
     start = F.struct(F.lit(1).alias("i"), F.lit("").alias("s"))
-    return _let(fresh, lambda fresh: F.aggregate(F.split(value, ""), start, lambda a, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(
+    return let(fresh, lambda fresh: F.aggregate(F.split(value, ""), start, lambda a, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(
         (a["i"] + 1).alias("i"), F.concat(a["s"], F.substring(fresh, a["i"], F.lit(1))).alias("s"))).otherwise(
         F.struct(a["i"].alias("i"), F.concat(a["s"], c).alias("s"))), lambda a: a["s"]))
 
@@ -108,7 +103,7 @@ def permute_card(value: Column, key: str) -> Column:
     """Digits before the last are permuted; the last keeps its distance to the check digit; groups stay."""
     digits = _plain(value)
     body, last = F.substring(digits, F.lit(1), F.length(digits) - 1), F.substring(digits, -1, 1).cast("long")
-    return _laid(value, _let(permute_text(body, key, "card"), lambda fresh: F.concat(
+    return _laid(value, let(permute_text(body, key, "card"), lambda fresh: F.concat(
         fresh, ((last - _luhn(body) + _luhn(fresh) + 10) % 10).cast("string"))))
 
 
@@ -119,7 +114,7 @@ def permute_day(day: Column, key: str) -> Column:
 
     def turn(p: Column, n: Column) -> Column:
         a = (p["a"] + _amount(_hash(key, "day-a", n.cast("string"), p["b"].cast("string")), F.lit(1), 12)) % A
-        return _let(a, lambda a: F.struct(a.alias("a"), ((p["b"] + _amount(_hash(key, "day-b", n.cast("string"), a.cast("string")), F.lit(1), 12)) % B).alias("b")))
+        return let(a, lambda a: F.struct(a.alias("a"), ((p["b"] + _amount(_hash(key, "day-b", n.cast("string"), a.cast("string")), F.lit(1), 12)) % B).alias("b")))
 
     moved = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: p["a"] * B + p["b"])
     return F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int"))
@@ -142,7 +137,7 @@ def permute_ip(value: Column, key: str) -> Column:
 
     def turn(p: Column, n: Column) -> Column:
         a = (p["l"] + _amount(_hash(key, "ip-l", n.cast("string"), p["r"].cast("string")), F.lit(1), 8)) % 65536
-        return _let(a, lambda a: F.struct(a.alias("l"), ((p["r"] + _amount(_hash(key, "ip-r", n.cast("string"), a.cast("string")), F.lit(1), 8)) % 65536).alias("r")))
+        return let(a, lambda a: F.struct(a.alias("l"), ((p["r"] + _amount(_hash(key, "ip-r", n.cast("string"), a.cast("string")), F.lit(1), 8)) % 65536).alias("r")))
 
     out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: F.array(
         F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256))
