@@ -27,6 +27,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import work_path
 from .common import slices
@@ -339,7 +340,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS)
                 ids = pa.array(coder.ids(part.column("text").to_pylist()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
 
-    return docs.mapInArrow(run, docs.schema.add("ids", "array<int>"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode_documents(coded: DataFrame, tokenizer: str) -> DataFrame:
@@ -352,7 +353,7 @@ def decode_documents(coded: DataFrame, tokenizer: str) -> DataFrame:
             text = pa.array([shared.value.decode(ids or ()) for ids in batch.column("ids").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, "decoded"])
 
-    return coded.mapInArrow(run, coded.schema.add("decoded", "string"))
+    return coded.mapInArrow(run, T.StructType([*coded.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def round_trip_digests(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> DataFrame:
