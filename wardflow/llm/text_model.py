@@ -10,6 +10,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +30,12 @@ def word_ids(word: str) -> list[int]:
     return sorted(xxhash.xxh3_64_intdigest(p.encode()) % DIM for p in parts)
 
 
-def word_shape(word: str) -> tuple[float, ...]:
-    """Counts that add up to the shape of a text."""
-    return (len(word), sum(c in "#*$%&|<>" for c in word), sum(c.isupper() for c in word), word.count("!"),
-            sum(c.isdigit() for c in word), float(not word.strip(MARKS)))
+def word_shapes(values: pa.Array) -> np.ndarray:
+    """Counts of distinct words that add up to the shape of a text."""
+    count = lambda pattern: pc.count_substring_regex(values, pattern)
+    only_marks = pc.match_substring_regex(values, r"^[.,;:!?*#%&$|\"'<>()\[\]{}_-]+$")
+    columns = [pc.utf8_length(values), count(r"[#*$%&|<>]"), count(r"\p{Lu}"), count("!"), count("[0-9]"), pc.cast(only_marks, pa.int32())]
+    return np.stack([np.asarray(c).astype(np.float32) for c in columns], 1)
 
 
 def shape_features(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -71,8 +74,7 @@ class Words:
         return per_word[self.index] if len(self.index) else np.zeros((0, *per_word.shape[1:]), per_word.dtype)
 
     def shape(self) -> np.ndarray:
-        per = np.array([word_shape(w) for w in self.values], np.float32).reshape(-1, SHAPE - 1)
-        return shape_features(sums(self.spread(per), self.offsets), np.diff(self.offsets).astype(float))
+        return shape_features(sums(self.spread(word_shapes(self.coded.dictionary)), self.offsets), np.diff(self.offsets).astype(float))
 
 
 def useful_ids(words: Words, of_text: np.ndarray, y: np.ndarray, k: int, least: int, lift: float, above_only: bool = False):
