@@ -106,6 +106,16 @@ def test_frequent_lines_go_but_their_first_document_keeps_them(spark):
     assert all(r.n_chars == len(r.text) for r in kept.values())
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    letters = lambda n: "".join("abcdefghij"[int(c)] for c in str(n))
+    own = lambda i: " ".join(f"q{letters(i)}z{letters(j)}" for j in range(60))
+    common = "\n".join(" ".join(f"m{letters(k)}{c}" for c in "abcdefgh") for k in range(9))
+    rows = [(i, own(i) + "\nshared by a few", "h") for i in range(25)] + [(i, own(i), "h") for i in range(25, 975)] + [(i, common, "h") for i in range(975, 1000)]
+    kept = {r.doc_id: r.text for r in line_rules.clean_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert sorted(kept) == list(range(976))  # 25 of 1,000 documents are under 5 % and above 20
+    assert [i for i, t in kept.items() if "shared" in t] == [0]
+
+
 # --- 5: perspectives
 def test_perspectives(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hé"), (1, 2, "bob", "yo"), (1, 2, "bob", "yo"), (1, None, None, None), (2, 0, "system", "alone"),

@@ -1,9 +1,12 @@
 """Quality rules on lines shared by many documents of a host, with DataFrame functions only.
 
 Lines are normalised and hashed; each (host, line) gets the number of distinct documents that hold it.  A line
-in more documents than the limit (a share of the host's documents, and never under a fixed count) is removed
-from all but the first of them (smallest doc_id), so that the content itself is not lost.  A document that
-loses more than ``max_lost`` of its word characters is depleted and rejected.
+in more documents than the limit is removed from all but the first of them (smallest doc_id), so that the content
+itself is not lost.  A document that loses more than ``max_lost`` of its word characters is depleted and rejected.
+
+``clean_documents`` (the pipeline's stage) takes a fixed count of documents as limit, however large the host is.
+``line_verdicts`` follows its oracle SQL, which also asks for a share of the host's documents: there the limit grows
+with the host.
 
 Null or empty text: no words, so the base rules fail.  A null host is a host of its own.  Rows that share a
 doc_id are one document for the line counts and share one verdict, each row is returned.  Every column of the
@@ -74,13 +77,15 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, lines: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """Lines above the limit of their host, with the first document that holds them."""
+    """Lines above the limit of their host, with the first document that holds them; no share, no count of the hosts."""
     hosts = (docs.select("doc_id", F.col("source").alias("host")).distinct()
              .groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("host_docs")))
     # A line has a word, so its sum is never zero; reading it here lets Spark use one exchange of the lines twice.
     counts = lines.groupBy(F.col("host").alias("f_host"), F.col("h").alias("f_h")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"), F.sum("chars").alias("all_chars")).where(
         (F.col("n_docs") > min_docs) & (F.col("all_chars") > 0)).drop("all_chars")
+    if not share:
+        return counts
     return (counts.join(hosts, F.col("f_host").eqNullSafe(F.col("_host")))
             .where(F.col("n_docs") > F.lit(share) * F.col("host_docs")).drop("_host", "host_docs"))
 
@@ -102,8 +107,11 @@ def line_verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHAR
             .withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= F.lit(max_lost) * F.col("line_chars"))))
 
 
-def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, max_lost: float = MAX_LOST) -> DataFrame:
-    """The kept rows in the shape of the input, without the removed lines; ``n_chars`` follows the text."""
+def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = 0.0, max_lost: float = MAX_LOST) -> DataFrame:
+    """The kept rows in the shape of the input, without the removed lines; ``n_chars`` follows the text.
+
+    A line is removed above ``min_docs`` documents of its host; a ``share`` would raise that limit on large hosts.
+    """
     verdicts = materialise(docs.sparkSession, line_verdicts(docs, min_docs, share, max_lost).select("doc_id", "kept"), "verdicts")
     verdicts = verdicts.where("kept").select("doc_id").distinct()
     gone = _marked(docs, min_docs, share).where("gone").groupBy("doc_id").agg(F.collect_set("h").alias("gone"))
