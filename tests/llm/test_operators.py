@@ -196,6 +196,30 @@ def test_pseudonyms(spark, edge, none):
     assert pseudonyms.pseudonymise(none).count() == 0
 
 
+def replaced(spark, values, after="."):
+    df = spark.createDataFrame([(i, f"x {v}{after}") for i, v in enumerate(values)], "doc_id long, text string")
+    return [(r.text, r.n_replaced) for r in pseudonyms.pseudonymise(df).orderBy("doc_id").collect()]
+
+
+PHONES = ["+41 44 668 18 00", "+49 30 12 34 56 78", "+34 612 34 56 78", "+34 91 123 45 67", "+33 6 12 34 56 78", "+33.6.12.34.56.78", "+41446681800",
+          "+1 (017) 555-7713", "+44 (0)20 7946 0958", "(555) 123-4567", "555-123-4567", "555.123.4567", "044 668 18 00", "044.668.18.00", "06 12 34 56 78", "(030) 12345678"]
+
+
+@pytest.mark.parametrize("after,n", [(".", 0), (" 97.51.17.173 y", 1), (" 2024-02-29 y", 1), (" 4111 1111 1111 1111 y", 1), (" 123-45-6789 y", 1), (" 3.14 y", 0)])
+def test_phone_spellings(spark, after, n):
+    for v, (text, count) in zip(PHONES, replaced(spark, PHONES, after)):
+        assert count == 1 + n and v not in text and [c if not c.isdigit() else "0" for c in text[2 : 2 + len(v)]] == [c if not c.isdigit() else "0" for c in v], v
+        assert n or text.endswith(after)
+
+
+def test_other_digits_are_no_phones(spark):
+    same = ["(2019) 45 123-130", "01-02-2024", "999.1.1.1", "1,234,567.89", "12345", "v1.2.3", "+12 34", "+1 2 3 4"]
+    assert replaced(spark, same) == [(f"x {v}.", 0) for v in same]
+    assert [t[:5] + t[-10:] for t, _ in replaced(spark, ["+41 44 668 18 00", "+1 555 123 4567"], " 25 items.")] == ["x +41 25 items.", "x +1  25 items."]
+    a, b = (t[5:-1].replace(" ", "") for t, _ in replaced(spark, ["+41 44 668 18 00", "+41446681800"]))
+    assert a == b
+
+
 def luhn(number):
     digits = [int(c) for c in number[::-1]]
     return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0

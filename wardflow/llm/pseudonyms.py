@@ -1,7 +1,7 @@
 """Format-preserving Feistel pseudonyms for personal numbers and dates, with DataFrame functions only.
 
 Found and validated in every text, in one pass from left to right: e-mail addresses, IPv4 addresses, phone numbers
-with a country code, calendar dates, card-like numbers (13 to 19 digits, plain or in groups of four), bank numbers
+with a country code or in national form, calendar dates, card-like numbers (13 to 19 digits, plain or in groups of four), bank numbers
 with valid form, social security numbers, and 32 to 64 digit hexadecimal secrets.  Each value is permuted by a keyed
 Feistel network within its own format, so equal values stay equal across documents and different ones stay different:
 
@@ -13,6 +13,10 @@ Feistel network within its own format, so equal values stay equal across documen
   and both parts are shifted in turn, so every result is a real date of that span and no date is met twice.
 * IPv4: the two 16-bit halves take turns.
 
+Phones: the country code stays.  Where its plan fixes the length, exactly that many digits are taken, else 8 to 15 in all; a
+card, address, date, decimal or time after a blank is left whole.  Where the plan leaves the length open, a bare short number
+after a single blank is taken as a further group.  National forms need an area code, in brackets, with a leading zero, or as 3-3-4 digits.
+
 ``n_replaced`` is added (an own column of that name is replaced).  Null text stays null.  A number that is part of a longer run of letters, digits or underscores is left alone.  Nothing
 else in a text changes; repeated rows and extra columns pass through; ``n_chars`` follows the text where it exists.
 """
@@ -29,17 +33,31 @@ from .common import let, packed, unpacked
 KEY = "wardflow"
 ROUNDS = 6
 FIRST_DAY, A, B = "1700-01-01", 189, 773
+_IP = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.[0-9])"
+_ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_EURO = r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
+_GROUPED = r"[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,4}"
+# Between two digits of a phone; what follows a blank must not be a number of another kind.
+_STEP = rf"(?:(?:\)?[./-]?\(?)|\)? \(?(?!(?:{_GROUPED}|{_IP}|{_ISO}|{_EURO}|{_SSN})(?![0-9A-Za-z_])|[0-9]+[.,:][0-9]))"
+# Countries by the digits of their numbers, where the plan fixes them; a trunk zero in brackets is extra.
+_LENGTHS = {10: "1|7|30|44|52|57|90|91", 9: "31|33|34|40|41|48|56|61|351|420|421", 8: "45|47|65|386"}
+_FIXED = "|".join(rf"(?:{codes})[ ./-]?(?:\(0\))?(?:\)?[ ./-]?\(?[0-9]){{{n}}}(?![0-9A-Za-z_])" for n, codes in _LENGTHS.items())
+_COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})[ ./-]?"
 # Fixed formats, in the order in which they are tried at a place.
 FORMATS = {
     "mail": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"[0-9a-f]{32,64}|[0-9A-F]{32,64}",
     "bank": r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}",
-    "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.[0-9])",
-    "iso": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    "euro": r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "card": r"[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,4}|[0-9]{13,19}",
+    "phone": rf"\+(?:{_FIXED})|\+[1-9](?:{_STEP}[0-9]){{7,14}}(?![.,/:-][0-9])",
+    "ip": _IP,
+    "iso": _ISO,
+    "euro": _EURO,
+    "ssn": _SSN,
+    "card": rf"{_GROUPED}|[0-9]{{13,19}}",
+    "call": (rf"(?:\([0-9]{{3}}\)[ .-]?[0-9]{{3}}[ .-]?|[0-9]{{3}}-[0-9]{{3}}-|[0-9]{{3}}\.[0-9]{{3}}\.|[0-9]{{3}}[ /][0-9]{{3}}[ -])[0-9]{{4}}(?![.,/:-][0-9])"
+             rf"|(?:\((?!(?:1[89]|20)[0-9]{{2}}\))[0-9]{{2,5}}\)[ ./-]?|(?![0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9]))0[1-9][0-9]{{0,3}}[ ./-])"
+             rf"[0-9](?:{_STEP}[0-9]){{5,8}}(?![.,/:-][0-9])"),
 }
 # Only at the edges of a run of letters, digits and underscores; this also keeps the search linear.
 ANY = "(?<![0-9A-Za-z_])(?:" + "|".join(FORMATS.values()) + ")(?![0-9A-Za-z_])"
@@ -130,6 +148,10 @@ def _date(value: Column, formats: list[tuple[str, str, str]], key: str) -> Colum
     return out
 
 
+def _octets(value: Column) -> Column:
+    return F.forall(F.split(value, r"\."), lambda s: s.cast("long") < 256)
+
+
 def permute_ip(value: Column, key: str) -> Column:
     """Four octets as two 16-bit halves."""
     o = F.transform(F.split(value, r"\."), lambda s: s.cast("long"))
@@ -141,7 +163,7 @@ def permute_ip(value: Column, key: str) -> Column:
 
     out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), pair, turn, lambda p: F.array(
         F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256))
-    return F.when(F.forall(o, lambda x: x < 256), F.array_join(F.transform(out, lambda x: x.cast("string")), ".")).otherwise(value)
+    return F.when(_octets(value), F.array_join(F.transform(out, lambda x: x.cast("string")), ".")).otherwise(value)
 
 
 def pseudonym(value: Column, key: str) -> Column:
@@ -149,18 +171,20 @@ def pseudonym(value: Column, key: str) -> Column:
     whole = lambda kind: value.rlike(f"^(?:{FORMATS[kind]})$")
     at = F.instr(value, "@")
     mail = F.concat(permute_text(F.substring(value, F.lit(1), at - 1), key, "mail"), F.substring(value, at, F.length(value)))
-    prefix = F.regexp_extract(value, r"^\+[0-9]{1,3}[ .-]?", 0)
+    prefix = F.regexp_extract(value, _COUNTRY, 0)
     local = F.substring(value, F.length(prefix) + 1, F.length(value))
     phone = F.concat(prefix, _laid(local, permute_text(_plain(local), key, "phone")))
     account = F.substring(value, F.lit(3), F.length(value))
     bank = F.concat(F.substring(value, 1, 2), _laid(account, permute_text(_plain(account), key, "bank")))
     cases = [
         (value.contains("@"), mail), (whole("secret"), permute_text(value, key, "secret", True)), (whole("bank"), bank),
-        (whole("phone"), phone), (whole("ip"), permute_ip(value, key)), (whole("iso"), _date(value, [(r"^.{10}$", "yyyy-MM-dd", "yyyy-MM-dd")], key)),
+        (whole("phone"), phone), (whole("ip") & _octets(value), permute_ip(value, key)),
+        (whole("iso"), _date(value, [(r"^.{10}$", "yyyy-MM-dd", "yyyy-MM-dd")], key)),
         (whole("euro"), _date(value, [(r"^[0-9]{2}\.[0-9]{2}\.", "dd.MM.yyyy", "dd.MM.yyyy"), (r"^[0-9]{2}/[0-9]{2}/", "dd/MM/yyyy", "dd/MM/yyyy"),
                                       (r"^([0-9]\.[0-9]{1,2}|[0-9]{2}\.[0-9])\.", "d.M.yyyy", "d.M.yyyy"),
                                       (r"^([0-9]/[0-9]{1,2}|[0-9]{2}/[0-9])/", "d/M/yyyy", "d/M/yyyy")], key)),
         (whole("ssn"), permute_text(value, key, "ssn")), (whole("card"), permute_card(value, key)),
+        (whole("call"), _laid(value, permute_text(_plain(value), key, "phone"))),
     ]
     return reduce(lambda rest, case: F.when(case[0], case[1]).otherwise(rest), reversed(cases), value)
 
