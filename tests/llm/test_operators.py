@@ -212,6 +212,25 @@ def test_phone_spellings(spark, after, n):
         assert n or text.endswith(after)
 
 
+def test_date_spellings(spark):
+    forms = {"12/25/1990": "%m/%d/%Y", "07/15/2024": "%m/%d/%Y", "25/12/1990": "%d/%m/%Y", "2024/07/15": "%Y/%m/%d", "25 December 1990": "%d %B %Y",
+             "December 25, 1990": "%B %d, %Y", "25 dec 1990": "%d %b %Y", "DEC. 25, 1990": "%b. %d, %Y"}
+    for (v, form), (text, n) in zip(forms.items(), replaced(spark, list(forms))):
+        assert n == 1 and v not in text and 1700 <= dt.datetime.strptime(text[2:-1], form).year < 2100
+    values = ["7/15/2024", "25th of December 1990", "3. März 1999", "1er août 2001", "25 de diciembre de 1990", "May 3rd 2001", "31 février 1999", "13/13/1999", "2024/13/01"]
+    out = replaced(spark, values)
+    assert [n for _, n in out] == [1] * 6 + [0] * 3 and [t for t, _ in out[6:]] == [f"x {v}." for v in values[6:]]
+    month, day, _ = out[0][0][2:-1].split("/")
+    assert int(month) <= 12 < int(day)
+    assert " of " in out[1][0] and ". " in out[2][0] and out[4][0].count(" de ") == 2
+
+
+def test_month_first_dates_are_permuted(spark):
+    days = spark.range(0, 146_097, 9, 8).select(F.date_add(F.lit(pseudonyms.FIRST_DAY).cast("date"), F.col("id").cast("int")).alias("d")).where("day(d) > 12")
+    r = days.select(pseudonyms.permute_late_day(F.col("d"), "k").alias("n")).agg(F.count_distinct("n"), F.count("n"), F.min(F.dayofmonth("n"))).first()
+    assert r[0] == r[1] and r[2] == 13
+
+
 def test_other_digits_are_no_phones(spark):
     same = ["(2019) 45 123-130", "01-02-2024", "999.1.1.1", "1,234,567.89", "12345", "v1.2.3", "+12 34", "+1 2 3 4"]
     assert replaced(spark, same) == [(f"x {v}.", 0) for v in same]

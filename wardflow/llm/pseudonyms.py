@@ -17,6 +17,10 @@ Phones: the country code stays.  Where its plan fixes the length, exactly that m
 card, address, date, decimal or time after a blank is left whole.  Where the plan leaves the length open, a bare short number
 after a single blank is taken as a further group.  National forms need an area code, in brackets, with a leading zero, or as 3-3-4 digits.
 
+Dates: yyyy-MM-dd, yyyy/MM/dd, dd.MM.yyyy, slash dates and written months (English, German, French, Spanish, full or short).
+A slash date is read day first; only where that is no real date it is read month first, and then moves among the dates
+that can only be read so (days above 12).  So 03/04/2021 is 3 April, whoever wrote it.
+
 ``n_replaced`` is added (an own column of that name is replaced).  Null text stays null.  A number that is part of a longer run of letters, digits or underscores is left alone.  Nothing
 else in a text changes; repeated rows and extra columns pass through; ``n_chars`` follows the text where it exists.
 """
@@ -34,7 +38,7 @@ KEY = "wardflow"
 ROUNDS = 6
 FIRST_DAY, A, B = "1700-01-01", 189, 773
 _IP = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.[0-9])"
-_ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
 _EURO = r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _GROUPED = r"[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,4}"
@@ -44,6 +48,18 @@ _STEP = rf"(?:(?:\)?[./-]?\(?)|\)? \(?(?!(?:{_GROUPED}|{_IP}|{_ISO}|{_EURO}|{_SS
 _LENGTHS = {10: "1|7|30|44|52|57|90|91", 9: "31|33|34|40|41|48|56|61|351|420|421", 8: "45|47|65|386"}
 _FIXED = "|".join(rf"(?:{codes})[ ./-]?(?:\(0\))?(?:\)?[ ./-]?\(?[0-9]){{{n}}}(?![0-9A-Za-z_])" for n, codes in _LENGTHS.items())
 _COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})[ ./-]?"
+# Full names, then short ones, of each language; a name takes the first list that has it.
+MONTHS = [x.split() for x in (
+    "january february march april may june july august september october november december",
+    "januar februar märz april mai juni juli august september oktober november dezember",
+    "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    "jan feb mar apr may jun jul aug sep oct nov dec", "jan feb mär apr mai jun jul aug sep okt nov dez",
+    "janv févr mars avr mai juin juil août sept oct nov déc", "ene feb mar abr may jun jul ago sep oct nov dic",
+    "jan feb mar apr may jun jul aug sept oct nov dec")]
+_MONTH = "(?iu:" + "|".join(sorted({m for x in MONTHS for m in x}, key=lambda m: (-len(m), m))) + ")"
+_DAY_FIRST = rf"[0-9]{{1,2}}(?:st|nd|rd|th|er|\.)?[ -](?:of |de )?{_MONTH}\.?,?[ -](?:de |del )?[0-9]{{4}}"
+_MONTH_FIRST = rf"{_MONTH}\.?[ -][0-9]{{1,2}}(?:st|nd|rd|th)?,?[ -][0-9]{{4}}"
 # Fixed formats, in the order in which they are tried at a place.
 FORMATS = {
     "mail": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -53,6 +69,7 @@ FORMATS = {
     "ip": _IP,
     "iso": _ISO,
     "euro": _EURO,
+    "written": rf"{_DAY_FIRST}|{_MONTH_FIRST}",
     "ssn": _SSN,
     "card": rf"{_GROUPED}|[0-9]{{13,19}}",
     "call": (rf"(?:\([0-9]{{3}}\)[ .-]?[0-9]{{3}}[ .-]?|[0-9]{{3}}-[0-9]{{3}}-|[0-9]{{3}}\.[0-9]{{3}}\.|[0-9]{{3}}[ /][0-9]{{3}}[ -])[0-9]{{4}}(?![.,/:-][0-9])"
@@ -138,16 +155,56 @@ def permute_day(day: Column, key: str) -> Column:
     return F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int"))
 
 
+def permute_late_day(day: Column, key: str) -> Column:
+    """Another day of the span with a day of the month above 12: the permutation is followed until it meets one.
+
+    It always comes back to the day itself; 100 steps miss with odds of 0.4 ** 100.
+    """
+    late = lambda d: F.dayofmonth(d) > 12
+    return F.aggregate(F.sequence(F.lit(2), F.lit(100)), permute_day(day, key), lambda d, _: F.when(late(d), d).otherwise(permute_day(d, key)))
+
+
+def _inside(day: Column) -> Column:
+    return (day >= F.lit(FIRST_DAY).cast("date")) & (day < F.lit("2100-01-01").cast("date"))
+
+
 def _date(value: Column, formats: list[tuple[str, str, str]], key: str) -> Column:
     """A real date of the span is permuted and written in its own format; any other run of digits stays."""
     out = value
     for pattern, read, write in formats:
         day = F.try_to_timestamp(value, F.lit(read)).cast("date")
-        inside = (day >= F.lit(FIRST_DAY).cast("date")) & (day < F.lit("2100-01-01").cast("date"))
-        out = F.when(value.rlike(pattern) & inside, F.date_format(permute_day(day, key), write)).otherwise(out)
+        month_first = read in ("MM/dd/yyyy", "M/d/yyyy")
+        fits = value.rlike(pattern) & _inside(day) & (F.dayofmonth(day) > 12 if month_first else F.lit(True))
+        out = F.when(fits, F.date_format(permute_late_day(day, key) if month_first else permute_day(day, key), write)).otherwise(out)
     return out
 
 
+def _written(value: Column, key: str) -> Column:
+    """A date with a month name; language, length, case, order and marks of the name stay, an English ordinal follows its day."""
+    name = F.regexp_extract(value, f"({_MONTH})", 1)
+    low = F.lower(name)
+    style = F.array(*[F.array(*map(F.lit, x)) for x in MONTHS])
+    mine = F.filter(style, lambda x: F.array_contains(x, low))[0]
+    number = F.regexp_extract(value, "(?<![0-9])([0-9]{1,2})(?![0-9])", 1)
+    year = F.regexp_extract(value, "([0-9]{4})$", 1)
+    day = F.try_to_timestamp(F.concat_ws("-", year, F.array_position(mine, low).cast("string"), number.cast("int").cast("string")), F.lit("y-M-d")).cast("date")
+
+    def laid(fresh: Column) -> Column:
+        n, month = F.dayofmonth(fresh), F.get(mine, F.month(fresh) - 1)
+        month = F.when(name == F.upper(name), F.upper(month)).when(name == low, month).otherwise(F.initcap(month))
+        count = F.when(number.startswith("0"), F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
+        ordinal = F.when(n.isin(11, 12, 13), "th").when(n % 10 == 1, "st").when(n % 10 == 2, "nd").when(n % 10 == 3, "rd").otherwise("th")
+        mark = F.regexp_extract(value, "(?<![0-9])[0-9]{1,2}(st|nd|rd|th|er|)", 1)
+        mark = F.when(mark.isin("st", "nd", "rd", "th"), ordinal).when((mark == "er") & (n == 1), "er").otherwise("")
+        between = lambda pattern: F.regexp_extract(value, pattern, 1)
+        first = F.concat(count, mark, between(f"^[0-9]{{1,2}}(?:st|nd|rd|th|er)?(.*?){_MONTH}"), month)
+        last = F.concat(month, between(f"^{_MONTH}([^0-9]*)"), count, mark)
+        tail = F.when(value.rlike("^[0-9]"), between(f"{_MONTH}(.*?)[0-9]{{4}}$")).otherwise(between("[0-9](?:st|nd|rd|th)?([^0-9a-z]*)[0-9]{4}$"))
+        return F.concat(F.when(value.rlike("^[0-9]"), first).otherwise(last), tail, F.date_format(fresh, "yyyy"))
+
+    return F.when(_inside(day), let(permute_day(day, key), laid)).otherwise(value)
+
+
 def _octets(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), lambda s: s.cast("long") < 256)
 
@@ -179,11 +236,14 @@ def pseudonym(value: Column, key: str) -> Column:
     cases = [
         (value.contains("@"), mail), (whole("secret"), permute_text(value, key, "secret", True)), (whole("bank"), bank),
         (whole("phone"), phone), (whole("ip") & _octets(value), permute_ip(value, key)),
-        (whole("iso"), _date(value, [(r"^.{10}$", "yyyy-MM-dd", "yyyy-MM-dd")], key)),
+        (whole("iso"), _date(value, [(r"^[0-9]{4}-.{5}$", "yyyy-MM-dd", "yyyy-MM-dd"), (r"^[0-9]{4}/.{5}$", "yyyy/MM/dd", "yyyy/MM/dd"),
+                                     (r"^[0-9]{4}/.{3,4}$", "yyyy/M/d", "yyyy/M/d")], key)),
         (whole("euro"), _date(value, [(r"^[0-9]{2}\.[0-9]{2}\.", "dd.MM.yyyy", "dd.MM.yyyy"), (r"^[0-9]{2}/[0-9]{2}/", "dd/MM/yyyy", "dd/MM/yyyy"),
                                       (r"^([0-9]\.[0-9]{1,2}|[0-9]{2}\.[0-9])\.", "d.M.yyyy", "d.M.yyyy"),
-                                      (r"^([0-9]/[0-9]{1,2}|[0-9]{2}/[0-9])/", "d/M/yyyy", "d/M/yyyy")], key)),
-        (whole("ssn"), permute_text(value, key, "ssn")), (whole("card"), permute_card(value, key)),
+                                      (r"^([0-9]/[0-9]{1,2}|[0-9]{2}/[0-9])/", "d/M/yyyy", "d/M/yyyy"),
+                                      (r"^[0-9]{2}/[0-9]{2}/", "MM/dd/yyyy", "MM/dd/yyyy"),
+                                      (r"^[0-9]/[0-9]{2}/", "M/d/yyyy", "M/d/yyyy")], key)),
+        (whole("written"), _written(value, key)), (whole("ssn"), permute_text(value, key, "ssn")), (whole("card"), permute_card(value, key)),
         (whole("call"), _laid(value, permute_text(_plain(value), key, "phone"))),
     ]
     return reduce(lambda rest, case: F.when(case[0], case[1]).otherwise(rest), reversed(cases), value)
