@@ -131,6 +131,20 @@ def test_perspectives(spark):
     assert perspectives.rotate(df.limit(0)).count() == 0
 
 
+def test_no_part_holds_more_rows_than_turns(spark):
+    rows = [(c, t, f"r{i % 2}", f"text {i}") for c in (1, None) for i in range(25) for t in (0, 1)] + [(1, 11, "r0", "end"), (1, 30, "r1", "last"), (2, 9, "r0", "x"), (2, 10, "r1", "y")]
+    rows += [(3, None, None, f"t{i}") for i in range(23)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    out = perspectives.rotate(df, 10).collect()
+    assert max(r.n_turns for r in out) == 10 and len({(r.conv_id, r.part, r.speaker) for r in out}) == len(out)
+    for conv, speaker in {(r.conv_id, r.speaker) for r in out}:
+        mine = sorted((r for r in out if (r.conv_id, r.speaker) == (conv, speaker)), key=lambda r: r.part)
+        want = sorted((-1 if t is None else t, role or "unknown", text) for c, t, role, text in rows if c == conv)
+        assert [m.content for r in mine for m in r.messages] == [x[2] for x in want]
+        assert [[r.rendered[s.start : s.end] for s in r.mask] for r in mine] == [[m.content for m in r.messages if m.role == "assistant"] for r in mine]
+    assert sorted({(r.conv_id, r.part) for r in out if r.conv_id in (1, 2)}) == [(1, 0), (1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (1, 7), (2, 0), (2, 1)]
+
+
 # --- 6: multi-index
 def brute_nearest(vectors, every, k):
     good = {i: np.array(v) for i, v in vectors if v is not None and len(v) == 4 and None not in v and np.isfinite(v).all() and np.any(v)}
