@@ -353,6 +353,13 @@ def test_sparse_sites_shrink(spark):
     assert abs(sites["b"] - 0.2) < 0.02 and sites["c"] > sites["b"] + 0.05
 
 
+def test_only_document_of_a_host_leaves_itself_out(spark):
+    rows = [("a", "x", 0.9)] * 40 + [("b", "x", 0.2)] * 40 + [("c", "x", 0.05), ("d", "x", 0.95)]
+    out = {r.host: r for r in site_quality.with_posteriors(spark.createDataFrame(rows, "host string, path string, p double")).collect() if r.host in "cd"}
+    prior = sum(p for *_, p in rows) / len(rows)
+    assert all(abs(r.host_posterior - prior) < 1e-9 and abs(r.path_posterior - prior) < 1e-9 for r in out.values())
+
+
 # --- 3: mixing
 def test_rates_meet_the_targets(spark):
     rng = np.random.default_rng(5)

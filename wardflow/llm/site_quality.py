@@ -4,7 +4,7 @@
 2. Grouped sums of these over hosts and paths give site means.  The strength of each prior comes from the spread
    of the means around their parent (method of moments), so sparse sites shrink toward it: path to host, host to all.
 3. A document's posterior adds its own evidence (log odds over the training share) to the log odds of its path, from which
-   the document itself is left out.
+   the document itself is left out, as it is from the host above; so a host's only document has the prior of all as its site.
 
 Here the host is ``source`` and the path below it is ``lang``.  Null hosts and paths are sites of their own; null and
 empty texts are scored by their shape alone.  Without labels the classifier says 0.5 to all.  Rows that share a
@@ -52,7 +52,7 @@ def _kappa(row) -> float:
 
 
 def site_posteriors(scores: DataFrame) -> DataFrame:
-    """(host, path) with counts, sums, host posterior and both prior strengths."""
+    """(host, path) with counts, sums of path and host, host posterior, the prior of all and both prior strengths."""
     paths = scores.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s"))
     hosts = paths.groupBy(F.col("host").alias("_host")).agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
     total = hosts.agg(F.sum("host_s"), F.sum("host_n")).first()
@@ -61,7 +61,16 @@ def site_posteriors(scores: DataFrame) -> DataFrame:
     hosts = hosts.withColumn("host_posterior", (k_host * prior + F.col("host_s")) / (k_host + F.col("host_n")))
     both = paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
     k_path = _kappa(both.agg(*_strength(F.col("s") / F.col("n"), F.col("host_posterior"), F.col("n"))).first())
-    return both.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "n", "s", "host_posterior", F.lit(k_path).alias("k"))
+    return both.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "n", "s", "host_posterior", F.lit(k_path).alias("k"),
+                       "host_n", "host_s", F.lit(prior).alias("prior"), F.lit(k_host).alias("k_host"))
+
+
+def with_posteriors(scores: DataFrame) -> DataFrame:
+    """host_posterior and path_posterior of every scored row, from all other rows of its host and path."""
+    found = scores.join(site_posteriors(scores), F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
+    host = (F.col("k_host") * F.col("prior") + F.col("host_s") - F.col("p")) / (F.col("k_host") + F.col("host_n") - 1)
+    path = (F.col("k") * F.col("host_posterior") + F.col("s") - F.col("p")) / (F.col("k") + F.col("n") - 1)
+    return found.withColumn("host_posterior", host).withColumn("path_posterior", path)
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
@@ -73,9 +82,7 @@ def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFram
     scores = materialise(docs.sparkSession, score_texts(docs, model), "scores")
     odds = lambda c: F.log(c / (1 - c))
     inside = lambda c: F.least(F.greatest(c, F.lit(_EDGE)), F.lit(1 - _EDGE))
-    sites = site_posteriors(scores)
-    found = scores.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
-    found = found.withColumn("path_posterior", (F.col("k") * F.col("host_posterior") + F.col("s") - F.col("p")) / (F.col("k") + F.col("n") - 1))
+    found = with_posteriors(scores)
     z = odds(inside(F.col("p"))) - float(np.log(share / (1 - share))) + odds(inside(F.col("path_posterior")))
     found = found.withColumn("posterior", 1 / (1 + F.exp(-z)))
     return found.select("doc_id", "host", "path", "p", "host_posterior", "path_posterior", "posterior", (F.col("posterior") >= keep).alias("kept"))
