@@ -333,6 +333,18 @@ def test_first_of_each(edge):
     assert {r.doc_id for r in out.select("doc_id").collect()} >= {4, 5, 6, 7, 8, 10, 12, 13} and 3 not in {r.doc_id for r in out.collect()}
 
 
+def test_rows_without_doc_id_stay_apart(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    rows = [(1, texts["a"]), (5, texts["b"]), (None, texts["a"] + " x"), (None, texts["b"] + " x"), (None, texts["b"] + " y"), (None, texts["c"]), (None, texts["d"]),
+            (None, texts["d"]), (None, texts["d"] + " x"), (7, texts["e"]), (7, texts["f"]), (8, texts["f"] + " x"), (None, ""), (None, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((tuple(r) for r in ngram_join.near_duplicates(df).collect()), key=str) == brute.components(rows)
+    out = [tuple(r) for r in ngram_join.first_of_each(df).collect()]
+    both = [x for x in out if x[1] and x[1].startswith("d0")]
+    assert len(both) == 1 and sorted((x for x in out if x not in both), key=str) == sorted(
+        [(1, texts["a"]), (5, texts["b"]), (None, texts["c"]), (7, texts["e"]), (7, texts["f"]), (None, ""), (None, None), (9, "")], key=str)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 200), (200, 300), (5, 5)], "a long, b long")
     got = {r.c: r.comp for r in ngram_join.components(links).collect()}

@@ -1,6 +1,7 @@
 """N-gram Jaccard join by grouped prefixes, and its connected components.
 
-1. Every text becomes the set of its word shingles (64-bit hashes); equal sets are one class, shown by its smallest doc_id.
+1. Every text becomes the set of its word shingles (64-bit hashes); equal sets are one class, named by their 128-bit
+   signature through all steps; doc_ids come in only at the end.
 2. In hash order, two sets that reach the threshold share a shingle among the first ``n - ceil(t n) + 1`` (the prefix).
    Documents with the same size and prefix are one group and enter the index once.  Shingles that are in one
    group's prefix only are left out (counted over the corpus, told by a Bloom filter of fixed size).
@@ -15,8 +16,9 @@
 The sketch counts shingles in residue classes (about four to a class, at least ``CLASSES`` classes): an overlap is at most
 the sum of the smaller counts.
 
-Null, empty and blank texts have no shingles and link with nothing; a null doc_id counts as the largest, so it
-shows a component only if no other document is in it.  Rows that share a doc_id are told apart by their sets but share one component.
+Null, empty and blank texts have no shingles and link with nothing.  A component is shown by its smallest doc_id, which is null only
+if no row of it has one.  Rows that share a doc_id, or have none, are told apart by their sets: they are in one component only if their
+sets are linked.
 """
 
 from __future__ import annotations
@@ -85,8 +87,13 @@ def sized(na: Column, nb: Column, percent: int) -> Column:
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
+def text_key(text: Column) -> Column:
+    """128-bit hash of a text; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document: size, 128-bit signature, group, prefix and sketch of its set."""
+    """One row per document: hash of its text, size, 128-bit signature, group, prefix and sketch of its set."""
     def run(part):
         sets = shingle_sets(part.column("text"), words)
         sizes = np.array([len(s) for s in sets], np.int64)
@@ -95,11 +102,11 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
         group = np.array([xxhash.xxh3_64_intdigest(p.tobytes(), seed=len(s)) for p, s in zip(prefixes, sets)], np.uint64)
         signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
         return pa.RecordBatch.from_arrays([
-            pa.array(doc_numbers(part, NULL_DOC)), pa.array(sizes), signed([x >> 64 for x in sig]), signed([x & ((1 << 64) - 1) for x in sig]), signed(group),
+            pa.array(doc_numbers(part, NULL_DOC)), part.column("key"), pa.array(sizes), pa.array([x.to_bytes(16, "big") for x in sig], pa.binary()), signed(group),
             lists(np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64), [len(p) for p in prefixes], pa.int64()),
-            pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], ["doc", "n", "s1", "s2", "gid", "prefix", "sketch"])
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run,
-                     "doc long, n long, s1 long, s2 long, gid long, prefix array<long>, sketch binary")
+            pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], ["doc", "key", "n", "sig", "gid", "prefix", "sketch"])
+    return map_texts(docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), "text"), run,
+                     "doc long, key binary, n long, sig binary, gid long, prefix array<long>, sketch binary")
 
 
 def postings(sets: DataFrame) -> DataFrame:
@@ -121,38 +128,39 @@ def postings(sets: DataFrame) -> DataFrame:
     return sets.where("n > 0").select("gid", "n", "prefix").mapInArrow(run, "token long, gid long, n long, pos int").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets reach the threshold; only the sets of these documents are read out."""
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes whose whole sets reach the threshold; one document of each class is read out."""
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    hit = spark.sparkContext.broadcast(Bloom.build(ids.select(F.xxhash64("doc").alias("key")), "key", BITS // 8, all=F.lit(True))["all"])
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC)).alias("doc"), "text").withColumn("key", F.xxhash64("doc"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    row = F.xxhash64("shown.doc", "shown.key")
+    shown = classes.select(F.col("c").alias("sig"), "shown").join(ids, "sig", "left_semi").select(row.alias("key"))
+    hit = spark.sparkContext.broadcast(Bloom.build(shown, "key", BITS // 8, all=F.lit(True))["all"])
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC))
+    rows = docs.select("text", F.struct(doc.alias("doc"), text_key(F.col("text")).alias("key")).alias("shown")).select("text", row.alias("key"))
 
     def run(part):
         mask = hit.value.has(np.asarray(part.column("key")).astype(np.int64).view(np.uint64))
         part = part.filter(pa.array(mask))
-        sets = shingle_sets(part.column("text"), words) if part.num_rows else []
-        return pa.RecordBatch.from_arrays([part.column("doc"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "items"])
+        items = [s.tobytes() for s in (shingle_sets(part.column("text"), words) if part.num_rows else [])]
+        sig = [xxhash.xxh3_128_digest(x) for x in items]
+        return pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.array(items, pa.binary())], ["sig", "items"])
 
-    # One set for each document; rows that share a doc_id keep the classes they were grouped by.
-    sets = map_texts(rows, run, "doc long, items binary").join(ids, "doc", "left_semi")
-    left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
+    # Rows without doc_id may hold one text many times; each set goes on once.
+    sets = map_texts(rows, run, "sig binary, items binary").join(ids, "sig", "left_semi").groupBy("sig").agg(F.first("items").alias("items"))
+    left = pairs.join(sets.select(F.col("sig").alias("a"), F.col("items").alias("x")), "a")
+    both = left.join(sets.select(F.col("sig").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
 
     def check(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if not len(x) or not len(y):  # another text of the same doc_id
-                    keep.append(False)
-                    continue
                 at = np.searchsorted(x, y)
                 both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, "a long, b long").distinct()
+    return both.mapInArrow(check, "a binary, b binary").distinct()
 
 
 def _sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -165,7 +173,7 @@ def _sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             keep = [pair_may_reach(x, y, m, n, percent) for x, y, m, n in zip(*(b.column(k).to_pylist() for k in ("s1", "s2", "n1", "n2")))]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.select("a", "b", "n1", "n2", "s1", "s2").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "n1", "n2", "s1", "s2").mapInArrow(run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -206,7 +214,7 @@ def _small_buckets(rows: DataFrame, percent: int) -> DataFrame:
         def flush():
             a, b = zip(*out) if out else ((), ())
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
         for batch in batches:
             for t, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -220,7 +228,7 @@ def _small_buckets(rows: DataFrame, percent: int) -> DataFrame:
         yield flush()
 
     return (rows.repartition("token").sortWithinPartitions("token").select("token", "n", "pos", "c", "comp")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a binary, b binary").distinct())
 
 
 def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -238,11 +246,14 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
         def close():
             if not held:
                 return
-            k, n, pos, c, comp = (np.array(v, np.int64) for v in list(zip(*held))[:5])
-            fine = np.array([h[5] for h in held], object)
+            k, n, pos = (np.array(v, np.int64) for v in list(zip(*held))[:3])
+            c, fine = ([h[x] for h in held] for x in (3, 5))
+            numbers: dict[bytes, int] = {}
+            comp = np.array([numbers.setdefault(h[4], len(numbers)) for h in held], np.int64)
             s = np.stack([folded(f) for f in fine])
             order = np.argsort(n, kind="stable")
-            k, n, pos, c, comp, s, fine = (v[order] for v in (k, n, pos, c, comp, s, fine))
+            k, n, pos, comp, s = (v[order] for v in (k, n, pos, comp, s))
+            c, fine = ([v[x] for x in order] for v in (c, fine))
             crossing = cell[1] != cell[2]
             for i in range(len(n)):
                 end = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))
@@ -253,7 +264,8 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
                     j = j[may_reach(s[j], s[i], n[j], n[i], percent)]
                     j = j[[pair_may_reach(fine[x], fine[i], int(n[x]), int(n[i]), percent) for x in j]] if len(j) else j
                     if len(j):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[j], c[i])), pa.array(np.maximum(c[j], c[i]))], ["a", "b"])
+                        a, b = zip(*(sorted((c[x], c[i])) for x in j))
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
             held.clear()
 
         for batch in batches:
@@ -264,15 +276,15 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
                 held.append(row)
         yield from close()
 
-    return met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc, key, n, sig of every row and comp, the smallest signature of its component (null without shingles)."""
     spark = docs.sparkSession
     sets = materialise(spark, document_sets(docs, words, percent), "sets")
-    classes = materialise(spark, sets.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("doc").alias("c"), F.min("gid").alias("gid"), F.min("sketch").alias("sketch")), "classes")
+    classes = materialise(spark, sets.where("n > 0").groupBy(F.col("sig").alias("c"), "n").agg(
+        F.min(F.struct("doc", "key")).alias("shown"), F.min("gid").alias("gid"), F.min("sketch").alias("sketch")), "classes")
     index = materialise(spark, postings(sets), "postings")
 
     first = classes.groupBy("gid").agg(F.min("c").alias("rep"))
@@ -282,7 +294,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     pairs = stars.join(name("g0", "a"), "g0").join(name("gid", "b"), "gid").select("a", "b").unionByName(
         classes.join(first, "gid").where("c <> rep").select(F.col("rep").alias("a"), F.col("c").alias("b")))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    links = materialise(spark, verified(docs, materialise(spark, _sketched(pairs, classes, percent), "pairs"), words, percent), "links")
+    links = materialise(spark, verified(docs, materialise(spark, _sketched(pairs, classes, percent), "pairs"), classes, words, percent), "links")
     comps = components(links)
 
     members = classes.select("c", "gid").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
@@ -297,17 +309,33 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     twins = members.join(twins, "gid").join(classes.select("c", "n"), "c").select(F.col("gid").alias("token"), "n", F.lit(0).alias("pos"), "c", "comp", "cnt")
     more = more.unionByName(_sketched(_small_buckets(twins.where(f"cnt <= {SMALL}"), percent), classes, percent)).unionByName(
         _large_buckets(twins.where(f"cnt > {SMALL}"), classes, percent)).distinct()
-    more = verified(docs, materialise(spark, more, "pairs"), words, percent)
+    more = verified(docs, materialise(spark, more, "pairs"), classes, words, percent)
     comps = components(links.unionByName(more))
 
-    named = classes.select("s1", "s2", "c").join(comps, "c", "left").select("s1", "s2", F.coalesce("comp", "c").alias("comp"))
-    out = sets.select("doc", "n", "s1", "s2").join(named, ["s1", "s2"], "left").withColumn("comp", F.coalesce("comp", "doc"))
+    named = classes.select(F.col("c").alias("sig")).join(comps.withColumnRenamed("c", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+    return sets.select("doc", "key", "n", "sig").join(named, "sig", "left")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    rows = materialise(docs.sparkSession, _linked(docs, words, percent), "linked")
+    lows = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc").alias("low"))
+    out = rows.join(lows, "comp", "left").withColumn("low", F.coalesce("low", "doc"))
     real = lambda c: F.when(F.col(c) == NULL_DOC, F.lit(None)).otherwise(F.col(c)).cast("long")
-    return out.select(real("doc").alias("doc_id"), F.col("n").alias("n_shingles"), real("comp").alias("component_id"))
+    return out.select(real("doc").alias("doc_id"), F.col("n").alias("n_shingles"), real("low").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents that show their components (smallest doc_id), in the shape of the input."""
-    found = near_duplicates(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = packed(docs).join(found, F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")), "left_semi")
-    return unpacked(rows, docs.columns)
+    """The documents that show their components, in the shape of the input; texts without shingles all stay.
+
+    The smallest doc_id, null last, shows a component, and of its texts in it the one of smallest signature and hash.  Rows
+    equal in doc_id and text are one document and stay together; without doc_id one of them stays.
+    """
+    rows = materialise(docs.sparkSession, _linked(docs, words, percent), "linked")
+    shown = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct("doc", "sig", "key")).alias("s")).select("s.doc", "s.key")
+    blank = rows.where("comp IS NULL").select("doc", "key").distinct()
+    found = shown.withColumn("one", F.col("doc") == NULL_DOC).unionByName(blank.withColumn("one", F.lit(False)))
+    mine = packed(docs).withColumn("doc", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_DOC))).withColumn("key", text_key(F.col("row.text")))
+    kept = mine.join(found.where("NOT one"), ["doc", "key"], "left_semi").select("row")
+    single = mine.where(F.col("doc") == NULL_DOC).join(found.where("one"), ["doc", "key"], "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return unpacked(kept.unionByName(single.select("row")), docs.columns)
