@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_rules, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, toxicity, transducer_bpe
+from . import (line_rules, merkle_log, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, toxicity,
+               transducer_bpe)
 from .common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,9 @@ def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality posterior of every document from its text, host and path."""
     return site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_merkle_log", merkle_log.oracle_sql())
+def op13_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its possibly tampered row still verifies."""
+    return merkle_log.manifest(table(spark, sf_dir, "documents"))
