@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (line_rules, merkle_log, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, toxicity,
-               transducer_bpe)
+from . import (line_rules, merkle_log, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, skyband_audit,
+               toxicity, transducer_bpe)
 from .common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether its possibly tampered row still verifies."""
     return merkle_log.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_skyband_audit", skyband_audit.ORACLE)
+def op12_skyband_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and the words that set each source off."""
+    return skyband_audit.audit(table(spark, sf_dir, "documents"))
