@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (line_rules, merkle_log, mixing, multi_index, ngram_join, perspectives, pseudonyms, repeats, site_quality, skyband_audit,
+from . import (line_rules, merkle_log, mixing, multi_index, ngram_join, perspectives, pseudonyms, radix_repeats, repeats, site_quality, skyband_audit,
                toxicity, transducer_bpe)
 from .common import importable
 
@@ -105,3 +105,9 @@ def op13_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_skyband_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of a language, and the words that set each source off."""
     return skyband_audit.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op11_radix_repeats")
+def op11_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document when all strings of 200 bytes that occur elsewhere are removed."""
+    return radix_repeats.remove_repeated_bytes(table(spark, sf_dir, "documents"))
