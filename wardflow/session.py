@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where it lies; a cluster gets it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
