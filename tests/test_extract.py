@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import os
 
 from wardflow.plans.extract import run_task
 from wardflow.session import work_path
@@ -52,3 +53,34 @@ def test_task_runs(spark):
     saved = spark.read.parquet(audit).orderBy("process_id").collect()
     assert [r.task_name for r in saved] == ["plain", "parts", "byarea"]
     assert all(r.last_incremental == dt.datetime(2025, 5, 30) for r in saved)
+
+
+def test_task_writes_exact_files(spark):
+    """Names, bytes in the task's code page, parts that restart for each parameter, and the audit row."""
+    config, processes, steps, extracts, _ = setup(spark)
+    more = spark.createDataFrame([
+        ("both", "g", 1, "rows", "OUT_<FILENAMEPART>_YYYYMMDD{SPLITINDEX}.csv", "|", None, "_{index:02}|0.5KB|NOZIP", "cp1252")], COLUMNS)
+    config = config.unionByName(more)
+    out, audit = work_path(spark, "t-files"), work_path(spark, "t-files-audit")
+
+    def run(name, n, **kw):
+        result = run_task(spark, name, config, processes, steps, extracts, f"{out}/{name}", audit, n, RUN, layout="files", order=["id"], **kw)
+        folder = f"{out}/{name}".removeprefix("file:")
+        return result, {os.path.basename(f): open(f, "rb").read() for f in glob.glob(f"{folder}/*.*")}
+
+    result, files = run("plain", 1)
+    assert files == {"OUT_20250601.txt": b"id|area\r\n" + b"".join(f"{i}|{'NS'[i % 2]}\r\n".encode() for i in range(200))}
+    assert result["target_name"] == "OUT_20250601.txt" and result["target_count"] == result["source_count"] == 200
+
+    _, files = run("parts", 2)
+    assert sorted(files) == ["OUT_2025060114301.txt", "OUT_2025060114302.txt"] and max(map(len, files.values())) <= 1024
+    assert b"".join(f.split(b"\r\n", 1)[1] for _, f in sorted(files.items())) == b"".join(f"{i},{'NS'[i % 2]}\r\n".encode() for i in range(200))
+
+    params = spark.createDataFrame([("N", "Nörd"), ("S", "South"), ("E", "East")], "area string, file_name_part string")
+    result, files = run("byarea", 3, params=params, param_keys=["area"])
+    assert {k: v.count(b"\r\n") for k, v in files.items()} == {"OUT_Nörd_20250601.csv": 100, "OUT_South_20250601.csv": 100, "OUT_East_20250601.csv": 0}
+
+    result, files = run("both", 4, params=params, param_keys=["area"])
+    assert sorted(files) == [f"OUT_{p}_20250601_0{k}.csv" for p in ("Nörd", "South") for k in (1, 2)] and result["target_count"] == 200
+    assert all(len(f) <= 512 and f.startswith(b"id|area\r\n") for f in files.values())
+    assert spark.read.parquet(audit).count() == 4

@@ -6,74 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import split_index_text
-from ..operators.asof import asof
-from ..session import materialise
+from .packing import pack
 
 LINE_END = 2        # bytes of the line end
 
 
-def _offsets(df: DataFrame, text: Column, order: list[str]) -> DataFrame:
-    """Rows with their size and byte offset, by a two-level prefix sum over range-partitioned blocks."""
-    # The block of a row must be the same in both passes, so the placement is written once.
-    placed = materialise(
-        df.sparkSession,
-        df.withColumn("_bytes", (F.octet_length(text) + LINE_END).cast("long"))
-        .repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_block", F.spark_partition_id()),
-        "split")
-    # One row per block, so this window sees as many rows as there are range partitions.
-    totals = placed.groupBy("_block").agg(F.sum("_bytes").alias("_n"))
-    bases = totals.select("_block", (F.sum("_n").over(Window.orderBy("_block")) - F.col("_n")).alias("_base"))
-    local = Window.partitionBy("_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = placed.withColumn("_run", F.sum("_bytes").over(local)).join(bases, "_block")
-    return rows.withColumn("_start", F.col("_base") + F.col("_run") - F.col("_bytes")).drop("_run", "_base", "_block")
-
-
-def _part_starts(rows: DataFrame, capacity: int) -> DataFrame:
-    """Offsets at which a part opens.
-
-    The part opened by a row ends before the first row that does not fit; that row is found by one as-of match over
-    (offset, end), so it only looks at neighbouring blocks.  The chain of these links from the first row is
-    followed by doubling: a round joins the rows reached so far with links of twice the length, so the
-    number of rounds is the logarithm of the number of parts.
-    """
-    spark = rows.sparkSession
-    line = materialise(spark, rows.select(F.lit(1).alias("_one"), "_start", (F.col("_start") + F.col("_bytes")).alias("_end")), "offsets")
-    total = line.agg(F.max("_end")).first()[0]
-    asked = line.withColumn("_reach", F.col("_start") + capacity)
-    found = asof(asked, line, key="_one", left_time="_reach", right_time="_end", values=["_start"], tiebreak=["_start"],
-                 direction="forward", inclusive=False, name="_hit")
-    # A row larger than a part is its own first misfit; it stands alone.
-    after = F.when(F.col("_hit._start") == F.col("_start"), F.col("_end")).otherwise(F.col("_hit._start"))
-    links = materialise(spark, found.select("_start", after.alias("_next")).where(F.col("_next") < F.lit(total)), "links")
-    reached, n = materialise(spark, line.where("_start = 0").select("_start"), "starts"), 0
-    while (size := reached.count()) > n:
-        n = size
-        more = reached.join(links, "_start").select(F.col("_next").alias("_start"))
-        reached = materialise(spark, reached.unionByName(more).distinct(), "starts")
-        onward = links.select(F.col("_start").alias("_next"), F.col("_next").alias("_far"))
-        links = materialise(spark, links.join(onward, "_next").select("_start", F.col("_far").alias("_next")), "links")
-    return reached
-
-
 def split_by_size(df: DataFrame, text: Column, order: list[str], limit_bytes: int, header_bytes: int = 0,
-                  index_format: str = "{index}") -> DataFrame:
+                  index_format: str = "{index}", by: str | None = None) -> DataFrame:
     """Add ``part`` (1, 2, ...) and ``part_index`` so that no part, with its header, exceeds ``limit_bytes``
-    unless one row alone does.  Rows are taken in ``order``, which must be unique.
+    unless one row alone does.  Rows are taken in ``order``, which must be unique; ``by`` names outputs that are each
+    split for themselves.
 
     Packing is row by row: a part takes rows up to and including the limit, and closes before the first that does not
     fit.  The result does not depend on the number of partitions.
     """
-    rows = materialise(df.sparkSession, _offsets(df, text, order), "split")
-    starts = _part_starts(rows, max(limit_bytes - header_bytes, 1))
-    # One row per output part.
-    parts = starts.select(F.lit(1).alias("_one"), "_start", F.row_number().over(Window.orderBy("_start")).alias("part"))
-    found = asof(rows.withColumn("_one", F.lit(1)), parts, key="_one", left_time="_start", right_time="_start", values=["part"],
-                 tiebreak=["part"], name="_part")
-    return (
-        found.withColumn("part", F.col("_part.part")).drop("_one", "_part")
-        .withColumn("part_index", split_index_text(index_format, "part"))
-        .withColumnRenamed("_bytes", "line_bytes").withColumnRenamed("_start", "line_offset")
-    )
+    packed = pack(df, F.octet_length(text) + LINE_END, order, max(limit_bytes - header_bytes, 1), by)
+    return packed.withColumn("part_index", split_index_text(index_format, "part"))
 
 
 def write_parts(split: DataFrame, text: Column, header: str | None, path: str) -> None:

@@ -69,4 +69,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import basics, clinical, exports, matching, revenue  # noqa: F401
+    from . import basics, clinical, exports, matching, outputs, revenue  # noqa: F401
