@@ -184,7 +184,7 @@ def radix_pass(source: DataFrame, runs: Callable, by: str, last: bool) -> tuple[
     if last:  # the digits are whole windows
         wanted = classes.where("met > 1").withColumn("split", F.lit(False))
     else:
-        classes = materialise(spark, classes, "classes")
+        # Both uses of ``classes`` read one exchange.
         mixed = (classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max((F.col("met") == 1).cast("int")).alias("single"))
                  .where("classes > 1 AND single = 1").select("key", F.lit(True).alias("split")))
         wanted = (classes.join(mixed, "key", "left").select("key", "class", "met", "place", F.coalesce("split", F.lit(False)).alias("split"))
