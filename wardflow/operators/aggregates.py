@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .picks import first_per
+from .picks import first_per, placed
 
 
 def eav_pivot(df: DataFrame, keys: list[str], name: str, value: str, columns: dict[str, str]) -> DataFrame:
@@ -46,6 +46,27 @@ def list_ordered(df: DataFrame, keys: list[str], value: str, order: list[str], o
     return grouped.select(*keys, text.alias(out))
 
 
+def list_ordered_blocks(df: DataFrame, keys: list[str], value: str, order: list[str], out: str,
+                        sep: str = ",", descending: bool = False, empty: str | None = None) -> DataFrame:
+    """``list_ordered`` for keys of any size, in two levels.
+
+    Rows are range-partitioned by (key, order, value) into blocks of even size; each (key, block) becomes one text, and a key's texts are
+    joined in the order of their blocks.  So no task holds the rows of a hot key, only the text that is asked for.
+    """
+    names = [f"_o{i}" for i in range(len(order))]
+    counted = df.groupBy(*keys, *[F.col(c).alias(n) for n, c in zip(names, order)],
+                         F.col(value).alias("_v")).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    line = placed(counted, [*keys, *names, "_v"], "list")
+    item = F.struct(*names, "_v", "_n")
+    items = F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), item)), asc=not descending)
+    spread = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_v"].cast("string"), x["_n"])))
+    texts = (line.groupBy(*keys, "_block").agg(items.alias("_items"))
+             .select(*keys, F.struct(F.when(F.size("_items") > 0, F.col("_block")).alias("at"), F.array_join(spread, sep).alias("text")).alias("_t")))
+    held = F.sort_array(F.collect_list(F.when(F.col("_t.at").isNotNull(), F.col("_t"))), asc=not descending)  # one for each block of the key
+    joined = texts.groupBy(*keys).agg(held.alias("_t"))
+    return joined.select(*keys, F.when(F.size("_t") > 0, F.array_join(F.col("_t.text"), sep)).otherwise(F.lit(empty)).alias(out))
+
+
 def list_distinct(df: DataFrame, keys: list[str], lists: dict[str, Column | str], sep: str = " || ",
                   empty: str | None = None) -> DataFrame:
     """Text lists of distinct values in value order, one column per entry of ``lists``.

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, keys, text
+from ..functions import collation, dates, keys, text
 from ..operators import aggregates, code_flags, joins, picks
 from . import Tables, query
 
@@ -297,6 +297,40 @@ def listagg_ordered(t: Tables):
     return aggregates.list_ordered(_lines_parts(t), ["l_orderkey"], "p_brand", ["l_shipdate"], "brands", descending=True)
 
 
+@query("listagg_hot_key", """
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_suppkey END AS k, string_agg(CAST(l_quantity AS BIGINT) || '/' || l_linenumber, ';' ORDER BY l_shipdate, CAST(l_quantity AS BIGINT) || '/' || l_linenumber) AS lines
+FROM lineitem GROUP BY ALL""")
+def listagg_hot_key(t: Tables):
+    """One key holds a third of all rows."""
+    k = F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("l_suppkey"))
+    rows = t.lineitem.select(k.alias("k"), "l_shipdate", F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("v"))
+    return aggregates.list_ordered_blocks(rows, ["k"], "v", ["l_shipdate"], "lines", sep=";")
+
+
+@query("collated_join", """
+WITH c AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN lower(c_mktsegment) WHEN 1 THEN c_mktsegment || '  ' ELSE c_mktsegment END AS segment FROM customer),
+l AS (SELECT DISTINCT c_mktsegment AS segment, CASE WHEN c_mktsegment < 'C' THEN upper(c_mktsegment) || ' ' ELSE lower(c_mktsegment) END AS listed FROM customer)
+SELECT 'any case and blanks' AS rule, c_custkey, l.segment, count(*) OVER (PARTITION BY lower(rtrim(c.segment, ' '))) AS n_same,
+  CAST(lower(rtrim(c.segment, ' ')) IN ('building', 'machinery') AS INTEGER) AS in_list
+FROM c JOIN l ON lower(rtrim(c.segment, ' ')) = lower(rtrim(l.listed, ' '))
+UNION ALL SELECT 'blanks only', c_custkey, l.segment, count(*) OVER (PARTITION BY rtrim(c.segment, ' ')), CAST(rtrim(c.segment, ' ') IN ('BUILDING', 'MACHINERY') AS INTEGER)
+FROM c JOIN l ON rtrim(c.segment, ' ') = rtrim(l.listed, ' ')""")
+def collated_join(t: Tables):
+    """Join, count and IN on columns that carry the comparison rule of their source, in both modes."""
+    segment = F.when(F.col("c_custkey") % 3 == 0, F.lower("c_mktsegment")).when(F.col("c_custkey") % 3 == 1, F.concat("c_mktsegment", F.lit("  "))).otherwise(F.col("c_mktsegment"))
+    rows = t.customer.select("c_custkey", segment.alias("named"))
+    listed = t.customer.select("c_mktsegment").distinct().select(F.col("c_mktsegment").alias("segment"), F.when(
+        F.col("c_mktsegment") < "C", F.concat(F.upper("c_mktsegment"), F.lit(" "))).otherwise(F.lower("c_mktsegment")).alias("named"))
+    out = None
+    for rule, ignore_case in (("any case and blanks", True), ("blanks only", False)):
+        a, b = (collation.collate_columns(df, ["named"], ignore_case) for df in (rows, listed))
+        wanted = F.col("named").isin("building", "machinery") if ignore_case else F.col("named").isin("BUILDING", "MACHINERY")
+        one = picks.count_per(a.join(b, "named"), ["named"], "n_same").select(
+            F.lit(rule).alias("rule"), "c_custkey", "segment", "n_same", wanted.cast("int").alias("in_list"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("listagg_distinct", f"""
 SELECT l.l_suppkey, string_agg(DISTINCT p.p_brand, ' || ' ORDER BY p.p_brand) AS brands,
   string_agg(DISTINCT p.p_type, ' || ' ORDER BY p.p_type) AS types FROM {_LINES_PARTS} GROUP BY l.l_suppkey""")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import extract, payer_reports
+from ..plans import extract, payer_reports, rosters
 from ..session import work_path
-from ..sinks import codepage, named
-from . import Tables, query
+from ..sinks import codepage, delimited, named, ordered
+from ..streaming import sql_tasks
+from . import ORACLE, Tables, query
 from .basics import RUN_DATE
 from .exports import EVENT_COLUMNS, event_rows
-from .revenue import _STAYS_SQL, report_drivers, stays
+from .revenue import _STAYS_SQL, ACTIVE_SINCE, report_drivers, revenue_tables, stays
 
 
 def published(t: Tables, log: DataFrame, path: str) -> DataFrame:
@@ -100,3 +103,34 @@ def _without_some(t: Tables) -> DataFrame:
     """Stays less one plan in one region, so that its reports are empty."""
     region = t.nation.select(F.col("n_nationkey").alias("location_id"), "n_regionkey")
     return stays(t).join(region, "location_id").where("NOT (plan = '3-MEDIUM' AND n_regionkey = 1)").drop("n_regionkey")
+
+
+@query("daily_roster_file", """WITH """ + ORACLE["daily_roster"].strip().removeprefix("WITH").rsplit("SELECT 1 AS record_order", 1)[0] + """
+, r AS (SELECT 1 AS record_order""" + ORACLE["daily_roster"].rsplit("SELECT 1 AS record_order", 1)[1] + """)
+SELECT row_number() OVER (ORDER BY record_order, subscriber_id NULLS FIRST, first_name NULLS FIRST, last_name NULLS FIRST, status NULLS FIRST, group_id NULLS FIRST,
+    program_enrolled NULLS FIRST) AS line_no,
+  concat_ws('|', coalesce(subscriber_id, ''), coalesce(first_name, ''), coalesce(last_name, ''), coalesce(status, ''), coalesce(group_id, ''), coalesce(program_enrolled, '')) AS value FROM r""")
+def daily_roster_file(t: Tables):
+    """The roster as one ordered output of many files, read back in order: header, details, trailer."""
+    rows = rosters.daily_roster(revenue_tables(t), RUN_DATE, ACTIVE_SINCE)
+    path = work_path(t.spark, "roster")
+    ordered.write_ordered(rows, delimited.line(rosters.ROSTER_COLUMNS, "|"), ["record_order", *rosters.ROSTER_COLUMNS], path)
+    return ordered.read_ordered(t.spark, path)
+
+
+@query("sql_task_extract", """
+WITH mark AS (SELECT max(ts) AS d FROM events WHERE ts > TIMESTAMP '2024-01-15' AND event_type = 'click')
+SELECT event_id, user_id, event_type, ts, mark.d AS new_watermark, 'x''; DROP VIEW events; --' AS run_by
+FROM events, mark WHERE ts > TIMESTAMP '2024-01-15' AND ts <= mark.d""")
+def sql_task_extract(t: Tables):
+    """A task that is SQL text: values are bound, one of them hostile, and a script sets the output date."""
+    t.events.createOrReplaceTempView("task_events")
+    params = {"source": "task_events", "watermark": dt.datetime(2024, 1, 15), "kind": "click", "run_by": "x'; DROP VIEW events; --"}
+    prepare = """BEGIN
+      DECLARE latest TIMESTAMP_NTZ;
+      SET latest = (SELECT max(ts) FROM IDENTIFIER(:source) WHERE ts > :watermark AND event_type = :kind);
+      SET output_date = coalesce(latest, :watermark);
+    END"""
+    rows, mark = sql_tasks.run_sql(t.spark, """SELECT event_id, user_id, event_type, ts, :output_date AS new_watermark, :run_by AS run_by
+        FROM IDENTIFIER(:source) WHERE ts > :watermark AND ts <= :output_date""", params, prepare)
+    return rows

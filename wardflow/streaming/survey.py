@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.joins import anti_append, anti_append_legacy
-from ..session import tune
+from ..session import tune, workers_import
 from ..sources.files import SURVEY_COLUMNS, any_match, read_delimited, stamped, survey_schema, to_int_or_fail
 
 KEYS = ["surveyid", "question_id"]
@@ -24,31 +24,57 @@ def new_answers(spark: SparkSession, folder: str, target: DataFrame, file_spec:
     return (anti_append_legacy if legacy else anti_append)(rows, target, KEYS)
 
 
+class NewAnswers(StatefulProcessor):
+    """Lets the rows of a key through in the first batch that has it; keys of the table are known from the start."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "known boolean")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.known.update((True,))
+
+    def handleInputRows(self, key, rows, timerValues):
+        """All rows of a key in this batch come in one call, so repeats inside a load are all kept."""
+        if any(k is None or k != k for k in key):  # a NULL key (NaN in a number column) equals no other
+            yield from rows
+        elif not self.known.exists():
+            self.known.update((True,))
+            yield from rows
+
+
 def load_stream(spark: SparkSession, folder: str, target_path: str, checkpoint: str, file_spec: str = "*") -> None:
     """Load the files not seen before and stop.
 
-    Each batch is compared with the table and appended under its stream and batch number, so a batch that
-    is run again after a failure replaces what it wrote before instead of adding to it, and a stream with a new
-    checkpoint never touches what an earlier one wrote.
+    Which (survey, question) keys are loaded is keyed state of the stream, seeded from the table when its checkpoint is new, so later
+    batches read nothing of the table.  The state of a batch is committed with the batch, and its rows are written under its
+    stream and batch number, so a batch that is run again after a failure starts from the same state and replaces what it
+    wrote before; a stream with a new checkpoint never touches what an earlier one wrote.
     """
+    workers_import(tune(spark))
     schema = stage(spark.createDataFrame([], survey_schema())).schema
-    files = (tune(spark).readStream.schema(survey_schema()).option("sep", "|").option("quote", '"').option("escape", '"')
+    files = (spark.readStream.schema(survey_schema()).option("sep", "|").option("quote", '"').option("escape", '"')
              .option("header", True).option("encoding", "windows-1252").option("pathGlobFilter", file_spec).csv(folder))
+    if any_match(spark, target_path, "stream=*"):
+        table = spark.read.schema(StructType([*schema.fields, StructField("stream", StringType()), StructField("batch", LongType())])).parquet(target_path)
+    else:
+        table = spark.createDataFrame([], schema)
+    loaded = table.select(*KEYS).na.drop().distinct()
+    fresh = stage(files).groupBy(*KEYS).transformWithStateInPandas(
+        NewAnswers(), schema, outputMode="Append", timeMode="None", initialState=loaded.groupBy(*KEYS))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        stream = s.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if any_match(s, target_path, "stream=*"):
-            # What an earlier try of this batch wrote does not count as known.
-            known = s.read.schema(StructType([*schema.fields, StructField("stream", StringType()), StructField("batch", LongType())])).parquet(target_path).where(
-                (F.col("stream") != stream) | (F.col("batch") != batch_id))
-        else:
-            known = s.createDataFrame([], schema)
-        fresh = anti_append(stage(batch), known, KEYS)
-        fresh.write.mode("overwrite").parquet(f"{target_path}/stream={stream}/batch={batch_id}")
-
-    (files.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start().awaitTermination())
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").parquet(f"{target_path}/stream={stream}/batch={batch_id}")
+
+    provider = "spark.sql.streaming.stateStore.providerClass"  # state of this kind needs the disk-backed store
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        query = (fresh.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).outputMode("append")
+                 .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(provider, before)
+    query.awaitTermination()
 
 
 __all__ = ["KEYS", "SURVEY_COLUMNS", "stage", "new_answers", "load_stream"]
