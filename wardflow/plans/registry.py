@@ -12,12 +12,12 @@ from ..functions.dates import boundary_diff
 from ..functions.keys import current_rows, real_key
 from ..functions.text import concat_strict
 from ..operators.aggregates import list_ordered
-from ..operators.asof import asof
 from ..operators.code_flags import code_masks, flag_columns, masks_per, pattern_table
 from ..operators.followup import BUCKETS, followup_buckets
 from ..operators.intervals import later_days
 from ..operators.joins import all_of
 from ..operators.picks import latest_per
+from ..operators.sweep import BACK, FORWARD, Ask, sweep
 from ..session import materialise
 
 # Diagnosis prefixes of the two history flags.
@@ -97,12 +97,31 @@ def case_labs(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame
     return out.select("patient_key", "family", "category", shown.alias("shown"), "order_id", "collected", "resulted", "result_key")
 
 
-def _picks(index: DataFrame, labs: DataFrame, families: dict[str, list[str]], time: str, direction: str) -> DataFrame:
-    """One column per (family, category) with the picked struct, keyed by case."""
-    events = labs.where(F.col("family").isin(list(families))).withColumn("_fc", F.concat_ws(":", "family", "category"))
-    outs = {f"{f}:{c}": f"{f}_{c}" for f, cs in families.items() for c in cs}
-    return asof(index.select("case_key", "patient_key", time), events, key="patient_key", left_time=time, right_time="collected",
-                values=["shown", "order_id"], tiebreak=["result_key"], direction=direction, category="_fc", categories=outs).drop("patient_key", time)
+#: Which results the report shows: question -> (time of the case, direction, categories by family).
+QUESTIONS = {
+    "before": ("procedure_start", BACK, {"lab": list(clinical.LABS), "urine": list(clinical.URINE), "culture": ["culture"]}),
+    "after": ("procedure_complete", FORWARD, {"lab": list(clinical.LABS), "urine": list(clinical.URINE)}),
+    "path": ("start_day", FORWARD, {"pathology": list(clinical.PATHOLOGY.values())}),
+    "stone": ("procedure_start", FORWARD, {"stone": list(clinical.STONE)}),
+}
+
+
+def lab_picks(index: DataFrame, labs: DataFrame) -> DataFrame:
+    """(case_key, ask, category, shown, order_id) of every result that the report shows.
+
+    All questions are answered in one sweep over ids; texts are joined to the ids that were picked.
+    """
+    coded = labs.withColumn("_fc", F.concat_ws(":", "family", "category"))
+    asks = [Ask(name, time, way, tuple(f"{f}:{c}" for f, cs in families.items() for c in cs)) for name, (time, way, families) in QUESTIONS.items()]
+    found = sweep(index, coded, asks, probe="case_key", key="patient_key", event_time="collected", event="result_key", category="_fc")
+    text = coded.select(F.col("result_key").alias("event"), F.col("_fc").alias("category"), "shown", "order_id")
+    return found.withColumnRenamed("probe", "case_key").join(text, ["event", "category"]).select("case_key", "ask", "category", "shown", "order_id")
+
+
+def shown_columns(picks: DataFrame, pairs: dict[tuple[str, str], str]) -> DataFrame:
+    """One row per case with a column for each (question, family:category)."""
+    return picks.groupBy("case_key").agg(*[
+        F.max(F.when((F.col("ask") == a) & (F.col("category") == c), F.col("shown"))).alias(out) for (a, c), out in pairs.items()])
 
 
 def readmissions(tables: Mapping[str, DataFrame], index: DataFrame, fmt: str) -> DataFrame:
@@ -137,12 +156,12 @@ def op_notes(tables: Mapping[str, DataFrame], index: DataFrame, service: str) ->
     return index.select("case_key", "patient_key", "surgery_date").join(last, ["patient_key", "surgery_date"]).select("case_key", "op_note")
 
 
-def synoptic_text(labs: DataFrame, index: DataFrame, finals: DataFrame) -> DataFrame:
+def synoptic_text(labs: DataFrame, index: DataFrame, picks: DataFrame) -> DataFrame:
     """Checklist answers of the order of the final report, newest first, one per question."""
     rows = labs.where("family = 'synoptic' and shown is not null").select(
         "patient_key", "order_id", "category", "shown", "collected", "result_key")
-    asked = index.select("case_key", "patient_key", "procedure_start").join(
-        finals.select("case_key", F.col("pathology_final_report.order_id").alias("order_id")), "case_key")
+    finals = picks.where("ask = 'path' AND category = 'pathology:final_report'").select("case_key", "order_id")
+    asked = index.select("case_key", "patient_key", "procedure_start").join(finals, "case_key")
     hits = asked.join(rows, ["patient_key", "order_id"]).where(
         boundary_diff("minute", "procedure_start", "collected") >= 1)
     answer = F.struct(F.concat(F.col("category"), F.lit("=="), F.col("shown")).alias("text"), F.col("collected"))
@@ -151,21 +170,21 @@ def synoptic_text(labs: DataFrame, index: DataFrame, finals: DataFrame) -> DataF
                         "synoptic_report", descending=True)
 
 
-def imaging_picks(tables: Mapping[str, DataFrame], index: DataFrame, patients: DataFrame) -> tuple[DataFrame, DataFrame]:
+def imaging_picks(tables: Mapping[str, DataFrame], index: DataFrame, patients: DataFrame) -> DataFrame:
     """Last CT and MR at or before the start, first ones at or after the end."""
     wanted = tables["procedure"].select("procedure_key", clinical.first_match("name", clinical.CT_OR_MR).alias("modality")).where(
         "modality is not null")
     exams = tables["imaging"].join(wanted, "procedure_key").join(patients, "patient_key", "left_semi")
     exams = materialise(patients.sparkSession, exams, "registry-images")
-    out = []
-    for time, direction, tag in (("procedure_start", "backward", "pre_op"), ("procedure_complete", "forward", "post_op")):
-        cols = {m: f"_{m}" for m in clinical.CT_OR_MR}
-        found = asof(index.select("case_key", "patient_key", time), exams, key="patient_key", left_time=time, right_time="exam_start",
-                     values=["narrative", "impression"], tiebreak=["imaging_key"], direction=direction, category="modality", categories=cols)
-        out.append(found.select("case_key", *[
-            F.col(f"{c}.{f}").alias(f"{tag}_{m}_{n}") for m, c in cols.items()
-            for f, n in (("time", "date"), ("narrative", "result"), ("impression", "impression"))]))
-    return out[0], out[1]
+    shown = {"pre_op": ("procedure_start", BACK), "post_op": ("procedure_complete", FORWARD)}
+    asks = [Ask(tag, time, way, tuple(clinical.CT_OR_MR)) for tag, (time, way) in shown.items()]
+    found = sweep(index, exams, asks, probe="case_key", key="patient_key", event_time="exam_start", event="imaging_key", category="modality")
+    exam = exams.select(F.col("imaging_key").alias("event"), F.col("modality").alias("category"),
+                        F.struct(F.col("exam_start").alias("date"), F.col("narrative").alias("result"), "impression").alias("exam"))
+    picked = found.join(exam, ["event", "category"])
+    cell = lambda a, m, n: F.max(F.when((F.col("ask") == a) & (F.col("category") == m), F.col(f"exam.{n}")))
+    return picked.groupBy(F.col("probe").alias("case_key")).agg(*[
+        cell(a, m, n).alias(f"{a}_{m}_{n}") for a in shown for m in clinical.CT_OR_MR for n in ("date", "result", "impression")])
 
 
 def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, service: str = "Urology",
@@ -184,15 +203,7 @@ def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, servic
     patients = base.select("patient_key").distinct()
     labs = materialise(spark, case_labs(tables, patients), "registry-labs")
 
-    before = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE), "culture": ["culture"]},
-                    "procedure_start", "backward")
-    after = _picks(index, labs, {"lab": list(clinical.LABS), "urine": list(clinical.URINE)}, "procedure_complete", "forward")
-    path = materialise(spark, _picks(index, labs, {"pathology": list(clinical.PATHOLOGY.values())}, "start_day", "forward"), "registry-path")
-    stone = _picks(index, labs, {"stone": list(clinical.STONE)}, "procedure_start", "forward")
-
-    def named(df, pairs):
-        return df.selectExpr("case_key", *[f"`{src}`.shown AS `{out}`" for src, out in pairs])
-
+    picks = materialise(spark, lab_picks(index, labs), "registry-picks")
     lab, urine = list(clinical.LABS), list(clinical.URINE)
     follow = followup_buckets(
         index, labs.where((F.col("family") == "lab") & F.col("category").isin(clinical.FOLLOWUP_LABS)), key="patient_key",
@@ -203,7 +214,11 @@ def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, servic
           for b in BUCKETS for c in clinical.FOLLOWUP_LABS],
         *[F.max(F.when((F.col("category") == c) & (F.col("bucket") == "ygt1"), F.col("resulted"))).alias(f"{c}_ygt1_date")
           for c in clinical.FOLLOWUP_LABS])
-    pre_img, post_img = imaging_picks(tables, index, patients)
+    shown = {("before", f"lab:{c}"): f"{c}_pre_op" for c in lab} | {("before", f"urine:{c}"): f"urine_{c}_pre_op" for c in urine}
+    shown |= {("before", "culture:culture"): "urine_culture_pre_op"}
+    shown |= {("after", f"lab:{c}"): f"{c}_post_op" for c in lab} | {("after", f"urine:{c}"): f"urine_{c}_post_op" for c in urine}
+    shown |= {("path", f"pathology:{c}"): f"pathology_{c}" for c in ("case_report", "final_report")}
+    shown |= {("stone", f"stone:{c}"): f"calculi_{c}" for c in clinical.STONE}
     flags = index.select("case_key", "patient_key").join(history_flags(tables, patients), "patient_key").drop("patient_key")
 
     main = base.select(
@@ -212,12 +227,6 @@ def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, servic
         "surgery_date", "discharge_date", "procedure_name", "los", "post_op_los")
     out = all_of([
         flags, readmissions(tables, index, date_format),
-        named(before, [(f"lab_{c}", f"{c}_pre_op") for c in lab] + [(f"urine_{c}", f"urine_{c}_pre_op") for c in urine]
-              + [("culture_culture", "urine_culture_pre_op")]),
-        named(after, [(f"lab_{c}", f"{c}_post_op") for c in lab] + [(f"urine_{c}", f"urine_{c}_post_op") for c in urine]),
-        op_notes(tables, index, service), wide,
-        named(path, [("pathology_case_report", "pathology_case_report"), ("pathology_final_report", "pathology_final_report")]),
-        synoptic_text(labs, index, path),
-        named(stone, [("stone_composition", "calculi_composition"), ("stone_description", "calculi_description")]),
-        pre_img, post_img], ["case_key"], main)
+        shown_columns(picks, shown), op_notes(tables, index, service), wide, synoptic_text(labs, index, picks),
+        imaging_picks(tables, index, patients)], ["case_key"], main)
     return out.withColumns({f: F.coalesce(f, F.lit(0)) for f in HISTORY})
