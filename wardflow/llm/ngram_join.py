@@ -2,15 +2,19 @@
 
 1. Every text becomes the set of its word shingles (64-bit hashes); equal sets are one class, named by their 128-bit
    signature through all steps; doc_ids come in only at the end.
-2. In hash order, two sets that reach the threshold share a shingle among the first ``n - ceil(t n) + 1`` (the prefix).
-   Documents with the same size and prefix are one group and enter the index once.  Shingles that are in one
-   group's prefix only are left out (counted over the corpus, told by a Bloom filter of fixed size).
-3. Star links: in every bucket (the groups with one prefix shingle) each group is paired with the smallest one, and each
-   class with the first of its group.  Pairs are filtered by size and by an upper bound of the overlap from two
-   sketches, and verified on whole sets.
+2. Shingles are ordered rare first: every document's shingles are counted in a table of ``TABLE`` cells, and a shingle's rank is the order of
+   magnitude of its cell, then its hash.  Any order gives the same links; this one keeps common passages out of prefixes, and in a full
+   table it becomes the order of hashes.  In that order two sets that reach the threshold share a shingle among the first
+   ``n - ceil(t n) + 1`` (the prefix).  Documents with the same size and prefix are one group and enter the index once.  Shingles that
+   are in one group's prefix only are left out (counted over the corpus, told by a Bloom filter of fixed size).
+3. Star links: in every bucket (the groups with one prefix shingle) each group is paired with the one that has the fewest rarer shingles,
+   the nearest to a common original, and each class with the first of its group.  Group pairs are filtered by size and position and made
+   distinct over all shingles; only then do they become pairs of classes, filtered by an upper bound of the overlap from two
+   sketches and verified on whole sets.
 4. Only buckets that still hold several components are searched further: small ones pair by pair with the size and
-   position filters, large ones in blocks of bounded size with the sketch bound.  Pairs inside one component are never
-   formed, so a large group of copies costs its star and no more; no link between components is lost.
+   position filters, large ones in blocks of bounded size with the sketch bound.  Classes outside a bucket's largest component visit all
+   its blocks; those inside stay in their own.  Pairs inside one component are never formed, so a large group of copies costs its star
+   and no more; no link between components is lost.
 5. Components come from large-star and small-star rounds, each written to the shared folder.
 
 The sketch counts shingles in residue classes (about four to a class, at least ``CLASSES`` classes): an overlap is at most
@@ -30,11 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import Bloom, doc_numbers, lists, map_texts, mix, packed, unpacked, window_hashes, word_hashes
+from .common import Bloom, doc_numbers, lists, map_texts, mix, packed, slices, unpacked, window_hashes, word_hashes
 
 WORDS, PERCENT = 5, 80
 CLASSES = 128
 SMALL, BLOCK = 32, 1_024
+TABLE, CHUNK, SALTS = 1 << 22, 1 << 16, 16
 FULL = 1 << 24
 BITS = 1 << 26
 NULL_DOC = (1 << 63) - 1
@@ -92,12 +97,74 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def magnitudes(docs: DataFrame, words: int) -> np.ndarray:
+    """Order of magnitude of the number of documents whose shingles fall into each cell; every document counts.
+
+    A task keeps one table of bytes, summed in chunks by key in two steps; what reaches the driver has ``TABLE`` bytes whatever the corpus.
+    """
+    table = TABLE
+
+    def count(batches):
+        cells = np.zeros(table, np.uint8)
+        for batch in batches:
+            for part in slices(batch):
+                sets = shingle_sets(part.column("text"), words)
+                at, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]) & np.uint64(table - 1), return_counts=True)
+                at = at.astype(np.int64)
+                cells[at] = np.minimum(cells[at] + n, 255)
+        chunks = [(i, cells[a : a + CHUNK]) for i, a in enumerate(range(0, table, CHUNK))]
+        yield rows([(i, c.astype(np.int64)) for i, c in chunks if c.any()])
+
+    def rows(chunks):
+        width = np.uint8 if all(c.max() < 256 for _, c in chunks) else np.int64
+        return pa.RecordBatch.from_arrays([pa.array([i for i, _ in chunks], pa.int32()), pa.array([np.dtype(width).itemsize for _ in chunks], pa.int32()),
+                                           pa.array([c.astype(width).tobytes() for _, c in chunks], pa.binary())], ["chunk", "width", "cells"])
+
+    def add(batches):
+        at, total = None, None
+        for batch in batches:
+            for chunk, width, cells in zip(*(batch.column(i) for i in range(3))):
+                values = np.frombuffer(cells.as_buffer(), np.uint8 if width.as_py() == 1 else np.int64).astype(np.int64)
+                if chunk.as_py() != at:
+                    if at is not None:
+                        yield rows([(at, total)])
+                    at, total = chunk.as_py(), np.zeros(len(values), np.int64)
+                total = total + values
+        if at is not None:
+            yield rows([(at, total)])
+
+    schema = "chunk int, width int, cells binary"
+    parts = docs.select("text").mapInArrow(count, schema)
+    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).repartition("chunk", "salt")
+    some = salted.sortWithinPartitions("chunk").drop("salt").mapInArrow(add, schema)
+    summed = some.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, schema)
+
+    def scale(batches):
+        for batch in batches:
+            for chunk, width, cells in zip(*(batch.column(i) for i in range(3))):
+                values = np.frombuffer(cells.as_buffer(), np.uint8 if width.as_py() == 1 else np.int64).astype(np.float64)
+                bits = np.frexp(values)[1].astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["chunk", "bits"])
+
+    out = np.zeros(table, np.uint8)
+    for row in summed.mapInArrow(scale, "chunk int, bits binary").collect():  # one byte a cell
+        out[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
 def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """One row per document: hash of its text, size, 128-bit signature, group, prefix and sketch of its set."""
+    ranks = docs.sparkSession.sparkContext.broadcast(magnitudes(docs, words))
+
+    def rarest(s):
+        table, k = ranks.value, prefix_length(len(s), percent)
+        rank = table[(s & np.uint64(len(table) - 1)).astype(np.int64)]
+        return s[np.argsort(rank, kind="stable")[:k]]  # s ascends, so equal ranks stay in the order of hashes
+
     def run(part):
         sets = shingle_sets(part.column("text"), words)
         sizes = np.array([len(s) for s in sets], np.int64)
-        prefixes = [s[: prefix_length(len(s), percent)] for s in sets]
+        prefixes = [rarest(s) for s in sets]
         sig = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
         group = np.array([xxhash.xxh3_64_intdigest(p.tobytes(), seed=len(s)) for p, s in zip(prefixes, sets)], np.uint64)
         signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
@@ -232,13 +299,16 @@ def _small_buckets(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in larger buckets: blocks of about BLOCK rows meet two by two."""
+    """Pairs of different components in larger buckets, in blocks of about BLOCK rows.
+
+    A row outside the bucket's largest component (``major``) visits every block; a row inside stays in its own, as it only
+    has to meet the others.
+    """
     blocks = F.ceil(F.col("cnt") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("c"), blocks).cast("int")
     rows = rows.join(classes.select("c", "sketch"), "c").withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    met = rows.select("token", "n", "pos", "c", "comp", "own", "sketch", other).select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("k"), "n", "pos", "c", "comp", "sketch")
+    at = F.when(F.col("comp") == F.col("major"), F.array("own")).otherwise(F.sequence(F.lit(0), blocks - 1))
+    met = rows.select("token", F.explode(at).alias("block"), "own", "n", "pos", "c", "comp", "sketch")
 
     def run(batches):
         cell, held = None, []
@@ -246,20 +316,20 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
         def close():
             if not held:
                 return
-            k, n, pos = (np.array(v, np.int64) for v in list(zip(*held))[:3])
+            home, n, pos = (np.array(v, np.int64) for v in list(zip(*held))[:3])
+            home = home == cell[1]
             c, fine = ([h[x] for h in held] for x in (3, 5))
             numbers: dict[bytes, int] = {}
             comp = np.array([numbers.setdefault(h[4], len(numbers)) for h in held], np.int64)
             s = np.stack([folded(f) for f in fine])
             order = np.argsort(n, kind="stable")
-            k, n, pos, comp, s = (v[order] for v in (k, n, pos, comp, s))
+            home, n, pos, comp, s = (v[order] for v in (home, n, pos, comp, s))
             c, fine = ([v[x] for x in order] for v in (c, fine))
-            crossing = cell[1] != cell[2]
             for i in range(len(n)):
-                end = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))
-                j = np.arange(i + 1, end)
+                j = np.arange(i + 1, int(np.searchsorted(n, 100 * n[i] // percent, side="right")))
+                # Two visitors meet in the block that one of them has as its own.
                 need = ((100 + percent) * np.minimum(n[i] - pos[i], n[j] - pos[j]) >= percent * (n[i] + n[j])) & (comp[j] != comp[i])
-                j = j[need & (k[j] != k[i]) if crossing else need]
+                j = j[need if home[i] else need & home[j]]
                 if len(j):
                     j = j[may_reach(s[j], s[i], n[j], n[i], percent)]
                     j = j[[pair_may_reach(fine[x], fine[i], int(n[x]), int(n[i]), percent) for x in j]] if len(j) else j
@@ -269,14 +339,21 @@ def _large_buckets(rows: DataFrame, classes: DataFrame, percent: int) -> DataFra
             held.clear()
 
         for batch in batches:
-            for t, i, j, *row in zip(*(batch.column(x).to_pylist() for x in range(9))):
-                if (t, i, j) != cell:
+            for t, block, *row in zip(*(batch.column(x).to_pylist() for x in range(8))):
+                if (t, block) != cell:
                     yield from close()
-                    cell = (t, i, j)
+                    cell = (t, block)
                 held.append(row)
         yield from close()
 
-    return met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a binary, b binary").distinct()
+    return met.repartition("token", "block").sortWithinPartitions("token", "block").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _several(rows: DataFrame, by: str) -> DataFrame:
+    """(by, cnt, major) of the buckets that hold several components; ``major`` is the one with most rows."""
+    counts = rows.groupBy(by, "comp").agg(F.count(F.lit(1)).alias("_n"))
+    return (counts.groupBy(by).agg(F.sum("_n").alias("cnt"), F.count(F.lit(1)).alias("_comps"), F.max(F.struct("_n", "comp")).alias("_m"))
+            .where("_comps > 1").select(by, "cnt", F.col("_m.comp").alias("major")))
 
 
 def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -288,8 +365,10 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     index = materialise(spark, postings(sets), "postings")
 
     first = classes.groupBy("gid").agg(F.min("c").alias("rep"))
-    centre = index.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("m"), F.count(F.lit(1)).alias("cnt")).where("cnt > 1").select("token", "m.*").toDF("token", "g0", "n0")
-    stars = index.join(centre, "token").where((F.col("gid") != F.col("g0")) & sized(F.col("n"), F.col("n0"), percent)).select("g0", "gid").distinct()
+    centre = (index.groupBy("token").agg(F.min(F.struct("pos", "gid", "n")).alias("m"), F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+              .select("token", "m.*").toDF("token", "p0", "g0", "n0"))
+    placed = (100 + percent) * F.least(F.col("n") - F.col("pos"), F.col("n0") - F.col("p0")) >= percent * (F.col("n") + F.col("n0"))
+    stars = index.join(centre, "token").where((F.col("gid") != F.col("g0")) & sized(F.col("n"), F.col("n0"), percent) & placed).select("g0", "gid").distinct()
     name = lambda g, c: first.select(F.col("gid").alias(g), F.col("rep").alias(c))
     pairs = stars.join(name("g0", "a"), "g0").join(name("gid", "b"), "gid").select("a", "b").unionByName(
         classes.join(first, "gid").where("c <> rep").select(F.col("rep").alias("a"), F.col("c").alias("b")))
@@ -300,13 +379,12 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     members = classes.select("c", "gid").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     members = materialise(spark, members, "members")
     rows = index.join(members, "gid")
-    several = rows.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token", "cnt")
-    rows = materialise(spark, rows.join(several, "token").select("token", "n", "pos", "c", "comp", "cnt"), "buckets")
+    rows = materialise(spark, rows.join(_several(rows, "token"), "token").select("token", "n", "pos", "c", "comp", "cnt", "major"), "buckets")
     more = _sketched(_small_buckets(rows.where(f"cnt <= {SMALL}"), percent), classes, percent).unionByName(
         _large_buckets(rows.where(f"cnt > {SMALL}"), classes, percent)).distinct()
     # Classes with one prefix and no common bucket left (a prefix that no other group holds) meet through their group.
-    twins = members.groupBy("gid").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid", "cnt")
-    twins = members.join(twins, "gid").join(classes.select("c", "n"), "c").select(F.col("gid").alias("token"), "n", F.lit(0).alias("pos"), "c", "comp", "cnt")
+    twins = members.join(_several(members, "gid"), "gid").join(classes.select("c", "n"), "c").select(
+        F.col("gid").alias("token"), "n", F.lit(0).alias("pos"), "c", "comp", "cnt", "major")
     more = more.unionByName(_sketched(_small_buckets(twins.where(f"cnt <= {SMALL}"), percent), classes, percent)).unionByName(
         _large_buckets(twins.where(f"cnt > {SMALL}"), classes, percent)).distinct()
     more = verified(docs, materialise(spark, more, "pairs"), classes, words, percent)
