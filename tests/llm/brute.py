@@ -5,6 +5,8 @@ import hashlib
 import re
 import string
 
+import xxhash
+
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -18,19 +20,23 @@ def order(i):
 
 
 def repeats(rows, size=20):
-    """{doc_id: (n_words, n_removed, sha)} of (doc_id, text) rows with distinct texts per doc_id."""
+    """{(doc_id, text): (n_words, n_removed, sha)} of (doc_id, text) rows; documents in the order of id (null first) and 64-bit text hash."""
     seen, out = {}, {}
-    for i, text in sorted(set(rows), key=lambda r: (order(r[0]), r[1] or "")):
+    for i, text in sorted(set(rows), key=lambda r: (order(r[0]), signed(xxhash.xxh3_64_intdigest(r[1] or "")))):
         w, gone = words(text), set()
         for k in range(len(w) - size + 1):
-            t = " ".join(w[k : k + size])
-            if seen.setdefault(t, (order(i), k)) < (order(i), k):
+            t, here = " ".join(w[k : k + size]), (i, text, k)
+            if seen.setdefault(t, here) != here:
                 gone.update(range(k, k + size))
         kept = " ".join(x for k, x in enumerate(w) if k not in gone)
         out[i, text] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
 
 
+def signed(h):
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 def components(rows, n=5, percent=80):
     """[(doc_id, n_shingles, component_id)] of (doc_id, text) rows."""
     last = lambda i: (1 << 63) - 1 if i is None else i

@@ -13,13 +13,17 @@ A window of ``size`` words repeats if its words also start earlier (smaller doc_
 4. For extended prefixes (and groups cut by the memory bound) the earliest leaf of every deep node goes to a second
    round, where the nodes of all parts meet by the hash of their window.
 
-Null or empty text: no words, nothing removed.  A null doc_id counts as the smallest.  Rows that share a doc_id are one
-document: the same place is not earlier than itself, and what is removed is removed from each of them.
+Documents are named by (doc_id, 64-bit hash of the text) and ordered by it, a null doc_id first; so rows that share a doc_id, or have none, are
+documents of their own where their texts differ.  Equal rows are one document: the same place is not earlier than itself, and
+what is removed is removed from each of them.  Null or empty text: no words, nothing removed.  Texts of any length enter whole.  An
+empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +32,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .common import Bloom, doc_numbers, map_texts, mix, window_hashes, word_hashes
 
 SIZE, GRAM = 20, 6
@@ -65,10 +70,10 @@ def anchor_counts(docs: DataFrame, size: int) -> DataFrame:
 
 def suffix_runs(docs: DataFrame, repeated, wide, size: int) -> DataFrame:
     """Runs whose anchor string may repeat, with the words that their windows cover."""
-    names = ["key", "salt", "doc", "start", "n", "words"]
+    names = ["key", "salt", "doc", "text_hash", "start", "n", "words"]
 
     def run(part):
-        texts, ids = part.column("text"), doc_numbers(part, NULL_DOC)
+        texts, ids, hashes = part.column("text"), doc_numbers(part, NULL_DOC), text_hashes(part.column("text"))
         key, text, start, n = anchored_runs(*word_hashes(texts), size)
         hit = np.flatnonzero(repeated.value.has(key)) if len(key) else np.zeros(0, np.int64)
         key, text, start, n = key[hit], text[hit], start[hit], n[hit]
@@ -77,21 +82,21 @@ def suffix_runs(docs: DataFrame, repeated, wide, size: int) -> DataFrame:
             if t != last:
                 last, words = t, texts[t].as_py().encode().split()
             content.append(b" ".join(words[s : s + k + size - 1]))
-        doc = ids[text]
-        salt = np.where(wide.value.has(key), 1 + (mix(doc.view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
+        doc, own = ids[text], hashes[text]
+        salt = np.where(wide.value.has(key), 1 + (mix(doc.view(np.uint64) ^ own.view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
         return pa.RecordBatch.from_arrays([
-            pa.array(key.view(np.int64)), pa.array(salt, pa.int32()), pa.array(doc), pa.array(start, pa.int32()), pa.array(n, pa.int32()),
+            pa.array(key.view(np.int64)), pa.array(salt, pa.int32()), pa.array(doc), pa.array(own), pa.array(start, pa.int32()), pa.array(n, pa.int32()),
             pa.array(content, pa.binary())], names)
 
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "key long, salt int, doc long, start int, n int, words binary")
+    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "key long, salt int, doc long, text_hash long, start int, n int, words binary")
 
 
-def subtree(runs: list[tuple[int, int, int, bytes]], size: int) -> tuple[list[tuple[int, int]], list[tuple[bytes, int, int]]]:
+def subtree(runs: list[tuple[int, int, int, int, bytes]], size: int) -> tuple[list[tuple[int, int, int]], list[tuple[bytes, int, int, int]]]:
     """Repeated windows of a group, and the earliest leaf of every window string."""
     leaves = []
-    for doc, start, n, content in runs:
+    for doc, own, start, n, content in runs:
         words = content.split(b" ")
-        leaves += [(b" ".join(words[i : i + size]), doc, start + i) for i in range(n)]
+        leaves += [(b" ".join(words[i : i + size]), doc, own, start + i) for i in range(n)]
     leaves.sort()
     gone, first, node = [], [], None
     for leaf in leaves:
@@ -104,49 +109,49 @@ def subtree(runs: list[tuple[int, int, int, bytes]], size: int) -> tuple[list[tu
     return gone, first
 
 
-def _stretches(gone: list[tuple[int, int]]):
-    """(doc, start, windows) of neighbouring repeated windows."""
+def _stretches(gone: list[tuple[int, int, int]]):
+    """(doc, text_hash, start, windows) of neighbouring repeated windows."""
     gone = sorted(set(gone))
     at = 0
     for i in range(1, len(gone) + 1):
-        if i == len(gone) or gone[i][0] != gone[i - 1][0] or gone[i][1] != gone[i - 1][1] + 1:
-            yield gone[at][0], gone[at][1], i - at
+        if i == len(gone) or gone[i][:2] != gone[i - 1][:2] or gone[i][2] != gone[i - 1][2] + 1:
+            yield *gone[at], i - at
             at = i
 
 
 def repeated_stretches(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc, start, n): stretches of windows that also start earlier; ``doc`` is doc_id with null as the smallest."""
+    """(doc, text_hash, start, n): stretches of windows that also start earlier; ``doc`` is doc_id with null as the smallest."""
     spark = docs.sparkSession
     counts = anchor_counts(docs, size)
     filters = Bloom.build(counts, "key", BITS, repeated=F.lit(True), wide=F.col("n") > GROUP)
     repeated, wide = (spark.sparkContext.broadcast(filters[k]) for k in ("repeated", "wide"))
-    runs = suffix_runs(docs, repeated, wide, size).repartition("key", "salt").sortWithinPartitions("key", "salt", "doc", "start")
+    runs = suffix_runs(docs, repeated, wide, size).repartition("key", "salt").sortWithinPartitions("key", "salt", "doc", "text_hash", "start")
 
     def build(batches):
         """Subtrees of the groups of a partition; a group over the bound is built in parts."""
         group, held, cut = None, [], False
-        out: list[list] = [[], [], [], [], []]  # doc, start, n, and the two hashes of an open node
+        out: list[list] = [[], [], [], [], [], []]  # doc, text_hash, start, n, and the two hashes of an open node
 
         def close(open_: bool):
             gone, first = subtree(held, size)
-            for d, s, n in _stretches(gone):
-                for column, v in zip(out, (d, s, n, None, None)):
+            for d, t, s, n in _stretches(gone):
+                for column, v in zip(out, (d, t, s, n, None, None)):
                     column.append(v)
-            for w, d, s in first if open_ else ():
+            for w, d, t, s in first if open_ else ():
                 h = xxhash.xxh3_128_intdigest(w)
-                for column, v in zip(out, (d, s, 0, (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63))):
+                for column, v in zip(out, (d, t, s, 0, (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63))):
                     column.append(v)
             held.clear()
 
         def flush():
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
-                                               ["doc", "start", "n", "h1", "h2"])
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
+                                               ["doc", "text_hash", "start", "n", "h1", "h2"])
             for column in out:
                 column.clear()
             return batch
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
+            columns = [batch.column(i).to_pylist() for i in range(7)]
             for key, salt, *run in zip(*columns):
                 if (key, salt) != group:
                     if held:
@@ -162,18 +167,30 @@ def repeated_stretches(docs: DataFrame, size: int = SIZE) -> DataFrame:
             close(cut or group[1] > 0)
         yield flush()
 
-    found = runs.mapInArrow(build, "doc long, start int, n int, h1 long, h2 long")
-    at = F.struct("doc", "start")
-    # Windows kept by their part: at most one for each part of a group, so the lists are short.
-    merged = (found.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.collect_set(at).alias("all"))
-              .where(F.size("all") > 1).select(F.explode(F.slice(F.array_sort("all"), 2, 1 << 30)).alias("w"))
-              .select("w.doc", "w.start", F.lit(1).alias("n")))
-    return found.where("h1 IS NULL").select("doc", "start", "n").unionByName(merged)
+    found = materialise(spark, runs.mapInArrow(build, "doc long, text_hash long, start int, n int, h1 long, h2 long"), "repeat-nodes")
+    # The earliest leaf of each part of a group: all but the first of a node are repeats.  Three minima in turn find the first, combined before
+    # their exchanges, so a node of any number of parts is never one list.
+    parts = found.where("h1 IS NOT NULL").select("h1", "h2", "doc", "text_hash", "start")
+    node, order = ["h1", "h2"], ["doc", "text_hash", "start"]
+    several = parts.groupBy(*node).agg(F.count(F.lit(1)).alias("_n"), F.min("doc").alias("_doc")).where("_n > 1").drop("_n")
+    open_ = parts.join(several, node)
+    for done, c in enumerate(order[1:], 1):
+        same = [F.col(x) == F.col(f"_{x}") for x in order[:done]]
+        least = open_.where(reduce(and_, same)).groupBy(*node).agg(F.min(c).alias(f"_{c}"))
+        open_ = open_.join(least, node)
+    first = reduce(and_, [F.col(c) == F.col(f"_{c}") for c in order])
+    merged = open_.where(~first).select(*order, F.lit(1).alias("n"))
+    return found.where("h1 IS NULL").select(*order, "n").unionByName(merged)
+
+
+def text_hashes(texts: pa.Array) -> np.ndarray:
+    """64-bit hash of each text as a signed number; a null text counts as empty."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(t or "") for t in texts.to_pylist()), np.uint64, len(texts)).view(np.int64)
 
 
 def stretches_by_document(stretches: DataFrame) -> DataFrame:
-    """(doc, gone): the stretches of each document, whose number its length bounds."""
-    return stretches.groupBy("doc").agg(F.collect_set(F.struct("start", "n")).alias("gone"))
+    """(doc, text_hash, gone): the stretches of each document, whose number its length bounds."""
+    return stretches.distinct().groupBy("doc", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
 
 
 def _digest(text: str | None, gone, size: int) -> tuple[int, int, str, bytes]:
@@ -182,10 +199,9 @@ def _digest(text: str | None, gone, size: int) -> tuple[int, int, str, bytes]:
         kept = words
     else:
         edge = np.zeros(len(words) + 1, np.int32)
-        for g in gone:  # places beyond the text come from another text of the same doc_id
-            if g["start"] < len(words):
-                edge[g["start"]] += 1
-                edge[min(g["start"] + g["n"] + size - 1, len(words))] -= 1
+        for g in gone:
+            edge[g["start"]] += 1
+            edge[g["start"] + g["n"] + size - 1] -= 1
         kept = [w for w, c in zip(words, np.cumsum(edge[:-1]).tolist()) if not c]
     joined = b" ".join(kept)
     return len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined
@@ -198,12 +214,15 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, with_text: bool = False) -
     others are finished where they are read.
     """
     spark = docs.sparkSession
-    from ..session import materialise
-
     lists = materialise(spark, stretches_by_document(repeated_stretches(docs, size)), "repeats")
-    keyed = lists.select(F.xxhash64("doc").alias("key"))
-    hit = spark.sparkContext.broadcast(Bloom.build(keyed, "key", BITS // 8, all=F.lit(True))["all"])
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC))).alias("key"))
+    hit = spark.sparkContext.broadcast(Bloom.build(lists.select(F.xxhash64("doc", "text_hash").alias("key")), "key", BITS // 8, all=F.lit(True))["all"])
+
+    def named(part):
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(doc_numbers(part, NULL_DOC)),
+                                           pa.array(text_hashes(part.column("text")))], ["doc_id", "text", "doc", "text_hash"])
+
+    rows = map_texts(docs.select(F.col("doc_id").cast("long"), "text"), named, "doc_id long, text string, doc long, text_hash long")
+    rows = rows.withColumn("key", F.xxhash64("doc", "text_hash"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
 
@@ -220,5 +239,5 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, with_text: bool = False) -
 
     whole = map_texts(rows, lambda p: finished(q := split(p, False), [None] * q.num_rows), schema)
     joined = (map_texts(rows, lambda p: split(p, True), rows.schema)
-              .join(lists, F.coalesce("doc_id", F.lit(NULL_DOC)) == F.col("doc"), "left").select("doc_id", "text", "gone"))
+              .join(lists, ["doc", "text_hash"], "left").select("doc_id", "text", "gone"))
     return whole.unionByName(map_texts(joined, lambda p: finished(p, p.column("gone").to_pylist()), schema))
