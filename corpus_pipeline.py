@@ -23,7 +23,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers and dates become pseudonyms of the same format."""
-    return pseudonyms.pseudonymise(docs).select(*docs.columns)
+    return pseudonyms.pseudonymise_text(docs, pseudonyms.deployment_key(spark))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,12 +73,14 @@ def test_encode_then_decode(edge, none):
 @pytest.mark.parametrize("group", [2_000, 2])
 def test_repeats(edge, monkeypatch, group):
     monkeypatch.setattr(repeats, "GROUP", group)
-    rows = [(r[0], r[1]) for r in edge_rows()]
+    base = " ".join(f"p{i}" for i in range(50))
+    rows = [(r[0], r[1]) for r in edge_rows()] + [(None, f"{k} {base} {k}") for k in "abc"] + [(7, f"{k} {base}") for k in "de"] + [
+        (7, " ".join(f"u{i}" for i in range(60))), (None, " ".join(f"v{i}" for i in range(60))), (20, base)]
     want = brute.repeats(rows)
-    got = repeats.remove_repeats(edge, with_text=True).collect()
-    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(
-        ((i, *want[i, t]) for i, t in rows if i is not None), key=str) + sorted(
-        ((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got if r.doc_id is None), key=str)
+    more = edge.select("doc_id", "text").unionByName(edge.sparkSession.createDataFrame(rows[len(edge_rows()):], "doc_id long, text string"))
+    got = repeats.remove_repeats(more, with_text=True).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(((i, *want[i, t]) for i, t in rows), key=str)
+    assert want[7, rows[-3][1]][1] == want[None, rows[-2][1]][1] == 0  # texts that repeat nowhere keep their words
     assert all(hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256 for r in got)
 
 
@@ -88,7 +90,7 @@ def test_repeats_of_nothing(none):
 
 # --- 4: line rules
 def test_line_rules_edges(edge, none):
-    out = {(r.doc_id, r.n_words): r for r in line_rules.line_verdicts(edge, min_docs=1, share=0.0).collect()}
+    out = {(r.doc_id, r.n_words): r for r in line_rules.line_verdicts(edge, min_docs=1).collect()}
     assert out[4, 0].base_failed and out[5, 0].word_chars == 0 and not out[6, 0].kept
     assert out[12, 120].n_dup_lines == 119 and out[12, 120].n_repeat_words == 120
     assert line_rules.line_verdicts(edge).count() == len(edge_rows()) and line_rules.line_verdicts(none).count() == 0
@@ -106,6 +108,23 @@ def test_frequent_lines_go_but_their_first_document_keeps_them(spark):
     assert all(r.n_chars == len(r.text) for r in kept.values())
 
 
+def test_texts_without_or_under_one_id_are_judged_apart(spark):
+    """A null-id row that fails goes although another passes; lines are counted by text and leave only the documents that lose them."""
+    letters = lambda n: "".join("abcdefghij"[int(c)] for c in str(n))
+    own = lambda i: "\n".join("own line " + " ".join(f"q{letters(i)}w{letters(k)}z{letters(j)}" for j in range(10)) for k in range(6))
+    shared, rows = "the line that all of them share", []
+    for i in range(30):
+        rows.append((None if i % 3 == 0 else 7 if i % 3 == 1 else 100 + i, own(i) + "\n" + shared, "h"))
+    rows += [(None, "two words", "h"), (7, "two words", "h"), rows[0], (5, own(99), "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = [(r.doc_id, r.text) for r in line_rules.clean_documents(docs).collect()]
+    assert len(out) == 32 and "two words" not in {t for _, t in out}
+    keepers = {(i, t) for i, t in out if shared in t}
+    first = min((hashlib.md5(t.encode()).digest(), t) for i, t, _ in rows[:30] if i == 7)[1]
+    assert keepers == {(7, first)}  # smallest id, then smallest hash of the text
+    assert sorted(t.replace("\n" + shared, "") for _, t in out) == sorted(t.replace("\n" + shared, "") for _, t, _ in rows if t != "two words")
+
+
 def test_line_limit_does_not_grow_with_the_host(spark):
     letters = lambda n: "".join("abcdefghij"[int(c)] for c in str(n))
     own = lambda i: " ".join(f"q{letters(i)}z{letters(j)}" for j in range(60))
@@ -194,7 +213,7 @@ def test_pseudonyms(spark, edge, none):
     text = ("x 4111 1111 1111 1111, 4111111111111111 9807915762804490 a12345678901234567 12345678901234567890123 und.34@mail7.example.com "
             "+1 (017) 555-7713 97.51.17.173 999.1.1.1 2024-02-29 31.12.1999 2024-13-01 v4.0 3. 123-45-6789 GB82 WEST 1234 5698 7654 32")
     df = spark.createDataFrame([(1, text), (2, "again und.34@mail7.example.com"), (3, None), (4, "")], "doc_id long, text string")
-    out = {r.doc_id: r for r in pseudonyms.pseudonymise(df).collect()}
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(df, "k").collect()}
     new = out[1].text
     assert out[1].n_replaced == 10 and out[3].text is None and out[4].text == ""
     for gone in ("4111", "9807915762804490", "und.34", "555-7713", "97.51.17.173", "2024-02-29", "31.12.1999", "123-45-6789", "WEST 1234"):
@@ -204,15 +223,15 @@ def test_pseudonyms(spark, edge, none):
     assert len(new) - len(text) == len(new.split("999.1.1.1")[0].split()[-1]) - len("97.51.17.173")
     assert new[2:21].replace(" ", "") == new[23:39] and luhn(new[23:39]) and not luhn(new[40:56])
     assert out[2].text.split()[1] in new
-    rows = pseudonyms.pseudonymise(edge)
+    rows = pseudonyms.pseudonymise(edge, "k")
     assert rows.columns == [*edge.columns, "n_replaced"] and rows.count() == len(edge_rows())
     assert all(r.text == dict((x[0], x[1]) for x in edge_rows())[r.doc_id] for r in rows.where("doc_id not in (14)").collect())
-    assert pseudonyms.pseudonymise(none).count() == 0
+    assert pseudonyms.pseudonymise(none, "k").count() == 0
 
 
 def replaced(spark, values, after="."):
     df = spark.createDataFrame([(i, f"x {v}{after}") for i, v in enumerate(values)], "doc_id long, text string")
-    return [(r.text, r.n_replaced) for r in pseudonyms.pseudonymise(df).orderBy("doc_id").collect()]
+    return [(r.text, r.n_replaced) for r in pseudonyms.pseudonymise(df, "k").orderBy("doc_id").collect()]
 
 
 PHONES = ["+41 44 668 18 00", "+49 30 12 34 56 78", "+34 612 34 56 78", "+34 91 123 45 67", "+33 6 12 34 56 78", "+33.6.12.34.56.78", "+41446681800",
@@ -315,7 +334,7 @@ def test_ngram_join(spark, edge, none, monkeypatch, small, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     rng = random.Random(7)
     base = [f"v{i}" for i in range(40)]
-    rows = [(r[0], r[1]) for r in edge_rows() if r[0] not in (10, 11)]
+    rows = [(r[0], r[1]) for r in edge_rows()]
     for i in range(100, 160):  # near copies around the threshold
         w = list(base)
         for _ in range(rng.randint(0, 3)):

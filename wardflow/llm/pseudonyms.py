@@ -17,24 +17,29 @@ Phones: the country code stays.  Where its plan fixes the length, exactly that m
 card, address, date, decimal or time after a blank is left whole.  Where the plan leaves the length open, a bare short number
 after a single blank is taken as a further group.  National forms need an area code, in brackets, with a leading zero, or as 3-3-4 digits.
 
-Dates: yyyy-MM-dd, yyyy/MM/dd, dd.MM.yyyy, slash dates and written months (English, German, French, Spanish, full or short).
+Dates: yyyy-MM-dd (also before a time, T10:00), yyyy/MM/dd, dd.MM.yyyy, slash dates and written months (English, German, French, Spanish, full or short).
 A slash date is read day first; only where that is no real date it is read month first, and then moves among the dates
-that can only be read so (days above 12).  So 03/04/2021 is 3 April, whoever wrote it.
+that can only be read so (days above 12).  So 03/04/2021 is 3 April, whoever wrote it.  Years of two digits are no dates here, as their
+century isn't known: such text stays.
 
-``n_replaced`` is added (an own column of that name is replaced).  Null text stays null.  A number that is part of a longer run of letters, digits or underscores is left alone.  Nothing
+The key is a parameter and stands in no source, plan or log; ``deployment_key`` takes it from the session's settings.
+
+``n_replaced`` is added (an own column of that name is replaced); ``pseudonymise_text`` leaves all other columns as they are.  Null text stays null.  A number that is part of a longer run of letters, digits or underscores is left alone.  Nothing
 else in a text changes; repeated rows and extra columns pass through; ``n_chars`` follows the text where it exists.
 """
 
 from __future__ import annotations
 
+import secrets
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let, packed, unpacked
 
-KEY = "wardflow"
+#: Settings that name the key: the key itself, or a text file with it that Spark can read.
+KEY_CONF, KEY_FILE_CONF = "spark.wardflow.pseudonyms.key", "spark.wardflow.pseudonyms.keyFile"
 ROUNDS = 6
 FIRST_DAY, A, B = "1700-01-01", 189, 773
 _IP = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.[0-9])"
@@ -77,11 +82,30 @@ FORMATS = {
              rf"[0-9](?:{_STEP}[0-9]){{5,8}}(?![.,/:-][0-9])"),
 }
 # Only at the edges of a run of letters, digits and underscores; this also keeps the search linear.
-ANY = "(?<![0-9A-Za-z_])(?:" + "|".join(FORMATS.values()) + ")(?![0-9A-Za-z_])"
+# An ISO date may be followed by its time.
+ANY = "(?<![0-9A-Za-z_])(?:(?:" + "|".join(FORMATS.values()) + ")(?![0-9A-Za-z_])|[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9]{2}:[0-9]{2}))"
+
+
+def _hash(key: str | Column, label: str, *parts: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key) if isinstance(key, str) else key, F.lit(label), *parts), 512)
+
+
+def deployment_key(spark: SparkSession) -> str:
+    """The key of this deployment, from the session's settings.
+
+    Without one, a key of this call alone: values are then linked within one result, and nobody can turn them back.
+    """
+    named = spark.conf.get(KEY_CONF, None)
+    if not named and (path := spark.conf.get(KEY_FILE_CONF, None)):
+        named = spark.read.text(path, wholetext=True).first()[0].strip()
+    return named or secrets.token_hex(32)
 
 
-def _hash(key: str, label: str, *parts: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(f"{key}|{label}"), *parts), 512)
+def _secret(spark: SparkSession, key: str) -> Column:
+    """The key as a scalar subquery over one row, so that plans and event logs show a reference and never its value."""
+    if not key:
+        raise ValueError("a key is needed")
+    return spark.createDataFrame([(key,)], "secret string").scalar()
 
 
 def _amount(digest: Column, place, digits: int = 6) -> Column:
@@ -100,7 +124,7 @@ def _shifted(char: Column, amount: Column, hexa: bool) -> Column:
     return out
 
 
-def permute_text(value: Column, key: str, label: str, hexa: bool = False) -> Column:
+def permute_text(value: Column, key: str | Column, label: str, hexa: bool = False) -> Column:
     """Characters of a value moved within their classes; value, separators and length keep their form."""
     def half(text: Column, other: Column, n: int) -> Column:
         return let(_hash(key, f"{label}{n}", other), lambda d: F.array_join(F.transform(
@@ -134,7 +158,7 @@ def _luhn(payload: Column) -> Column:
     return (10 - F.aggregate(turned, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10) % 10
 
 
-def permute_card(value: Column, key: str) -> Column:
+def permute_card(value: Column, key: str | Column) -> Column:
     """Digits before the last are permuted; the last keeps its distance to the check digit; groups stay."""
     digits = _plain(value)
     body, last = F.substring(digits, F.lit(1), F.length(digits) - 1), F.substring(digits, -1, 1).cast("long")
@@ -142,7 +166,7 @@ def permute_card(value: Column, key: str) -> Column:
         fresh, ((last - _luhn(body) + _luhn(fresh) + 10) % 10).cast("string"))))
 
 
-def permute_day(day: Column, key: str) -> Column:
+def permute_day(day: Column, key: str | Column) -> Column:
     """Another day of the 400 years from FIRST_DAY; a bijection of that span."""
     number = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
     pair = F.struct(F.floor(number / B).cast("long").alias("a"), (number % B).alias("b"))
@@ -155,7 +179,7 @@ def permute_day(day: Column, key: str) -> Column:
     return F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int"))
 
 
-def permute_late_day(day: Column, key: str) -> Column:
+def permute_late_day(day: Column, key: str | Column) -> Column:
     """Another day of the span with a day of the month above 12: the permutation is followed until it meets one.
 
     It always comes back to the day itself; 100 steps miss with odds of 0.4 ** 100.
@@ -168,7 +192,7 @@ def _inside(day: Column) -> Column:
     return (day >= F.lit(FIRST_DAY).cast("date")) & (day < F.lit("2100-01-01").cast("date"))
 
 
-def _date(value: Column, formats: list[tuple[str, str, str]], key: str) -> Column:
+def _date(value: Column, formats: list[tuple[str, str, str]], key: str | Column) -> Column:
     """A real date of the span is permuted and written in its own format; any other run of digits stays."""
     out = value
     for pattern, read, write in formats:
@@ -179,7 +203,7 @@ def _date(value: Column, formats: list[tuple[str, str, str]], key: str) -> Colum
     return out
 
 
-def _written(value: Column, key: str) -> Column:
+def _written(value: Column, key: str | Column) -> Column:
     """A date with a month name; language, length, case, order and marks of the name stay, an English ordinal follows its day."""
     name = F.regexp_extract(value, f"({_MONTH})", 1)
     low = F.lower(name)
@@ -209,7 +233,7 @@ def _octets(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), lambda s: s.cast("long") < 256)
 
 
-def permute_ip(value: Column, key: str) -> Column:
+def permute_ip(value: Column, key: str | Column) -> Column:
     """Four octets as two 16-bit halves."""
     o = F.transform(F.split(value, r"\."), lambda s: s.cast("long"))
     pair = F.struct((o[0] * 256 + o[1]).alias("l"), (o[2] * 256 + o[3]).alias("r"))
@@ -223,7 +247,7 @@ def permute_ip(value: Column, key: str) -> Column:
     return F.when(_octets(value), F.array_join(F.transform(out, lambda x: x.cast("string")), ".")).otherwise(value)
 
 
-def pseudonym(value: Column, key: str) -> Column:
+def pseudonym(value: Column, key: str | Column) -> Column:
     """Pseudonym of one match of ANY, or the match itself if it is none of the validated formats."""
     whole = lambda kind: value.rlike(f"^(?:{FORMATS[kind]})$")
     at = F.instr(value, "@")
@@ -249,17 +273,28 @@ def pseudonym(value: Column, key: str) -> Column:
     return reduce(lambda rest, case: F.when(case[0], case[1]).otherwise(rest), reversed(cases), value)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with every validated value replaced; adds ``n_replaced``.
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with every validated value replaced; adds ``n_replaced``.  The same key gives the same pseudonyms.
 
     The text is cut at the matches and joined with their pseudonyms again, so every occurrence is replaced.
     """
     text = F.col("row.text")
     found = F.when(text.rlike(r"[0-9@]"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
-    df = packed(docs).withColumn("found", found)
-    df = df.withColumn("new", F.transform("found", lambda v: pseudonym(v, key)))
+    df = packed(docs).withColumn("found", found).withColumn("secret", _secret(docs.sparkSession, key))
+    df = df.withColumn("new", F.transform("found", lambda v: pseudonym(v, F.col("secret"))))
     pieces = F.zip_with(F.split(text, f"(?:{ANY})", -1), "new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))
     df = df.withColumn("text", F.when(F.size("found") > 0, F.array_join(F.flatten(pieces), "")).otherwise(text))
     changed = F.filter(F.zip_with("found", "new", lambda a, b: a != b), lambda x: x)
     size = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return unpacked(df, docs.columns, text=F.col("text"), **size, n_replaced=F.when(F.size("found") > 0, F.size(changed)).otherwise(0).cast("long"))
+
+
+def pseudonymise_text(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` in its own shape: only the text, and ``n_chars`` with it, changes."""
+    counted = pseudonymise(docs, key)
+    if "n_replaced" not in docs.columns:
+        return counted.drop("n_replaced")
+    moved = packed(docs).select("row", F.col("row.n_replaced").alias("_n"), F.col("row.text").alias("text"))
+    out = pseudonymise(moved, key)
+    size = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(out, docs.columns, text=F.col("text"), **size)

@@ -48,7 +48,7 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None =
 @query("op7_pseudonyms")
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers and dates permuted within their formats."""
-    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), pseudonyms.deployment_key(spark))
 
 
 @query("op2_repeats")
