@@ -22,19 +22,24 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .common import map_texts, packed, unpacked
-from .text_model import Softmax, labelled_sample
+from .text_model import Softmax, fitted, labelled_rows
 
 #: Domains: good, good but toxic, poor, poor and toxic.
 TARGETS = (0.88, 0.05, 0.06, 0.01)
 ROUNDS, CLOSE = 25, 1e-4
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame) -> Softmax:
-    rows = labelled_sample(docs, labels, ["quality", "toxic"])
-    y = np.where(np.asarray(rows.column("quality")) == 1, 0, 2) + (np.asarray(rows.column("toxic")) == 1) if rows.num_rows else np.zeros(0, int)
+def _fit(rows: pa.Table | None) -> Softmax:
+    if rows is None:
+        return Softmax(4)
+    y = np.where(np.asarray(rows.column("quality")) == 1, 0, 2) + (np.asarray(rows.column("toxic")) == 1)
     return Softmax(4).fit(rows.column("text").combine_chunks(), y.astype(int))
 
 
+def fit_domains(docs: DataFrame, labels: DataFrame) -> Softmax:
+    return fitted(labelled_rows(docs, labels, ["quality", "toxic"]), _fit)
+
+
 def with_posteriors(docs: DataFrame, model: Softmax) -> DataFrame:
     """doc_id, a hash of the row, its tokens and its posteriors."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -56,25 +61,47 @@ def rate(p: Column, tokens: Column, rounds: list[np.ndarray]) -> Column:
     return F.when(tokens > 0, r).otherwise(F.lit(1.0))
 
 
+def rates(p: np.ndarray, tokens: np.ndarray, rounds: list[np.ndarray]) -> np.ndarray:
+    """``rate`` of many rows at once."""
+    r = np.ones(len(p))
+    for step in rounds:
+        r = np.maximum(r + p @ step, 0.0)
+    return np.where(tokens > 0, r, 1.0)
+
+
+def _totals(members: DataFrame, k: int, rounds: list[np.ndarray]) -> np.ndarray:
+    """Tokens, expected tokens of each domain, and second moments over rows that still have a rate: one row for each batch, then one."""
+    names = [f"t{i}" for i in range(1 + k + k * k)]
+
+    def run(batches):
+        for batch in batches:
+            n = np.asarray(batch.column("tokens")).astype(float)
+            p = np.asarray(batch.column("p").flatten()).reshape(-1, k)
+            r = rates(p, n, rounds)
+            some = p * np.where(r > 0, n, 0.0)[:, None]
+            found = [n.sum(), *(r * n) @ p, *(some.T @ p).ravel()]
+            yield pa.RecordBatch.from_arrays([pa.array([float(x)]) for x in found], names)
+
+    sums = members.select("tokens", "p").mapInArrow(run, ", ".join(f"{c} double" for c in names)).agg(*[F.sum(c) for c in names]).first()
+    return np.array([x or 0.0 for x in sums])
+
+
 def fit_rates(members: DataFrame, targets=TARGETS) -> list[np.ndarray]:
     """Rounds of the projected gradient; ``members`` has tokens and p."""
     k = len(targets)
     goal, steps, best = None, [], (np.inf, 0)
     for _ in range(ROUNDS):
-        r, n, p = rate(F.col("p"), F.col("tokens"), steps), F.col("tokens").cast("double"), [F.col("p")[i] for i in range(k)]
-        row = members.select(r.alias("r"), n.alias("n"), *[x.alias(f"p{i}") for i, x in enumerate(p)]).agg(
-            F.sum("n"), *[F.sum(F.expr(f"r * n * p{i}")) for i in range(k)],
-            *[F.sum(F.expr(f"if(r > 0, n * p{i} * p{j}, 0)")) for i in range(k) for j in range(k)]).first()
+        row = _totals(members, k, steps)
         if not row[0]:
             return []
         goal = np.array(targets) / sum(targets) * row[0]
-        left = goal - np.array(row[1 : k + 1], float)
+        left = goal - row[1 : k + 1]
         size = float(np.linalg.norm(left) / np.linalg.norm(goal))
         if size < best[0]:
             best = (size, len(steps))
         if size < CLOSE:
             break
-        moments = np.array(row[k + 1 :], float).reshape(k, k)
+        moments = row[k + 1 :].reshape(k, k)
         steps.append(np.linalg.solve(moments + np.eye(k) * 1e-6 * np.trace(moments), left))
     return steps[: best[1]]
 

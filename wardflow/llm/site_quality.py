@@ -20,12 +20,20 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .common import map_texts
-from .text_model import Softmax, labelled_sample
+from .text_model import Softmax, fitted, labelled_rows
 
 KEEP = 0.5
 _EDGE = 1e-4
 
 
+def _fit(rows: pa.Table | None) -> tuple[Softmax, float]:
+    """The classifier and the training share of good documents."""
+    if rows is None:
+        return Softmax(2), 0.5
+    y = np.asarray(rows.column("quality")).astype(int)
+    return Softmax(2).fit(rows.column("text").combine_chunks(), y), float(np.clip(y.mean(), _EDGE, 1 - _EDGE))
+
+
 def score_texts(docs: DataFrame, model: Softmax) -> DataFrame:
     """doc_id, host, path and the classifier's probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -75,10 +83,7 @@ def with_posteriors(scores: DataFrame) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """doc_id, host, path, p, host_posterior, path_posterior, posterior and kept of every row."""
-    rows = labelled_sample(docs, labels, ["quality"])
-    y = np.asarray(rows.column("quality")).astype(int)
-    model = Softmax(2).fit(rows.column("text").combine_chunks(), y)
-    share = float(np.clip(y.mean() if len(y) else 0.5, _EDGE, 1 - _EDGE))
+    model, share = fitted(labelled_rows(docs, labels, ["quality"]), _fit)
     scores = materialise(docs.sparkSession, score_texts(docs, model), "scores")
     odds = lambda c: F.log(c / (1 - c))
     inside = lambda c: F.least(F.greatest(c, F.lit(_EDGE)), F.lit(1 - _EDGE))

@@ -1,12 +1,14 @@
 """Small text models trained here: hashed words with their beginnings, shape counts, softmax and noisy-or training.
 
-Labelled rows are a bounded sample (``SAMPLE`` rows of smallest hash), so that training needs no more than the driver's
-memory; scoring runs over every row on the executors with a weight table of fixed size.
+Labelled rows are a bounded sample (``SAMPLE`` rows of smallest hash and, where the fit runs in a task, ``SAMPLE_BYTES`` of their texts),
+so that training has bounded memory; scoring runs over every row on the executors with a weight table of fixed size.
 """
 
 from __future__ import annotations
 
-from array import array
+import pickle
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +17,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_words
+from .common import slices, split_words
 
 DIM = 1 << 18
 SAMPLE = 4_000
+SAMPLE_BYTES = 32 << 20
 MARKS = ".,;:!?*#%&$|\"'<>()[]{}-_"
 SHAPE = 7
 
@@ -30,6 +33,23 @@ def word_ids(word: str) -> list[int]:
     return sorted(xxhash.xxh3_64_intdigest(p.encode()) % DIM for p in parts)
 
 
+def word_places(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, place) pairs of many words, as ``word_ids`` has them: each distinct beginning is hashed once."""
+    bare = pa.array([v.strip(MARKS).lower() for v in values], pa.string())
+    long = np.asarray(pc.utf8_length(bare), np.int64) if len(bare) else np.zeros(0, np.int64)
+    owner, place = [], []
+    for k in (0, 4, 5, 6, 7):
+        at = np.flatnonzero(long >= k) if k else np.arange(len(bare))
+        parts = pc.utf8_slice_codeunits(bare.take(pa.array(at)), 0, k) if k else bare
+        coded = parts.dictionary_encode()
+        ids = np.fromiter((xxhash.xxh3_64_intdigest(f"{k}{p}" if k else p or "-") % DIM for p in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        owner.append(at)
+        place.append(ids[np.asarray(coded.indices)] if len(at) else np.zeros(0, np.int64))
+    owner, place = np.concatenate(owner), np.concatenate(place)
+    order = np.argsort(owner, kind="stable")
+    return owner[order], place[order]
+
+
 def word_shapes(values: pa.Array) -> np.ndarray:
     """Counts of distinct words that add up to the shape of a text."""
     count = lambda pattern: pc.count_substring_regex(values, pattern)
@@ -53,13 +73,37 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], where: Column | None = None, size: int = SAMPLE) -> pa.Table:
+def labelled_rows(docs: DataFrame, labels: DataFrame, columns: list[str], where: Column | None = None, size: int = SAMPLE) -> DataFrame:
     """Texts and labels of at most ``size`` documents: those of smallest hash among the labelled rows."""
     rows = labels.dropna(subset=["doc_id", *columns])
     rows = rows.where(where) if where is not None else rows
     rows = rows.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in columns]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    return texts.join(F.broadcast(rows), F.col("_id") == F.col("doc_id")).dropDuplicates(["doc_id"]).orderBy("doc_id").select("doc_id", "text", *columns).toArrow()
+    return texts.join(F.broadcast(rows), F.col("_id") == F.col("doc_id")).dropDuplicates(["doc_id"]).select("doc_id", "text", *columns)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], where: Column | None = None, size: int = SAMPLE) -> pa.Table:
+    return labelled_rows(docs, labels, columns, where, size).orderBy("doc_id").toArrow()
+
+
+def fitted(rows: DataFrame, fit: Callable[[pa.Table], Any], limit: int = SAMPLE_BYTES) -> Any:
+    """``fit`` of a bounded sample, in one task of an executor: only the model reaches the driver.
+
+    Rows come in the order of their hash, and those behind the first ``limit`` bytes of text are left out, so memory is bounded by
+    bytes as well as by rows.
+    """
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                if size < limit:
+                    held.append(part)
+                    size += part.column("text").nbytes
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held) if held else None))], pa.binary())], ["model"])
+
+    ordered = rows.orderBy(F.xxhash64("doc_id"), "doc_id").coalesce(1)
+    found = ordered.mapInArrow(run, "model binary").first()
+    return pickle.loads(found[0]) if found else fit(None)  # no rows, no task
 
 
 class Words:
@@ -84,12 +128,7 @@ def useful_ids(words: Words, of_text: np.ndarray, y: np.ndarray, k: int, least:
     ``least`` texts or more hold it and some class has ``lift`` standard errors more or fewer of them than its
     share of all texts (``above_only``: class 1 has more).  Texts are counted in small groups, to bound memory.
     """
-    flat, sizes = array("q"), array("q")
-    for w in words.values:
-        ids = word_ids(w)
-        flat.extend(ids)
-        sizes.append(len(ids))
-    place, owner = np.array(flat, np.int64), np.repeat(np.arange(len(words.values)), np.array(sizes, np.int64))
+    owner, place = word_places(words.values)
     if not len(place):
         return owner, place, place
     first = np.searchsorted(owner, np.arange(len(words.values) + 1))
@@ -173,7 +212,8 @@ class Softmax:
     def predict(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Posteriors of texts, and their numbers of words."""
         words = Words(texts)
-        per = np.array([self.w[word_ids(v)].sum(0) for v in words.values], np.float32).reshape(-1, self.k)
+        owner, place = word_places(words.values)
+        per = np.add.reduceat(self.w[place], np.searchsorted(owner, np.arange(len(words.values))), axis=0) if len(owner) else np.zeros((0, self.k), np.float32)
         n = np.diff(words.offsets)
         evidence = sums(words.spread(per), words.offsets) / np.sqrt(np.maximum(n, 1))[:, None]
         return self.posterior(evidence, (words.shape() - self.mean) / self.std), n
