@@ -63,12 +63,13 @@ def sweep(probes: DataFrame, events: DataFrame, asks: list[Ask], *, probe: str,
         shown = line.selectExpr("_k", "_t", "_rank", "_cat", "_block", *[f"CASE WHEN _cat = {_quoted(c)} THEN {end} END AS `{n}`" for c, n in columns.items()])
         ids = _running(shown, list(columns.values()), _Pick(direction == BACK, "_"))
         found = ids if found is None else found.join(ids, ["_k", "_t"])
-    out = None
-    for time in dict.fromkeys(a.time for a in asks):
-        here = [a for a in asks if a.time == time]
-        cells = F.array(*[F.struct(F.lit(a.name).alias("ask"), F.lit(c).alias("category"),
-                                   F.col(f"_{'b' if a.direction == BACK else 'f'}{wanted.index(c)}").alias("event")) for a in here for c in a.categories])
-        rows = (probes.select(F.col(probe).alias("probe"), F.col(key).alias("_k"), F.col(time).cast("timestamp_ntz").alias("_t")).join(found, ["_k", "_t"])
-                .select("probe", F.inline(cells)).where("event IS NOT NULL"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    # One row for each probe and time, so that the picked ids are read once for all questions.
+    names = list(dict.fromkeys(a.time for a in asks))
+    asked = probes.select(F.col(probe).alias("probe"), F.col(key).alias("_k"), F.inline(F.array(*[
+        F.struct(F.lit(n).alias("_time"), F.col(n).cast("timestamp_ntz").alias("_t")) for n in names])))
+    cells = None
+    for n in names:
+        mine = F.array(*[F.struct(F.lit(a.name).alias("ask"), F.lit(c).alias("category"),
+                                  F.col(f"_{'b' if a.direction == BACK else 'f'}{wanted.index(c)}").alias("event")) for a in asks if a.time == n for c in a.categories])
+        cells = F.when(F.col("_time") == n, mine) if cells is None else cells.when(F.col("_time") == n, mine)
+    return asked.join(found, ["_k", "_t"]).select("probe", F.inline(cells)).where("event IS NOT NULL")

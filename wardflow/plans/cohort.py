@@ -14,6 +14,7 @@ from ..functions.dates import age_at, within_last_years
 from ..functions.keys import current_rows
 from ..operators.aggregates import list_distinct
 from ..operators.asof import asof
+from ..operators.cohort import Cohort
 from ..operators.code_flags import code_masks, flag_columns, masks_per, pattern_table
 from ..operators.intervals import interval_join
 from ..operators.joins import all_of
@@ -59,14 +60,15 @@ def condition_masks(spark: SparkSession, codes: DataFrame, code_format: str = "a
     return code_masks(codes, "value", patterns, sorted({len(t) for _, _, t in rows}), [sleep])
 
 
-def condition_flags(tables: Mapping[str, DataFrame], patients: DataFrame, code_format: str = "as_written") -> DataFrame:
+def condition_flags(tables: Mapping[str, DataFrame], patients: DataFrame | Cohort, code_format: str = "as_written") -> DataFrame:
     """46 flags per patient from ICD-10 encounter diagnoses."""
+    cohort = patients if isinstance(patients, Cohort) else Cohort(patients, "patient_key")
     codes = tables["diagnosis_code"].where("type = 'ICD-10-CM'").select("diagnosis_key", "value", "display")
-    coded = condition_masks(patients.sparkSession, codes, code_format).where("mask <> 0").groupBy("diagnosis_key").agg(
+    coded = condition_masks(codes.sparkSession, codes, code_format).where("mask <> 0").groupBy("diagnosis_key").agg(
         F.bit_or("mask").alias("mask"))
     events = tables["diagnosis_event"].where((F.col("count") == 1) & F.col("type").isin(ENCOUNTER_DIAGNOSES)).select(
         "patient_key", "diagnosis_key")
-    joined = events.join(patients, "patient_key", "left_semi").join(coded, "diagnosis_key")
+    joined = cohort.of(events).join(coded, "diagnosis_key")
     return masks_per(joined, ["patient_key"])
 
 
@@ -78,12 +80,12 @@ def case_procedures(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFra
     return lists.join(first, "case_key")
 
 
-def post_op_medications(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
+def post_op_medications(tables: Mapping[str, DataFrame], base: DataFrame, cohort: Cohort) -> DataFrame:
     """Steroids and NSAIDs started on days 0 to 10 after surgery."""
     drugs = tables["medication"].select(
         "medication_key", F.coalesce("name", "generic_name").alias("med_name"),
         clinical.medication_class("name", "generic_name").alias("med_class")).where("med_class is not null")
-    starts = tables["medication_event"].join(drugs, "medication_key").select(
+    starts = cohort.of(tables["medication_event"]).join(drugs, "medication_key").select(
         "patient_key", "start_date", "med_name", "med_class").distinct()
     index = base.select("patient_key", "surgery_date").distinct()
     pairs = interval_join(index, starts, key="patient_key", left_date="surgery_date", right_date="start_date", lo=0, hi=MEDICATION_DAYS)
@@ -93,9 +95,9 @@ def post_op_medications(tables: Mapping[str, DataFrame], base: DataFrame) -> Dat
     return base.select("case_key", "patient_key", "surgery_date").join(lists, ["patient_key", "surgery_date"]).drop("patient_key", "surgery_date")
 
 
-def first_ed_visit(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
+def first_ed_visit(tables: Mapping[str, DataFrame], base: DataFrame, cohort: Cohort) -> DataFrame:
     """First emergency visit 0 to 30 days after surgery."""
-    visits = tables["ed_visit"].groupBy("patient_key", "arrival_date").agg(
+    visits = cohort.of(tables["ed_visit"]).groupBy("patient_key", "arrival_date").agg(
         F.min(F.coalesce("reason", F.lit("Not documented"))).alias("reason"))
     index = base.select("patient_key", "surgery_date").distinct()
     pairs = interval_join(index, visits, key="patient_key", left_date="surgery_date", right_date="arrival_date", lo=0, hi=30)
@@ -104,10 +106,10 @@ def first_ed_visit(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFram
     return base.select("case_key", "patient_key", "surgery_date").join(first, ["patient_key", "surgery_date"]).drop("patient_key", "surgery_date")
 
 
-def pre_op_imaging(tables: Mapping[str, DataFrame], base: DataFrame, patients: DataFrame) -> DataFrame:
+def pre_op_imaging(tables: Mapping[str, DataFrame], base: DataFrame, cohort: Cohort) -> DataFrame:
     wanted = tables["procedure"].select("procedure_key", clinical.first_match("name", clinical.MODALITIES).alias("modality")).where(
         "modality is not null")
-    exams = tables["imaging"].join(wanted, "procedure_key").join(patients, "patient_key", "left_semi")
+    exams = cohort.of(tables["imaging"]).join(wanted, "procedure_key")
     outs = {m: f"_{m}" for m in clinical.MODALITIES}
     probes = base.select("case_key", "patient_key", F.col("surgery_date").cast("timestamp_ntz").alias("at"))
     found = asof(probes, exams, key="patient_key", left_time="at", right_time="exam_start", values=[], tiebreak=["imaging_key"],
@@ -136,7 +138,7 @@ def comorbidity_cohort(tables: Mapping[str, DataFrame], run_date: dt.date, cpt_c
     )
     spark = base.sparkSession
     base = materialise(spark, base, "cohort-base")
-    patients = base.select("patient_key").distinct()
+    cohort = Cohort(base, "patient_key")
 
     account = first_per(
         base.select("case_key", "encounter_key").join(tables["billing_account"], "encounter_key"), ["case_key"],
@@ -151,22 +153,22 @@ def comorbidity_cohort(tables: Mapping[str, DataFrame], run_date: dt.date, cpt_c
     social = list_distinct(
         base.select("case_key", "encounter_key").join(tables["social_determinant"], "encounter_key"), ["case_key"],
         {"social_domains": "domain", "social_concern": "concern", "social_entries": "interpretation"})
-    masks = base.select("case_key", "patient_key").join(condition_flags(tables, patients, code_format), "patient_key").drop("patient_key")
+    masks = base.select("case_key", "patient_key").join(condition_flags(tables, cohort, code_format), "patient_key").drop("patient_key")
     vitals = asof(
         base.select("case_key", "patient_key", F.col("surgery_date").cast("timestamp_ntz").alias("at")),
-        tables["vitals"].join(patients, "patient_key", "left_semi"), key="patient_key", left_time="at", right_time="recorded",
+        cohort.of(tables["vitals"]), key="patient_key", left_time="at", right_time="recorded",
         values=["bmi", "height", "weight"], tiebreak=["bmi", "height", "weight"]).select(
         "case_key", "pick.bmi", "pick.height", "pick.weight")
-    risk = tables["risk"].groupBy("patient_key").agg(
+    risk = cohort.of(tables["risk"]).groupBy("patient_key").agg(
         F.max("charlson").alias("charlson_index"), F.max("functional_status").alias("functional_status"),
         F.max(F.when(F.col("days_since_admission") <= 90, 1).otherwise(0)).alias("recent_admission_flag"))
     risk = base.select("case_key", "patient_key").join(risk, "patient_key").drop("patient_key")
     implants = list_distinct(
-        tables["supply_use"].where("count = 1").join(
+        tables["supply_use"].where("count = 1").join(base.select("case_key"), "case_key", "left_semi").join(
             tables["supply"].where((F.col("is_current") == 1) & F.col("type").ilike("%implant%")), "supply_key"),
         ["case_key"], {"implants": "name"})
-    admissions = tables["admission"].where(
-        F.col("admission_date").isNotNull() & F.col("principal_problem_key").isNotNull()).select(
+    admissions = cohort.of(tables["admission"].where(
+        F.col("admission_date").isNotNull() & F.col("principal_problem_key").isNotNull())).select(
         "patient_key", F.col("admission_date").alias("day"), F.col("principal_problem_key").alias("diagnosis_key"))
     icd10 = tables["diagnosis_code"].where("type = 'ICD-10-CM'").select("diagnosis_key").distinct()
     admissions = admissions.join(icd10, "diagnosis_key", "left_semi").join(
@@ -183,7 +185,7 @@ def comorbidity_cohort(tables: Mapping[str, DataFrame], run_date: dt.date, cpt_c
         F.when(age >= 65, "Yes").otherwise("No").alias("age_over_65_flag"), "sex", "race", "ethnicity", "postal_code", "surgery_date",
         "surgeon_name", "total_cost", "asa_rating", clinical.asa_score("asa_rating").alias("asa_score"), "smoking_status")
     out = all_of([
-        case_procedures(tables, base), account, diagnosis, social, masks, vitals, risk, implants, post_op_medications(tables, base),
-        pre_op_imaging(tables, base, patients), readmitted, first_ed_visit(tables, base)], ["case_key"], main)
+        case_procedures(tables, base), account, diagnosis, social, masks, vitals, risk, implants, post_op_medications(tables, base, cohort),
+        pre_op_imaging(tables, base, cohort), readmitted, first_ed_visit(tables, base, cohort)], ["case_key"], main)
     return out.withColumn("bmi_over_30_flag", clinical.bmi_flag("bmi")).select(
         *[c for c in out.columns if c != "mask"], "bmi_over_30_flag", *flag_columns(FLAGS))

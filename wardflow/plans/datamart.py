@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import no_end_key, real_key
 from ..operators.aggregates import list_ordered
 from ..operators.asof import asof
+from ..operators.cohort import Cohort
 from ..operators.joins import all_of
 from ..operators.picks import latest_per
 from ..session import materialise
@@ -18,9 +19,9 @@ from .registry import base_population, history_flags
 STAGING = ["stage_description", "histologic_grade", "tumor_size_mm", "residual_tumor", "lymph_vascular_invasion", "lymphatic_invasion"]
 
 
-def current_medication(tables: Mapping[str, DataFrame]) -> DataFrame:
+def current_medication(tables: Mapping[str, DataFrame], cohort: Cohort) -> DataFrame:
     """Classes of medication started and not ended, one entry per order, in class order."""
-    open_orders = tables["medication_event"].where(real_key("start_date_key", 1) & no_end_key("end_date_key"))
+    open_orders = cohort.of(tables["medication_event"].where(real_key("start_date_key", 1) & no_end_key("end_date_key")))
     classed = open_orders.join(tables["medication"].select("medication_key", "pharmaceutical_class"), "medication_key", "left")
     return list_ordered(classed, ["patient_key"], "pharmaceutical_class", ["pharmaceutical_class"], "current_medication", sep=", ")
 
@@ -83,11 +84,12 @@ def surgical_datamart(tables: Mapping[str, DataFrame], surgeon_like: str, earlie
     pre, post = imaging_columns(tables, base)
     images = follow_up_imaging(tables, base)
     staging = tables["cancer_staging"].select("patient_key", *STAGING).distinct()
-    flags = history_flags(tables, base.select("patient_key").distinct())
+    cohort = Cohort(base, "patient_key")
+    flags = history_flags(tables, cohort)
     main = base.select(
         "case_key", "patient_key", "mrn", "surgery_date", "procedure_name", "admission_date", "discharge_date", "los", "post_op_los", "sex",
         "bmi", "height", "weight", "asa_rating", "diabetes_mellitus", "hypertension").join(status, "case_key", "left")
     follow = images if expand_follow_up else images.groupBy("patient_key").agg(
         F.count(F.lit(1)).alias("follow_up_images"), F.min("follow_up_imaging_date").alias("first_follow_up_imaging_date"))
-    out = all_of([per_patient, current_medication(tables), pre, post, follow, staging, flags], ["patient_key"], main)
+    out = all_of([per_patient, current_medication(tables, cohort), pre, post, follow, staging, flags], ["patient_key"], main)
     return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("hyperlipidemia", "coronary_artery_disease")})

@@ -12,6 +12,7 @@ from ..functions.dates import boundary_diff
 from ..functions.keys import current_rows, real_key
 from ..functions.text import concat_strict
 from ..operators.aggregates import list_ordered
+from ..operators.cohort import Cohort
 from ..operators.code_flags import code_masks, flag_columns, masks_per, pattern_table
 from ..operators.followup import BUCKETS, followup_buckets
 from ..operators.intervals import later_days
@@ -24,13 +25,13 @@ from ..session import materialise
 HISTORY = {"hyperlipidemia": "E78.", "coronary_artery_disease": "I25."}
 
 
-def history_flags(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame:
+def history_flags(tables: Mapping[str, DataFrame], cohort: Cohort) -> DataFrame:
     """0/1 per patient: any ICD-10 code with the prefix."""
-    spark, flags = patients.sparkSession, list(HISTORY)
+    spark, flags = cohort.keys.sparkSession, list(HISTORY)
     patterns = pattern_table(spark, flags, [(f, "prefix", p) for f, p in HISTORY.items()])
     codes = tables["diagnosis_code"].where("type = 'ICD-10-CM'").select("diagnosis_key", "value").distinct()
     coded = code_masks(codes, "value", patterns, sorted({len(p) for p in HISTORY.values()})).where("mask <> 0")
-    events = tables["diagnosis_event"].select("patient_key", "diagnosis_key").join(coded.select("diagnosis_key", "mask"), "diagnosis_key")
+    events = cohort.of(tables["diagnosis_event"]).select("patient_key", "diagnosis_key").join(coded.select("diagnosis_key", "mask"), "diagnosis_key")
     return masks_per(events, ["patient_key"]).select("patient_key", *flag_columns(flags))
 
 
@@ -44,16 +45,17 @@ def base_population(tables: Mapping[str, DataFrame], surgeon_like: str, performe
     surgeon = tables["provider"].where(F.upper("name").like(surgeon_like)).select(F.col("provider_key").alias("surgeon_key"))
     patient = current_rows(tables["patient"], test="test").select(
         "patient_key", "mrn", "patient_id", "age_in_years", "sex", "race", "ethnicity")
-    social = latest_per(tables["social_history"], ["patient_id"], "contact_date", ["smoking", "smokeless"]).select(
-        "patient_id", "smoking", "smokeless")
-    vitals = latest_per(tables["vitals"], ["patient_key"], "recorded", ["bmi", "height", "weight"]).select(
-        "patient_key", "bmi", "height", "weight")
+    picked = materialise(case.sparkSession, case.join(surgeon.distinct(), "surgeon_key").join(patient, "patient_key"), "cases")
+    # The latest of the cohort's patients only.
+    social = tables["social_history"].join(picked.select("patient_id").distinct(), "patient_id", "left_semi")
+    social = latest_per(social, ["patient_id"], "contact_date", ["smoking", "smokeless"]).select("patient_id", "smoking", "smokeless")
+    vitals = tables["vitals"].join(picked.select("patient_key").distinct(), "patient_key", "left_semi")
+    vitals = latest_per(vitals, ["patient_key"], "recorded", ["bmi", "height", "weight"]).select("patient_key", "bmi", "height", "weight")
     listed = tables["diagnosis_list"].select(
         "patient_key", F.greatest("type_1_diabetes", "type_2_diabetes").alias("diabetes_mellitus"), "hypertension")
     procedure = tables["procedure"].select("procedure_key", F.col("name").alias("procedure_name"))
     rows = (
-        case.join(surgeon.distinct(), "surgeon_key").join(patient, "patient_key")
-        .join(procedure, "procedure_key", "left").join(vitals, "patient_key", "left").join(listed, "patient_key", "left")
+        picked.join(procedure, "procedure_key", "left").join(vitals, "patient_key", "left").join(listed, "patient_key", "left")
         .join(social, "patient_id", "left")
     )
     return rows.withColumns({
@@ -64,7 +66,7 @@ def base_population(tables: Mapping[str, DataFrame], surgeon_like: str, performe
     })
 
 
-def case_labs(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame:
+def case_labs(tables: Mapping[str, DataFrame], cohort: Cohort) -> DataFrame:
     """Results of the cohort in one of the report's families, one row per (result, family, category).
 
     Names are classified in the component list, so the result table meets a short list of wanted keys.
@@ -80,7 +82,7 @@ def case_labs(tables: Mapping[str, DataFrame], patients: DataFrame) -> DataFrame
     }
     pairs = F.array(*[F.struct(F.lit(f).alias("family"), e.alias("category")) for f, e in families.items()])
     wanted = c.where(F.col("name").isNotNull()).select("component_key", F.inline(pairs)).where("category is not null")
-    labs = tables["lab_result"].join(wanted, "component_key").join(patients, "patient_key", "left_semi")
+    labs = cohort.of(tables["lab_result"]).join(wanted, "component_key")
     # Only the text families need the text table.
     plain = labs.where(F.col("family").isin("lab", "urine"))
     texts = tables["lab_text"].select("result_key", F.col("value").alias("text_value"), F.col("comment").alias("text_comment"))
@@ -124,13 +126,13 @@ def shown_columns(picks: DataFrame, pairs: dict[tuple[str, str], str]) -> DataFr
         F.max(F.when((F.col("ask") == a) & (F.col("category") == c), F.col("shown"))).alias(out) for (a, c), out in pairs.items()])
 
 
-def readmissions(tables: Mapping[str, DataFrame], index: DataFrame, fmt: str) -> DataFrame:
+def readmissions(tables: Mapping[str, DataFrame], index: DataFrame, cohort: Cohort, fmt: str) -> DataFrame:
     """Dates, diagnoses and last status of admissions after the discharge of a case.
 
     The newest admission of a diagnosis after a discharge is the patient's newest one with that diagnosis, so
     one row per (patient, diagnosis) is enough; likewise the last status needs one row per patient.
     """
-    admissions = tables["admission"].where(F.col("admission_date").isNotNull())
+    admissions = cohort.of(tables["admission"].where(F.col("admission_date").isNotNull()))
     names = tables["diagnosis"].select(F.col("diagnosis_key").alias("principal_problem_key"), F.col("name").alias("dx_name"))
     dated = later_days(index.select("case_key", "patient_key", "discharge_date"), admissions, key="patient_key",
                        left_date="discharge_date", right_date="admission_date", out="readmission_dates", fmt=fmt, descending=True)
@@ -148,9 +150,9 @@ def readmissions(tables: Mapping[str, DataFrame], index: DataFrame, fmt: str) ->
         F.when(F.col("_last") > F.col("discharge_date"), F.col("confirmation_status")).alias("readmission_status"))
 
 
-def op_notes(tables: Mapping[str, DataFrame], index: DataFrame, service: str) -> DataFrame:
-    note = tables["clinical_note"].where(
-        (F.lower("type") == "op note") & (F.col("status") == "Signed") & (F.col("service") == service))
+def op_notes(tables: Mapping[str, DataFrame], index: DataFrame, cohort: Cohort, service: str) -> DataFrame:
+    note = cohort.of(tables["clinical_note"].where(
+        (F.lower("type") == "op note") & (F.col("status") == "Signed") & (F.col("service") == service)))
     last = latest_per(note, ["patient_key", "service_date"], "last_edited", ["text"]).select(
         "patient_key", F.col("service_date").alias("surgery_date"), F.col("text").alias("op_note"))
     return index.select("case_key", "patient_key", "surgery_date").join(last, ["patient_key", "surgery_date"]).select("case_key", "op_note")
@@ -170,12 +172,12 @@ def synoptic_text(labs: DataFrame, index: DataFrame, picks: DataFrame) -> DataFr
                         "synoptic_report", descending=True)
 
 
-def imaging_picks(tables: Mapping[str, DataFrame], index: DataFrame, patients: DataFrame) -> DataFrame:
+def imaging_picks(tables: Mapping[str, DataFrame], index: DataFrame, cohort: Cohort) -> DataFrame:
     """Last CT and MR at or before the start, first ones at or after the end."""
     wanted = tables["procedure"].select("procedure_key", clinical.first_match("name", clinical.CT_OR_MR).alias("modality")).where(
         "modality is not null")
-    exams = tables["imaging"].join(wanted, "procedure_key").join(patients, "patient_key", "left_semi")
-    exams = materialise(patients.sparkSession, exams, "registry-images")
+    exams = cohort.of(tables["imaging"]).join(wanted, "procedure_key")
+    exams = materialise(index.sparkSession, exams, "registry-images")
     shown = {"pre_op": ("procedure_start", BACK), "post_op": ("procedure_complete", FORWARD)}
     asks = [Ask(tag, time, way, tuple(clinical.CT_OR_MR)) for tag, (time, way) in shown.items()]
     found = sweep(index, exams, asks, probe="case_key", key="patient_key", event_time="exam_start", event="imaging_key", category="modality")
@@ -200,8 +202,8 @@ def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, servic
     base = materialise(spark, base, "registry-base")
     index = base.select("case_key", "patient_key", "surgery_date", "discharge_date", "procedure_start", "procedure_complete",
                         F.date_trunc("day", "procedure_start").cast("timestamp_ntz").alias("start_day"))
-    patients = base.select("patient_key").distinct()
-    labs = materialise(spark, case_labs(tables, patients), "registry-labs")
+    cohort = Cohort(base, "patient_key")
+    labs = materialise(spark, case_labs(tables, cohort), "registry-labs")
 
     picks = materialise(spark, lab_picks(index, labs), "registry-picks")
     lab, urine = list(clinical.LABS), list(clinical.URINE)
@@ -219,14 +221,14 @@ def surgical_registry(tables: Mapping[str, DataFrame], surgeon_like: str, servic
     shown |= {("after", f"lab:{c}"): f"{c}_post_op" for c in lab} | {("after", f"urine:{c}"): f"urine_{c}_post_op" for c in urine}
     shown |= {("path", f"pathology:{c}"): f"pathology_{c}" for c in ("case_report", "final_report")}
     shown |= {("stone", f"stone:{c}"): f"calculi_{c}" for c in clinical.STONE}
-    flags = index.select("case_key", "patient_key").join(history_flags(tables, patients), "patient_key").drop("patient_key")
+    flags = index.select("case_key", "patient_key").join(history_flags(tables, cohort), "patient_key").drop("patient_key")
 
     main = base.select(
         "case_key", "mrn", F.col("age_in_years").alias("age"), "sex", "race", "ethnicity",
         "height", "weight", "bmi", "asa_rating", "diabetes_mellitus", "hypertension", "smoking", "smokeless", "admission_date",
         "surgery_date", "discharge_date", "procedure_name", "los", "post_op_los")
     out = all_of([
-        flags, readmissions(tables, index, date_format),
-        shown_columns(picks, shown), op_notes(tables, index, service), wide, synoptic_text(labs, index, picks),
-        imaging_picks(tables, index, patients)], ["case_key"], main)
+        flags, readmissions(tables, index, cohort, date_format),
+        shown_columns(picks, shown), op_notes(tables, index, cohort, service), wide, synoptic_text(labs, index, picks),
+        imaging_picks(tables, index, cohort)], ["case_key"], main)
     return out.withColumns({f: F.coalesce(f, F.lit(0)) for f in HISTORY})
