@@ -66,6 +66,7 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         for batch in batches:
             for part in slices(batch, text):
                 yield fn(part)
+        pa.default_memory_pool().release_unused()  # a waiting worker holds no buffers
     return df.mapInArrow(run, schema)
 
 

@@ -29,7 +29,8 @@ from ..session import materialise
 
 SAMPLE, ROUNDS = 20_000, 12
 K, BLOCK, CHUNK = 128, 2_048, 256
-LEAST, SHARE = 2_000, 0.36
+LEAST, SHARE = 200, 0.36
+VISITORS = 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -140,7 +141,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, least: int = LEAST,
                     yield pa.RecordBatch.from_arrays([pa.array([r]), pa.array([p]), pa.array([ids.as_py()], pa.list_(pa.int64())), pa.array([np.asarray(qs.values)], pa.list_(pa.float64())), pa.array([sub], pa.binary())],
                                                      ["band", "part", "query_ids", "qs", "sub"])
 
-    visits = rows.where(F.col("vec_id") % every == 0).repartition("vec_id").mapInArrow(visit, "query_id long, q array<double>, bits binary")
+    # A count of its own keeps adaptive execution from joining these small, busy partitions.
+    tasks = -(-total // (every * VISITORS))
+    visits = rows.where(F.col("vec_id") % every == 0).repartition(tasks, "vec_id").mapInArrow(visit, "query_id long, q array<double>, bits binary")
     visits = visits.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(1 + total // every // CHUNK)).alias("chunk")).agg(F.collect_list(F.struct("query_id", "q", "bits")).alias("e"))
     visits = visits.select(F.col("e.query_id").alias("query_ids"), F.flatten("e.q").alias("qs"), F.col("e.bits").alias("bits")).mapInArrow(
         spread, "band long, part long, query_ids array<long>, qs array<double>, sub binary")

@@ -7,13 +7,14 @@
 4. A word that the automaton does not accept is merged exactly, pair by pair, in order of merge rank.
 
 A tokenizer file with NFC, blank, lower-case and byte-level steps and an end-of-word suffix is expected; its path is
-a parameter.  Null and blank texts give no ids.  Special tokens in a text are found before any other step.  Repeated
+a parameter.  Null and blank texts give no ids, an empty table no rows; texts and words of any length are encoded whole, long words by a heap of merges.  Special tokens in a text are found before any other step.  Repeated
 rows are encoded like any other, extra columns pass through ``encode_documents``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import mmap
 import os
@@ -33,7 +34,8 @@ from ..session import work_path
 from .common import slices
 
 LEXICON_WORDS = 32_768
-CACHE_PARTS, CACHE_WORDS = 250_000, 500_000
+CACHE_PARTS, CACHE_WORDS = 150_000, 100_000
+LONG = 64
 # The word pattern of the tokenizer file and the characters with the White_Space property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -66,6 +68,8 @@ class Vocabulary:
         if not parts:
             return []
         parts[-1] += self.end
+        if len(parts) > LONG:
+            return [self.ids[p] for p in self._merge_long(parts)]
         none, get = 1 << 30, self.ranks.get
         ranks = [get(p, none) for p in zip(parts, parts[1:])]
         while ranks:
@@ -81,6 +85,28 @@ class Vocabulary:
                 ranks[i] = get((parts[i], parts[i + 1]), none)
         return [self.ids[p] for p in parts]
 
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The same merges in n log n: a heap of (rank, place) over a linked list, outdated entries skipped."""
+        n, get = len(parts), self.ranks.get
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := get((a, b))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] != a or j < 0 or parts[j] != b:  # a part that was joined away is empty
+                continue
+            parts[i], parts[j] = a + b, ""
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (r := get((parts[i], parts[k]))) is not None:
+                    heapq.heappush(heap, (r, i, parts[i], parts[k]))
+            h = before[i]
+            if h >= 0 and (r := get((parts[h], parts[i]))) is not None:
+                heapq.heappush(heap, (r, h, parts[h], parts[i]))
+        return [p for p in parts if p]
+
     def decode(self, ids) -> str:
         """Tokens of the ids joined by a blank, special tokens included; unknown ids are left out."""
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
@@ -207,53 +233,78 @@ class Lexicon:
         return None if rank < 0 else self.flat[self.starts[rank] : self.starts[rank + 1]].tolist()
 
 
+class Recent:
+    """Entries of the last two generations of ``size`` keys each; what is asked for again stays."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys) -> list:
+        """Keys without an entry; the others are in ``new`` afterwards, as the caller puts the missing ones."""
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
+        new, old, out = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    out.append(k)
+        return out
+
+
 class Encoder:
     """Ids of whole texts; words and parts already met by this worker are kept up to a fixed number."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.special = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.chunks: dict[str, tuple[int, str, str]] = {}
+        self.words, self.chunks = Recent(CACHE_WORDS), Recent(CACHE_PARTS)
         self.names = {i: str(i) for i in vocabulary.tokens}
 
     def entry(self, ids: list[int]) -> tuple[int, str, str]:
         """Number of ids, the ids as text, and their decoded text."""
         return len(ids), " ".join([self.names[i] for i in ids]), self.vocabulary.decode(ids)
 
-    def learn_words(self, new: list[str]) -> None:
+    def learn_words(self, asked: set[str]) -> None:
         """Look new words up in the automaton, all at once; merge those that it does not hold."""
+        new, known = self.words.missing(asked), self.words.new
         ranks = self.lexicon.ranks([w.encode() for w in new]).tolist() if self.lexicon else [-1] * len(new)
         for w, r in zip(new, ranks):
-            ids = self.vocabulary.merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist()
-            self.words[w] = self.entry(ids)
+            known[w] = self.entry(self.vocabulary.merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist())
 
     def learn(self, parts: set[str]) -> None:
         """Entries of all parts of some texts."""
-        if len(self.chunks) > CACHE_PARTS:
-            self.chunks.clear()
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        split = {c: words(c) for c in parts if c not in self.chunks}
-        self.learn_words(list({w for ws in split.values() for w in ws if w not in self.words}))
+        split = {c: words(c) for c in self.chunks.missing(parts)}
+        self.learn_words({w for ws in split.values() for w in ws})
+        known, chunks_ = self.words.new, self.chunks.new
         for c, ws in split.items():
             if len(ws) == 1:
-                self.chunks[c] = self.words[ws[0]]
+                chunks_[c] = known[ws[0]]
             else:
-                got = [self.words[w] for w in ws]
-                self.chunks[c] = (sum(g[0] for g in got), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
+                got = [known[w] for w in ws]
+                chunks_[c] = (sum(g[0] for g in got), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
 
     def pieces(self, texts: list[str | None]) -> list[list[tuple[int, str, str]]]:
         """Entries of the parts of every text in order."""
-        cut = []
+        cut, met, special = [], set(), self.vocabulary.special
         for text in texts:
             row: list = []
-            for part, special in self.parts(text or ""):
-                row += [(part,)] if special else chunks(part)
+            for part, is_special in self.parts(text or ""):
+                row += [(part,)] if is_special else chunks(part)
+            met.update(row)
             cut.append(row)
-        self.learn({c for row in cut for c in row if c.__class__ is str})
-        known, special = self.chunks, self.vocabulary.special
-        return [[known[c] if c.__class__ is str else self.entry([special[c[0]]]) for c in row] for row in cut]
+        marks = {c for c in met if c.__class__ is tuple}
+        self.learn(met - marks)
+        known = self.chunks.new
+        if marks:
+            known = known | {m: self.entry([special[m[0]]]) for m in marks}
+        return [list(map(known.__getitem__, row)) for row in cut]
+
+    def rest(self) -> None:
+        """Keep only the newer generation while this worker waits for its next task."""
+        self.words.old, self.chunks.old = {}, {}
+        pa.default_memory_pool().release_unused()
 
     def ids(self, texts: list[str | None]) -> list[list[int]]:
         return [[int(i) for p in row for i in p[1].split()] for row in self.pieces(texts)]
@@ -268,8 +319,13 @@ class Encoder:
 
     def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Number of ids, and the digests of the ids and of the text decoded from them, of every text."""
-        sha = lambda row, k: hashlib.sha256(" ".join([p[k] for p in row if p[0]]).encode()).hexdigest()
-        return [(sum([p[0] for p in row]), sha(row, 1), sha(row, 2)) for row in self.pieces(texts)]
+        out = []
+        for row in self.pieces(texts):
+            n, ids, decoded = zip(*row) if row else ((), (), ())
+            if 0 in n:  # parts without ids leave no blank
+                n, ids, decoded = zip(*[p for p in row if p[0]]) if any(n) else ((), (), ())
+            out.append((sum(n), *(hashlib.sha256(" ".join(x).encode()).hexdigest() for x in (ids, decoded))))
+        return out
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS) -> DataFrame:
@@ -339,6 +395,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS)
             for part in slices(batch):
                 ids = pa.array(coder.ids(part.column("text").to_pylist()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
+        coder.rest()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -370,5 +427,6 @@ def round_trip_digests(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORD
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        coder.rest()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
