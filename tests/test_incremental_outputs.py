@@ -119,3 +119,21 @@ def test_survey_stream_keeps_its_keys_as_state(spark, tmp_path):
     survey.load_stream(spark, str(folder), target, state, "*.csv")
     fresh = spark.read.parquet(*[p for p in glob.glob(f"{target}/stream=*/batch=*") if not p.endswith("batch=0")])
     assert sorted(r.answer_txt for r in fresh.collect()) == ["new", "new too", "no id"]
+
+
+def test_staged_copies_go_with_their_block(spark, tmp_path):
+    from wardflow.session import materialise, shared_dir, staging
+    root = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    left = lambda: sorted(glob.glob(f"{root}/t-staged-*"))
+    with staging(spark):
+        with staging(spark):
+            inner = materialise(spark, spark.range(5), "t-staged")
+            assert inner.count() == 5 and len(left()) == 1
+        kept = materialise(spark, spark.range(7), "t-staged")
+        assert kept.count() == 7 and len(left()) == 1 and not glob.glob(f"{left()[0]}/_SUCCESS")
+        with pytest.raises(RuntimeError):
+            with staging(spark):
+                materialise(spark, spark.range(1), "t-staged")
+                raise RuntimeError
+        assert len(left()) == 1
+    assert left() == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -69,12 +70,34 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Paths written by ``materialise`` since the innermost ``staging`` block was entered.
+_STAGED: list[list[str]] = [[]]
+
+
 def materialise(spark: SparkSession, df, label: str):
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a later step must see exactly the same row placement, or where an expensive
-    frame feeds several branches.  The written copy survives lost executors.
+    frame feeds several branches.  The written copy survives lost executors; ``staging`` deletes it.
     """
     path = work_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    # Nobody looks for the marker: the copy is read by the job that wrote it.
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    _STAGED[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession):
+    """Delete the copies that were staged inside the block, when it is left.
+
+    A result is lazy and may still read its staged inputs, so write or count it inside the block.
+    """
+    _STAGED.append([])
+    try:
+        yield
+    finally:
+        fs = spark._jvm.org.apache.hadoop.fs
+        for path in _STAGED.pop():
+            target = fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
