@@ -34,7 +34,7 @@ from ..session import work_path
 from .common import slices
 
 LEXICON_WORDS = 32_768
-CACHE_PARTS, CACHE_WORDS = 150_000, 100_000
+CACHE, SLICE = 160_000, 1 << 20  # parts of a generation; bytes of text at a time
 LONG = 64
 # The word pattern of the tokenizer file and the characters with the White_Space property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -259,31 +259,37 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.special = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
-        self.words, self.chunks = Recent(CACHE_WORDS), Recent(CACHE_PARTS)
+        self.seen = Recent(CACHE)  # parts; a word is the part that holds nothing else
         self.names = {i: str(i) for i in vocabulary.tokens}
 
     def entry(self, ids: list[int]) -> tuple[int, str, str]:
         """Number of ids, the ids as text, and their decoded text."""
         return len(ids), " ".join([self.names[i] for i in ids]), self.vocabulary.decode(ids)
 
-    def learn_words(self, asked: set[str]) -> None:
-        """Look new words up in the automaton, all at once; merge those that it does not hold."""
-        new, known = self.words.missing(asked), self.words.new
-        ranks = self.lexicon.ranks([w.encode() for w in new]).tolist() if self.lexicon else [-1] * len(new)
-        for w, r in zip(new, ranks):
-            known[w] = self.entry(self.vocabulary.merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist())
+    def word_entries(self, asked: list[str]) -> dict[str, tuple[int, str, str]]:
+        """Entries of words, looked up in the automaton all at once; those that it does not hold are merged."""
+        ranks = self.lexicon.ranks([w.encode() for w in asked]).tolist() if self.lexicon else [-1] * len(asked)
+        out = {}
+        for w, r in zip(asked, ranks):
+            n, ids, decoded = self.entry(self.vocabulary.merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist())
+            out[w] = n, ids, w if decoded == w else decoded
+        return out
 
     def learn(self, parts: set[str]) -> None:
         """Entries of all parts of some texts."""
-        split = {c: words(c) for c in self.chunks.missing(parts)}
-        self.learn_words({w for ws in split.values() for w in ws})
-        known, chunks_ = self.words.new, self.chunks.new
+        split = {c: words(c) for c in self.seen.missing(parts)}
+        known = self.seen.new
+        alone = [c for c, ws in split.items() if len(ws) == 1 and ws[0] == c]
+        known.update(self.word_entries(alone))
+        for c in alone:
+            del split[c]
+        # Words of the other parts: from this cache if they stand alone somewhere, else for this call.
+        inner = {w for ws in split.values() for w in ws}
+        extra = self.word_entries([w for w in inner if w not in known])
         for c, ws in split.items():
-            if len(ws) == 1:
-                chunks_[c] = known[ws[0]]
-            else:
-                got = [known[w] for w in ws]
-                chunks_[c] = (sum(g[0] for g in got), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
+            got = [known.get(w) or extra[w] for w in ws]
+            known[c] = got[0] if len(got) == 1 else (sum(g[0] for g in got), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
+        known.update((w, e) for w, e in extra.items() if words(w) == [w])
 
     def pieces(self, texts: list[str | None]) -> list[list[tuple[int, str, str]]]:
         """Entries of the parts of every text in order."""
@@ -296,14 +302,14 @@ class Encoder:
             cut.append(row)
         marks = {c for c in met if c.__class__ is tuple}
         self.learn(met - marks)
-        known = self.chunks.new
+        known = self.seen.new
         if marks:
             known = known | {m: self.entry([special[m[0]]]) for m in marks}
         return [list(map(known.__getitem__, row)) for row in cut]
 
     def rest(self) -> None:
         """Keep only the newer generation while this worker waits for its next task."""
-        self.words.old, self.chunks.old = {}, {}
+        self.seen.old = {}
         pa.default_memory_pool().release_unused()
 
     def ids(self, texts: list[str | None]) -> list[list[int]]:
@@ -342,7 +348,7 @@ def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS) -> DataFrame:
             return pa.RecordBatch.from_pydict({"word": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 for text in part.column("text").to_pylist():
                     if text:
                         seen.update(chunks(text))
@@ -392,7 +398,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS)
     def run(batches):
         coder = _encoder(name, shared)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 ids = pa.array(coder.ids(part.column("text").to_pylist()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
         coder.rest()
@@ -422,7 +428,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORD
     def run(batches):
         coder = _encoder(name, shared)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 n, ids, decoded = zip(*coder.digests(part.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)],
