@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from wardflow.operators.sweep import BACK, FORWARD, Ask, sweep
@@ -31,6 +32,32 @@ def test_sweep_equals_a_search(spark):
     assert got == sorted(want) and len(got) > 300
 
 
+@pytest.mark.parametrize("blocks", [1, 40])
+def test_sweep_over_many_blocks(spark, monkeypatch, blocks):
+    """Blocks that split a hot (key, category) hand their picks on."""
+    from wardflow.operators import sweep as module
+    from wardflow.session import materialise
+
+    def cut(df, order, label):
+        rows = df.repartitionByRange(blocks, *[F.col(c).asc_nulls_first() for c in order])
+        return materialise(df.sparkSession, rows.withColumn("_block", F.spark_partition_id()), label)
+    monkeypatch.setattr(module, "placed", cut)
+    events = [(i, "hot", T0 + dt.timedelta(hours=i * 7 % 500), "xy"[i % 50 == 0]) for i in range(500)]
+    probes = [(i, "hot", T0 + dt.timedelta(hours=i * 3 - 20)) for i in range(190)]
+    e = spark.createDataFrame(events, "id int, k string, t timestamp_ntz, c string")
+    p = spark.createDataFrame(probes, "pid int, k string, s timestamp_ntz")
+    asks = [Ask("b", "s", BACK, ("x", "y")), Ask("f", "s", FORWARD, ("x", "y"))]
+    got = sorted(map(tuple, sweep(p, e, asks, probe="pid", key="k", event_time="t", event="id", category="c").collect()))
+    want = []
+    for a in asks:
+        for pid, _, s in probes:
+            for c in "xy":
+                hits = [(t, i) for i, _, t, ec in events if ec == c and (t <= s if a.direction == BACK else t >= s)]
+                if hits:
+                    want.append((pid, a.name, c, (max if a.direction == BACK else min)(hits)[1]))
+    assert got == sorted(want)
+
+
 def test_no_text_in_a_window_and_one_placement(spark, monkeypatch):
     """The registry places its results once, and windows carry ids only."""
     from wardflow.operators import sweep as module
@@ -42,7 +69,7 @@ def test_no_text_in_a_window_and_one_placement(spark, monkeypatch):
     index = spark.createDataFrame([(5, 1, T0, T0, T0)], "case_key long, patient_key long, procedure_start timestamp_ntz, procedure_complete timestamp_ntz, start_day timestamp_ntz")
     picks = registry.lab_picks(index, labs)
     assert sorted((r.ask, r.category, r.shown, r.order_id) for r in picks.collect()) == [("after", "lab:bun", "long text", 7), ("before", "lab:bun", "long text", 7)]
-    assert placed_columns == [["_k", "_t", "_cat", "_low", "_high", "_rank"]]
+    assert placed_columns == [["_k", "_t", "_cat", "_low", "_high", "_rank"]]  # ids, times and categories
     plan = picks._jdf.queryExecution().optimizedPlan().toString()
     assert not any("shown" in line for line in plan.splitlines() if "Window" in line)
     assert picks.agg(F.count("*")).first()[0] == 2

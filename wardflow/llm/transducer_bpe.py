@@ -34,8 +34,9 @@ from ..session import work_path
 from .common import slices
 
 LEXICON_WORDS = 32_768
-CACHE, SLICE = 160_000, 1 << 20  # parts of a generation; bytes of text at a time
-LONG = 64
+CACHE, SLICE = 240_000, 1 << 20  # parts of a generation; bytes of text at a time
+LONG, BITS = 64, 20
+MASK, NONE = (1 << BITS) - 1, 1 << 62
 # The word pattern of the tokenizer file and the characters with the White_Space property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -60,52 +61,56 @@ class Vocabulary:
         self.end: str = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
-        self.letters = byte_letters()
+        letters = byte_letters()
+        self.inner, self.last = ([self.ids[c + end] for c in letters] for end in ("", self.end))
+        # Both parts of a pair in one number, and its rank and what it becomes in another: a smaller one is merged first.
+        self.pairs = {self.ids[a] << BITS | self.ids[b]: r << BITS | self.ids[a + b] for (a, b), r in self.ranks.items()}
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the adjacent pair of lowest rank is joined until none is left."""
-        parts = [self.letters[b] for b in word.encode()]
-        if not parts:
+        data = word.encode()
+        if not data:
             return []
-        parts[-1] += self.end
+        inner, get = self.inner, self.pairs.get
+        parts = [inner[b] for b in data]
+        parts[-1] = self.last[data[-1]]
         if len(parts) > LONG:
-            return [self.ids[p] for p in self._merge_long(parts)]
-        none, get = 1 << 30, self.ranks.get
-        ranks = [get(p, none) for p in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == none:
+            return self._merge_long(parts)
+        pairs = [get(a << BITS | b, NONE) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == NONE:
                 break
-            i = ranks.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            i = pairs.index(best)
+            new = parts[i] = best & MASK
+            del parts[i + 1], pairs[i]
             if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
-            if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), none)
-        return [self.ids[p] for p in parts]
+                pairs[i - 1] = get(parts[i - 1] << BITS | new, NONE)
+            if i < len(pairs):
+                pairs[i] = get(new << BITS | parts[i + 1], NONE)
+        return parts
 
-    def _merge_long(self, parts: list[str]) -> list[str]:
+    def _merge_long(self, parts: list[int]) -> list[int]:
         """The same merges in n log n: a heap of (rank, place) over a linked list, outdated entries skipped."""
-        n, get = len(parts), self.ranks.get
+        n, get = len(parts), self.pairs.get
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := get((a, b))) is not None]
+        heap = [(r, i) for i in range(n - 1) if (r := get(parts[i] << BITS | parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            best, i = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != a or j < 0 or parts[j] != b:  # a part that was joined away is empty
+            if parts[i] < 0 or j < 0 or get(parts[i] << BITS | parts[j]) != best:  # a part that was joined away is negative
                 continue
-            parts[i], parts[j] = a + b, ""
+            parts[i], parts[j] = best & MASK, -1
             k = after[i] = after[j]
             if k >= 0:
                 before[k] = i
-                if (r := get((parts[i], parts[k]))) is not None:
-                    heapq.heappush(heap, (r, i, parts[i], parts[k]))
+                if (r := get(parts[i] << BITS | parts[k])) is not None:
+                    heapq.heappush(heap, (r, i))
             h = before[i]
-            if h >= 0 and (r := get((parts[h], parts[i]))) is not None:
-                heapq.heappush(heap, (r, h, parts[h], parts[i]))
-        return [p for p in parts if p]
+            if h >= 0 and (r := get(parts[h] << BITS | parts[i])) is not None:
+                heapq.heappush(heap, (r, h))
+        return [p for p in parts if p >= 0]
 
     def decode(self, ids) -> str:
         """Tokens of the ids joined by a blank, special tokens included; unknown ids are left out."""
