@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -60,13 +62,20 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
             yield batch.slice(a, b - a)
 
 
+def rest() -> None:
+    """Give free memory back to the system, for a worker that now waits beside the JVM for its next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library keeps what it has
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:
     """``fn`` over bounded slices of Arrow batches."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
                 yield fn(part)
-        pa.default_memory_pool().release_unused()  # a waiting worker holds no buffers
+        rest()
     return df.mapInArrow(run, schema)
 
 

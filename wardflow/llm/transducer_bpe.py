@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import work_path
-from .common import slices
+from .common import rest, slices
 
 LEXICON_WORDS = 32_768
 CACHE, SLICE = 240_000, 1 << 20  # parts of a generation; bytes of text at a time
@@ -313,9 +313,9 @@ class Encoder:
         return [list(map(known.__getitem__, row)) for row in cut]
 
     def rest(self) -> None:
-        """Keep only the newer generation while this worker waits for its next task."""
-        self.seen.old = {}
-        pa.default_memory_pool().release_unused()
+        """Hold no parts while this worker waits for its next task."""
+        self.seen = Recent(CACHE)
+        rest()
 
     def ids(self, texts: list[str | None]) -> list[list[int]]:
         return [[int(i) for p in row for i in p[1].split()] for row in self.pieces(texts)]
