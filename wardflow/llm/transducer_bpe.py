@@ -244,18 +244,14 @@ class Recent:
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
-    def missing(self, keys) -> list:
+    def missing(self, keys: set) -> set:
         """Keys without an entry; the others are in ``new`` afterwards, as the caller puts the missing ones."""
         if len(self.new) > self.size:
             self.new, self.old = {}, self.new
-        new, old, out = self.new, self.old, []
-        for k in keys:
-            if k not in new:
-                if k in old:
-                    new[k] = old[k]
-                else:
-                    out.append(k)
-        return out
+        out = keys.difference(self.new)
+        known = out.intersection(self.old)
+        self.new.update(zip(known, map(self.old.__getitem__, known)))
+        return out - known
 
 
 class Encoder:
@@ -264,7 +260,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.special = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
-        self.seen = Recent(CACHE)  # parts; a word is the part that holds nothing else
+        self.seen, self.inner = Recent(CACHE), Recent(CACHE // 4)  # parts, and words that were met inside parts only
         self.names = {i: str(i) for i in vocabulary.tokens}
 
     def entry(self, ids: list[int]) -> tuple[int, str, str]:
@@ -275,9 +271,11 @@ class Encoder:
         """Entries of words, looked up in the automaton all at once; those that it does not hold are merged."""
         ranks = self.lexicon.ranks([w.encode() for w in asked]).tolist() if self.lexicon else [-1] * len(asked)
         out = {}
+        merge, name, token = self.vocabulary.merge, self.names.__getitem__, self.vocabulary.tokens.__getitem__
         for w, r in zip(asked, ranks):
-            n, ids, decoded = self.entry(self.vocabulary.merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist())
-            out[w] = n, ids, w if decoded == w else decoded
+            ids = merge(w) if r < 0 else self.lexicon.flat[self.lexicon.starts[r] : self.lexicon.starts[r + 1]].tolist()
+            decoded = " ".join(map(token, ids))
+            out[w] = len(ids), " ".join(map(name, ids)), w if decoded == w else decoded
         return out
 
     def learn(self, parts: set[str]) -> None:
@@ -288,13 +286,14 @@ class Encoder:
         known.update(self.word_entries(alone))
         for c in alone:
             del split[c]
-        # Words of the other parts: from this cache if they stand alone somewhere, else for this call.
-        inner = {w for ws in split.values() for w in ws}
-        extra = self.word_entries([w for w in inner if w not in known])
+        # Words of the other parts stand alone somewhere, or are kept apart.
+        inside = {w for ws in split.values() for w in ws}.difference(known)
+        more = self.inner.missing(inside)
+        extra = self.inner.new
+        extra.update(self.word_entries(list(more)))
         for c, ws in split.items():
             got = [known.get(w) or extra[w] for w in ws]
             known[c] = got[0] if len(got) == 1 else (sum(g[0] for g in got), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
-        known.update((w, e) for w, e in extra.items() if words(w) == [w])
 
     def pieces(self, texts: list[str | None]) -> list[list[tuple[int, str, str]]]:
         """Entries of the parts of every text in order."""
@@ -314,7 +313,7 @@ class Encoder:
 
     def rest(self) -> None:
         """Hold no parts while this worker waits for its next task."""
-        self.seen = Recent(CACHE)
+        self.seen, self.inner = Recent(CACHE), Recent(CACHE // 4)
         rest()
 
     def ids(self, texts: list[str | None]) -> list[list[int]]:
