@@ -18,8 +18,9 @@ from .billing import PROGRAM
 ADVANTAGE_PLANS = ["ANTHEM BLUE CROSS MEDICARE ADVANTAGE", "ANTHEM BLUE CROSS AND BLUE SHIELD MEDICARE ADVANTAGE"]
 OTHER_PLANS = ["Anthem GRS", "MMP", "WellPoint Medicare Advantage", "HEALTHY BLUE MEDICARE ADVANTAGE", "Wellpoint GRS",
                "SIMPLY HEALTHCARE", "WELLPOINT MEDICAID"]
-MEDICAID_STATES = ["FL", "WI", "WA", "VA", "TX", "TN", "NY", "NV", "NJ", "MO", "MD", "LA", "IN", "IA", "GA"]
-ANYWHERE = [f"%{p}%" for p in OTHER_PLANS + [f"MEDICAID - {s}" for s in MEDICAID_STATES]]
+MEDICAID_PLANS = ["MEDICAID - FL", "MEDICAID - WI", "MEDICAID - WA", "MEDICAID - VA", "MEDICAID - TX", "MEDICAID - TN", "MEDICAID - NY", "MEDICAID - NV",
+                  "MEDICAID - NJ", "MEDICAID - MO", "MEDICAID - MD", "MEDICAID - LA", "MEDICAID - IN", "MEDICAID - IA", "MEDICAID - GA"]
+ANYWHERE = [f"%{p}%" for p in OTHER_PLANS + MEDICAID_PLANS]
 PLAN_PATTERNS = [f"%{p}%" for p in ADVANTAGE_PLANS] + ANYWHERE
 PAYOR_PATTERNS = [f"{p}%" for p in ADVANTAGE_PLANS] + ANYWHERE      # these two only at the start of a payor name
 # Group ids left out of the roster.

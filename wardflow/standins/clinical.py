@@ -6,10 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions import clinical as cat
+from ..functions import clinical as cat, conditions
 from ..plans import cohort, datamart, registry
 from ..session import materialise
-from .condition_sql import CONDITIONS
 from . import LazyTables, Tables, query
 from .warehouse import REVENUE_SQL, choice, patient, provider, sql_choice
 
@@ -257,13 +256,16 @@ def registry_wide(t: Tables):
     return registry.surgical_registry(clinical_tables(t), "SUPPLIER%")
 
 
-_FLAG_SQL = ", ".join(
-    f"max(CASE WHEN {sql}{' OR c.display ILIKE ' + chr(39) + '%sleep apnea%' + chr(39) if f == 'osa_flag' else ''} THEN 1 ELSE 0 END) AS {f}"
-    for f, sql in CONDITIONS.items())
+_PATTERNS = ", ".join(f"('{flag}', '{kind}', '{text}')" for flag, kind, text in conditions.pattern_rows(conditions.COMORBIDITY, conditions.PATIENT))
+_FLAGS_SQL = f"""pattern(flag, kind, text) AS (VALUES {_PATTERNS}),
+hit AS (SELECT c.k, p.flag FROM code c JOIN pattern p ON c.value = p.text OR (p.kind = 'prefix' AND starts_with(c.value, p.text))
+  UNION SELECT c.k, 'osa_flag' FROM code c WHERE c.display ILIKE '%sleep apnea%'),
+flags AS (SELECT l.patient_key, {", ".join(f"max(CASE WHEN h.flag = '{f}' THEN 1 ELSE 0 END) AS {f}" for f in cohort.FLAGS)}
+  FROM plines l JOIN code c ON c.k = l.l_partkey AND c.p_size > 10 LEFT JOIN hit h ON h.k = c.k WHERE l.l_returnflag <> 'R' GROUP BY l.patient_key)"""
 
 
 @query("condition_flags", f"""WITH {_CLINICAL_SQL},
-flags AS (SELECT l.patient_key, {_FLAG_SQL} FROM plines l JOIN code c ON c.k = l.l_partkey AND c.p_size > 10 WHERE l.l_returnflag <> 'R' GROUP BY l.patient_key)
+{_FLAGS_SQL}
 SELECT c.c_custkey AS patient_key, {", ".join(f"coalesce({f}, 0) AS {f}" for f in cohort.FLAGS)} FROM customer c LEFT JOIN flags ON flags.patient_key = c.c_custkey""")
 def condition_flags(t: Tables):
     from ..operators.code_flags import flag_columns
@@ -282,7 +284,7 @@ def _cohort_sql() -> str:
     img = ", ".join(f"CAST(max(CASE WHEN m = '{m}' THEN CAST(moment AS DATE) END) AS VARCHAR) AS pre_op_{m}_date" for m in cat.MODALITIES)
     days = "date_diff('day', {a}, {b})"
     return f"""WITH {_CLINICAL_SQL},
-flags AS (SELECT l.patient_key, {_FLAG_SQL} FROM plines l JOIN code c ON c.k = l.l_partkey AND c.p_size > 10 WHERE l.l_returnflag <> 'R' GROUP BY l.patient_key),
+{_FLAGS_SQL},
 cpts AS (SELECT l_orderkey AS case_key, {cpt} AS cpt, p_name FROM lineitem JOIN part ON p_partkey = l_partkey),
 coh AS (SELECT c.*, p.mrn, p.name AS patient_name, p.birth_date, p.sex, p.race, p.ethnicity, p.postal_code, p.smoking_status, s.s_name AS surgeon_name, n.n_name AS department_name
   FROM cases c JOIN patient p ON p.patient_key = c.patient_key AND p.is_current = 1 AND p.is_valid = 1 JOIN supplier s ON s.s_suppkey = c.case_key % 10
