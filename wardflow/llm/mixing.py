@@ -10,7 +10,8 @@
 3. A rate is the expected number of copies: its whole part, and one more by a hash of the document.
 
 Targets are shares of all tokens and are scaled to sum 1.  Null and blank texts have no tokens and get rate 1.  Without
-labels or tokens every rate is 1.  Rows that share a doc_id get rates by their own texts.
+labels or tokens every rate is 1.  Rows that share a doc_id get rates by their own texts; texts of any length are scored whole; an empty table
+gives no rows; extra columns pass through ``mix`` unchanged.
 """
 
 from __future__ import annotations

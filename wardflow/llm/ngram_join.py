@@ -22,7 +22,8 @@ the sum of the smaller counts.
 
 Null, empty and blank texts have no shingles and link with nothing.  A component is shown by its smallest doc_id, which is null only
 if no row of it has one.  Rows that share a doc_id, or have none, are told apart by their sets: they are in one component only if their
-sets are linked.
+sets are linked.  Texts of any length enter whole, equal rows are one class, and an empty table gives no rows.  Other columns are not read;
+``first_of_each`` passes them through.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@
 
 Here the host is ``source`` and the path below it is ``lang``.  Null hosts and paths are sites of their own; null and
 empty texts are scored by their shape alone.  Without labels the classifier says 0.5 to all.  Rows that share a
-doc_id are scored one by one.
+doc_id are scored one by one; texts of any length are scored whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

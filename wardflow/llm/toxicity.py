@@ -6,7 +6,7 @@ their beginnings (those met clearly more often in toxic texts); a document is to
 labels only (a bounded sample, see text_model.SAMPLE), yet the sentence scores tell where the offence is.
 
 Null and empty texts have no sentence: their score is LEAK.  Without labelled rows every sentence scores 0.  Repeated
-rows are scored alike; other columns are never read.
+rows are scored alike; texts of any length are scored whole; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
