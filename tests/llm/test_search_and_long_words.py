@@ -26,6 +26,11 @@ def test_long_words_equal_the_library():
     assert time.perf_counter() - began < 1.5  # n log n; 10 s when each merge searched the whole word
 
 
+def test_plain_words_need_no_pattern():
+    for chunk in ["Hello", "hello,", "HELLO!", "don't", "a.b.", "x9", "9.", ",", "..", "it's.", "A", "?", "ab-", "naïve,", "<|x|>"]:
+        assert transducer_bpe.words(chunk) == transducer_bpe._WORDS.findall(chunk.lower())
+
+
 @pytest.mark.parametrize("n", [500, 2_000, 50_000])
 def test_recall_at_the_defaults(spark, n):
     """Vectors with the spread of the given ones but no clusters, the hardest case for an index."""

@@ -34,8 +34,9 @@ from ..session import work_path
 from .common import rest, slices
 
 LEXICON_WORDS = 32_768
-CACHE, SLICE = 240_000, 1 << 20  # parts of a generation; bytes of text at a time
+CACHE, SLICE = 300_000, 2 << 20  # parts of a generation; bytes of text at a time
 LONG, BITS = 64, 20
+ENDS = (".", ",", ";", ":", "!", "?")  # marks that part a plain word from what follows
 MASK, NONE = (1 << BITS) - 1, 1 << 62
 # The word pattern of the tokenizer file and the characters with the White_Space property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -129,7 +130,13 @@ _WORDS = regex.compile(PATTERN.replace(r"^\s", "^" + WHITE))
 
 def words(chunk: str) -> list[str]:
     """Normalised words of a part without white space."""
-    if not chunk.isascii():
+    if chunk.isascii():
+        if chunk.isalpha():  # the pattern takes plain letters whole
+            return [chunk.lower()]
+        body, mark = chunk[:-1], chunk[-1:]
+        if mark in ENDS and body.isalpha():
+            return [body.lower(), mark]
+    else:
         chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")  # no final sigma
     return _WORDS.findall(chunk.lower())
 
@@ -344,10 +351,11 @@ def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS) -> DataFrame:
         seen: Counter = Counter()
 
         def flush():
-            total: Counter = Counter()
+            total: dict[str, int] = {}
+            had = total.get
             for c, n in seen.items():
                 for w in words(c):
-                    total[w] += n
+                    total[w] = had(w, 0) + n
             seen.clear()
             return pa.RecordBatch.from_pydict({"word": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
 
