@@ -83,7 +83,9 @@ def with_base_stats(docs: DataFrame) -> DataFrame:
 def document_lines(docs: DataFrame) -> DataFrame:
     """One row per (document, host, line hash) with the word characters of its occurrences."""
     one = F.explode(F.transform(full_lines(F.col("text")), lambda s: F.struct(line_hash(s).alias("h"), F.length(bare(s)).alias("c"))))
-    return (docs.select("doc_id", text_key(F.col("text")).alias("key"), F.col("source").alias("host"), one.alias("l"))
+    # The key is taken before lines are parted, once for each text.
+    named = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.col("source").alias("host"), "text")
+    return (named.select("doc_id", "key", "host", one.alias("l"))
             .groupBy("doc_id", "key", "host", F.col("l.h").alias("h")).agg(F.sum("l.c").alias("chars")))
 
 
