@@ -121,6 +121,46 @@ def test_survey_stream_keeps_its_keys_as_state(spark, tmp_path):
     assert sorted(r.answer_txt for r in fresh.collect()) == ["new", "new too", "no id"]
 
 
+def test_survey_stream_asks_its_state_by_bucket():
+    """A call between Spark and Python serves every key of a bucket, however the rows of the call are cut."""
+    import numpy as np
+    import pandas as pd
+    from wardflow.streaming.survey import KEYS, NewAnswers
+
+    class State:
+        def __init__(self):
+            self.rows, self.calls = [], 0
+
+        def get(self):
+            self.calls += 1
+            return iter(self.rows)
+
+        def appendList(self, rows):
+            self.calls += 1
+            self.rows += rows
+
+    class Handle:
+        def __init__(self):
+            self.state = State()
+
+        def getListState(self, name, schema):
+            return self.state
+
+    def load(processor, parts):
+        return [tuple(r) for p in processor.handleInputRows((0,), iter(parts), None) for r in p.itertuples(index=False)]
+
+    processor, handle = NewAnswers(), Handle()
+    processor.init(handle)
+    processor.handleInitialState((0,), pd.DataFrame([(5, "1")], columns=KEYS), None)
+    frame = lambda rows: pd.DataFrame(rows, columns=[*KEYS, "answer_txt"])
+    parts = [frame([(i, "1", "a") for i in range(10)]), frame([(np.nan, "1", "b"), (3, "1", "again"), (5, "1", "late"), (7, None, "c")])]
+    got = load(processor, parts)
+    assert len(got) == 9 + 3 and handle.state.calls == 3
+    assert sorted(handle.state.rows) == [(i, "1") for i in range(10)]
+    late = load(processor, [frame([(3, "1", "late"), (np.nan, "1", "b"), (11, "1", "new")])])
+    assert [r[2] for r in late] == ["b", "new"]
+
+
 def test_staged_copies_go_with_their_block(spark, tmp_path):
     from wardflow.session import materialise, shared_dir, staging
     root = shared_dir(spark).removeprefix("file://").removeprefix("file:")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -12,6 +13,9 @@ from ..sources.files import SURVEY_COLUMNS, any_match, read_delimited, stamped,
 
 KEYS = ["surveyid", "question_id"]
 
+#: Buckets of keys in the state of the stream, fixed for the life of a checkpoint.
+BUCKETS = 4096
+
 
 def stage(raw: DataFrame, load_time=None) -> DataFrame:
     return stamped(to_int_or_fail(raw, "surveyid"), load_time)
@@ -24,28 +28,44 @@ def new_answers(spark: SparkSession, folder: str, target: DataFrame, file_spec:
     return (anti_append_legacy if legacy else anti_append)(rows, target, KEYS)
 
 
+def bucketed(rows: DataFrame) -> DataFrame:
+    """Add the bucket whose state knows the row's key; rows with a NULL key, which no state holds, are spread over all."""
+    null_key = F.greatest(*[F.col(k).isNull().cast("int") for k in KEYS]) == 1
+    spread = F.when(null_key, F.xxhash64(*[c for c in rows.columns if c != "load_dt"])).otherwise(F.xxhash64(*KEYS))
+    return rows.withColumn("_bucket", F.pmod(spread, F.lit(BUCKETS)))
+
+
 class NewAnswers(StatefulProcessor):
-    """Lets the rows of a key through in the first batch that has it; keys of the table are known from the start."""
+    """Lets the rows of a key through in the first batch that has it; keys of the table are known from the start.
+
+    One state holds the keys of a bucket, so a batch costs calls between Spark and Python by bucket, not by key.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getValueState("known", "known boolean")
+        self.known = handle.getListState("known", "surveyid int, question_id string")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.known.update((True,))
+        self.known.appendList([(int(s), q) for s, q in zip(*(initialState[k] for k in KEYS))])
 
     def handleInputRows(self, key, rows, timerValues):
-        """All rows of a key in this batch come in one call, so repeats inside a load are all kept."""
-        if any(k is None or k != k for k in key):  # a NULL key (NaN in a number column) equals no other
-            yield from rows
-        elif not self.known.exists():
-            self.known.update((True,))
-            yield from rows
+        """All rows of a bucket in this batch come in one call, so repeats inside a load are all kept."""
+        known, fresh = set(self.known.get()), set()
+        for part in rows:
+            keep = []
+            for at in zip(*(part[k] for k in KEYS)):
+                keep.append(at not in known)
+                if keep[-1] and not any(k is None or k != k for k in at):  # a NULL key (NaN in a number column) equals no other
+                    fresh.add((int(at[0]), at[1]))
+            if any(keep):
+                yield part.loc[keep]
+        if fresh:
+            self.known.appendList(list(fresh))
 
 
 def load_stream(spark: SparkSession, folder: str, target_path: str, checkpoint: str, file_spec: str = "*") -> None:
     """Load the files not seen before and stop.
 
-    Which (survey, question) keys are loaded is keyed state of the stream, seeded from the table when its checkpoint is new, so later
+    Which (survey, question) keys are loaded is state of the stream, keyed by a hash bucket of them and seeded from the table when its checkpoint is new, so later
     batches read nothing of the table.  The state of a batch is committed with the batch, and its rows are written under its
     stream and batch number, so a batch that is run again after a failure starts from the same state and replaces what it
     wrote before; a stream with a new checkpoint never touches what an earlier one wrote.
@@ -59,8 +79,8 @@ def load_stream(spark: SparkSession, folder: str, target_path: str, checkpoint:
     else:
         table = spark.createDataFrame([], schema)
     loaded = table.select(*KEYS).na.drop().distinct()
-    fresh = stage(files).groupBy(*KEYS).transformWithStateInPandas(
-        NewAnswers(), schema, outputMode="Append", timeMode="None", initialState=loaded.groupBy(*KEYS))
+    fresh = bucketed(stage(files)).groupBy("_bucket").transformWithStateInPandas(
+        NewAnswers(), schema, outputMode="Append", timeMode="None", initialState=bucketed(loaded).groupBy("_bucket"))
 
     def append(batch: DataFrame, batch_id: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
