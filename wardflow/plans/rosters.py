@@ -84,8 +84,8 @@ def plan_parents(coverage: DataFrame) -> DataFrame:
 def parent_company(tables: Mapping[str, DataFrame], run_date: dt.date, patients: DataFrame | None = None) -> DataFrame:
     """Plan and parent company of a patient from eligibility, real-time and external coverage.
 
-    Each source is reduced to its distinct plans per patient before they meet.  ``patients`` (patient_key)
-    limits the report.
+    Each source is reduced to its distinct plans per patient before they meet, and patients are distinct, so the joined rows
+    are distinct as they come.  ``patients`` (patient_key) limits the report.
     """
     cov, parents = tables["coverage"], plan_parents(tables["coverage"])
 
@@ -95,12 +95,11 @@ def parent_company(tables: Mapping[str, DataFrame], run_date: dt.date, patients:
 
     live = tables["coverage_mapping"].where(F.col("effective_to") >= F.lit(run_date))
     people = tables["episode"].select("patient_key").distinct().join(
-        current_rows(tables["patient"]).select("patient_key"), "patient_key")
+        current_rows(tables["patient"]).select("patient_key"), "patient_key", "left_semi")
     if patients is not None:
         people = people.join(patients.select("patient_key").distinct(), "patient_key", "left_semi")
     return (
         people.join(source(tables["eligibility"], "ods_plan", "ods_parent"), "patient_key", "left")
         .join(source(live, "rte_plan", "rte_parent"), "patient_key", "left")
         .join(source(tables["external_coverage"], "hl7_plan", "hl7_parent"), "patient_key", "left")
-        .distinct()
     )
