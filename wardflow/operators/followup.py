@@ -22,29 +22,48 @@ def bucket_of(index, at):
 
 
 def followup_buckets(cases: DataFrame, results: DataFrame, *, key: str, index_time: str, component: str,
-                     time: str, values: list[str], tiebreak: list[str]) -> DataFrame:
+                     time: str, values: list[str], tiebreak: list[str], carry: list[str] | None = None) -> DataFrame:
     """Latest result per (key, index time, component, bucket), long form.
 
     Week, month and year numbers decide the bucket, so results are first reduced to the latest row per
     (key, component, month, week): at most some 70 rows a year whatever the key holds.  A case then meets the
-    rows of two years, and for the open-ended bucket the single last row of the key.
+    rows of two years, and for the open-ended bucket the single last row of the key.  Every bucket lies in one
+    year (a week in the year of its Monday, its other days are put there too), so the latest is found where (key, year) meet.
+
+    ``carry`` names columns of the cases: the result then has a row for each case, with these, and needs no join to the cases.
     """
-    seen = results.where(F.col(time).isNotNull()).withColumns({
-        "_y": F.year(time), "_m": F.trunc(time, "MM"), "_w": F.trunc(time, "week")})
+    seen = results.where(F.col(time).isNotNull() & F.col(key).isNotNull()).withColumn(
+        "_cell", F.greatest(F.trunc(time, "MM"), F.trunc(time, "week")))  # names month and week
     fields = list(dict.fromkeys([*tiebreak, *values]))
     row = F.struct(F.col(time).alias("time"), *[F.col(c) for c in fields])
     # Ranks are limited per group before the exchange and need no buffer of whole rows.
     newest = [F.col(f"_row.{c}").desc_nulls_last() for c in ("time", *fields)]
-    cells = first_per(seen.select(key, component, "_y", "_m", "_w", row.alias("_row")), [key, component, "_y", "_m", "_w"], newest)
+    # Both readers ask for the same rows and columns, so that the cells are exchanged once.
+    cells = first_per(seen.select(key, component, "_cell", row.alias("_row")), [key, component, "_cell"], newest).where("_cell IS NOT NULL")
     last = first_per(cells.select(key, component, "_row"), [key, component], newest)
 
-    index = cases.select(key, index_time).where(F.col(index_time).isNotNull()).distinct()
-    near = index.withColumn("_y", F.explode(F.array(F.year(index_time), F.year(index_time) + 1))).join(
-        cells, [key, "_y"])
-    near = near.withColumn("bucket", bucket_of(index_time, "_row.time")).where(
-        F.col("bucket").isNotNull() & (F.col("bucket") != "ygt1"))
+    index = cases.where(F.col(index_time).isNotNull() & F.col(key).isNotNull())
+    who = [key, index_time, *(carry or [])]
+    # Cases that are alike are matched once.
+    index = index.groupBy(*who).agg(F.count(F.lit(1)).cast("int").alias("_n")) if carry else index.select(*who).distinct().withColumn("_n", F.lit(1))
+    # Numbers of week, month and year are worked out for each row before the join, not for each pair after it.
+    def numbers(at, prefix):
+        return [F.datediff(F.trunc(at, "week"), F.lit("1970-01-01").cast("date")).alias(f"{prefix}w"), (F.year(at) * 12 + F.month(at)).alias(f"{prefix}m"),
+                F.year(at).alias(f"{prefix}y")]
+
+    cell = cells.select(key, component, "_row", *numbers("_cell", "_c"), F.year(F.trunc("_cell", "week")).alias("_cmonday"))
+    years = F.when(F.col("_cy") == F.col("_cmonday"), F.array("_cy")).otherwise(F.array("_cy", "_cmonday"))
+    asked = index.select("*", *numbers(index_time, "_i"), F.explode(F.array(F.year(index_time), F.year(index_time) + 1)).alias("_y"))
+    # A merge join leaves its rows where the pick needs them, so they are not exchanged again.
+    near = asked.hint("merge").join(cell.withColumn("_y", F.explode(years)), [key, "_y"])
+    weeks, months = F.col("_cw") - F.col("_iw"), F.col("_cm") - F.col("_im")
+    in_year = F.when(months == 1, "m1").when(months == 3, "m3").when(months == 6, "m6").when(F.col("_cy") - F.col("_iy") == 1, "y1")
+    bucket = F.when(weeks == 7, F.when(F.col("_y") == F.col("_cmonday"), "w1")).when(F.col("_y") == F.col("_cy"), in_year)
+    near = near.withColumn("bucket", bucket).where("bucket IS NOT NULL")
     far = index.join(last, key).where(F.year("_row.time") - F.year(index_time) >= 2).withColumn("bucket", F.lit("ygt1"))
-    keep = [key, index_time, component, "bucket", "_row"]
-    picked = first_per(near.select(*keep), keep[:-1], newest)
-    out = picked.unionByName(far.select(*keep))
-    return out.select(*keep[:-1], "_row.time", *[f"_row.{v}" for v in values])
+    keep = [*who, "_n", component, "bucket", "_row"]
+    picked = first_per(near.select("_y", *keep), [key, "_y", *keep[1:-1]], newest)
+    out = picked.select(*keep).unionByName(far.select(*keep))
+    if carry:
+        out = out.withColumn("_n", F.explode(F.array_repeat(F.lit(1), F.col("_n"))))
+    return out.select(*who, component, "bucket", "_row.time", *[f"_row.{v}" for v in values])

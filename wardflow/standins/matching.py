@@ -131,6 +131,5 @@ def followup_buckets(t: Tables):
     cases = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     picked = followup.followup_buckets(
         cases, results(t), key="o_custkey", index_time="o_orderdate", component="l_returnflag", time="l_shipdate",
-        values=["l_quantity"], tiebreak=["l_orderkey", "l_linenumber", "l_quantity", "l_partkey"])
-    return cases.join(picked, ["o_custkey", "o_orderdate"]).select(
-        "o_orderkey", F.col("l_returnflag").alias("component"), "bucket", F.col("time").alias("at"), "l_quantity")
+        values=["l_quantity"], tiebreak=["l_orderkey", "l_linenumber", "l_quantity", "l_partkey"], carry=["o_orderkey"])
+    return picked.select("o_orderkey", F.col("l_returnflag").alias("component"), "bucket", F.col("time").alias("at"), "l_quantity")
