@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from wardflow.plans import rosters
+from pyspark.sql import functions as F
+
+from wardflow.operators.joins import named_rows
+from wardflow.plans import datamart, rosters
+
+DAY = dt.date
 
 
 def test_parent_company_holds_no_joined_rows_in_memory(spark):
@@ -25,3 +30,48 @@ def test_parent_company_holds_no_joined_rows_in_memory(spark):
     want = [(1, *o, *r, None, None) for o in ods for r in rte] + [(2, None, None, None, None, None, None)]
     assert rows == sorted(want, key=str)
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+
+
+def test_data_mart_sends_images_once(spark):
+    """Last image on an admission day, last one of a stay and the follow-ups from one reading of the images."""
+    base = spark.createDataFrame([
+        (1, DAY(2001, 1, 1), DAY(2001, 1, 2), DAY(2001, 1, 4)), (1, DAY(2001, 3, 1), DAY(2001, 3, 1), DAY(9999, 12, 31)),
+        (2, DAY(2001, 1, 1), DAY(2001, 1, 2), None), (3, None, None, DAY(2001, 1, 1)), (4, DAY(2001, 1, 5), DAY(2001, 1, 2), DAY(2001, 1, 1))],
+        "patient_key long, admission_date date, surgery_date date, discharge_date date")
+    at = lambda month, day, hour: dt.datetime(2001, month, day, hour)
+    images = spark.createDataFrame([
+        (1, "a", at(1, 1, 3), "first"), (1, "b", at(1, 1, 9), "low"), (1, "c", at(1, 1, 9), "high"), (1, "d", at(1, 4, 1), "out"), (1, "e", at(1, 5, 1), "between"),
+        (1, "f", at(3, 1, 5), "same day"), (1, "g", None, "no time"), (1, "h", at(1, 4, 2), None), (1, "i", at(1, 4, 3), None),
+        (2, "j", at(1, 1, 1), "pre"), (2, "k", at(1, 3, 1), "open stay"), (3, "l", at(1, 1, 1), "on"), (4, "m", at(1, 1, 1), "backward"), (None, "n", at(1, 1, 1), "x")],
+        "patient_key long, imaging_key string, exam_start timestamp_ntz, narrative string")
+    got = datamart.imaging_columns({"imaging": images}, base)
+    rows = {r[0]: tuple(r)[1:] for r in got.collect()}
+    assert rows == {
+        1: (DAY(2001, 1, 1), "high", DAY(2001, 1, 4), None, 4, DAY(2001, 1, 4)),
+        2: (DAY(2001, 1, 1), "pre", None, None, None, None), 3: (None, None, None, None, 1, DAY(2001, 1, 1)),
+        4: (None, None, None, None, 1, DAY(2001, 1, 1))}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [patient_key#") <= 2  # cases and images, each once
+
+
+def test_status_of_a_case_needs_no_exchange_by_case(spark):
+    """Statuses go with the patient; only a case key of several rows is put together by case."""
+    case = [(7, 1, DAY(2001, 1, 1)), (8, 1, DAY(2001, 2, 1)), (8, 2, DAY(2001, 1, 1)), (9, 3, None), (10, 4, DAY(2001, 1, 1))]
+    base = spark.createDataFrame(case, "case_key long, patient_key long, admission_date date")
+    tables = {
+        "admission": spark.createDataFrame([
+            (1, DAY(2001, 1, 5), 1, "B"), (1, DAY(2001, 1, 6), 2, "A"), (1, DAY(2000, 1, 1), 2, "Z"), (2, DAY(2001, 1, 7), 1, "C"), (3, DAY(2001, 1, 7), 1, "C"),
+            (4, DAY(2001, 1, 7), None, None)], "patient_key long, admission_date date, principal_problem_key long, confirmation_status string"),
+        "diagnosis": spark.createDataFrame([(1, "one"), (2, "two"), (2, "two"), (3, "unused")], "diagnosis_key long, name string")}
+    per_patient, shared = datamart.readmission_columns(tables, base, False)
+    assert [tuple(r) for r in shared.collect()] == [(8, "C")]
+    wide = base.join(per_patient, "patient_key", "left").join(shared, "case_key", "left").select(
+        "case_key", "patient_key", F.coalesce("_shared", datamart._later_than("admission_date")).alias("status"), "readmission_dx")
+    assert sorted(tuple(r) for r in wide.collect()) == [
+        (7, 1, "A,B", "one, two, two"), (8, 1, "C", "one, two, two"), (8, 2, "C", "one"), (9, 3, None, None), (10, 4, "", None)]
+
+
+def test_named_rows_are_the_dimension_rows_that_facts_name(spark):
+    dim = spark.range(1000).selectExpr("id % 500 AS k", "id AS v")
+    facts = spark.createDataFrame([(3,), (3,), (499,), (700,), (None,)], "f long")
+    got = named_rows(dim, "k", facts, "f", "named")
+    assert sorted(tuple(r) for r in got.collect()) == [(3, 3), (3, 503), (499, 499), (499, 999)]
