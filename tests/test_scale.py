@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from wardflow.operators.cohort import Cohort
 from wardflow.operators.joins import named_rows
+from wardflow.plans import cohort as cohort_plan
 from wardflow.plans import datamart, rosters
 
 DAY = dt.date
@@ -75,3 +77,46 @@ def test_named_rows_are_the_dimension_rows_that_facts_name(spark):
     facts = spark.createDataFrame([(3,), (3,), (499,), (700,), (None,)], "f long")
     got = named_rows(dim, "k", facts, "f", "named")
     assert sorted(tuple(r) for r in got.collect()) == [(3, 3), (3, 503), (499, 499), (499, 999)]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_case_procedures_read_the_codes_once(spark):
+    tables = {
+        "case_code": spark.createDataFrame([("C1", 1), ("C1", 2), ("C1", 2), ("C2", 3), ("C3", None)], "case_id string, procedure_id long"),
+        "procedure_code": spark.createDataFrame([(1, "29999", "b"), (2, "10000", "a"), (3, None, "c")], "procedure_id long, cpt string, procedure_name string")}
+    base = spark.createDataFrame([(1, "C1"), (2, "C2"), (3, "C3")], "case_key long, case_id string")
+    got = cohort_plan.case_procedures(tables, base)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a || b", "10000 || 29999", "10000"), (2, "c", None, None)]
+    assert _plan(got).count("LogicalRDD [case_id#") == 1  # twice before: once for the lists, once for the primary code
+
+
+def test_days_of_images_before_surgery_need_no_window(spark):
+    """Old dates, the surgery day itself, other patients, repeated cases and missing times."""
+    at = lambda year, day, hour: dt.datetime(year, 1, day, hour)
+    tables = {
+        "procedure": spark.createDataFrame([(1, "CT ABDOMEN"), (2, "MR PELVIS"), (3, "STONE ANALYSIS")], "procedure_key long, name string"),
+        "imaging": spark.createDataFrame([
+            (1, 1, at(1965, 3, 23)), (1, 1, at(1965, 2, 1)), (1, 1, at(2001, 5, 0)), (1, 2, at(2001, 4, 23)), (1, 2, at(2001, 4, 1)), (1, 3, at(2001, 1, 1)),
+            (2, 1, at(2001, 9, 1)), (2, 2, None), (9, 1, at(2001, 1, 1)), (None, 1, at(2001, 1, 1))], "patient_key long, procedure_key long, exam_start timestamp_ntz")}
+    base = spark.createDataFrame([(10, 1, DAY(2001, 1, 5)), (10, 1, DAY(2001, 1, 5)), (11, 2, DAY(2001, 1, 9)), (12, 3, DAY(2001, 1, 9)), (13, 1, None)],
+                                 "case_key long, patient_key long, surgery_date date")
+    got = cohort_plan.pre_op_imaging(tables, base, Cohort(base, "patient_key"))
+    rows = sorted(((r.case_key, r.pre_op_ct_date, r.pre_op_mri_date) for r in got.collect()), key=str)
+    assert rows == [(10, DAY(1965, 1, 3), DAY(2001, 1, 4))] * 2 + [(11, None, None), (12, None, None), (13, None, None)]
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString() and "asof" not in _plan(got)
+
+
+def test_medication_starts_are_not_made_distinct_first(spark):
+    tables = {
+        "medication": spark.createDataFrame([(1, "Prednisone 5 mg", None), (2, None, "ketorolac"), (3, "Lisinopril", None)],
+                                            "medication_key long, name string, generic_name string"),
+        "medication_event": spark.createDataFrame([(1, 1, DAY(2001, 1, d)) for d in (1, 1, 4, 11, 12)] + [
+            (1, 2, DAY(2001, 1, 11)), (1, 2, DAY(2001, 1, 11)), (1, 3, DAY(2001, 1, 2)), (2, 1, DAY(2001, 1, 2)), (1, 1, None)],
+            "patient_key long, medication_key long, start_date date")}
+    base = spark.createDataFrame([(10, 1, DAY(2001, 1, 1)), (11, 1, DAY(2001, 1, 12)), (12, 3, DAY(2001, 1, 1))], "case_key long, patient_key long, surgery_date date")
+    got = cohort_plan.post_op_medications(tables, base, Cohort(base, "patient_key"))
+    assert sorted(tuple(r) for r in got.collect()) == [(10, "Prednisone 5 mg", "ketorolac"), (11, "Prednisone 5 mg", None)]
+    assert not any("Aggregate" in line and "med_name" in line and "collect_set" not in line for line in _plan(got).splitlines())
