@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wardflow.operators.cohort import Cohort
 from wardflow.operators.joins import named_rows
 from wardflow.plans import cohort as cohort_plan
-from wardflow.plans import datamart, rosters
+from wardflow.plans import datamart, registry, rosters
 
 DAY = dt.date
 
@@ -120,3 +120,46 @@ def test_medication_starts_are_not_made_distinct_first(spark):
     got = cohort_plan.post_op_medications(tables, base, Cohort(base, "patient_key"))
     assert sorted(tuple(r) for r in got.collect()) == [(10, "Prednisone 5 mg", "ketorolac"), (11, "Prednisone 5 mg", None)]
     assert not any("Aggregate" in line and "med_name" in line and "collect_set" not in line for line in _plan(got).splitlines())
+
+
+def test_codes_of_history_flags_filter_the_events_before_any_exchange(spark):
+    """Events with other codes are left out by a condition on their own table, below the joins."""
+    tables = {
+        "diagnosis_code": spark.createDataFrame([(1, "ICD-10-CM", "E78.5"), (2, "ICD-10-CM", "I25.10"), (3, "ICD-10-CM", "I10"), (4, "ICD-9-CM", "E78.5")],
+                                                "diagnosis_key long, type string, value string"),
+        "diagnosis_event": spark.createDataFrame([(1, 1), (1, 3), (2, 2), (2, 1), (3, 3), (4, 4), (9, 1), (None, 1), (1, None)], "patient_key long, diagnosis_key long")}
+    base = spark.createDataFrame([(1,), (2,), (3,), (4,), (2,)], "patient_key long")
+    got = registry.history_flags(tables, Cohort(base, "patient_key"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 0), (2, 1, 1)]
+    assert any("Filter" in line and "getbit" in line and "diagnosis_key" in line for line in _plan(got).splitlines())
+
+
+def test_results_of_a_case_meet_the_text_table_once(spark):
+    """Texts for text families only; a stone needs a stone procedure and a comment, repeats and missing texts stay."""
+    components = [(1, "Creatinine", "Chemistry", None), (2, "pH, urine", "Chemistry", None), (3, "Culture, Urine", "Chemistry", None), (4, "Final Diagnosis", "Surgical Pathology", None),
+                  (5, "Margins", "Surgical Pathology", "Synoptic Checklist Question"), (6, "Calculi Composition", "Chemistry", None), (7, "Sodium", "Chemistry", None), (8, None, "Chemistry", None)]
+    results = [(1, c, f"r{c}", 10, f"L{c}", f"v{c}", DAY(2001, 1, 1)) for c in range(1, 9)] + [(1, 6, "other", 11, "L9", "v", DAY(2001, 1, 1)), (1, 6, "silent", 10, "L9", "v", DAY(2001, 1, 1)), (1, 3, "bare", 10, "L9", "v", DAY(2001, 1, 1))]
+    tables = {
+        "lab_component": spark.createDataFrame(components, "component_key long, name string, type string, subtype string"),
+        "lab_result": spark.createDataFrame(results, "patient_key long, component_key long, result_key string, procedure_key long, order_id string, value string, collected date").withColumn("resulted", F.col("collected")),
+        "lab_text": spark.createDataFrame([(f"r{c}", f"t{c}", f"c{c}") for c in range(1, 9)] + [("r4", "again", None), ("other", "t", "c"), ("silent", "t", ""), ("unknown", "t", "c")], "result_key string, value string, comment string"),
+        "procedure": spark.createDataFrame([(10, "STONE ANALYSIS"), (10, "Stone again"), (11, "CT ABDOMEN")], "procedure_key long, name string")}
+    got = registry.case_labs(tables, Cohort(spark.createDataFrame([(1,)], "patient_key long"), "patient_key"))
+    rows = sorted(((r.family, r.category, r.result_key, r.shown, r.order_id, r.resulted) for r in got.collect()), key=str)
+    assert rows == sorted([
+        ("lab", "creatinine", "r1", "v1", None, DAY(2001, 1, 1)), ("urine", "ph", "r2", "v2", None, None), ("culture", "culture", "r3", "t3   c3", None, None), ("culture", "culture", "bare", None, None, None),
+        ("pathology", "final_report", "r4", "t4", "L4", None), ("pathology", "final_report", "r4", "again", "L4", None), ("synoptic", "Margins", "r5", "t5", "L5", None),
+        ("stone", "composition", "r6", "c6", None, None)], key=str)
+
+
+def test_later_days_sends_the_left_rows_once(spark):
+    from wardflow.operators.intervals import later_days
+    left = spark.range(500).selectExpr("id AS c", "id % 9 AS k", "DATE '2001-01-01' + CAST(id % 30 AS INT) AS d")
+    right = spark.range(300).selectExpr("id % 9 AS k", "DATE '2001-01-01' + CAST(id % 31 AS INT) AS e")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = later_days(left, right, key="k", left_date="d", right_date="e", out="l")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2 and got.count() == 500

@@ -53,7 +53,9 @@ def followup_buckets(cases: DataFrame, results: DataFrame, *, key: str, index_ti
 
     cell = cells.select(key, component, "_row", *numbers("_cell", "_c"), F.year(F.trunc("_cell", "week")).alias("_cmonday"))
     years = F.when(F.col("_cy") == F.col("_cmonday"), F.array("_cy")).otherwise(F.array("_cy", "_cmonday"))
-    asked = index.select("*", *numbers(index_time, "_i"), F.explode(F.array(F.year(index_time), F.year(index_time) + 1)).alias("_y"))
+    # They are not sent along.
+    asked = index.select("*", F.explode(F.array(F.year(index_time), F.year(index_time) + 1)).alias("_y")).repartition(key, "_y")
+    asked = asked.select("*", *numbers(index_time, "_i"))
     # A merge join leaves its rows where the pick needs them, so they are not exchanged again.
     near = asked.hint("merge").join(cell.withColumn("_y", F.explode(years)), [key, "_y"])
     weeks, months = F.col("_cw") - F.col("_iw"), F.col("_cm") - F.col("_im")
