@@ -163,3 +163,13 @@ def test_later_days_sends_the_left_rows_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange") == 2 and got.count() == 500
+
+
+def test_case_rows_lie_by_patient_unless_patients_share_a_case(spark):
+    """A case key of two patients is put together by case, as it was; repeated rows of one patient are no such case."""
+    alone = spark.createDataFrame([(1, 10), (1, 10), (2, 11)], "patient_key long, case_key long")
+    shared = spark.createDataFrame([(1, 10), (2, 10), (2, 11)], "patient_key long, case_key long")
+    assert registry.case_keys(alone) == ["patient_key", "case_key"] and registry.case_keys(shared) == ["case_key"]
+    parts = spark.createDataFrame([(1, 10, "a", None), (2, 10, "b", "c"), (2, 11, None, "d")], "patient_key long, case_key long, x string, y string")
+    assert sorted(tuple(r) for r in registry.per_case(parts, ["case_key"]).collect()) == [(10, "b", "c"), (11, None, "d")]
+    assert sorted(map(str, registry.per_case(parts, ["patient_key", "case_key"]).collect())) == sorted(map(str, parts.collect()))
